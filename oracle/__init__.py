@@ -9,6 +9,9 @@ import re
 
 from oracle import gold, staffing
 
+# Stands for WITH in a query that adds views of its own.
+OWN_VIEWS = "WITH_VIEWS"
+
 VIEWS: dict[str, str] = {**staffing.VIEWS, **gold.VIEWS}
 
 
@@ -30,9 +33,10 @@ def render(sql: str) -> str:
 
     for name in _needs(sql):
         visit(name)
-    if not ordered:
-        return sql
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered) + "\n" + sql
+    views = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered)
+    if OWN_VIEWS in sql:
+        return sql.replace(OWN_VIEWS, f"WITH {views}," if views else "WITH").strip()
+    return f"WITH {views}\n{sql}" if views else sql
 
 
 def oracle_sql() -> dict[str, str]:

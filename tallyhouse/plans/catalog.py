@@ -8,7 +8,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.dedup import latest_by
 from tallyhouse.plans.gold import (
     assignments as asg,
 )
@@ -167,9 +166,7 @@ EVENT_RUBRICS = {
 Query = Callable[[Marts], DataFrame]
 
 GOLD: dict[str, Query] = {
-    "latest_invoice_lines": lambda m: latest_by(
-        m.invoice_lines, ["invoice_id", "line_no"], [F.col("line_date").desc(), F.col("amount").desc(), F.col("qty").desc()]
-    ),
+    "latest_invoice_lines": lambda m: m.invoice_lines,
     "invoice_amounts": lambda m: rev.invoice_amounts(m.invoice_lines),
     "hours_per_contract": lambda m: m.hours_per_contract,
     "assignments_distinct": lambda m: asg.assignments_distinct(m.assignments),
