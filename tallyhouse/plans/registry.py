@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.plans.catalog import GOLD, runner
+from tallyhouse.plans.semantic_catalog import SEMANTIC
 from tallyhouse.plans.silver_catalog import SILVER, Silver
 
 QueryFunction = Callable[[SparkSession, str], DataFrame]
@@ -15,4 +16,5 @@ QueryFunction = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, QueryFunction]:
     gold = {name: runner(build) for name, build in GOLD.items()}
     silver = {name: runner(build, Silver) for name, build in SILVER.items()}
-    return {**gold, **silver}
+    reports = {name: runner(build) for name, build in SEMANTIC.items()}
+    return {**gold, **silver, **reports}
