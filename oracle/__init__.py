@@ -7,12 +7,12 @@ from __future__ import annotations
 
 import re
 
-from oracle import gold, semantic, silver, staffing
+from oracle import gold, incremental, semantic, silver, staffing
 
 # Stands for WITH in a query that adds views of its own.
 OWN_VIEWS = "WITH_VIEWS"
 
-VIEWS: dict[str, str] = {**staffing.VIEWS, **gold.VIEWS, **silver.VIEWS}
+VIEWS: dict[str, str] = {**staffing.VIEWS, **gold.VIEWS, **silver.VIEWS, **incremental.VIEWS}
 
 
 def _needs(sql: str) -> list[str]:
@@ -40,5 +40,5 @@ def render(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    texts = {**gold.QUERIES, **silver.QUERIES, **semantic.QUERIES}
+    texts = {**gold.QUERIES, **silver.QUERIES, **semantic.QUERIES, **incremental.QUERIES}
     return {name: render(sql) for name, sql in texts.items()}

@@ -6,7 +6,8 @@ from oracle.gold import AS_OF
 
 
 def latest(view: str) -> str:
-    return f"month = (SELECT MAX(month) FROM {view})"
+    """The newest complete month."""
+    return f"month = (SELECT MAX(month) FROM {view} WHERE month < {AS_OF})"
 
 
 def mean(c: str, digits: int) -> str:
@@ -22,7 +23,7 @@ MONTHLY = f"""SELECT month, COUNT(DISTINCT branch_id) AS branches, SUM(net_reven
 RECEIVABLES = """
 SELECT c.client_name, b.branch_name, outstanding, overdue, dso_days, open_invoices
 FROM m_dso d JOIN v_branches b ON b.branch_id = d.branch_id JOIN v_clients c ON c.client_id = d.client_id
-WHERE month = (SELECT MAX(month) FROM m_dso) AND {by} > 0
+WHERE month = (SELECT MAX(month) FROM m_dso WHERE month < DATE '2001-08-01') AND {by} > 0
 ORDER BY {by} DESC, c.client_name, b.branch_name LIMIT {n}"""
 TOP_BRANCHES = f"""
 SELECT branch_name, month, net_revenue, margin_rate, active_clients, active_workers, conversion_rate
@@ -47,7 +48,7 @@ QUERIES = {
 SELECT c.*, p.branches AS branches_before, p.net_revenue AS net_revenue_before, p.mean_margin_rate AS mean_margin_rate_before,
   p.mean_conversion_rate AS mean_conversion_rate_before
 FROM ({MONTHLY}) c LEFT JOIN ({MONTHLY}) p ON p.month = (c.month - INTERVAL 1 MONTH)
-WHERE c.month = (SELECT MAX(month) FROM m_scorecard)""",
+WHERE c.{latest('m_scorecard')}""",
     "top_branches": TOP_BRANCHES.format(n=20),
     "top_branches_heatmap": TOP_BRANCHES.format(n=30),
     "ranking_flags": f"""
@@ -104,7 +105,7 @@ GROUP BY 1 ORDER BY SUM(overdue) DESC, branch_name LIMIT 20""",
     "receivables_matrix": RECEIVABLES.format(by="outstanding", n=200),
     "dso_top10_trend": f"""
 SELECT branch_name, month, {mean('dso_days', 1)} AS dso_days FROM m_dso d JOIN v_branches b ON b.branch_id = d.branch_id
-WHERE {recent(12)} AND d.branch_id IN (SELECT branch_id FROM m_dso WHERE {latest('m_dso')} GROUP BY 1
+WHERE {recent(12)} AND month < {AS_OF} AND d.branch_id IN (SELECT branch_id FROM m_dso WHERE {latest('m_dso')} GROUP BY 1
   ORDER BY {mean('dso_days', 6)} DESC, branch_id LIMIT 10) GROUP BY 1, 2""",
     "renewal_top_clients": f"""
 SELECT DISTINCT client_name, renewal_pct, assignments, renewals FROM m_renewal r JOIN v_clients c ON c.client_id = r.client_id

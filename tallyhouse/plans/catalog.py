@@ -7,6 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tallyhouse.plans.gold import (
     assignments as asg,
@@ -222,5 +223,11 @@ GOLD: dict[str, Query] = {
 }
 
 
+def naive_times(df: DataFrame) -> DataFrame:
+    """Timestamps without a zone, as the tables deliver them."""
+    zoned = [f.name for f in df.schema.fields if f.dataType == TimestampType()]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned}) if zoned else df
+
+
 def runner(build: Query, source: type[Marts] = Marts) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: build(source(spark, folder))
+    return lambda spark, folder: naive_times(build(source(spark, folder)))
