@@ -73,16 +73,6 @@ def horizon_join(
     return child.join(keys, list(on), "left_semi")
 
 
-def same_period_last_year(
-    df: DataFrame, keys: Sequence[str], period: str, measures: Sequence[str], suffix: str = "_last_year"
-) -> DataFrame:
-    """Attach the measures of the same period twelve months earlier (gaps stay NULL)."""
-    previous = df.select(
-        *keys, F.add_months(period, 12).alias(period), *[F.col(m).alias(m + suffix) for m in measures]
-    )
-    return df.join(previous, [*keys, period], "left")
-
-
 def periods_per_member(members: DataFrame, periods: DataFrame, period: str) -> DataFrame:
     """Every member row with every distinct period.
 

@@ -35,7 +35,7 @@ def scd2_first_load(staging: DataFrame, key: str, tracked: Sequence[str], now: d
 def scd2_merge(
     staging: DataFrame, existing: DataFrame, key: str, tracked: Sequence[str], now: datetime | Column, sk: str
 ) -> DataFrame:
-    """New snapshot of a type-2 dimension.
+    """New snapshot of a type-2 dimension, from one join of the current versions with the staging rows.
 
     ``staging`` holds one row per key, ``existing`` the whole dimension.  Unchanged keys and keys
     missing from staging keep their version; a changed key closes its version at ``now`` and opens
@@ -45,25 +45,25 @@ def scd2_merge(
     instant = _instant(now)
     opened = scd2_first_load(staging, key, tracked, now, sk)
     columns = opened.columns
-    current = existing.filter(F.col("is_current"))
-    history = existing.filter(~F.col("is_current")).select(*columns, F.lit("historical").alias("change"))
-
-    known = current.select(key, F.col("change_hash").alias("__old_hash"))
-    compared = opened.join(known, key, "left")
-    fresh = compared.filter(F.col("__old_hash").isNull() | (F.col("__old_hash") != F.col("change_hash"))).select(
-        *columns, F.when(F.col("__old_hash").isNull(), "new").otherwise("changed").alias("change")
+    old, new = F.col("__old"), F.col("__new")
+    before = existing.filter(F.col("is_current")).select(F.col(key).alias("__key"), F.struct(*columns).alias("__old"))
+    after = opened.select(F.col(key).alias("__key"), F.struct(*columns).alias("__new"))
+
+    known, offered = old.isNotNull(), new.isNotNull()
+    changed = known & offered & (old["change_hash"] != new["change_hash"])
+    updated = {
+        "is_current": ~changed,
+        "valid_to": F.when(changed, instant).otherwise(old["valid_to"]),
+        "change": F.when(changed, "closed").otherwise("unchanged"),
+    }
+    kept = F.struct(*[updated.get(c, old[c]).alias(c) for c in columns], updated["change"].alias("change"))
+    fresh = F.struct(
+        *[new[c].alias(c) for c in columns], F.when(known, "changed").otherwise("new").alias("change")
     )
-
-    offered = opened.select(key, F.col("change_hash").alias("__new_hash"))
-    changed = F.col("__new_hash").isNotNull() & (F.col("__new_hash") != F.col("change_hash"))
-    kept = (
-        current.join(offered, key, "left")
-        .withColumn("change", F.when(changed, "closed").otherwise("unchanged"))
-        .withColumn("is_current", ~changed)
-        .withColumn("valid_to", F.when(changed, instant).otherwise(F.col("valid_to")))
-        .select(*columns, "change")
-    )
-    return reduce(DataFrame.unionByName, [fresh, history, kept])
+    outcome = F.array(F.when(known, kept), F.when(offered & (~known | changed), fresh))
+    merged = before.join(after, "__key", "full_outer").select(F.inline(F.array_compact(outcome)))
+    history = existing.filter(~F.col("is_current")).select(*columns, F.lit("historical").alias("change"))
+    return merged.unionByName(history)
 
 
 def as_of_versions(dim: DataFrame, at: datetime | Column) -> DataFrame:

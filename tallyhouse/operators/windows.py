@@ -21,6 +21,19 @@ def with_previous(
     return df.withColumns({m + suffix: F.lag(m, steps).over(window) for m in measures})
 
 
+def same_period_last_year(
+    df: DataFrame, keys: Sequence[str], period: str, measures: Sequence[str], suffix: str = "_last_year"
+) -> DataFrame:
+    """Attach the measures of the same month twelve months earlier.
+
+    A range frame on the month number finds exactly that month, so gaps stay NULL (unlike ``lag(12)``)
+    and the table is not joined with itself.  One row per key and month.
+    """
+    number = F.year(period) * 12 + F.month(period)
+    window = Window.partitionBy(*keys).orderBy(number).rangeBetween(-12, -12)
+    return df.withColumns({m + suffix: F.first(m).over(window) for m in measures})
+
+
 def active_periods(keys: Sequence[str], period: str, last: int) -> Column:
     """Number of rows among the last ``last`` rows of the key."""
     window = Window.partitionBy(*keys).orderBy(period).rowsBetween(-(last - 1), 0)

@@ -35,11 +35,19 @@ from tallyhouse.plans.gold import (
 )
 from tallyhouse.plans.silver.loyalty import loyalty
 from tallyhouse.plans.staffing import AS_OF, StaffingViews
+from tallyhouse.sources.scratch import stored
 
 
 class Marts(StaffingViews):
     """Every mart as a lazy DataFrame; a mart read by another one is planned once."""
 
+    def stored(self, name: str) -> DataFrame:
+        """A mart as a stored table, for reports that read it more than once."""
+        known = self.__dict__.setdefault("_stored", {})
+        if name not in known:
+            known[name] = stored(getattr(self, name), name)
+        return known[name]
+
     @cached_property
     def hours_per_contract(self) -> DataFrame:
         return asg.hours_per_contract(self.timesheets, self.timesheet_lines)
@@ -55,7 +63,7 @@ class Marts(StaffingViews):
             self.invoice_lines,
             self.assignments,
             self.contracts,
-            self.hours_per_contract,
+            self.contract_hours,
             self.placement_orders,
         )
 
@@ -69,7 +77,7 @@ class Marts(StaffingViews):
 
     @cached_property
     def assignment_detail(self) -> DataFrame:
-        return asg.assignment_detail(self.assignments, self.contracts, self.hours_per_contract)
+        return asg.assignment_detail(self.assignments, self.contracts, self.contract_hours)
 
     @cached_property
     def client_360(self) -> DataFrame:
@@ -95,7 +103,7 @@ class Marts(StaffingViews):
 
     @cached_property
     def billing_coefficient(self) -> DataFrame:
-        return asg.billing_coefficient(self.assignments, self.contracts, self.hours_per_contract)
+        return asg.billing_coefficient(self.assignments, self.contracts, self.contract_hours)
 
     @cached_property
     def renewal_rate(self) -> DataFrame:
@@ -115,7 +123,7 @@ class Marts(StaffingViews):
 
     @cached_property
     def worker_activity(self) -> DataFrame:
-        return wrk.worker_activity(self.assignments, self.contracts, self.hours_per_contract, self.workers)
+        return wrk.worker_activity(self.assignments, self.contracts, self.contract_hours, self.workers)
 
     @cached_property
     def pool_loyalty(self) -> DataFrame:
@@ -185,7 +193,7 @@ GOLD: dict[str, Query] = {
     "client_retention_light": lambda m: cli.client_retention_light(m.monthly_revenue_client),
     "client_retention": lambda m: cli.client_retention(m.invoices, m.invoice_lines, m.assignments, m.clients, AS_OF),
     "client_profitability": lambda m: cli.client_profitability(
-        m.invoices, m.invoice_lines, m.assignments, m.contracts, m.hours_per_contract, m.clients
+        m.invoices, m.invoice_lines, m.assignments, m.contracts, m.contract_hours, m.clients
     ),
     "branch_scorecard": lambda m: m.branch_scorecard,
     "branch_ranking": lambda m: m.branch_ranking,
@@ -210,7 +218,7 @@ GOLD: dict[str, Query] = {
     "renewal_rate": lambda m: m.renewal_rate,
     "worker_activity": lambda m: m.worker_activity,
     "assignment_detail": lambda m: m.assignment_detail,
-    "assignment_margin": lambda m: asg.assignment_margin(m.assignments, m.contracts, m.hours_per_contract),
+    "assignment_margin": lambda m: asg.assignment_margin(m.assignments, m.contracts, m.contract_hours),
     "loyalty": lambda m: m.pool_loyalty,
     "loyalty_summary": lambda m: wrk.loyalty_summary(m.pool_loyalty, m.pool_portfolio, m.pool_home),
     "pool_dynamics": lambda m: m.pool_dynamics,

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import count_if, credit, grain, invoiced, money, ratio, round_to
-from tallyhouse.operators.joins import same_period_last_year, spine_join
-from tallyhouse.operators.windows import with_previous
+from tallyhouse.operators.joins import spine_join
+from tallyhouse.operators.windows import same_period_last_year, with_previous
 from tallyhouse.plans.gold.clients import WIDE
-from tallyhouse.plans.gold.revenue import assignment_key_count, invoices_with_amounts
+from tallyhouse.plans.gold.revenue import assignment_count, invoices_with_amounts
 
 
 def branch_scorecard(
@@ -35,7 +35,7 @@ def branch_scorecard(
         .agg(
             F.count_distinct("worker_id").alias("active_workers"),
             F.count_distinct("client_id").alias("active_clients"),
-            assignment_key_count().alias("assignments"),
+            assignment_count().alias("assignments"),
             money(F.coalesce(F.sum(F.col("hours_paid") * F.col("pay_rate")), F.lit(0)), *WIDE).alias("cost"),
             money(F.coalesce(F.sum(F.col("hours_billed") * F.col("bill_rate")), F.lit(0)), *WIDE).alias("billed"),
         )
@@ -101,11 +101,8 @@ def branch_trends(scorecard: DataFrame) -> DataFrame:
     """(branch, month): change on the month before and on the same month last year, trend label."""
     measures = ["net_revenue", "margin_rate", "active_workers"]
     base = scorecard.select("branch_id", "month", *measures)
-    monthly = with_previous(base, ["branch_id"], "month", measures)
-    yearly = same_period_last_year(base, ["branch_id"], "month", ["net_revenue", "margin_rate"]).select(
-        "branch_id", "month", "net_revenue_last_year", "margin_rate_last_year"
-    )
-    joined = monthly.join(yearly, ["branch_id", "month"], "left")
+    joined = with_previous(base, ["branch_id"], "month", measures)
+    joined = same_period_last_year(joined, ["branch_id"], "month", ["net_revenue", "margin_rate"])
 
     def change(c: str, before: str):
         return F.col(c) - F.coalesce(F.col(before), F.lit(0))

@@ -12,7 +12,7 @@ from tallyhouse.functions import clamp01, count_if, days_between, grain, money,
 from tallyhouse.operators.dedup import latest_loaded, top_per_group
 from tallyhouse.operators.joins import spine_join
 from tallyhouse.operators.windows import active_periods, with_previous
-from tallyhouse.plans.gold.revenue import assignment_key_count, invoices_with_amounts, net
+from tallyhouse.plans.gold.revenue import assignment_count, invoices_with_amounts, net
 
 WIDE = (24, 6)
 
@@ -227,7 +227,7 @@ def client_retention(
     started = (
         assignments.filter(F.col("start_date").isNotNull() & F.col("client_id").isNotNull())
         .groupBy("client_id", "branch_id", grain("start_date", "quarter").alias("quarter"))
-        .agg(assignment_key_count().alias("assignments"))
+        .agg(assignment_count().alias("assignments"))
     )
     quarterly = (
         spine_join(per_branch, started, on=keys)

@@ -18,7 +18,7 @@ from tallyhouse.operators.quality import Rule
 from tallyhouse.plans.silver.skills import CERTIFICATION, DEGREE, EXPERIENCE, TRADE
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
 from tallyhouse.sources.readers import read_tolerant
-from tallyhouse.sources.scratch import fresh_path
+from tallyhouse.sources.scratch import fresh_path, stored
 from tallyhouse.streaming import alerts, changes, ingest, weekly
 
 # Instants of the three sample loads of the client state.
@@ -86,7 +86,7 @@ class Incremental(Silver):
 
     @cached_property
     def second_load(self) -> DataFrame:
-        return self._merge(LOADS[1], self.first_load)
+        return self._merge(LOADS[1], stored(self.first_load, "clients-1"))
 
     def _merge(self, at: datetime, existing: DataFrame) -> DataFrame:
         staging = self.client_state(at, since=at.replace(year=at.year - 2))
@@ -94,7 +94,7 @@ class Incremental(Silver):
 
     @cached_property
     def third_load(self) -> DataFrame:
-        return self._merge(LOADS[2], self.second_load.drop("change"))
+        return self._merge(LOADS[2], stored(self.second_load.drop("change"), "clients-2"))
 
     def fingerprints(self, until: datetime) -> DataFrame:
         return self.client_state(until).select("client_id", change_hash(STATE_TRACKED).alias("change_hash"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyhouse.plans import semantic as sem
 from tallyhouse.plans.catalog import Marts
 from tallyhouse.plans.gold.assignments import status_by_month
+from tallyhouse.plans.gold.branches import branch_trends
 from tallyhouse.plans.staffing import AS_OF
 
 STATUS_SINCE = date(2000, 1, 1)
@@ -21,32 +22,40 @@ def closed(mart: DataFrame) -> DataFrame:
     return mart.filter(F.col("month") < F.lit(AS_OF))
 
 
+def _receivables(m: Marts, sort_by: str, n: int) -> DataFrame:
+    return sem.receivables_report(closed(m.stored("dso_client")), m.clients, m.branches, sort_by, n)
+
+
 SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
-    "kpi_cards": lambda m: sem.kpi_cards(closed(m.branch_scorecard)),
-    "top_branches": lambda m: sem.top_branches(closed(m.branch_scorecard), m.branches, 20),
-    "top_branches_heatmap": lambda m: sem.top_branches(closed(m.branch_scorecard), m.branches, 30),
-    "ranking_flags": lambda m: sem.ranking_flags(closed(m.branch_ranking), m.branches),
-    "top10_trend": lambda m: sem.top10_trend(m.branch_trends, closed(m.branch_scorecard), m.branches, AS_OF),
-    "delta_top20": lambda m: sem.delta_top20(closed(m.branch_trends), m.branches),
-    "trend_distribution": lambda m: sem.trend_distribution(closed(m.branch_trends)),
+    "kpi_cards": lambda m: sem.kpi_cards(closed(m.stored("branch_scorecard"))),
+    "top_branches": lambda m: sem.top_branches(closed(m.stored("branch_scorecard")), m.branches, 20),
+    "top_branches_heatmap": lambda m: sem.top_branches(closed(m.stored("branch_scorecard")), m.branches, 30),
+    "ranking_flags": lambda m: sem.ranking_flags(closed(m.stored("branch_ranking")), m.branches),
+    "top10_trend": lambda m: sem.top10_trend(
+        branch_trends(m.stored("branch_scorecard")), closed(m.stored("branch_scorecard")), m.branches, AS_OF
+    ),
+    "delta_top20": lambda m: sem.delta_top20(closed(m.stored("branch_trends")), m.branches),
+    "trend_distribution": lambda m: sem.trend_distribution(closed(m.stored("branch_trends"))),
     "duration_heatmap": lambda m: sem.duration_heatmap(m.assignment_duration, m.branches, m.trades, AS_OF),
-    "termination_levels": lambda m: sem.termination_levels(closed(m.termination_rate), m.branches),
-    "duration_mix": lambda m: sem.duration_mix(closed(m.assignment_duration)),
+    "termination_levels": lambda m: sem.termination_levels(closed(m.stored("termination_rate")), m.branches),
+    "duration_mix": lambda m: sem.duration_mix(closed(m.stored("assignment_duration"))),
     "termination_vs_renewal": lambda m: sem.termination_vs_renewal(m.termination_rate, m.renewal_rate, AS_OF),
     "coefficient_scatter": lambda m: sem.coefficient_scatter(m.billing_coefficient, m.trades, AS_OF),
-    "coefficient_detail": lambda m: sem.coefficient_detail(closed(m.billing_coefficient), m.branches, m.trades),
-    "aged_balance_pivot": lambda m: sem.aged_balance_pivot(closed(m.aged_balance), m.branches),
-    "bucket_split": lambda m: sem.bucket_split(closed(m.aged_balance)),
-    "receivables_detail": lambda m: sem.receivables_report(closed(m.dso_client), m.clients, m.branches, "outstanding", 100),
-    "top_overdue_clients": lambda m: sem.receivables_report(closed(m.dso_client), m.clients, m.branches, "overdue", 15),
-    "receivables_matrix": lambda m: sem.receivables_report(closed(m.dso_client), m.clients, m.branches, "outstanding", 200),
-    "dso_top10_trend": lambda m: sem.dso_top10_trend(closed(m.dso_client), m.branches, AS_OF),
+    "coefficient_detail": lambda m: sem.coefficient_detail(
+        closed(m.stored("billing_coefficient")), m.branches, m.trades
+    ),
+    "aged_balance_pivot": lambda m: sem.aged_balance_pivot(closed(m.stored("aged_balance")), m.branches),
+    "bucket_split": lambda m: sem.bucket_split(closed(m.stored("aged_balance"))),
+    "receivables_detail": lambda m: _receivables(m, "outstanding", 100),
+    "top_overdue_clients": lambda m: _receivables(m, "overdue", 15),
+    "receivables_matrix": lambda m: _receivables(m, "outstanding", 200),
+    "dso_top10_trend": lambda m: sem.dso_top10_trend(closed(m.stored("dso_client")), m.branches, AS_OF),
     "renewal_top_clients": lambda m: sem.renewal_top_clients(m.renewal_rate, m.clients, AS_OF),
     "pool_by_month": lambda m: sem.pool_by_month(m.pool_dynamics, AS_OF),
-    "pool_growth_latest": lambda m: sem.pool_growth_latest(closed(m.pool_dynamics)),
-    "sector_treemap": lambda m: sem.sector_treemap(closed(m.sector_revenue)),
+    "pool_growth_latest": lambda m: sem.pool_growth_latest(closed(m.stored("pool_dynamics"))),
+    "sector_treemap": lambda m: sem.sector_treemap(closed(m.stored("sector_revenue"))),
     "sector_heatmap": lambda m: sem.sector_heatmap(m.sector_revenue, m.branches, AS_OF),
-    "sector_top8_trend": lambda m: sem.sector_top8_trend(m.sector_revenue, AS_OF),
+    "sector_top8_trend": lambda m: sem.sector_top8_trend(m.stored("sector_revenue"), AS_OF),
     "client_risk": lambda m: sem.client_risk(m.client_360),
     "client_kpis": lambda m: sem.client_kpis(m.client_360),
     "top_clients": lambda m: sem.top_clients(m.client_360),
@@ -57,7 +66,10 @@ SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
         sem.worker_activity_view(m.workers, m.worker_activity, m.branches)
     ),
     "threshold_alerts": lambda m: sem.threshold_alerts(
-        closed(m.dso_client), closed(m.aged_balance), closed(m.termination_rate), closed(m.billing_coefficient)
+        closed(m.stored("dso_client")),
+        closed(m.stored("aged_balance")),
+        closed(m.stored("termination_rate")),
+        closed(m.stored("billing_coefficient")),
     ),
     "load_weekly_revenue": lambda m: sem.load_weekly_revenue(m.weekly_revenue_branch, AS_OF),
     "load_scorecard": lambda m: sem.load_scorecard(m.branch_ranking, AS_OF),

@@ -38,21 +38,31 @@ class StaffingViews:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A source table; its footer is read once per set of views."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # -- line versions -----------------------------------------------------
 
     @cached_property
     def lines(self) -> DataFrame:
         """Newest version of every (order, line number)."""
-        return latest_by(self.table("lineitem"), ["l_orderkey", "l_linenumber"], newest_line())
+        return self._newest(["l_orderkey", "l_linenumber"], newest_line())
 
     @cached_property
     def assigned_lines(self) -> DataFrame:
         """Newest line of every (worker, contract)."""
-        return latest_by(self.table("lineitem"), ["l_suppkey", "l_orderkey"], newest_line("l_linenumber"))
+        return self._newest(["l_orderkey", "l_suppkey"], newest_line("l_linenumber"))
+
+    def _newest(self, keys: list[str], order: list[Column]) -> DataFrame:
+        """Rows without a complete key are dropped here, so that every reader of the versions filters
+        the scan alike and shares its shuffle."""
+        present = [F.col(k).isNotNull() for k in keys]
+        return latest_by(self.table("lineitem").filter(present[0] & present[1]), keys, order)
 
     @cached_property
     def order_heads(self) -> DataFrame:
@@ -186,6 +196,17 @@ class StaffingViews:
             F.when(F.col("l_linestatus") == "F", rate).alias("bill_rate"),
         )
 
+    @cached_property
+    def contract_hours(self) -> DataFrame:
+        """Hours per contract in one pass: here a sheet has exactly one line."""
+        rate = round_to(F.col("l_extendedprice") / F.col("l_quantity"), 4).cast("decimal(10,4)")
+        hours = F.sum(F.col("l_quantity").cast("decimal(10,2)")).cast("decimal(12,2)")
+        return self.lines.groupBy(F.col("l_suppkey").alias("worker_id"), F.col("l_orderkey").alias("contract_id")).agg(
+            hours.alias("hours_paid"),
+            hours.alias("hours_billed"),
+            F.max(F.when(F.col("l_linestatus") == "F", rate)).alias("line_bill_rate"),
+        )
+
     @cached_property
     def placement_orders(self) -> DataFrame:
         status = F.when(F.col("o_orderstatus") == "F", "P").when(F.col("o_orderstatus") == "O", "O").otherwise("A")

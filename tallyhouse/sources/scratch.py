@@ -40,3 +40,10 @@ def settle(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A result written once to shared storage and read back, for callers that read it several times."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
