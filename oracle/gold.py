@@ -497,6 +497,9 @@ LEFT JOIN (SELECT home_branch AS branch_id, week, COUNT(DISTINCT worker_id) AS p
   ON d.branch_id = e.branch_id AND d.week = e.week
 LEFT JOIN (SELECT branch_id, {week('order_date')} AS week, COUNT(*) AS orders,
   COUNT(*) FILTER (WHERE status IN ('P', 'C')) AS filled FROM v_orders GROUP BY 1, 2) c ON c.branch_id = e.branch_id AND c.week = e.week""",
+    "branch_pool_weeks": f"""
+SELECT home_branch AS branch_id, week, COUNT(DISTINCT worker_id) AS pool
+FROM v_workers CROSS JOIN (SELECT DISTINCT {week('start_date')} AS week FROM v_assignments) GROUP BY 1, 2""",
     "worker_turnover": f"""
 SELECT COALESCE(e.branch_id, s.branch_id) AS branch_id, COALESCE(e.month, s.month) AS month, COALESCE(e.entries, 0) AS entries,
   COALESCE(s.exits, 0) AS exits, COALESCE(f.headcount, 1) AS mean_headcount,

@@ -214,6 +214,7 @@ WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 2)""",
     "reject_split": """SELECT CASE WHEN event_type = 'error' THEN 'reject' ELSE 'good' END AS outcome, event_id,
   CASE WHEN event_type <> 'error' THEN event_type END AS event_type FROM events""",
     "stream_ingest": "SELECT *, ts::DATE AS load_date FROM events",
+    "load_partitions": "SELECT STRFTIME(ts, '%Y-%m-%d') AS load_date, COUNT(*) AS row_count FROM events GROUP BY 1",
     "cdc_upsert": """
 SELECT worker_id, contract_id, op, ts_ms, event_id, value FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY worker_id, contract_id ORDER BY ts_ms DESC, op = 'd' DESC, op, event_id, value) AS rn

@@ -225,6 +225,7 @@ GOLD: dict[str, Query] = {
     "key_resolution_coverage": lambda m: wrk.key_resolution_coverage(m.pool_loyalty, m.pool_portfolio, m.pool_home),
     "skill_availability": lambda m: m.skill_availability,
     "branch_staffing": lambda m: wrk.branch_staffing(m.assignments, m.workers, m.placement_orders),
+    "branch_pool_weeks": lambda m: wrk.branch_pool_weeks(m.workers, m.assignments),
     "worker_turnover": lambda m: wrk.worker_turnover(m.assignments, AS_OF),
     "calendar_dim": lambda m: ref.calendar_dim(ref.spanned_days(m.table("orders"), "o_orderdate")),
     "sector_ref": lambda m: ref.sector_usage(m.spark, m.clients),

@@ -14,7 +14,7 @@ FULL_TIME_WEEK_HOURS = 35.0
 
 def placed_sheets(timesheets: DataFrame, assignments: DataFrame) -> DataFrame:
     """Valid, dated timesheets with branch and client of their assignment."""
-    valid = timesheets.filter(F.col("valid") & F.col("modified_at").isNotNull())
+    valid = timesheets.filter(F.col("valid") & F.col("modified_at").isNotNull()).select("sheet_id", *KEY, "modified_at")
     places = assignments.filter(F.col("branch_id").isNotNull()).select(*KEY, "branch_id", "client_id")
     return valid.join(places, KEY)
 

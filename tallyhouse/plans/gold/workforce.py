@@ -149,26 +149,37 @@ def skill_availability(
     )
 
 
+def branch_pool(workers: DataFrame) -> DataFrame:
+    """(branch): workers whose home branch it is."""
+    return (
+        workers.filter(F.col("home_branch").isNotNull())
+        .groupBy(F.col("home_branch").alias("branch_id"))
+        .agg(F.count_distinct("worker_id").alias("pool"))
+    )
+
+
+def branch_pool_weeks(workers: DataFrame, assignments: DataFrame) -> DataFrame:
+    """(branch, week): the pool of every branch in every week that has an assignment start."""
+    started = assignments.filter(F.col("start_date").isNotNull()).select(grain("start_date", "week").alias("week"))
+    return periods_per_member(branch_pool(workers), started, "week")
+
+
 def branch_staffing(assignments: DataFrame, workers: DataFrame, orders: DataFrame) -> DataFrame:
     """(branch, week): workers on assignment, available, placement and conversion rate.
 
-    The pool of a branch is counted once and then repeated per distinct week of the assignments.
+    The pool does not depend on the week, so it is counted once and joined by branch.
     """
     keys = ["branch_id", "week"]
-    started = assignments.filter(F.col("start_date").isNotNull()).withColumn("week", grain("start_date", "week"))
-    placed = started.groupBy(*keys).agg(F.count_distinct("worker_id").alias("on_assignment"))
-    pool = (
-        workers.filter(F.col("home_branch").isNotNull())
-        .groupBy(F.col("home_branch").alias("branch_id"))
-        .agg(F.count_distinct("worker_id").alias("pool"))
+    started = assignments.filter(F.col("start_date").isNotNull())
+    placed = started.groupBy("branch_id", grain("start_date", "week").alias("week")).agg(
+        F.count_distinct("worker_id").alias("on_assignment")
     )
-    available = periods_per_member(pool, started, "week")
     ordered = (
         orders.filter(F.col("order_date").isNotNull())
         .groupBy("branch_id", grain("order_date", "week").alias("week"))
         .agg(F.count(F.lit(1)).alias("orders"), count_if(F.col("status").isin("P", "C")).alias("filled"))
     )
-    joined = spine_join(placed, available, ordered, on=keys)
+    joined = spine_join(placed, ordered, on=keys).join(branch_pool(workers), "branch_id", "left")
     idle = F.coalesce("pool", F.lit(0)) - F.col("on_assignment")
     return joined.select(
         *keys,

@@ -17,7 +17,7 @@ from tallyhouse.operators.joins import horizon_join
 from tallyhouse.operators.quality import Rule
 from tallyhouse.plans.silver.skills import CERTIFICATION, DEGREE, EXPERIENCE, TRADE
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
-from tallyhouse.sources.readers import read_tolerant
+from tallyhouse.sources.readers import load_partitions, read_tolerant
 from tallyhouse.sources.scratch import fresh_path, stored
 from tallyhouse.streaming import alerts, changes, ingest, weekly
 
@@ -384,6 +384,7 @@ INCREMENTAL: dict[str, Callable[[Incremental], DataFrame]] = {
     "secure_view": _secured,
     "reject_split": lambda m: m.rejects,
     "stream_ingest": lambda m: m.ingested,
+    "load_partitions": lambda m: load_partitions(m.ingested, r"load_date=(\d{4}-\d{2}-\d{2})/").drop("files"),
     "cdc_upsert": lambda m: m.upserted,
     "missing_declaration_alert": lambda m: m.alerts_stream,
     "weekly_hours_stream": lambda m: m.weekly_stream,

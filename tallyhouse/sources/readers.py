@@ -103,11 +103,11 @@ def read_database(spark: SparkSession, options: dict[str, str], table: str, colu
     return spark.read.format("jdbc").options(**options).option("dbtable", table).load().select(*columns)
 
 
-def load_partitions(df: DataFrame) -> DataFrame:
+def load_partitions(df: DataFrame, pattern: str = LOAD_DATE_PATTERN) -> DataFrame:
     """Files and rows per load day, the day taken from the file path."""
     path = F.col("_metadata.file_path")
     return (
-        df.select(F.regexp_extract(path, LOAD_DATE_PATTERN, 1).alias("load_date"), path.alias("file_path"))
+        df.select(F.regexp_extract(path, pattern, 1).alias("load_date"), path.alias("file_path"))
         .groupBy("load_date", "file_path")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("load_date")

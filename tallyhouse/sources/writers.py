@@ -64,6 +64,15 @@ def write_by_month(df: DataFrame, path: str, date_column: str, spread: int = 1)
     overwrite_partitions(df.withColumn("month", F.date_format(date_column, "yyyy-MM")), path, ["month"], spread=spread)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
+    """A catalogue table bucketed and sorted by its join key.
+
+    Tables written with the same keys and bucket count join and aggregate on them without a shuffle.
+    """
+    writer = df.write.mode("overwrite").option("compression", COMPRESSION).format("parquet")
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+
+
 def upsert_table(target: DataFrame, delta: DataFrame, keys: Sequence[str], path: str) -> None:
     """Merge one load into the table by key; rows absent from the load stay."""
     overwrite_table(merge_latest(target, delta, keys), path, reads_target=True)
