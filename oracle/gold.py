@@ -279,8 +279,6 @@ FROM (SELECT l.l_partkey AS trade_id, w.home_branch, w.worker_id, b.worker_id IS
 GROUP BY trade_id, home_branch""",
 }
 
-TOP_SHARE = "ROUND({d} * 100, 2)"
-
 
 def _top(n: int) -> str:
     return f"SUM(net) FILTER (WHERE rn <= {n})"

@@ -292,7 +292,9 @@ def client_profitability(
         spine_join(dated, rates, contract_hours, on=["worker_id", "contract_id"])
         .groupBy("client_id", F.year("start_date").alias("year"))
         .agg(
-            money(F.coalesce(F.sum(F.col("hours_billed") * F.col("bill_rate")), F.lit(0)), *WIDE).alias("assignment_revenue"),
+            money(F.coalesce(F.sum(F.col("hours_billed") * F.col("bill_rate")), F.lit(0)), *WIDE).alias(
+                "assignment_revenue"
+            ),
             money(F.coalesce(F.sum(F.col("hours_paid") * F.col("pay_rate")), F.lit(0)), *WIDE).alias("payroll_cost"),
             F.count_distinct("worker_id").alias("workers"),
         )

@@ -25,6 +25,8 @@ from tallyhouse.plans.gold.revenue import invoices_with_amounts, net
 
 AGE_STEPS = ((30, "0-30j"), (60, "31-60j"), (90, "61-90j"))
 OLDEST = ">90j"
+OPEN_STEPS = ((30, "1_0_30J"), (60, "2_30_60J"), (90, "3_60_90J"))
+OLDEST_OPEN = "4_PLUS_90J"
 
 
 def month_start(as_of: date) -> Column:
@@ -121,7 +123,7 @@ def settlement_facts(invoices: DataFrame, payments: DataFrame, as_of: date) -> D
         F.when(paid.isNotNull(), "REGLE")
         .when(today <= due, "0_NON_ECHU")
         .otherwise(
-            bucketize(days_between("due_date", today), ((30, "1_0_30J"), (60, "2_30_60J"), (90, "3_60_90J")), "4_PLUS_90J", "4_PLUS_90J")
+            bucketize(days_between("due_date", today), OPEN_STEPS, OLDEST_OPEN, OLDEST_OPEN)
         )
         .alias("age_bucket"),
     )

@@ -28,7 +28,7 @@ def worker_activity(
     joined = spine_join(started, contract_hours, rates, on=KEY)
     rate = F.coalesce("line_bill_rate", "contract_rate")
     monthly = joined.groupBy("worker_id", grain("start_date", "month").alias("month")).agg(
-        F.count_distinct("contract_id").alias("assignments"),
+        F.count("contract_id").alias("assignments"),
         F.count_distinct("branch_id").alias("branches"),
         F.count_distinct("client_id").alias("clients"),
         money(F.coalesce(F.sum("hours_paid"), F.lit(0)), 12).alias("hours"),

@@ -389,5 +389,3 @@ INCREMENTAL: dict[str, Callable[[Incremental], DataFrame]] = {
     "missing_declaration_alert": lambda m: m.alerts_stream,
     "weekly_hours_stream": lambda m: m.weekly_stream,
 }
-
-

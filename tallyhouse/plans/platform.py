@@ -132,7 +132,9 @@ SILVER_TABLES: dict[str, SilverTable] = {
     "portfolio": SilverTable(lambda x: workers.portfolio(x.raw("wtugpint")), ("worker_id", "branch_id")),
     "loyalty": SilverTable(lambda x: loyalty.loyalty(x.raw("wtpint"), x.silver("assignments"), x.as_of), ("worker_id",)),
     "skills": SilverTable(_skills, ("skill_id",)),
-    "branches": SilverTable(lambda x: branches.branches(x.raw("pyregroupecnt"), x.optional("agence_gestion")), ("branch_id",)),
+    "branches": SilverTable(
+        lambda x: branches.branches(x.raw("pyregroupecnt"), x.optional("agence_gestion")), ("branch_id",)
+    ),
     "territory": SilverTable(lambda x: branches.territory(x.history("agence_gestion"), x.history("secteurs"))),
 }
 

@@ -402,15 +402,12 @@ def threshold_alerts(dso: DataFrame, aged: DataFrame, termination: DataFrame, co
         )
 
     old = latest_period(aged, "month").filter(F.col("bucket") == ">90j")
+    ended, billed = latest_period(termination, "month"), latest_period(coefficient, "month")
     return (
         alert("dso", latest_period(dso, "month"), mean("dso_days", 4), ALERT_DSO_DAYS, True)
         .unionByName(alert("overdue_over_90", old, F.sum("overdue"), ALERT_OLD_AMOUNT, True))
-        .unionByName(
-            alert("termination", latest_period(termination, "month"), mean("termination_pct", 4), ALERT_TERMINATION_PCT, True)
-        )
-        .unionByName(
-            alert("coefficient", latest_period(coefficient, "month"), mean("weighted_coefficient", 4), ALERT_COEFFICIENT, False)
-        )
+        .unionByName(alert("termination", ended, mean("termination_pct", 4), ALERT_TERMINATION_PCT, True))
+        .unionByName(alert("coefficient", billed, mean("weighted_coefficient", 4), ALERT_COEFFICIENT, False))
     )
 
 
