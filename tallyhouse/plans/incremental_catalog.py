@@ -17,7 +17,7 @@ from tallyhouse.operators.joins import horizon_join
 from tallyhouse.operators.quality import Rule
 from tallyhouse.plans.silver.skills import CERTIFICATION, DEGREE, EXPERIENCE, TRADE
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
-from tallyhouse.sources.readers import load_partitions, read_tolerant
+from tallyhouse.sources.readers import load_partitions, read_optional_table, read_tolerant
 from tallyhouse.sources.scratch import fresh_path, stored
 from tallyhouse.streaming import alerts, changes, ingest, weekly
 
@@ -210,10 +210,10 @@ class Incremental(Silver):
     # -- streams -----------------------------------------------------------
 
     def _event_stream(self) -> DataFrame:
+        """The events table as a stream; the glob fits a single file as well as a folder of files."""
         schema = self.table("events").schema
-        return ingest.file_stream(self.spark, self.folder, schema, name_filter="events.parquet").withColumn(
-            "ts", F.col("ts").cast("timestamp")
-        )
+        stream = ingest.file_stream(self.spark, f"{self.folder}/{{events.parquet}}", schema)
+        return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
     @cached_property
     def ingested(self) -> DataFrame:
@@ -246,7 +246,8 @@ class Incremental(Silver):
         stream = self.as_changes(self._event_stream())
         keys = ["worker_id", "contract_id"]
         ingest.run_to_end(changes.cdc_upsert(stream, target, mark, keys, buckets=16))
-        return changes.live_rows(self.spark.read.parquet(target))
+        schema = stream.schema.add("is_deleted", "boolean").add(changes.BUCKET, "integer")
+        return changes.live_rows(read_optional_table(self.spark, target, schema))
 
     def collected(self, stream: DataFrame, name: str) -> DataFrame:
         """Run an append-mode stream to its end and read its output back."""
