@@ -1,9 +1,11 @@
+import os
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.plans.registry import queries
 from tallyhouse.streaming import alerts, changes, ingest, weekly
 
 T0 = datetime(2026, 3, 2)  # a Monday
@@ -110,3 +112,11 @@ def test_repeated_deliveries(spark, folder, tmp_path, rows):
     stream = ingest.file_stream(spark, path, spark.createDataFrame([], schema).schema)
     got = run(changes.deduplicated(stream, ["k"], "ts"), spark, tmp_path)
     assert rows(got.groupBy("k").agg(F.count(F.lit(1)))) == [(1, 1), (2, 1)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="sample tables not present")
+def test_event_stream_reads_a_table_of_many_files(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert queries()["stream_ingest"](spark, str(tmp_path)).count() == events.count() > 0
+    assert queries()["cdc_upsert"](spark, str(tmp_path)).count() > 0
