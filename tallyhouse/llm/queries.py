@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.llm import packing, simhash
 from tallyhouse.llm.token_counts import count_tokens
 
 
@@ -19,8 +20,19 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
+
+
+def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4, seed=42)
+    return classes.select("doc_id", "fingerprint", F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
 }
 
 ORACLE_SQL: dict[str, str] = {}
