@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import packing, simhash
+from tallyhouse.llm import mixing, packing, simhash, toxicity
+from tallyhouse.llm.texts import word_count
 from tallyhouse.llm.token_counts import count_tokens
+from tallyhouse.sources.scratch import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,18 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
+    rates = mixing.source_rates(sized, weights=[3, 1, 2], share_percent=150, limit=2)
+    rates = rates.withColumnRenamed("source", "rate_source")
+    joined = sized.join(rates, F.col("source").eqNullSafe(F.col("rate_source")))
+    times = mixing.copies(F.col("rate"), F.col("doc_id"), seed="mix")
+    return joined.select(
+        "doc_id", "source", "size", "source_size", "target", (F.col("size") * times).cast("long").alias("taken")
+    )
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -29,10 +43,59 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "fingerprint", F.col("component").alias("component_id"))
 
 
+def toxic_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Fitted on labelled rows outside the held-out quarter."""
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.fit(docs, labels.where(~held_out("doc_id")))
+
+
+def held_out(key: str):
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxic_model(spark, docs, sf_dir)
+    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), toxicity.toxicity("text", model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op4_mix_sources": op4_mix_sources,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
+    "op9_toxicity": op9_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_mix_sources": r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+ranked AS (
+  SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::HUGEINT AS weight,
+         (2 * source_size)::HUGEINT AS most FROM totals),
+levels AS (
+  SELECT *, (3 * sum(source_size) OVER ())::HUGEINT AS amount2,
+         coalesce(sum(most) OVER earlier, 0)::HUGEINT AS spent,
+         (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0))::HUGEINT AS shared
+  FROM ranked
+  WINDOW earlier AS (ORDER BY most::DOUBLE / weight::DOUBLE, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+filled AS (SELECT *, 2 * most * shared <= weight * (amount2 - 2 * spent) AS is_full FROM levels),
+targets AS (
+  SELECT source, source_size,
+    CASE WHEN is_full THEN most::DOUBLE
+         ELSE (50 * weight * (amount2 - 2 * coalesce(sum(CASE WHEN is_full THEN most END) OVER (), 0)))::DOUBLE
+              / (100 * sum(CASE WHEN NOT is_full THEN weight END) OVER ())::DOUBLE END AS target
+  FROM filled),
+rates AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets),
+drawn AS (
+  SELECT s.doc_id, s.source, s.size, r.source_size, r.target, r.rate,
+         ('0x' || substr(md5('mix:' || coalesce(s.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u
+  FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, source, size, source_size, target,
+       (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM drawn
+""",
+}
