@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import mixing, packing, simhash, toxicity
+from tallyhouse.llm import html_text, mixing, packing, simhash, toxicity
 from tallyhouse.llm.texts import word_count
 from tallyhouse.llm.token_counts import count_tokens
 from tallyhouse.sources.scratch import stored
@@ -34,6 +34,11 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.main_text(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -63,6 +68,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op4_mix_sources": op4_mix_sources,
+    "op5_html_main_text": op5_html_main_text,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_toxicity": op9_toxicity,
