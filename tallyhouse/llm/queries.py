@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import html_text, mixing, packing, simhash, toxicity
+from tallyhouse.llm import embedding_dups, html_text, mixing, packing, simhash, toxicity
 from tallyhouse.llm.texts import word_count
 from tallyhouse.llm.token_counts import count_tokens
 from tallyhouse.sources.scratch import stored
@@ -22,6 +22,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op2_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+    kept = F.col("vec_id").eqNullSafe(F.col("component"))
+    return classes.select("vec_id", "n_links", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
@@ -67,6 +73,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_embedding_near_duplicates": op2_embedding_near_duplicates,
     "op4_mix_sources": op4_mix_sources,
     "op5_html_main_text": op5_html_main_text,
     "op7_best_fit_packing": op7_best_fit_packing,
