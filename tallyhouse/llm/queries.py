@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import embedding_dups, html_text, mixing, packing, simhash, toxicity
+from tallyhouse.llm import embedding_dups, html_text, mixing, packing, quality, simhash, toxicity
 from tallyhouse.llm.texts import word_count
 from tallyhouse.llm.token_counts import count_tokens
 from tallyhouse.sources.scratch import stored
@@ -28,6 +28,14 @@ def op2_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame
     return classes.select("vec_id", "n_links", F.col("component").alias("component_id"), kept.alias("kept"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rules = quality.fit(docs, table(spark, sf_dir, "labels"))
+    judged = quality.judge(docs, rules)
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "rule", "kept")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = stored(docs.select("doc_id", "source", word_count("text").alias("size")), "sizes")
@@ -74,6 +82,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_embedding_near_duplicates": op2_embedding_near_duplicates,
+    "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_html_main_text": op5_html_main_text,
     "op7_best_fit_packing": op7_best_fit_packing,

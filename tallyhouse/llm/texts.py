@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,3 +23,12 @@ def words(text: Column | str) -> Column:
 
 def word_count(text: Column | str) -> Column:
     return F.size(words(text)).cast("long")
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once per row, however often and deep inside lambdas `body` reads it.
+
+    A column of an inner projection would do the same until a filter is pushed below the projection, which puts the
+    column's definition inside the lambdas.
+    """
+    return F.transform(F.array(value), body)[0]
