@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import embedding_dups, html_text, mixing, packing, quality, simhash, toxicity
+from tallyhouse.llm import embedding_dups, html_text, licenses, mixing, packing, quality, secrets, simhash, toxicity
 from tallyhouse.llm.texts import word_count
 from tallyhouse.llm.token_counts import count_tokens
 from tallyhouse.sources.scratch import stored
@@ -53,6 +53,13 @@ def op5_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = secrets.train(secrets.planted_findings(docs))
+    found = secrets.scan(docs, model, path="source")
+    return found.select("doc_id", F.col("place").alias("word_at"), F.col("value").alias("secret"), "score")
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -79,15 +86,21 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_embedding_near_duplicates": op2_embedding_near_duplicates,
     "op3_quality_rules": op3_quality_rules,
     "op4_mix_sources": op4_mix_sources,
     "op5_html_main_text": op5_html_main_text,
+    "op6_secret_scan": op6_secret_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_toxicity": op9_toxicity,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {
