@@ -65,13 +65,15 @@ def copies(rate: Column, key: Column, seed: str) -> Column:
 
 
 def mix(
-    docs: DataFrame, sizes: DataFrame, key: str = "doc_id", source: str = "source", seed: str = "mix",
-    weights: tuple[int, ...] = (3, 1, 2), share_percent: int = 150, limit: int = 2,
+    docs: DataFrame, rates: DataFrame, key: str = "doc_id", source: str = "source", seed: str = "mix", broadcast: bool = False
 ) -> DataFrame:
-    """Each row of `docs` as often as the mix takes it.  `sizes` has `source` and `size` of every document."""
-    rates = source_rates(sizes, list(weights), share_percent, limit)
-    rates = rates.select(F.struct("*").alias("mix"))
+    """Each row of `docs` as often as the mix takes it; `rates` as `source_rates` gives them.
+
+    `broadcast` is for rates whose number is checked; else a shuffle join, whose hot source adaptive execution splits.
+    """
+    rates = rates.select(F.struct("source", "rate").alias("mix"))
     rows = docs.select(F.struct("*").alias("doc"))
-    joined = rows.join(rates, F.col(f"doc.{source}").eqNullSafe(F.col("mix.source")))
+    same = F.col(f"doc.{source}").eqNullSafe(F.col("mix.source"))
+    joined = rows.join(F.broadcast(rates) if broadcast else rates, same)
     times = copies(F.col("mix.rate"), F.col(f"doc.{key}"), seed)
     return joined.select("doc", F.explode(F.array_repeat(F.lit(0), times))).select("doc.*")
