@@ -132,7 +132,7 @@ def train(
     size = 1 << BITS
     rng = np.random.default_rng(seed)
     n, toxic = len(labels), int((labels > 0).sum())
-    share = (toxic + 0.1) / (n + 1)
+    share = (toxic + 1) / (n + 10)  # as if ten more rows, one of them toxic, had been seen
     bias = float(np.log(share / (1 - share)))
     empty = Model(bias, np.zeros(0, int), np.zeros(0), np.zeros((0, factors)))
     if not 0 < toxic < n:
