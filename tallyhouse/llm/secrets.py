@@ -29,9 +29,11 @@ from tallyhouse.llm.texts import let, whole, words
 from tallyhouse.sources.scratch import stored
 
 RUN = r"[A-Za-z0-9+/_\-]{12,}={0,2}"
-ASSIGNING = r"(?i)(?:pass|pwd|token|secret|key|auth|cred)\w*[\"']?[=:]"
-#: Texts that can hold a candidate: a run with a digit, or a name that is assigned to.
-HINT = rf"(?=[A-Za-z0-9+/_\-]{{12}})[A-Za-z+/_\-]*[0-9]|{ASSIGNING}"
+#: An assignment to a name that begins so and goes on for at most 64 characters.
+ASSIGNING = r"(?i)(?:pass|pwd|token|secret|key|auth|cred)\w{0,64}[\"']?[=:]"
+#: Texts that can hold a candidate: a run with a digit, or a name that is assigned to.  Runs are tried from their beginning only,
+#: so a very long run costs no more than its length.
+HINT = rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]{{12}})[A-Za-z+/_\-]*+[0-9]|{ASSIGNING}"
 CREDENTIAL = r"pass(?:word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
 DIGEST = r"\b(?:sha-?[0-9]*|md5|commit|checksum|digest|hash|etag|uuid|guid|revision|rev|integrity|blob|tree|version|build|order|card|id)\b"
 ISSUED = r"^(?:AKIA|ASIA|ghp_|gho_|github_pat_|glpat-|sk_live_|rk_live_|xox[abp]-|AIza|SG)"
