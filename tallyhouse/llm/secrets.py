@@ -128,7 +128,8 @@ def features(candidate: Column) -> Column:
 def planted_findings(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows: int = 500) -> DataFrame:
     """Labelled findings: `kind`, `text`, `path`, `value`, `label`."""
     texts = docs.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("key"), whole(text).alias("text"))
-    picked = texts.orderBy(F.xxhash64("key"), "key", F.xxhash64("text")).limit(sample_rows)
+    keys = texts.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample_rows)  # bounds the broadcast
+    picked = texts.join(F.broadcast(keys), "key").groupBy("key").agg(F.min("text").alias("text"))
     wordy = picked.select("key", F.filter(words("text"), lambda w: w.rlike(r"^\p{L}{2,}[.,]?$")).alias("w"))
 
     def hexed(salt: str) -> Column:
