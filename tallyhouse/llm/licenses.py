@@ -125,7 +125,7 @@ def _fold(band: int) -> int:
 
 def shingle_hashes(text: Column) -> Column:
     """64-bit hashes of a text's shingles in order."""
-    inner = F.lit(r"(?s)[\p{L}\p{N}](?:.*[\p{L}\p{N}])?")
+    inner = r"(?s)[\p{L}\p{N}](?:.*[\p{L}\p{N}])?"
     plain = F.array_remove(F.transform(words(text), lambda word: F.lower(F.regexp_extract(word, inner, 0))), "")
 
     def shingles(found: Column) -> Column:
