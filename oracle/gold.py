@@ -400,11 +400,11 @@ SELECT a.branch_id, a.client_id, {week('l.l_shipdate')} AS week, SUM(l.l_quantit
 FROM v_lines l JOIN v_assignments a ON a.worker_id = l.l_suppkey AND a.contract_id = l.l_orderkey
 WHERE l.l_returnflag <> 'R' GROUP BY 1, 2, 3""",
     "weekly_hours_by_rubric": f"""
-SELECT s_nationkey AS branch_id, {week('e.ts')} AS week, {_rubric("e.event_type IN ('click', 'view')")} AS normal_hours,
+SELECT COALESCE(s_nationkey, -1) AS branch_id, {week('e.ts')} AS week, {_rubric("e.event_type IN ('click', 'view')")} AS normal_hours,
   {_rubric("e.event_type LIKE 'pur%'")} AS overtime_hours, {_rubric("e.event_type LIKE 's%'")} AS night_hours,
   {_rubric("e.event_type LIKE 'e%r'")} AS sunday_hours, COUNT(*) AS sheets,
   {_rubric("e.event_type IN ('click', 'view') OR e.event_type LIKE 'pur%' OR e.event_type LIKE 's%' OR e.event_type LIKE 'e%r'")} AS total_hours
-FROM events e JOIN supplier ON s_suppkey = e.user_id GROUP BY 1, 2""",
+FROM events e LEFT JOIN supplier ON s_suppkey = e.user_id GROUP BY 1, 2""",
     "order_pipeline": f"""
 SELECT branch_id, {week('order_date')} AS week, COUNT(*) AS orders, COUNT(*) FILTER (WHERE status = 'P') AS filled,
   COUNT(*) FILTER (WHERE status = 'O') AS open, ROUND(COUNT(*) FILTER (WHERE status = 'P')::DOUBLE / COUNT(*), 6) AS fill_rate

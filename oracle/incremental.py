@@ -12,7 +12,7 @@ TABLES = (
 def state(until: str, since: str = "") -> str:
     recent = f" AND o_orderdate >= {since}" if since else ""
     return f"""SELECT o_custkey AS client_id, o_orderpriority AS last_priority, o_orderstatus AS last_status,
-  o_orderdate::DATE AS last_order, MD5(o_orderpriority || '|' || o_orderstatus) AS change_hash
+  o_orderdate::DATE AS last_order, MD5(LENGTH(o_orderpriority) || ':' || o_orderpriority || LENGTH(o_orderstatus) || ':' || o_orderstatus) AS change_hash
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
   FROM orders WHERE o_orderdate < {until}) WHERE rn = 1{recent}"""
 
@@ -178,7 +178,7 @@ SELECT c_custkey AS client_id, c_name, c_mktsegment <> 'BUILDING' AS is_current,
 SELECT COALESCE(s.t, u.t) AS table_name, 'events' AS pipeline,
   CASE WHEN u.ok THEN u.high_mark WHEN s.t IS NOT NULL THEN s.last_success ELSE TIMESTAMP '1970-01-01 00:00:00' END AS last_success,
   CASE WHEN u.t IS NULL OR u.ok THEN 'success' ELSE 'failed' END AS last_status,
-  CASE WHEN NOT u.ok THEN LEFT(REPEAT('lost ', 300), 1000) END AS last_error,
+  CASE WHEN NOT u.ok THEN REPEAT('lost ', 300) END AS last_error,
   (CASE WHEN s.t IS NULL THEN 0 ELSE 1 END + CASE WHEN u.ok THEN 1 ELSE 0 END)::BIGINT AS run_count,
   (COALESCE(s.n, 0) + CASE WHEN u.ok THEN u.n ELSE 0 END)::BIGINT AS rows_ingested
 FROM (SELECT event_type AS t, MAX(ts) AS last_success, COUNT(*) AS n FROM events WHERE ts < {SINCE} AND event_type <> 'view' GROUP BY 1) s

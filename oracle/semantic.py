@@ -24,7 +24,7 @@ RECEIVABLES = """
 SELECT c.client_name, b.branch_name, outstanding, overdue, dso_days, open_invoices
 FROM m_dso d JOIN v_branches b ON b.branch_id = d.branch_id JOIN v_clients c ON c.client_id = d.client_id
 WHERE month = (SELECT MAX(month) FROM m_dso WHERE month < DATE '2001-08-01') AND {by} > 0
-ORDER BY {by} DESC, c.client_name, b.branch_name LIMIT {n}"""
+ORDER BY {by} DESC, c.client_name, b.branch_name"""
 TOP_BRANCHES = f"""
 SELECT branch_name, month, net_revenue, margin_rate, active_clients, active_workers, conversion_rate
 FROM m_scorecard s JOIN v_branches b ON b.branch_id = s.branch_id WHERE {latest('m_scorecard')}
@@ -67,12 +67,12 @@ WHERE {latest('m_trends')} ORDER BY net_revenue DESC, branch_name LIMIT 20""",
     "duration_heatmap": f"""
 SELECT branch_name, p_type AS trade_name, {mean('mean_days', 1)} AS mean_days, SUM(assignments)::BIGINT AS assignments
 FROM m_duration d JOIN v_branches b ON b.branch_id = d.branch_id JOIN part ON p_partkey = d.trade_id WHERE {recent(3)}
-GROUP BY 1, 2 ORDER BY SUM(assignments) DESC, branch_name, trade_name LIMIT 200""",
+GROUP BY 1, 2 ORDER BY SUM(assignments) DESC, branch_name, trade_name""",
     "termination_levels": f"""
 SELECT branch_name, client_id, termination_pct, assignments, terminations,
   CASE WHEN termination_pct <= 5 THEN 'BON' WHEN termination_pct <= 10 THEN 'MOYEN' ELSE 'ELEVE' END AS risk_level
 FROM m_termination t JOIN v_branches b ON b.branch_id = t.branch_id WHERE {latest('m_termination')}
-ORDER BY termination_pct DESC, branch_name, client_id LIMIT 30""",
+ORDER BY termination_pct DESC, branch_name, client_id""",
     "duration_mix": f"""
 SELECT duration_profile, SUM(assignments)::BIGINT AS assignments,
   ROUND(SUM(assignments)::DOUBLE / SUM(SUM(assignments)) OVER () * 100, 1) AS pct
@@ -87,7 +87,7 @@ WHERE t.{recent(12)} GROUP BY 1""",
 SELECT p_type AS trade_name, coefficient_level, {mean('weighted_coefficient', 3)} AS mean_coefficient, SUM(assignments)::BIGINT AS assignments,
   {mean('mean_bill_rate', 2)} AS mean_bill_rate, {mean('coefficient_margin_pct', 1)} AS margin_pct
 FROM m_coefficient JOIN part ON p_partkey = trade_id WHERE {recent(3)} GROUP BY 1, 2
-ORDER BY SUM(assignments) DESC, trade_name, coefficient_level LIMIT 30""",
+ORDER BY SUM(assignments) DESC, trade_name, coefficient_level""",
     "coefficient_detail": f"""
 SELECT branch_name, client_id, p_type AS trade_name, weighted_coefficient, mean_bill_rate, mean_pay_rate, coefficient_margin_pct,
   assignments, coefficient_level
@@ -98,11 +98,11 @@ SELECT branch_name, (SUM(overdue) FILTER (WHERE bucket = '0-30j'))::DECIMAL(18,2
   (SUM(overdue) FILTER (WHERE bucket = '61-90j'))::DECIMAL(18,2) AS overdue_61_90,
   (SUM(overdue) FILTER (WHERE bucket = '>90j'))::DECIMAL(18,2) AS overdue_over_90, SUM(overdue)::DECIMAL(18,2) AS overdue_total
 FROM m_aged a JOIN v_branches b ON b.branch_id = a.branch_id WHERE {latest('m_aged')}
-GROUP BY 1 ORDER BY SUM(overdue) DESC, branch_name LIMIT 20""",
+GROUP BY 1 ORDER BY SUM(overdue) DESC, branch_name""",
     "bucket_split": f"SELECT bucket, SUM(overdue)::DECIMAL(18,2) AS overdue FROM m_aged WHERE {latest('m_aged')} GROUP BY 1",
-    "receivables_detail": RECEIVABLES.format(by="outstanding", n=100),
-    "top_overdue_clients": RECEIVABLES.format(by="overdue", n=15),
-    "receivables_matrix": RECEIVABLES.format(by="outstanding", n=200),
+    "receivables_detail": RECEIVABLES.format(by="outstanding"),
+    "top_overdue_clients": RECEIVABLES.format(by="overdue") + " LIMIT 15",
+    "receivables_matrix": RECEIVABLES.format(by="outstanding"),
     "dso_top10_trend": f"""
 SELECT branch_name, month, {mean('dso_days', 1)} AS dso_days FROM m_dso d JOIN v_branches b ON b.branch_id = d.branch_id
 WHERE {recent(12)} AND month < {AS_OF} AND d.branch_id IN (SELECT branch_id FROM m_dso WHERE {latest('m_dso')} GROUP BY 1
@@ -151,13 +151,13 @@ LEFT JOIN v_branches b ON b.branch_sk = a.branch_sk""",
     ),
     "load_weekly_revenue": f"""
 SELECT branch_id, week, SUM(net_revenue)::DECIMAL(18,2) AS net_revenue FROM m_weekly_revenue
-WHERE week >= ({AS_OF} - 84) GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 1000""",
+WHERE week >= ({AS_OF} - 84) GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2""",
     "load_scorecard": f"""
 SELECT branch_id, month, net_revenue, margin_rate, global_score FROM m_ranking WHERE {recent(1)}
-ORDER BY global_score DESC, branch_id, month LIMIT 500""",
+ORDER BY global_score DESC, branch_id, month""",
     "load_client_360": """
 SELECT client_name, revenue_ytd, active_assignments, churn_risk FROM m_client_360 WHERE churn_risk <> 'LOW'
-ORDER BY revenue_ytd DESC, client_name LIMIT 200""",
+ORDER BY revenue_ytd DESC, client_name""",
     "status_by_month": """
 SELECT a.branch_id, DATE_TRUNC('month', a.start_date)::DATE AS month, e.end_status, COUNT(*) AS assignments
 FROM v_end_status e JOIN v_assignments a ON a.worker_id = e.worker_id AND a.contract_id = e.contract_id

@@ -290,8 +290,19 @@ FROM s_invoices i JOIN (SELECT o_orderkey::VARCHAR AS invoice_id,
         branch_id="c_nationkey",
         is_active="o_orderstatus <> 'P'",
         closed_on="CASE WHEN o_orderstatus = 'P' THEN o_orderdate::DATE END",
-        row_hash=f"MD5(LPAD(o_custkey::VARCHAR, 9, '0') || '|' || COALESCE({NIC}, '') || '|' || o_orderpriority || '|' || c_nationkey"
-        " || '|' || c_mktsegment || '|' || LOWER('Contact@' || c_mktsegment || '.FR'))",
+        row_hash="MD5("
+        + " || ".join(
+            f"LENGTH({part}) || ':' || {part}"
+            for part in (
+                "LPAD(o_custkey::VARCHAR, 9, '0')",
+                f"COALESCE({NIC}, '')",
+                "o_orderpriority",
+                "c_nationkey::VARCHAR",
+                "c_mktsegment",
+                "LOWER('Contact@' || c_mktsegment || '.FR')",
+            )
+        )
+        + ")",
     ),
     "silver_contacts": order(
         "client_id, contact_no",

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 ColumnLike = Column | str
 
-# Stands for NULL inside a change fingerprint, so that NULL and '' differ.
-NULL_MARK = "\u0000"
+# Stands for NULL inside a change fingerprint; every other part begins with its length.
+NULL_MARK = "-"
 
 
 def as_col(c: ColumnLike) -> Column:
@@ -54,9 +54,10 @@ def key_hash(*parts: ColumnLike) -> Column:
 
 
 def change_hash(columns: Sequence[ColumnLike]) -> Column:
-    """Fingerprint of the tracked columns; NULL and '' give different fingerprints."""
-    marked = [F.coalesce(as_col(c).cast("string"), F.lit(NULL_MARK)) for c in columns]
-    return F.md5(F.concat_ws("|", *marked))
+    """Fingerprint of the tracked columns; each part carries its length, so no two lists of values read alike."""
+    values = [as_col(c).cast("string") for c in columns]
+    marked = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit(NULL_MARK)) for v in values]
+    return F.md5(F.concat(*marked))
 
 
 def salted_hash(c: ColumnLike, salt: str) -> Column:

@@ -1,7 +1,7 @@
 """The public byte-level BPE vocabulary, loaded once per Python process.
 
 The vocabulary is published twice: as a `tokenizers` file and as ranks for `tiktoken`.  Both give the same ids
-for every text; `tests/llm/test_tokens.py` compares them over every Unicode code point, special strings and
+for every text; `tests/llm/test_tokens.py` compares them over Unicode code points, special strings and
 random texts.  The ranks are used here because that library encodes about five times as many bytes a second.
 """
 

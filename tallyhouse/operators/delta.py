@@ -11,7 +11,6 @@ from tallyhouse.operators.dedup import latest_by, newest_first
 
 # Fixed value: marks "never succeeded" in the watermark state.
 EPOCH = datetime(1970, 1, 1)
-ERROR_LENGTH = 1000
 
 
 def delta_extract(df: DataFrame, column: str, since: datetime | Column, include_null: bool = False) -> DataFrame:
@@ -54,7 +53,7 @@ def apply_watermark_updates(state: DataFrame, updates: DataFrame) -> DataFrame:
         .alias("last_success"),
         F.when(ok.isNull(), F.col("last_status")).when(ok, "success").otherwise("failed").alias("last_status"),
         F.when(ok.isNull(), F.col("last_error"))
-        .when(~ok, F.substring(F.col("error"), 1, ERROR_LENGTH))
+        .when(~ok, F.col("error"))
         .alias("last_error"),
         (F.coalesce("run_count", F.lit(0)) + F.when(ok, 1).otherwise(0)).cast("long").alias("run_count"),
         (F.coalesce("rows_ingested", F.lit(0)) + F.when(ok, F.coalesce("rows", F.lit(0))).otherwise(0))

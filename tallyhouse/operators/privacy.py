@@ -20,6 +20,7 @@ NAME_CLASSES = {
     r"|name|first_name|last_name|address|phone|birth_date|comment)($|_)",
     "INTERNAL": r"(?i)(^|_)(ca_|marge_|montant_|coef_|taux_|revenue_|margin_|amount_|rate_)",
 }
+# Column names that must not occur in gold.
 FORBIDDEN_IN_GOLD = {
     "per_nir", "nir", "iban", "per_iban", "rib", "email", "telephone", "tel", "coord_valeur", "valeur",
     "commentaire", "peval_commentaire", "phone", "contact_value", "comment",
@@ -115,13 +116,14 @@ def secure_view(
     grants: DataFrame,
     user: str,
     on: str,
-    masked: Mapping[str, Sequence[str]] | None = None,
-    role: str | None = None,
+    masked: Mapping[str, Sequence[str]],
+    role: str,
 ) -> DataFrame:
     """Rows of the user's branches, without the columns hidden from the role.
 
-    ``grants``: username and the ``on`` key.
+    ``grants``: username and the ``on`` key.  ``masked``: hidden columns of each known role; a role that is not in
+    it sees only the ``on`` key.
     """
     allowed = grants.filter(F.col("username") == user).select(on)
-    visible = [c for c in df.columns if c not in (masked or {}).get(role or "", ())]
+    visible = [c for c in df.columns if c not in masked[role]] if role in masked else [on]
     return df.join(allowed, on, "left_semi").select(*visible)

@@ -151,8 +151,11 @@ class Marts(StaffingViews):
     def event_sheets(self) -> DataFrame:
         """Events read as timesheets of the worker with the same id."""
         home = self.workers.select(F.col("worker_id").alias("user_id"), F.col("home_branch").alias("branch_id"))
-        return self.table("events").join(home, "user_id").select(
-            F.col("event_id").alias("sheet_id"), "branch_id", F.col("ts").alias("modified_at")
+        known = self.table("events").join(home, "user_id", "left")
+        return known.select(
+            F.col("event_id").alias("sheet_id"),
+            F.coalesce("branch_id", F.lit(UNKNOWN_BRANCH)).alias("branch_id"),
+            F.col("ts").alias("modified_at"),
         )
 
     @cached_property
@@ -164,6 +167,8 @@ class Marts(StaffingViews):
         )
 
 
+# Branch of the sheets of users without a known home branch.
+UNKNOWN_BRANCH = -1
 # Event types read as hour rubrics.
 EVENT_RUBRICS = {
     "normal_hours": "click,view",

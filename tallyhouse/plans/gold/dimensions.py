@@ -35,7 +35,7 @@ def client_dim(clients: DataFrame) -> DataFrame:
         "city",
         "postcode",
         "client_status",
-        F.left("headcount_range", F.lit(50)).alias("headcount_range"),
+        "headcount_range",
     )
 
 

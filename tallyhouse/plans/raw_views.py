@@ -243,9 +243,9 @@ class RawViews(Marts):
     @cached_property
     def crm_accounts(self) -> DataFrame:
         return self.table("customer").filter(F.col("c_acctbal") > 0).select(
-            _text(F.col("c_custkey")).alias("Id_Evolia__c"),
-            F.concat(F.lit("Secteur "), "c_mktsegment").alias("Code_NAF_Name"),
-            F.lit("Client actif").alias("Statut_du_Compte__c"),
+            _text(F.col("c_custkey")).alias("ACCOUNT_CLIENT_ID"),
+            F.concat(F.lit("Secteur "), "c_mktsegment").alias("ACCOUNT_NAF_NAME"),
+            F.lit("Client actif").alias("ACCOUNT_STATUS"),
             F.lit("2001-01-01 00:00:00").alias("_loaded_at"),
         )
 

@@ -120,7 +120,6 @@ def duration_heatmap(duration: DataFrame, branches: DataFrame, trades: DataFrame
         recent.groupBy("branch_name", "trade_name")
         .agg(mean("mean_days", 1).alias("mean_days"), F.sum("assignments").alias("assignments"))
         .orderBy(largest("assignments"), "branch_name", "trade_name")
-        .limit(200)
     )
 
 
@@ -131,7 +130,6 @@ def termination_levels(termination: DataFrame, branches: DataFrame) -> DataFrame
         named(latest_period(termination, "month"), branches)
         .select("branch_name", "client_id", "termination_pct", "assignments", "terminations", level.alias("risk_level"))
         .orderBy(largest("termination_pct"), "branch_name", "client_id")
-        .limit(30)
     )
 
 
@@ -177,7 +175,6 @@ def coefficient_scatter(coefficient: DataFrame, trades: DataFrame, as_of: date)
             mean("coefficient_margin_pct", 1).alias("margin_pct"),
         )
         .orderBy(largest("assignments"), "trade_name", "coefficient_level")
-        .limit(30)
     )
 
 
@@ -209,7 +206,6 @@ def aged_balance_pivot(aged: DataFrame, branches: DataFrame) -> DataFrame:
         pivoted.select("branch_name", *columns)
         .withColumn("overdue_total", total.cast("decimal(18,2)"))
         .orderBy(largest("overdue_total"), "branch_name")
-        .limit(20)
     )
 
 
@@ -225,16 +221,16 @@ def bucket_split(aged: DataFrame) -> DataFrame:
 
 
 def receivables_report(
-    dso: DataFrame, clients: DataFrame, branches: DataFrame, sort_by: str, n: int
+    dso: DataFrame, clients: DataFrame, branches: DataFrame, sort_by: str, n: int | None = None
 ) -> DataFrame:
-    """Clients of the latest month with a positive amount, largest first."""
+    """Clients of the latest month with a positive amount, largest first; all of them, or the top ``n``."""
     latest = named(latest_period(dso, "month"), branches).join(clients.select("client_id", "client_name"), "client_id")
-    return (
+    report = (
         latest.filter(F.col(sort_by) > 0)
         .select("client_name", "branch_name", "outstanding", "overdue", "dso_days", "open_invoices")
         .orderBy(largest(sort_by), "client_name", "branch_name")
-        .limit(n)
     )
+    return report if n is None else report.limit(n)
 
 
 def dso_top10_trend(dso: DataFrame, branches: DataFrame, as_of: date) -> DataFrame:
@@ -418,7 +414,6 @@ def load_weekly_revenue(weekly: DataFrame, as_of: date) -> DataFrame:
         .groupBy("branch_id", "week")
         .agg(F.sum("net_revenue").cast("decimal(18,2)").alias("net_revenue"))
         .orderBy(largest("net_revenue"), "branch_id", "week")
-        .limit(1000)
     )
 
 
@@ -428,7 +423,6 @@ def load_scorecard(ranking: DataFrame, as_of: date) -> DataFrame:
         since_months(ranking, as_of, 1)
         .select("branch_id", "month", "net_revenue", "margin_rate", "global_score")
         .orderBy(largest("global_score"), "branch_id", "month")
-        .limit(500)
     )
 
 
@@ -438,5 +432,4 @@ def load_client_360(profile: DataFrame) -> DataFrame:
         profile.filter(F.col("churn_risk") != "LOW")
         .select("client_name", "revenue_ytd", "active_assignments", "churn_risk")
         .orderBy(largest("revenue_ytd"), "client_name")
-        .limit(200)
     )

@@ -22,7 +22,7 @@ def closed(mart: DataFrame) -> DataFrame:
     return mart.filter(F.col("month") < F.lit(AS_OF))
 
 
-def _receivables(m: Marts, sort_by: str, n: int) -> DataFrame:
+def _receivables(m: Marts, sort_by: str, n: int | None = None) -> DataFrame:
     return sem.receivables_report(closed(m.stored("dso_client")), m.clients, m.branches, sort_by, n)
 
 
@@ -46,9 +46,9 @@ SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
     ),
     "aged_balance_pivot": lambda m: sem.aged_balance_pivot(closed(m.stored("aged_balance")), m.branches),
     "bucket_split": lambda m: sem.bucket_split(closed(m.stored("aged_balance"))),
-    "receivables_detail": lambda m: _receivables(m, "outstanding", 100),
+    "receivables_detail": lambda m: _receivables(m, "outstanding"),
     "top_overdue_clients": lambda m: _receivables(m, "overdue", 15),
-    "receivables_matrix": lambda m: _receivables(m, "outstanding", 200),
+    "receivables_matrix": lambda m: _receivables(m, "outstanding"),
     "dso_top10_trend": lambda m: sem.dso_top10_trend(closed(m.stored("dso_client")), m.branches, AS_OF),
     "renewal_top_clients": lambda m: sem.renewal_top_clients(m.renewal_rate, m.clients, AS_OF),
     "pool_by_month": lambda m: sem.pool_by_month(m.pool_dynamics, AS_OF),

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import code_or_null, concat_skip_null, empty_if_null
+from tallyhouse.functions import change_hash, code_or_null, concat_skip_null, empty_if_null
 from tallyhouse.operators.dedup import latest_by
 from tallyhouse.operators.versions import scd2_first_load, scd2_merge
 from tallyhouse.plans.silver.common import as_date, as_decimal, as_int, as_long, missing, newest, text
@@ -62,9 +62,9 @@ def client_staging(raw_sites: DataFrame, raw_attributes: DataFrame, raw_crm: Dat
             raw_crm,
             ["client_id"],
             [
-                as_long("Id_Evolia__c").alias("client_id"),
-                text("Code_NAF_Name").alias("__crm_label"),
-                F.col("Statut_du_Compte__c").alias("__crm_status"),
+                as_long("ACCOUNT_CLIENT_ID").alias("client_id"),
+                text("ACCOUNT_NAF_NAME").alias("__crm_label"),
+                F.col("ACCOUNT_STATUS").alias("__crm_status"),
             ],
         ).drop("_batch_id", "_loaded_at")
         joined = joined.join(crm, "client_id", "left").withColumn("naf_label", empty_if_null("__crm_label"))
@@ -96,16 +96,15 @@ def client_versions(staging: DataFrame, existing: DataFrame | None, now: datetim
 def sites(raw: DataFrame) -> DataFrame:
     """Client sites with a fingerprint of their identity columns."""
     nic = code_or_null("TIES_NIC", 5)
-    fingerprint = F.md5(
-        F.concat_ws(
-            "|",
+    fingerprint = change_hash(
+        [
             empty_if_null("TIES_SIREN"),
             F.coalesce(nic, F.lit("")),
             empty_if_null("TIES_ADR1"),
             empty_if_null("TIES_CODEP"),
             empty_if_null("TIES_VILLE"),
             F.lower(empty_if_null("TIES_EMAIL")),
-        )
+        ]
     )
     return newest(
         raw,

@@ -34,7 +34,8 @@ RAW_COLUMNS = {
     "wttieint": "TIE_ID long, TIEI_ORDRE int, TIEI_NOM string, TIEI_PRENOM string, TIEI_EMAIL string, TIEI_BUREAU string, "
     "FCTI_CODE string",
     "wtencoursg": "ENCGRP_ID long, ENC_SIREN string, ENCG_DECISIONLIB string",
-    "sf_accounts": "Id_Evolia__c string, Code_NAF_Name string, Statut_du_Compte__c string",
+    # Neutral names: the source that ingestion is given renames the fields of the CRM in use.
+    "sf_accounts": "ACCOUNT_CLIENT_ID string, ACCOUNT_NAF_NAME string, ACCOUNT_STATUS string",
     "pypersonne": "PER_ID long, PER_NOM string, PER_PRENOM string, PER_NAISSANCE string, PER_NIR string, NAT_CODE string, "
     "PAYS_CODE string, PER_BISVOIE string, PER_COMPVOIE string, PER_CP string, PER_VILLE string",
     "pysalarie": "PER_ID long, SAL_MATRICULE string, SAL_DATEENTREE string, SAL_ACTIF string",

@@ -94,7 +94,7 @@ def test_clients_with_and_without_crm(raw):
         {"TIE_ID": 2, "TIES_SERV": 1, "TIES_DESIGNATION": "Beta"},
     )
     attributes = raw("wtclpt", {"TIE_ID": 1, "CLPT_PROS": "INCONNU"}, {"TIE_ID": 2, "CLPT_PROS": "Prospect"})
-    crm = raw("sf_accounts", {"Id_Evolia__c": "1", "Code_NAF_Name": "Intérim", "Statut_du_Compte__c": "Client"})
+    crm = raw("sf_accounts", {"ACCOUNT_CLIENT_ID": "1", "ACCOUNT_NAF_NAME": "Intérim", "ACCOUNT_STATUS": "Client"})
     plain = {r["client_id"]: r for r in clients.client_staging(sites, attributes).collect()}
     assert len(plain) == 2
     assert (plain[1]["client_name"], plain[1]["nic"], plain[1]["client_status"], plain[1]["naf_label"]) == ("ACME HQ", "00012", "INCONNU", "")
