@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from oracle import gold, incremental, semantic, silver, staffing
+from oracle import daily, gold, incremental, semantic, silver, staffing
 
 # Stands for WITH in a query that adds views of its own.
 OWN_VIEWS = "WITH_VIEWS"
@@ -40,5 +40,5 @@ def render(sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    texts = {**gold.QUERIES, **silver.QUERIES, **semantic.QUERIES, **incremental.QUERIES}
+    texts = {**gold.QUERIES, **silver.QUERIES, **semantic.QUERIES, **incremental.QUERIES, **daily.QUERIES}
     return {name: render(sql) for name, sql in texts.items()}

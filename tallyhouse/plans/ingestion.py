@@ -1,14 +1,14 @@
 """Ingestion of source tables into the raw layer, with high-water marks.
 
 Delta tables take the rows since their mark, child tables without a date follow their parent, the
-others are extracted whole.  Row count and new mark come from the pass that writes the batch.
+others are extracted whole.  The mark is the time at which a load began.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
@@ -20,15 +20,23 @@ from tallyhouse.sources.writers import extract_children, write_raw
 
 # Start of the first load of a table without a mark.
 DEFAULT_SINCE = datetime(2023, 1, 1)
+# How long after its business date a row may still be entered or changed.
+LATE = timedelta(days=400)
 UPDATES = "pipeline string, table_name string, ok boolean, high_mark timestamp, error string, rows long"
 
 
 @dataclass(frozen=True)
 class RawTable:
-    """How a table is extracted: ``delta`` column, or (``parent``, keys, parent date), or whole."""
+    """How a table is extracted: ``delta`` column, or (``parent``, keys, parent date), or whole.
+
+    The mark of a table is the start of its last load.  ``overlap`` is how far before it a load looks again: change
+    dates may have no time of day, and rows are entered later than the business date (an end, an invoice day) that
+    some delta columns hold.
+    """
 
     name: str
     delta: str | None = None
+    overlap: timedelta = timedelta(days=1)
     include_null: bool = False
     first_since: datetime = DEFAULT_SINCE
     parent: str | None = None
@@ -40,12 +48,12 @@ class RawTable:
 DELTA_TABLES = (
     RawTable("wtmiss", "CNTI_CREATE"),
     RawTable("wtcnti", "CNTI_CREATE"),
-    RawTable("wtefac", "EFAC_DTEEDI"),
+    RawTable("wtefac", "EFAC_DTEEDI", LATE),
     RawTable("wtprh", "PRH_MODIFDATE"),
-    RawTable("pycontrat", "CNT_DATEFIN", include_null=True),
-    RawTable("wtrhdon", "RHD_DATED", first_since=datetime(2024, 1, 1)),
-    RawTable("wtpeval", "PEVAL_DU"),
-    RawTable("agence_gestion", "DATE_UG_GEST", first_since=datetime(2022, 1, 1)),
+    RawTable("pycontrat", "CNT_DATEFIN", LATE, include_null=True),
+    RawTable("wtrhdon", "RHD_DATED", LATE, first_since=datetime(2024, 1, 1)),
+    RawTable("wtpeval", "PEVAL_DU", LATE),
+    RawTable("agence_gestion", "DATE_UG_GEST", LATE, first_since=datetime(2022, 1, 1)),
 )
 CHILD_TABLES = (
     RawTable(
@@ -64,7 +72,7 @@ Source = Callable[[str], DataFrame]
 
 
 def extract(table: RawTable, source: Source, since: datetime) -> DataFrame:
-    """The whitelisted rows to load; delta tables keep their change date as ``__mark``."""
+    """The whitelisted rows to load."""
     columns = [f"`{c}`" for c in column_list(table.name)]
     if table.parent:
         child = source(table.name)
@@ -74,20 +82,19 @@ def extract(table: RawTable, source: Source, since: datetime) -> DataFrame:
     rows = source(table.name)
     if table.delta is None:
         return rows.select(*columns)
-    dated = rows.withColumn("__mark", F.col(table.delta).cast("timestamp"))
-    return delta_extract(dated, "__mark", since, table.include_null).select(*columns, "__mark")
+    dated = rows.withColumn("__changed", F.col(table.delta).cast("timestamp"))
+    return delta_extract(dated, "__changed", since - table.overlap, table.include_null).select(*columns)
 
 
 def _load_table(
     table: RawTable, source: Source, since: datetime, root: str, day: date, batch_id: str, loaded_at: str
-) -> tuple[datetime | None, int]:
-    """Write one batch; returns the newest change date seen and the row count."""
+) -> int:
+    """Write one batch; returns the row count."""
     rows = extract(table, source, since)
     seen = Observation(f"raw-{table.name}")
-    mark = F.max("__mark") if "__mark" in rows.columns else F.lit(None).cast("timestamp")
-    observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), mark.alias("mark")).drop("__mark")
+    observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
     write_raw(observed, root, table.name, day, batch_id, loaded_at, replace_day=table.delta is None)
-    return seen.get["mark"], seen.get["rows"]
+    return seen.get["rows"]
 
 
 def ingest(
@@ -100,7 +107,10 @@ def ingest(
     now: datetime,
     tables: Sequence[RawTable] = RAW_TABLES,
 ) -> DataFrame:
-    """Load every table and return the new watermark state; a failing table does not stop the others."""
+    """Load every table and return the new watermark state; a failing table does not stop the others.
+
+    ``now`` is when the load began; it becomes the mark of every table that succeeds.
+    """
     spark = state.sparkSession
     fallbacks = spark.createDataFrame(
         [(pipeline, t.name, t.first_since) for t in tables], "pipeline string, table_name string, fallback_since timestamp"
@@ -110,11 +120,10 @@ def ingest(
     for table in tables:
         start = since[table.name]
         try:
-            mark, count = _load_table(table, source, start, root, day, batch_id, now.isoformat(sep=" "))
+            count = _load_table(table, source, start, root, day, batch_id, now.isoformat(sep=" "))
         except PySparkException as error:
             outcomes.append((pipeline, table.name, False, None, str(error), 0))
             continue
-        # A delta without dated rows keeps its mark; tables without a change date record the load time.
-        reached = now if table.delta is None else (mark or start)
-        outcomes.append((pipeline, table.name, True, reached, None, count))
+        # Whatever dates the rows bear, all that the source held when the load began has been read.
+        outcomes.append((pipeline, table.name, True, now, None, count))
     return apply_watermark_updates(state, spark.createDataFrame(outcomes, UPDATES))

@@ -7,7 +7,7 @@ order in which silver tables depend on each other.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import cached_property
 
@@ -26,7 +26,7 @@ from tallyhouse.plans.gold import reference as ref
 from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.gold import workforce as wrk
 from tallyhouse.plans.silver import billing, branches, clients, loyalty, missions, skills, workers
-from tallyhouse.sources.readers import is_missing, read_raw
+from tallyhouse.sources.readers import InputMissing, is_missing, read_raw, read_required, read_snapshot
 from tallyhouse.sources.schemas import raw_schema
 from tallyhouse.sources.writers import overwrite_table
 
@@ -45,6 +45,16 @@ class Load:
     now: datetime
     salt: str
     day: date | None = None
+    #: Tables that were left as they were, and why.
+    skipped: dict[str, str] = field(default_factory=dict)
+
+    def required(self, table: str) -> DataFrame:
+        """An input without which a table can't be built; raises `InputMissing`."""
+        return read_required(self.spark, self.raw_root, table, raw_schema(table), self.day)
+
+    def snapshot(self, table: str) -> DataFrame:
+        """A table that every load extracts whole: the day's rows, or those of the newest extract."""
+        return read_snapshot(self.spark, self.raw_root, table, raw_schema(table), self.day)
 
     def raw(self, table: str) -> DataFrame:
         return read_raw(self.spark, self.raw_root, table, raw_schema(table), self.day)
@@ -70,86 +80,138 @@ class Load:
 
 @dataclass(frozen=True)
 class SilverTable:
-    """``keys``: merge the load into the stored table by key; without keys the result replaces it."""
+    """``keys``: merge the load into the stored table by key; without keys the result replaces it.
+
+    With ``touched`` (the keys that a load may have changed) the stored rows of these keys are replaced: for tables
+    that are derived from others, whose newest load time says nothing.
+    """
 
     build: Callable[[Load], DataFrame]
     keys: Sequence[str] = ()
+    touched: Callable[[Load], DataFrame] | None = None
 
 
 def _client_versions(load: Load) -> DataFrame:
-    staged = clients.client_staging(load.raw("wttieserv"), load.raw("wtclpt"), load.optional("sf_accounts"))
+    staged = clients.client_staging(
+        load.snapshot("wttieserv"), load.snapshot("wtclpt"), load.optional("sf_accounts")
+    )
     return clients.client_versions(staged, load.stored_silver("client_versions"), load.now)
 
 
 def _worker_versions(load: Load) -> DataFrame:
     staged = workers.worker_staging(
-        load.raw("pypersonne"), load.raw("pysalarie"), load.raw("wtpint"), load.history("wtugpint"), load.salt
+        load.snapshot("pypersonne"),
+        load.snapshot("pysalarie"),
+        load.snapshot("wtpint"),
+        load.snapshot("wtugpint"),
+        load.salt,
     )
     return workers.worker_versions(staged, load.stored_silver("worker_versions"), load.now)
 
 
 def _skills(load: Load) -> DataFrame:
     return skills.skills(
-        skills.trades(load.raw("wtpmet"), load.history("wtmet")),
-        skills.certifications(load.raw("wtphab"), load.history("wtthab"), load.as_of),
-        skills.degrees(load.raw("wtpdip"), load.history("wttdip")),
-        skills.experiences(load.raw("wtexp")),
+        skills.trades(load.snapshot("wtpmet"), load.history("wtmet")),
+        skills.certifications(load.snapshot("wtphab"), load.history("wtthab"), load.as_of),
+        skills.degrees(load.snapshot("wtpdip"), load.history("wttdip")),
+        skills.experiences(load.snapshot("wtexp")),
     )
 
 
-# In dependency order: payments read invoices, loyalty reads assignments.
+def _contract_spans(load: Load) -> DataFrame:
+    fresh, stored = missions.contract_spans(load.required("wtcnti")), load.stored_silver("contract_spans")
+    return fresh if stored is None else missions.merged_spans(stored.unionByName(fresh))
+
+
+def _touched_assignments(load: Load) -> DataFrame:
+    """Keys of assignments whose own row, contract amendments or order came with this load."""
+    heads = load.silver("assignment_heads")
+    ordered = heads.join(missions.order_times(load.raw("wtcmd")).select("order_id"), "order_id", "left_semi")
+    frames = (missions.assignment_heads(load.raw("wtmiss")), missions.contract_spans(load.raw("wtcnti")), ordered)
+    own, amended, by_order = (f.select(*missions.KEY) for f in frames)
+    return own.union(amended).union(by_order).distinct()
+
+
+def _assignments(load: Load) -> DataFrame:
+    keys = _touched_assignments(load)
+    heads, spans = (load.silver(t).join(keys, missions.KEY, "left_semi") for t in ("assignment_heads", "contract_spans"))
+    return missions.assignments_from(heads, spans, load.silver("order_times"))
+
+
+def _assignment_ends(load: Load) -> DataFrame:
+    keys = _touched_assignments(load)
+    tables = ("assignment_end_heads", "contract_spans")
+    heads, spans = (load.silver(t).join(keys, missions.KEY, "left_semi") for t in tables)
+    return missions.assignment_ends_from(heads, spans, load.history("wtfinmiss"), load.history("pymtfcnt"))
+
+
+# In dependency order: assignments read their heads, contract spans and order times, payments invoices, loyalty assignments.
+# Tables of raw tables that every load extracts whole have no keys: the newest extract replaces them.
 SILVER_TABLES: dict[str, SilverTable] = {
-    "assignments": SilverTable(
-        lambda x: missions.assignments(x.raw("wtmiss"), x.raw("wtcnti"), x.raw("wtcmd")), ("worker_id", "contract_id")
+    "assignment_heads": SilverTable(lambda x: missions.assignment_heads(x.raw("wtmiss")), ("worker_id", "contract_id")),
+    "assignment_end_heads": SilverTable(
+        lambda x: missions.assignment_end_heads(x.raw("wtmiss")), ("worker_id", "contract_id")
     ),
+    "contract_spans": SilverTable(_contract_spans),
+    "order_times": SilverTable(lambda x: missions.order_times(x.snapshot("wtcmd"))),
+    "assignments": SilverTable(_assignments, ("worker_id", "contract_id"), _touched_assignments),
     "contracts": SilverTable(
         lambda x: missions.contracts(x.raw("wtcnti")), ("worker_id", "contract_id", "amendment")
     ),
-    "orders": SilverTable(lambda x: missions.orders(x.raw("wtcmd")), ("order_id",)),
-    "placements": SilverTable(lambda x: missions.placements(x.raw("wtplac")), ("placement_id",)),
-    "assignment_ends": SilverTable(
-        lambda x: missions.assignment_ends(
-            x.raw("wtmiss"), x.raw("wtcnti"), x.history("wtfinmiss"), x.history("pymtfcnt")
-        ),
-        ("worker_id", "contract_id"),
-    ),
+    "orders": SilverTable(lambda x: missions.orders(x.snapshot("wtcmd"))),
+    "placements": SilverTable(lambda x: missions.placements(x.snapshot("wtplac"))),
+    "assignment_ends": SilverTable(_assignment_ends, ("worker_id", "contract_id"), _touched_assignments),
     "payroll_contracts": SilverTable(
         lambda x: missions.payroll_contracts(x.raw("pycontrat")), ("worker_id", "contract_id")
     ),
-    "invoice_links": SilverTable(lambda x: missions.invoice_links(x.raw("wtfacinfo")), ("contract_id", "invoice_id")),
+    "invoice_links": SilverTable(lambda x: missions.invoice_links(x.snapshot("wtfacinfo"))),
     "timesheets": SilverTable(lambda x: billing.timesheets(x.raw("wtprh")), ("sheet_id",)),
     "timesheet_lines": SilverTable(lambda x: billing.timesheet_lines(x.raw("wtrhdon")), ("sheet_id", "line_no")),
     "invoices": SilverTable(lambda x: billing.invoices(x.raw("wtefac")), ("invoice_id",)),
     "invoice_lines": SilverTable(lambda x: billing.invoice_lines(x.raw("wtlfac")), ("invoice_id", "line_no")),
     "payments": SilverTable(lambda x: billing.payments(x.raw("wtefac"), x.silver("invoices")), ("invoice_id",)),
     "client_versions": SilverTable(_client_versions),
-    "sites": SilverTable(lambda x: clients.sites(x.raw("wttieserv")), ("client_id", "site_id")),
-    "contacts": SilverTable(lambda x: clients.contacts(x.raw("wttieint")), ("client_id", "contact_no")),
-    "credit_exposures": SilverTable(lambda x: clients.credit_exposures(x.raw("wtencoursg")), ("exposure_id",)),
+    "sites": SilverTable(lambda x: clients.sites(x.snapshot("wttieserv"))),
+    "contacts": SilverTable(lambda x: clients.contacts(x.snapshot("wttieint"))),
+    "credit_exposures": SilverTable(lambda x: clients.credit_exposures(x.snapshot("wtencoursg"))),
     "worker_versions": SilverTable(_worker_versions),
     "evaluations": SilverTable(lambda x: workers.evaluations(x.raw("wtpeval")), ("worker_id", "eval_id")),
-    "contact_points": SilverTable(lambda x: workers.contact_points(x.raw("pycoordonnee")), ("worker_id", "contact_id")),
-    "portfolio": SilverTable(lambda x: workers.portfolio(x.raw("wtugpint")), ("worker_id", "branch_id")),
-    "loyalty": SilverTable(lambda x: loyalty.loyalty(x.raw("wtpint"), x.silver("assignments"), x.as_of), ("worker_id",)),
-    "skills": SilverTable(_skills, ("skill_id",)),
+    "contact_points": SilverTable(lambda x: workers.contact_points(x.snapshot("pycoordonnee"))),
+    "portfolio": SilverTable(lambda x: workers.portfolio(x.snapshot("wtugpint"))),
+    "loyalty": SilverTable(lambda x: loyalty.loyalty(x.snapshot("wtpint"), x.silver("assignments"), x.as_of)),
+    "skills": SilverTable(_skills),
     "branches": SilverTable(
-        lambda x: branches.branches(x.raw("pyregroupecnt"), x.optional("agence_gestion")), ("branch_id",)
+        lambda x: branches.branches(x.snapshot("pyregroupecnt"), x.optional("agence_gestion"))
     ),
     "territory": SilverTable(lambda x: branches.territory(x.history("agence_gestion"), x.history("secteurs"))),
 }
 
 
 def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
-    """Build and store the silver tables; a table whose load brought nothing keeps its stored rows."""
+    """Build and store the silver tables.
+
+    A table whose load brought nothing, or without an input that it needs, keeps its stored rows; `load.skipped`
+    says why.
+    """
     written = []
     for name, table in SILVER_TABLES.items():
         if only is not None and name not in only:
             continue
-        fresh = table.build(load)
+        try:
+            fresh = table.build(load)
+        except InputMissing as error:
+            load.skipped[name] = str(error)
+            continue
         stored = load.stored_silver(name)
         if stored is not None and fresh.isEmpty():
+            load.skipped[name] = "the load brought no rows"
             continue
-        merged = merge_latest(stored, fresh, table.keys) if table.keys and stored is not None else fresh
+        if stored is None or not table.keys:
+            merged = fresh
+        elif table.touched is not None:
+            merged = stored.join(table.touched(load), list(table.keys), "left_anti").unionByName(fresh)
+        else:
+            merged = merge_latest(stored, fresh, table.keys)
         overwrite_table(merged, f"{load.silver_root}/{name}", reads_target=stored is not None)
         written.append(name)
     return written

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyhouse.plans.catalog import GOLD, runner
+from tallyhouse.plans.daily_catalog import DAILY, Daily
 from tallyhouse.plans.incremental_catalog import INCREMENTAL, Incremental
 from tallyhouse.plans.semantic_catalog import SEMANTIC
 from tallyhouse.plans.silver_catalog import SILVER, Silver
@@ -19,4 +20,5 @@ def queries() -> dict[str, QueryFunction]:
     silver = {name: runner(build, Silver) for name, build in SILVER.items()}
     reports = {name: runner(build) for name, build in SEMANTIC.items()}
     incremental = {name: runner(build, Incremental) for name, build in INCREMENTAL.items()}
-    return {**gold, **silver, **reports, **incremental}
+    daily = {name: runner(build, Daily) for name, build in DAILY.items()}
+    return {**gold, **silver, **reports, **incremental, **daily}

@@ -23,21 +23,26 @@ KEY = ["worker_id", "contract_id"]
 DELAY_STEPS = ((24, "urgent"), (72, "court"), (168, "standard"))
 
 
-def _contract_span(raw_contracts: DataFrame) -> DataFrame:
-    """(worker, contract): first start and last end over the amendments."""
-    return raw_contracts.groupBy(as_long("PER_ID").alias("worker_id"), as_long("CNT_ID").alias("contract_id")).agg(
-        F.min(as_timestamp("CNTI_DATEFFET")).alias("starts_at"),
-        F.max(as_timestamp("CNTI_DATEFINCNTI")).alias("ends_at"),
+def contract_spans(raw: DataFrame) -> DataFrame:
+    """(worker, contract): first start and last end over all amendments delivered, with their times of day."""
+    rows = raw.select(
+        *_keys(), as_timestamp("CNTI_DATEFFET").alias("starts_at"), as_timestamp("CNTI_DATEFINCNTI").alias("ends_at")
     )
+    return merged_spans(rows)
+
+
+def merged_spans(spans: DataFrame) -> DataFrame:
+    """One span per contract from those of several loads."""
+    return spans.groupBy(*KEY).agg(F.min("starts_at").alias("starts_at"), F.max("ends_at").alias("ends_at"))
 
 
 def _keys():
     return [as_long("PER_ID").alias("worker_id"), as_long("CNT_ID").alias("contract_id")]
 
 
-def assignments(raw: DataFrame, raw_contracts: DataFrame, raw_orders: DataFrame) -> DataFrame:
-    """Assignments with first contract start, declaration gap and placement delay."""
-    heads = newest(
+def assignment_heads(raw: DataFrame) -> DataFrame:
+    """The newest row of every assignment, as `assignments_from` needs it."""
+    return newest(
         raw,
         KEY,
         [
@@ -51,11 +56,33 @@ def assignments(raw: DataFrame, raw_contracts: DataFrame, raw_orders: DataFrame)
             as_long("CMD_ID").alias("order_id"),
         ],
     )
-    orders = newest(
-        raw_orders, ["order_id"], [as_long("CMD_ID").alias("order_id"), as_timestamp("CMD_DTE").alias("ordered_at")]
-    ).select("order_id", "ordered_at")
-    starts = _contract_span(raw_contracts).select(*KEY, "starts_at")
-    joined = heads.join(starts, KEY, "left").join(orders, "order_id", "left")
+
+
+def assignment_end_heads(raw: DataFrame) -> DataFrame:
+    """The newest row of every assignment, as `assignment_ends_from` needs it."""
+    return newest(
+        with_columns_present(raw, {"MISS_ANNULE": "int"}),
+        KEY,
+        [
+            *_keys(),
+            as_long("RGPCNT_ID").alias("branch_id"),
+            as_long("TIE_ID").alias("client_id"),
+            as_date("MISS_SAISIE_DTFIN").alias("entered_end"),
+            text("FINMISS_CODE").alias("end_code"),
+            as_int("MISS_ANNULE").alias("cancelled"),
+        ],
+    )
+
+
+def order_times(raw: DataFrame) -> DataFrame:
+    """When every order came in, with its time of day."""
+    return newest(raw, ["order_id"], [as_long("CMD_ID").alias("order_id"), as_timestamp("CMD_DTE").alias("ordered_at")])
+
+
+def assignments_from(heads: DataFrame, spans: DataFrame, times: DataFrame) -> DataFrame:
+    """Assignments with first contract start, declaration gap and placement delay."""
+    starts = spans.select(*KEY, "starts_at")
+    joined = heads.join(starts, KEY, "left").join(times.select("order_id", "ordered_at"), "order_id", "left")
     delay = hours_between("ordered_at", "starts_at")
     return joined.select(
         *KEY,
@@ -75,6 +102,11 @@ def assignments(raw: DataFrame, raw_contracts: DataFrame, raw_orders: DataFrame)
     )
 
 
+def assignments(raw: DataFrame, raw_contracts: DataFrame, raw_orders: DataFrame) -> DataFrame:
+    """Assignments from whole raw tables."""
+    return assignments_from(assignment_heads(raw), contract_spans(raw_contracts), order_times(raw_orders))
+
+
 def contracts(raw: DataFrame) -> DataFrame:
     """Contract amendments."""
     return newest(
@@ -143,21 +175,15 @@ def end_status_label(cancelled, end_code, reason_closes, reason_label, code_labe
 
 def assignment_ends(
     raw: DataFrame, raw_contracts: DataFrame, raw_end_codes: DataFrame, raw_reasons: DataFrame
+) -> DataFrame:
+    """How every assignment ended, from whole raw tables."""
+    return assignment_ends_from(assignment_end_heads(raw), contract_spans(raw_contracts), raw_end_codes, raw_reasons)
+
+
+def assignment_ends_from(
+    heads: DataFrame, spans: DataFrame, raw_end_codes: DataFrame, raw_reasons: DataFrame
 ) -> DataFrame:
     """How every assignment ended, with its real duration."""
-    raw = with_columns_present(raw, {"MISS_ANNULE": "int"})
-    heads = newest(
-        raw,
-        KEY,
-        [
-            *_keys(),
-            as_long("RGPCNT_ID").alias("branch_id"),
-            as_long("TIE_ID").alias("client_id"),
-            as_date("MISS_SAISIE_DTFIN").alias("entered_end"),
-            text("FINMISS_CODE").alias("end_code"),
-            as_int("MISS_ANNULE").alias("cancelled"),
-        ],
-    )
     codes = newest(
         raw_end_codes,
         ["end_code"],
@@ -178,7 +204,7 @@ def assignment_ends(
         ],
     ).select("reason_id", "reason_code", "reason_label", "reason_closes")
     joined = (
-        heads.join(_contract_span(raw_contracts), KEY, "left")
+        heads.join(spans, KEY, "left")
         .join(codes, "end_code", "left")
         .join(reasons, "reason_id", "left")
         .withColumns({"start_date": F.to_date("starts_at"), "actual_end": F.to_date("ends_at")})
@@ -239,6 +265,6 @@ def invoice_links(raw: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "assignment_ends", "assignments", "contracts", "end_status_label", "invoice_links", "orders",
-    "payroll_contracts", "placements",
+    "assignment_end_heads", "assignment_ends", "assignment_ends_from", "assignment_heads", "assignments", "assignments_from", "contract_spans",
+    "contracts", "end_status_label", "invoice_links", "merged_spans", "order_times", "orders", "payroll_contracts", "placements",
 ]

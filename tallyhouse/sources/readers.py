@@ -60,6 +60,35 @@ def read_raw(
     return result
 
 
+class InputMissing(RuntimeError):
+    """A load has no batch of a table that it can't do without."""
+
+
+def read_required(
+    spark: SparkSession, root: str, table: str, schema: StructType, day: date | None = None
+) -> DataFrame:
+    """A raw table that must have been delivered, with at least one row; raises `InputMissing` if it wasn't."""
+    found = read_raw(spark, root, table, schema, day)
+    if found.isEmpty():
+        raise InputMissing(f"{table}: no batch of {day or 'any day'}")
+    return found
+
+
+def read_snapshot(
+    spark: SparkSession, root: str, table: str, schema: StructType, day: date | None = None
+) -> DataFrame:
+    """The rows of one full extract: that of the day, or (``day`` None) the newest one.
+
+    Earlier extracts hold rows that the source has removed since.
+    """
+    found = read_required(spark, root, table, schema, day)
+    if day is not None:
+        return found
+    dated = found.select("*", F.regexp_extract("_metadata.file_path", LOAD_DATE_PATTERN, 1).alias("__load_date"))
+    newest = dated.agg(F.max("__load_date")).first()[0]
+    return dated.filter(F.col("__load_date") == newest).drop("__load_date")
+
+
 def read_tolerant(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
     """Good rows and rejects (the raw text of lines that are not valid records).
 
