@@ -221,10 +221,9 @@ SELECT worker_id, contract_id, op, ts_ms, event_id, value FROM (
   FROM i_changes WHERE op <> 'x') WHERE rn = 1 AND op <> 'd'""",
     "missing_declaration_alert": """
 SELECT s.user_id AS worker_id, s.ts AS started_at, s.event_id FROM events s WHERE s.event_type = 'purchase'
-  AND s.ts < (SELECT LEAST(MAX(ts) FILTER (WHERE event_type = 'purchase'), MAX(ts) FILTER (WHERE event_type = 'view')) - INTERVAL 1 HOUR FROM events)
   AND NOT EXISTS (SELECT 1 FROM events d WHERE d.event_type = 'view' AND d.user_id = s.user_id
     AND d.ts <= s.ts AND d.ts >= s.ts - INTERVAL 8 HOUR)""",
     "weekly_hours_stream": """
 SELECT user_id, DATE_TRUNC('week', ts)::DATE AS week, SUM(value::DECIMAL(10,2))::DECIMAL(18,2) AS hours, COUNT(*) AS sheets
-FROM events WHERE DATE_TRUNC('week', ts) + INTERVAL 7 DAY <= (SELECT MAX(ts) - INTERVAL 1 DAY FROM events) GROUP BY 1, 2""",
+FROM events GROUP BY 1, 2""",
 }

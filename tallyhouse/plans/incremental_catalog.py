@@ -249,20 +249,6 @@ class Incremental(Silver):
         schema = stream.schema.add("is_deleted", "boolean").add(changes.BUCKET, "integer")
         return changes.live_rows(read_optional_table(self.spark, target, schema))
 
-    def collected(self, stream: DataFrame, name: str) -> DataFrame:
-        """Run an append-mode stream to its end and read its output back."""
-        target, mark = fresh_path(self.spark, name), fresh_path(self.spark, f"{name}-mark")
-        query = (
-            stream.writeStream.format("parquet")
-            .option("path", target)
-            .option("checkpointLocation", mark)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-        ingest.run_to_end(query)
-        return self.spark.read.schema(stream.schema).parquet(target)
-
     def _starts_and_declarations(self, events: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Purchases read as starts, views as declarations of the same user."""
         starts = events.filter(F.col("event_type") == "purchase").select(
@@ -275,20 +261,18 @@ class Incremental(Silver):
 
     @cached_property
     def alerts_stream(self) -> DataFrame:
-        starts, _ = self._starts_and_declarations(self._event_stream())
-        _, declared = self._starts_and_declarations(self._event_stream())
-        late = "1 hour"
-        return self.collected(
-            alerts.missing_declarations(
-                starts.withWatermark("started_at", late), declared.withWatermark("declared_at", late), "worker_id"
-            ),
-            "alerts",
-        )
+        """Starts and declarations come in as a stream; alerts are read from what has arrived."""
+        starts, declared = self._starts_and_declarations(self.ingested)
+        return alerts.missing_declarations(starts, declared, "worker_id")
 
     @cached_property
     def weekly_stream(self) -> DataFrame:
+        """All events, through the stored sums of the micro-batches."""
+        target, mark = fresh_path(self.spark, "weekly"), fresh_path(self.spark, "weekly-mark")
         sheets = self._event_stream().withColumn("hours", F.col("value").cast("decimal(10,2)"))
-        return self.collected(weekly.weekly_hours(sheets, ["user_id"], "ts", "hours"), "weekly")
+        ingest.run_to_end(weekly.run_weekly_hours(sheets, target, mark, ["user_id"], "ts", "hours"))
+        schema = weekly.weekly_sums(sheets, ["user_id"], "ts", "hours").schema.add(weekly.BATCH, "long")
+        return weekly.weekly_totals(read_optional_table(self.spark, target, schema), ["user_id"])
 
     @cached_property
     def rejects(self) -> DataFrame:

@@ -17,7 +17,9 @@ def missing_declarations(
 ) -> DataFrame:
     """Starts without a declaration of the same key in the ``hours`` before (stream or batch).
 
-    starts: key, started_at, …; declarations: key, declared_at; streams carry their watermark.
+    starts: key, started_at, …; declarations: key, declared_at; streams carry their watermark, and rows later
+    than it are lost.  For a result that doesn't depend on the order of files, ingest both streams and call this
+    on the tables.
     Besides the key the join is on the time slot of the start (a declaration serves its own slot and
     the next one), so one busy key spreads over slots and only nearby events meet.
     """
@@ -34,5 +36,7 @@ def missing_declarations(
         & (F.col("declared_at") <= F.col("started_at"))
         & (F.col("declared_at") >= F.col("started_at") - F.expr(f"INTERVAL {hours} HOURS"))
     )
+    if not starts.isStreaming:
+        return left.join(right.distinct(), near, "left_anti").select(*starts.columns)
     joined = left.join(right, near, "left_outer")
     return joined.filter(F.col("declared_at").isNull()).select(*starts.columns)

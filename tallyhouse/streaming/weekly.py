@@ -1,4 +1,9 @@
-"""Weekly hours per branch as a stream."""
+"""Weekly hours per branch as a stream.
+
+`run_weekly_hours` stores the sums of every micro-batch and `weekly_totals` adds them up: exact whatever the order of
+files and the size of batches.  `weekly_hours` is the live view of weeks that are over, which drops rows later than
+the watermark.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tallyhouse.sources.writers import overwrite_partitions
+
+BATCH = "batch"
 
 
 def weekly_hours(
@@ -23,3 +33,29 @@ def weekly_hours(
         .agg(F.sum(hours).cast("decimal(18,2)").alias("hours"), F.count(F.lit(1)).alias("sheets"))
         .select(*keys, F.to_date("window.start").alias("week"), "hours", "sheets")
     )
+
+
+def weekly_sums(rows: DataFrame, keys: Sequence[str], event_time: str, hours: str) -> DataFrame:
+    """(keys, week): hours and sheets of these rows."""
+    week = F.to_date(F.date_trunc("week", event_time)).alias("week")
+    return rows.groupBy(*keys, week).agg(F.sum(hours).cast("decimal(18,2)").alias("hours"), F.count("*").alias("sheets"))
+
+
+def run_weekly_hours(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], event_time: str, hours: str
+) -> StreamingQuery:
+    """Store the sums of each micro-batch as a partition of its own; a replayed batch replaces it."""
+
+    def store(batch: DataFrame, number: int) -> None:
+        sums = weekly_sums(batch, keys, event_time, hours).withColumn(BATCH, F.lit(number).cast("long"))
+        overwrite_partitions(sums, path, [BATCH])
+
+    query = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    return query.trigger(availableNow=True).start()
+
+
+def weekly_totals(sums: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals over all micro-batches stored so far."""
+    return sums.groupBy(*keys, "week").agg(
+        F.sum("hours").cast("decimal(18,2)").alias("hours"), F.sum("sheets").cast("long").alias("sheets")
+    )

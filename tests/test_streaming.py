@@ -106,6 +106,31 @@ def test_weekly_hours_drop_late_rows(spark, folder, tmp_path, rows):
     ]
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="sample tables not present")
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_results_do_not_depend_on_files_and_batches(spark, tmp_path, rows, files_per_batch):
+    """Newest file first, one or all of them at once: sums and alerts are those of all events in one table."""
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    folder = str(tmp_path / "events")
+    for part in (3, 2, 1, 0):
+        events.filter(F.dayofyear("ts") % 4 == part).coalesce(1).write.mode("append").parquet(folder)
+    stream = lambda: ingest.file_stream(spark, folder, events.schema, files_per_batch=files_per_batch)
+    target = str(tmp_path / "sums")
+    ingest.run_to_end(weekly.run_weekly_hours(stream(), target, str(tmp_path / "m1"), ["user_id"], "ts", "value"))
+    totals = weekly.weekly_totals(spark.read.parquet(target), ["user_id"])
+    assert rows(totals) == rows(weekly.weekly_sums(events, ["user_id"], "ts", "value"))
+    stored = str(tmp_path / "stored")
+    ingest.run_to_end(ingest.ingest_files(stream(), stored, str(tmp_path / "m2"), "ts"))
+
+    def alerted(table):
+        starts = table.filter("event_type = 'purchase'").selectExpr("user_id AS w", "ts AS started_at", "event_id")
+        declared = table.filter("event_type = 'view'").selectExpr("user_id AS w", "ts AS declared_at")
+        return rows(alerts.missing_declarations(starts, declared, "w"), "event_id")
+
+    found = alerted(spark.read.parquet(stored))
+    assert found == alerted(events) and found
+
+
 def test_repeated_deliveries(spark, folder, tmp_path, rows):
     schema = "k int, ts timestamp"
     path = folder([(1, T0), (1, T0 + timedelta(seconds=2)), (2, T0)], schema)
