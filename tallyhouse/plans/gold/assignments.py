@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import concat_skip_null, count_if, days_between, grain, money, ratio, round_to
 from tallyhouse.operators.dedup import latest_loaded
+from tallyhouse.operators.distribution import median, with_positions
 from tallyhouse.operators.joins import join_preaggregated, spine_join
 from tallyhouse.operators.windows import previous_in_chain
 
@@ -137,24 +138,34 @@ def termination_rate(end_status: DataFrame, assignments: DataFrame) -> DataFrame
 def assignment_duration(assignments: DataFrame, contracts: DataFrame) -> DataFrame:
     """(branch, client, trade, month): mean and median duration, cumulative buckets, profile."""
     dated = contracts.select(*KEY, "trade_id", "start_date", "end_date").dropna(subset=["start_date", "end_date"])
-    days = F.col("days")
-    mean = F.sum("days").cast("double") / F.count("days")
-    return (
+    keys = ["branch_id", "client_id", "trade_id", "month"]
+    days, total = F.col("days"), F.sum("n")
+    mean = F.sum(days * F.col("n")).cast("double") / total
+
+    def rows_if(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0)))
+
+    counted = (
         assignments.dropna(subset=KEY)
         .select(*KEY, "branch_id", "client_id")
         .join(dated, KEY)
         .withColumn("days", days_between("start_date", "end_date"))
         .filter(days > 0)
-        .groupBy("branch_id", "client_id", "trade_id", grain("start_date", "month").alias("month"))
+        .groupBy("branch_id", "client_id", "trade_id", grain("start_date", "month").alias("month"), "days")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return (
+        with_positions(counted, keys, "days", "n")
+        .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("assignments"),
+            total.alias("assignments"),
             round_to(mean, 1).alias("mean_days"),
             round_to(mean / 7.0, 1).alias("mean_weeks"),
-            round_to(F.percentile("days", F.lit(0.5)), 1).alias("median_days"),
-            count_if(days <= 1).alias("up_to_1_day"),
-            count_if(days <= 7).alias("up_to_1_week"),
-            count_if(days <= 30).alias("up_to_1_month"),
-            count_if(days > 30).alias("over_1_month"),
+            round_to(median("days"), 1).alias("median_days"),
+            rows_if(days <= 1).alias("up_to_1_day"),
+            rows_if(days <= 7).alias("up_to_1_week"),
+            rows_if(days <= 30).alias("up_to_1_month"),
+            rows_if(days > 30).alias("over_1_month"),
             F.when(mean <= 1, "MICRO").when(mean <= 7, "COURTE").when(mean <= 30, "MOYENNE").otherwise("LONGUE").alias(
                 "duration_profile"
             ),

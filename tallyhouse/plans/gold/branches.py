@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import count_if, credit, grain, invoiced, money, ratio, round_to
+from tallyhouse.operators.distribution import distinct_count
 from tallyhouse.operators.joins import spine_join
 from tallyhouse.operators.windows import same_period_last_year, with_previous
 from tallyhouse.plans.gold.clients import WIDE
@@ -29,12 +30,12 @@ def branch_scorecard(
     )
     rates = contracts.select("worker_id", "contract_id", "pay_rate", "bill_rate")
     started = assignments.filter(F.col("start_date").isNotNull()).withColumn("month", grain("start_date", "month"))
+    people = distinct_count(started, grain_keys, "worker_id", "active_workers")
+    served = distinct_count(started, grain_keys, "client_id", "active_clients")
     staffing = (
         spine_join(started, rates, contract_hours, on=["worker_id", "contract_id"])
         .groupBy(*grain_keys)
         .agg(
-            F.count_distinct("worker_id").alias("active_workers"),
-            F.count_distinct("client_id").alias("active_clients"),
             assignment_count().alias("assignments"),
             money(F.coalesce(F.sum(F.col("hours_paid") * F.col("pay_rate")), F.lit(0)), *WIDE).alias("cost"),
             money(F.coalesce(F.sum(F.col("hours_billed") * F.col("bill_rate")), F.lit(0)), *WIDE).alias("billed"),
@@ -45,7 +46,7 @@ def branch_scorecard(
         .groupBy("branch_id", grain("order_date", "month").alias("month"))
         .agg(F.count(F.lit(1)).alias("orders"), count_if(F.col("status").isin("P", "C")).alias("filled_orders"))
     )
-    joined = spine_join(revenue, staffing, conversion, on=grain_keys)
+    joined = spine_join(revenue, staffing, people, served, conversion, on=grain_keys)
     zero, wide_zero = F.lit(0), money(F.lit(0), *WIDE)
     margin = money(F.coalesce("billed", wide_zero) - F.coalesce("cost", wide_zero), *WIDE)
     return joined.select(

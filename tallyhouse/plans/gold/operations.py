@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import count_if, days_between, grain, money, percent_if, round_to
+from tallyhouse.functions import count_if, days_between, grain, money, round_to
+from tallyhouse.operators.distribution import median, with_positions
 from tallyhouse.operators.joins import join_preaggregated
 
 KEY = ["worker_id", "contract_id"]
@@ -127,17 +128,27 @@ def order_pipeline_detail(orders: DataFrame, assignments: DataFrame) -> DataFram
 
 def placement_delay(assignments: DataFrame) -> DataFrame:
     """(branch, week of end): mean and median hours from order to start, shares within 4 h, 24 h, over 72 h."""
-    delay = F.col("placement_delay_hours")
-    return (
+    delay, keys = F.col("placement_delay_hours"), ["branch_id", "week"]
+    counted = (
         assignments.dropna(subset=["branch_id", "end_date", "placement_delay_hours"])
-        .groupBy("branch_id", grain("end_date", "week").alias("week"))
+        .groupBy("branch_id", grain("end_date", "week").alias("week"), "placement_delay_hours")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    total = F.sum("n")
+
+    def percent(condition: Column) -> Column:
+        return round_to(F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0))).cast("double") / total * 100, 1)
+
+    return (
+        with_positions(counted, keys, "placement_delay_hours", "n")
+        .groupBy(*keys)
         .agg(
-            F.count(F.lit(1)).alias("assignments"),
-            round_to(F.sum(delay).cast("double") / F.count(delay), 2).alias("mean_delay_hours"),
-            round_to(F.percentile(delay, F.lit(0.5)), 2).alias("median_delay_hours"),
-            percent_if(delay <= 4).alias("pct_within_4h"),
-            percent_if(delay <= 24).alias("pct_within_24h"),
-            percent_if(delay > 72).alias("pct_over_72h"),
+            total.alias("assignments"),
+            round_to(F.sum(delay * F.col("n")).cast("double") / total, 2).alias("mean_delay_hours"),
+            round_to(median("placement_delay_hours"), 2).alias("median_delay_hours"),
+            percent(delay <= 4).alias("pct_within_4h"),
+            percent(delay <= 24).alias("pct_within_24h"),
+            percent(delay > 72).alias("pct_over_72h"),
         )
     )
 

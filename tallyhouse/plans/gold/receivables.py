@@ -20,6 +20,7 @@ from tallyhouse.functions import (
     round_to,
     signed,
 )
+from tallyhouse.operators.distribution import median, with_positions
 from tallyhouse.operators.joins import spine_join
 from tallyhouse.plans.gold.revenue import invoices_with_amounts, net
 
@@ -131,16 +132,27 @@ def settlement_facts(invoices: DataFrame, payments: DataFrame, as_of: date) -> D
 
 def settlement_stats(facts: DataFrame) -> DataFrame:
     """(branch, client, month): settled, late, mean and median days to pay, level."""
+    keys = ["branch_id", "client_id", "month"]
     days, late = F.col("days_to_pay"), F.col("late_days")
-    mean_days = F.sum(days).cast("double") / F.nullif(F.count(days), F.lit(0))
     late_only = F.when(late > 0, late)
-    return facts.groupBy("branch_id", "client_id", grain("invoice_date", "month").alias("month")).agg(
-        F.count(F.lit(1)).alias("invoices"),
+    counted = facts.groupBy(
+        "branch_id", "client_id", grain("invoice_date", "month").alias("month"), "days_to_pay"
+    ).agg(
+        F.count(F.lit(1)).alias("n"),
         count_if(F.col("settlement").like("REGLE%")).alias("settled"),
         count_if(F.col("settlement").isin("EN_RETARD", "REGLE_EN_RETARD")).alias("late"),
+        F.sum(late_only).alias("late_sum"),
+        F.count(late_only).alias("late_n"),
+    )
+    dated = F.sum(F.when(days.isNotNull(), F.col("n")).otherwise(F.lit(0)))
+    mean_days = F.sum(days * F.col("n")).cast("double") / F.nullif(dated, F.lit(0))
+    return with_positions(counted, keys, "days_to_pay", "n").groupBy(*keys).agg(
+        F.sum("n").alias("invoices"),
+        F.sum("settled").alias("settled"),
+        F.sum("late").alias("late"),
         round_to(mean_days, 0).alias("mean_days_to_pay"),
-        round_to(F.percentile(days, F.lit(0.5)), 0).alias("median_days_to_pay"),
-        round_to(F.sum(late_only).cast("double") / F.nullif(F.count(late_only), F.lit(0)), 0).alias("mean_late_days"),
+        round_to(median("days_to_pay"), 0).alias("median_days_to_pay"),
+        round_to(F.sum("late_sum").cast("double") / F.nullif(F.sum("late_n"), F.lit(0)), 0).alias("mean_late_days"),
         F.when(mean_days <= 30, "BON").when(mean_days <= 45, "MOYEN").otherwise("CRITIQUE").alias("payment_level"),
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import count_if, credit, grain, invoiced, money, ratio, round_to, signed
 from tallyhouse.operators.dedup import top_per_group
+from tallyhouse.operators.distribution import with_mode
 from tallyhouse.operators.joins import spine_join
 from tallyhouse.operators.windows import percent_rank_of, ranked_values, share_of
 from tallyhouse.plans.gold.reference import sector_lookup
@@ -49,16 +50,27 @@ def monthly_revenue_client(
     invoices: DataFrame, invoice_lines: DataFrame, assignments: DataFrame, clients: DataFrame
 ) -> DataFrame:
     """(client, month): invoiced, credited, net, documents, hours, mean rate, main branch."""
-    is_invoice = F.col("doc_type") == "F"
-    monthly = (
+    is_invoice, keys = F.col("doc_type") == "F", ["client_id", "month"]
+    by_branch = (
         invoices_with_amounts(invoices, invoice_lines)
-        .groupBy("client_id", grain("invoice_date", "month").alias("month"))
+        .groupBy("client_id", grain("invoice_date", "month").alias("month"), "branch_id")
         .agg(
-            money(invoiced("amount")).alias("revenue"),
-            money(credit("amount")).alias("credited"),
+            invoiced("amount").alias("revenue"),
+            credit("amount").alias("credited"),
             count_if(is_invoice).alias("invoices"),
-            money(invoiced("hours"), 12).alias("billed_hours"),
-            F.mode("branch_id", True).alias("main_branch"),
+            invoiced("hours").alias("billed_hours"),
+            F.count(F.lit(1)).alias("documents"),
+        )
+    )
+    monthly = (
+        with_mode(by_branch, keys, "branch_id", "documents", "main_branch")
+        .groupBy(*keys)
+        .agg(
+            money(F.sum("revenue")).alias("revenue"),
+            money(F.sum("credited")).alias("credited"),
+            F.sum("invoices").alias("invoices"),
+            money(F.sum("billed_hours"), 12).alias("billed_hours"),
+            F.max("main_branch").alias("main_branch"),
         )
     )
     started = (

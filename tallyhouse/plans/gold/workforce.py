@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import count_if, grain, key_hash, money, ratio, round_to
+from tallyhouse.operators.distribution import distinct_count
 from tallyhouse.operators.joins import periods_per_member, resolve_key, spine_join
 from tallyhouse.plans.silver.loyalty import ACTIVE_RECENT, INACTIVE_LABELS
 
@@ -25,15 +26,18 @@ def worker_activity(
     """
     started = assignments.filter(F.col("worker_id").isNotNull() & F.col("start_date").isNotNull())
     rates = contracts.select(*KEY, F.col("bill_rate").alias("contract_rate"))
+    started = started.withColumn("month", grain("start_date", "month"))
     joined = spine_join(started, contract_hours, rates, on=KEY)
     rate = F.coalesce("line_bill_rate", "contract_rate")
-    monthly = joined.groupBy("worker_id", grain("start_date", "month").alias("month")).agg(
+    keys = ["worker_id", "month"]
+    sums = joined.groupBy(*keys).agg(
         F.count("contract_id").alias("assignments"),
-        F.count_distinct("branch_id").alias("branches"),
-        F.count_distinct("client_id").alias("clients"),
         money(F.coalesce(F.sum("hours_paid"), F.lit(0)), 12).alias("hours"),
         money(F.coalesce(F.sum(F.col("hours_billed") * rate), F.lit(0)), 24, 6).alias("revenue"),
     )
+    branches = distinct_count(started, keys, "branch_id", "branches")
+    clients = distinct_count(started, keys, "client_id", "clients")
+    monthly = spine_join(sums, branches, clients, on=keys)
     return monthly.join(workers.select("worker_id", "worker_sk"), "worker_id", "left").withColumns(
         {
             "available_hours": F.lit(MONTHLY_HOURS),
