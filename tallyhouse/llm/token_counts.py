@@ -10,7 +10,7 @@ an empty table; other columns of the input are ignored whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,10 +21,10 @@ from tallyhouse.llm import vocabulary
 from tallyhouse.llm.texts import whole
 
 
-def lengths(texts: list[str], ranks: str | None, batch_bytes: int, piece_chars: int) -> list[int]:
+def lengths(texts: Iterable[str], ranks: str | None, batch_bytes: int, piece_chars: int) -> list[int]:
     """Tokens of each text."""
     encoder = vocabulary.encoder(ranks)
-    totals = [0] * len(texts)
+    totals: list[int] = []
     pieces: list[str] = []
     owners: list[int] = []
     size = 0
@@ -36,6 +36,7 @@ def lengths(texts: list[str], ranks: str | None, batch_bytes: int, piece_chars:
         owners.clear()
 
     for owner, text in enumerate(texts):
+        totals.append(0)
         for piece in vocabulary.safe_pieces(text, piece_chars):
             pieces.append(piece)
             owners.append(owner)
@@ -60,7 +61,7 @@ def count_tokens(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            totals = lengths(batch.column(2).to_pylist(), ranks, batch_bytes, piece_chars)
+            totals = lengths((text.as_py() for text in batch.column(2)), ranks, batch_bytes, piece_chars)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(totals, pa.int64())], names=["key", "n_bytes", "n_tokens"]
             )

@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ from tallyhouse.llm.texts import whole
 
 BITS = 18
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHED = 1 << 18  # words a task remembers at most before it starts anew
+_CACHED = 1 << 16  # words a task remembers at most before it starts anew
 
 
 def columns_of(word: str) -> tuple[int, ...]:
@@ -88,8 +87,8 @@ class Model:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = []
-        for text in batch.column(2).to_pylist():
-            terms = {column for word in words_of(text) for column in columns_of(word)}
+        for text in batch.column(2):
+            terms = {column for word in words_of(text.as_py()) for column in columns_of(word)}
             found.append(np.fromiter(sorted(terms), "<u4", len(terms)).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["key", "label", "terms"]
@@ -97,7 +96,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        sample_rows: int = 20_000, **options) -> Model:
+        sample_rows: int = 12_000, **options) -> Model:
     """A model from at most `sample_rows` labelled documents.
 
     `labels` holds the rows that may be learned from; the bound makes the broadcast and the driver's part safe.
@@ -107,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = named.orderBy(F.xxhash64("key"), "key").limit(sample_rows)
     texts = docs.select(F.col(key).cast("string").alias("key"), whole(text).alias("text"))
     rows = texts.join(F.broadcast(picked), "key").groupBy("key", "label").agg(F.min("text").alias("text"))
-    sample = rows.mapInArrow(_extract, "key string, label int, terms binary").orderBy("key").collect()
+    sample = sorted(rows.mapInArrow(_extract, "key string, label int, terms binary").collect())
     return train([np.frombuffer(r["terms"], "<u4") for r in sample], np.array([r["label"] for r in sample]), **options)
 
 
@@ -141,7 +140,7 @@ def train(
     frequent = np.zeros(size, int)
     for found in terms:
         frequent[found] += 1
-    terms = [found[frequent[found] >= least_rows].astype(int) for found in terms]
+    terms = [found[frequent[found] >= least_rows] for found in terms]
     usable = np.array([i for i in range(n) if len(terms[i])], int)
     z, squares, w = np.zeros(size), np.zeros(size), np.zeros(size)
     v, v_squares = rng.normal(0, 0.01, (size, factors)), np.ones((size, factors))
@@ -151,7 +150,7 @@ def train(
         for at in range(0, len(order), batch):
             part = order[at : at + batch]
             counts = np.array([len(terms[i]) for i in part])
-            cols = np.concatenate([terms[i] for i in part])
+            cols = np.concatenate([terms[i] for i in part]).astype(int)
             rows = np.repeat(np.arange(len(part)), counts)
             starts = np.cumsum(counts) - counts
             active = w[cols] != 0
@@ -182,10 +181,10 @@ def train(
 def toxicity(text: Column | str, model: Model) -> Column:
     """The score of a text, as a column."""
 
-    @F.pandas_udf("double")
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         score = model.scorer()
         for texts in batches:
-            yield pd.Series([score(value) for value in texts], dtype=float)
+            yield pa.array([score(value.as_py()) for value in texts], pa.float64())
 
     return scores(whole(text))
