@@ -35,18 +35,18 @@ from tallyhouse.plans.gold import (
 )
 from tallyhouse.plans.silver.loyalty import loyalty
 from tallyhouse.plans.staffing import AS_OF, StaffingViews
-from tallyhouse.sources.scratch import stored
 
 
 class Marts(StaffingViews):
     """Every mart as a lazy DataFrame; a mart read by another one is planned once."""
 
     def stored(self, name: str) -> DataFrame:
-        """A mart as a stored table, for reports that read it more than once."""
-        known = self.__dict__.setdefault("_stored", {})
-        if name not in known:
-            known[name] = stored(getattr(self, name), name)
-        return known[name]
+        """A mart as a stored table of this load."""
+        return self.shared(f"mart-{name}", lambda: getattr(self, name))
+
+    @cached_property
+    def contract_hours(self) -> DataFrame:
+        return self.stored("hours_per_contract")
 
     @cached_property
     def hours_per_contract(self) -> DataFrame:

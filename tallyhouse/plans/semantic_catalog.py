@@ -36,11 +36,11 @@ SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
     ),
     "delta_top20": lambda m: sem.delta_top20(closed(m.stored("branch_trends")), m.branches),
     "trend_distribution": lambda m: sem.trend_distribution(closed(m.stored("branch_trends"))),
-    "duration_heatmap": lambda m: sem.duration_heatmap(m.assignment_duration, m.branches, m.trades, AS_OF),
+    "duration_heatmap": lambda m: sem.duration_heatmap(m.stored("assignment_duration"), m.branches, m.trades, AS_OF),
     "termination_levels": lambda m: sem.termination_levels(closed(m.stored("termination_rate")), m.branches),
     "duration_mix": lambda m: sem.duration_mix(closed(m.stored("assignment_duration"))),
-    "termination_vs_renewal": lambda m: sem.termination_vs_renewal(m.termination_rate, m.renewal_rate, AS_OF),
-    "coefficient_scatter": lambda m: sem.coefficient_scatter(m.billing_coefficient, m.trades, AS_OF),
+    "termination_vs_renewal": lambda m: sem.termination_vs_renewal(m.stored("termination_rate"), m.stored("renewal_rate"), AS_OF),
+    "coefficient_scatter": lambda m: sem.coefficient_scatter(m.stored("billing_coefficient"), m.trades, AS_OF),
     "coefficient_detail": lambda m: sem.coefficient_detail(
         closed(m.stored("billing_coefficient")), m.branches, m.trades
     ),
@@ -50,20 +50,20 @@ SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
     "top_overdue_clients": lambda m: _receivables(m, "overdue", 15),
     "receivables_matrix": lambda m: _receivables(m, "outstanding"),
     "dso_top10_trend": lambda m: sem.dso_top10_trend(closed(m.stored("dso_client")), m.branches, AS_OF),
-    "renewal_top_clients": lambda m: sem.renewal_top_clients(m.renewal_rate, m.clients, AS_OF),
-    "pool_by_month": lambda m: sem.pool_by_month(m.pool_dynamics, AS_OF),
+    "renewal_top_clients": lambda m: sem.renewal_top_clients(m.stored("renewal_rate"), m.clients, AS_OF),
+    "pool_by_month": lambda m: sem.pool_by_month(m.stored("pool_dynamics"), AS_OF),
     "pool_growth_latest": lambda m: sem.pool_growth_latest(closed(m.stored("pool_dynamics"))),
     "sector_treemap": lambda m: sem.sector_treemap(closed(m.stored("sector_revenue"))),
-    "sector_heatmap": lambda m: sem.sector_heatmap(m.sector_revenue, m.branches, AS_OF),
+    "sector_heatmap": lambda m: sem.sector_heatmap(m.stored("sector_revenue"), m.branches, AS_OF),
     "sector_top8_trend": lambda m: sem.sector_top8_trend(m.stored("sector_revenue"), AS_OF),
-    "client_risk": lambda m: sem.client_risk(m.client_360),
-    "client_kpis": lambda m: sem.client_kpis(m.client_360),
-    "top_clients": lambda m: sem.top_clients(m.client_360),
-    "churn_split": lambda m: sem.churn_split(m.client_360),
-    "skills_view": lambda m: sem.skills_view(m.skill_availability, m.trades, m.branches),
-    "worker_activity_view": lambda m: sem.worker_activity_view(m.workers, m.worker_activity, m.branches),
+    "client_risk": lambda m: sem.client_risk(m.stored("client_360")),
+    "client_kpis": lambda m: sem.client_kpis(m.stored("client_360")),
+    "top_clients": lambda m: sem.top_clients(m.stored("client_360")),
+    "churn_split": lambda m: sem.churn_split(m.stored("client_360")),
+    "skills_view": lambda m: sem.skills_view(m.stored("skill_availability"), m.trades, m.branches),
+    "worker_activity_view": lambda m: sem.worker_activity_view(m.workers, m.stored("worker_activity"), m.branches),
     "worker_activity_anonymous": lambda m: sem.anonymous(
-        sem.worker_activity_view(m.workers, m.worker_activity, m.branches)
+        sem.worker_activity_view(m.workers, m.stored("worker_activity"), m.branches)
     ),
     "threshold_alerts": lambda m: sem.threshold_alerts(
         closed(m.stored("dso_client")),
@@ -71,8 +71,8 @@ SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
         closed(m.stored("termination_rate")),
         closed(m.stored("billing_coefficient")),
     ),
-    "load_weekly_revenue": lambda m: sem.load_weekly_revenue(m.weekly_revenue_branch, AS_OF),
-    "load_scorecard": lambda m: sem.load_scorecard(m.branch_ranking, AS_OF),
-    "load_client_360": lambda m: sem.load_client_360(m.client_360),
+    "load_weekly_revenue": lambda m: sem.load_weekly_revenue(m.stored("weekly_revenue_branch"), AS_OF),
+    "load_scorecard": lambda m: sem.load_scorecard(m.stored("branch_ranking"), AS_OF),
+    "load_client_360": lambda m: sem.load_client_360(m.stored("client_360")),
     "status_by_month": lambda m: status_by_month(m.end_status, m.assignments, STATUS_SINCE),
 }

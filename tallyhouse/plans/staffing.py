@@ -7,6 +7,7 @@ One object wires the views of one data folder; every view is a lazy DataFrame.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from functools import cached_property
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import key_hash, round_to
 from tallyhouse.operators.dedup import latest_by, top_per_group
+from tallyhouse.sources.scratch import shared
 
 # Reference day of the recency marts on these tables.
 AS_OF = date(2001, 8, 1)
@@ -63,12 +65,15 @@ class StaffingViews:
         """A sample table."""
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return shared(self.spark, self.folder, name, build)
+
     # -- line versions -----------------------------------------------------
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Newest version of every (order, line number)."""
-        return self._newest(["l_orderkey", "l_linenumber"], newest_line())
+        """Newest version of every (order, line number), stored once per load."""
+        return self.shared("lines", lambda: self._newest(["l_orderkey", "l_linenumber"], newest_line()))
 
     @cached_property
     def assigned_lines(self) -> DataFrame:
@@ -76,8 +81,7 @@ class StaffingViews:
         return self._newest(["l_orderkey", "l_suppkey"], newest_line("l_linenumber"))
 
     def _newest(self, keys: list[str], order: list[Column]) -> DataFrame:
-        """Rows without a complete key are dropped here, so that every reader of the versions filters
-        the scan alike and shares its shuffle."""
+        """Rows without a complete key are dropped."""
         present = [F.col(k).isNotNull() for k in keys]
         return latest_by(self.table("lineitem").filter(present[0] & present[1]), keys, order)
 
@@ -146,7 +150,10 @@ class StaffingViews:
         heads = self.order_heads.select(
             F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "c_nationkey", "o_orderdate"
         )
-        return self.assigned_lines.join(heads, "l_orderkey").withColumn("l_shipdate", F.to_date("l_shipdate"))
+        return self.shared(
+            "assigned",
+            lambda: self.assigned_lines.join(heads, "l_orderkey").withColumn("l_shipdate", F.to_date("l_shipdate")),
+        )
 
     @cached_property
     def assignments(self) -> DataFrame:
@@ -213,17 +220,6 @@ class StaffingViews:
             F.when(F.col("l_linestatus") == "F", rate).alias("bill_rate"),
         )
 
-    @cached_property
-    def contract_hours(self) -> DataFrame:
-        """Hours per contract in one pass: here a sheet has exactly one line."""
-        rate = round_to(F.col("l_extendedprice") / F.col("l_quantity"), 4).cast("decimal(10,4)")
-        hours = F.sum(F.col("l_quantity").cast("decimal(10,2)")).cast("decimal(12,2)")
-        return self.lines.groupBy(F.col("l_suppkey").alias("worker_id"), F.col("l_orderkey").alias("contract_id")).agg(
-            hours.alias("hours_paid"),
-            hours.alias("hours_billed"),
-            F.max(F.when(F.col("l_linestatus") == "F", rate)).alias("line_bill_rate"),
-        )
-
     @cached_property
     def placement_orders(self) -> DataFrame:
         status = F.when(F.col("o_orderstatus") == "F", "P").when(F.col("o_orderstatus") == "O", "O").otherwise("A")

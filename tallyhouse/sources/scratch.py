@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
 
@@ -47,3 +49,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Tables written once per application and load, and where they are.
+_shared: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
+def shared(spark: SparkSession, load: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several results of one load read: written by the first of them, read by all.
+
+    ``load`` names the input, which must not change while the application runs.
+    """
+    key = (spark.sparkContext.applicationId, load, name)
+    if key not in _shared:
+        df, path = build(), fresh_path(spark, name)
+        df.write.option("compression", "zstd").parquet(path)
+        _shared[key] = (path, df.schema)
+    path, schema = _shared[key]
+    return spark.read.schema(schema).parquet(path)

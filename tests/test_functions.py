@@ -58,6 +58,9 @@ def test_hashes(spark):
     assert one(spark, key_hash(F.lit("a"), F.lit(None).cast("string"), F.lit("b"))) == hashlib.md5(b"a|b").hexdigest()
     null, blank = F.lit(None).cast("string"), F.lit("")
     assert one(spark, change_hash([null])) != one(spark, change_hash([blank]))
+    pairs = [("a|b", "c"), ("a", "b|c"), ("1:a", "-"), ("", "1:a-"), (None, "a"), ("-", "a")]
+    hashes = [one(spark, change_hash([F.lit(a).cast("string"), F.lit(b).cast("string")])) for a, b in pairs]
+    assert len(set(hashes)) == len(pairs)
     assert one(spark, concat_skip_null(F.lit("a"), null, F.lit("b"))) == "ab"
 
 

@@ -58,6 +58,23 @@ def test_delta_child_and_full_loads(spark, frame, source, tmp_path, rows):
     assert again["wttdip"]["last_success"] == datetime(2026, 3, 6, 5)
 
 
+def test_future_dates_do_not_move_the_mark_beyond_the_load(spark, frame, tmp_path, rows):
+    """A contract that ends next year must not hide one that is entered tomorrow and ends this year."""
+    columns = [f.name for f in raw_schema("pycontrat").fields if not f.name.startswith("_")]
+
+    def source(*contracts):
+        df = frame([(1, n, end) for n, end in contracts], "PER_ID long, CNT_ID long, CNT_DATEFIN date")
+        return lambda _: df.selectExpr("*", *[f"cast(null as string) as `{c}`" for c in columns if c not in df.columns])
+
+    tables = [t for t in RAW_TABLES if t.name == "pycontrat"]
+    first = [(1, date(2027, 12, 31))]
+    state = ingest(spark.createDataFrame([], STATE), source(*first), "p", str(tmp_path), date(2026, 3, 5), "b1", datetime(2026, 3, 5, 5), tables)
+    state = frame([tuple(r) for r in state.collect()], STATE)
+    ingest(state, source(*first, (2, date(2026, 6, 30))), "p", str(tmp_path), date(2026, 3, 6), "b2", datetime(2026, 3, 6, 5), tables)
+    found = read_raw(spark, str(tmp_path), "pycontrat", raw_schema("pycontrat")).select("CNT_ID").distinct()
+    assert rows(found) == [(1,), (2,)]
+
+
 def test_a_failing_table_does_not_stop_the_others(spark, source, tmp_path):
     def broken(name):
         if name == "wtprh":

@@ -232,7 +232,7 @@ def test_watermark_success_and_failure(frame):
     )
     got = {r["table_name"]: r for r in delta.apply_watermark_updates(state, updates).collect()}
     assert (got["a"]["last_success"], got["a"]["run_count"], got["a"]["rows_ingested"]) == (LATER, 4, 107)
-    assert (got["b"]["last_success"], got["b"]["last_status"], len(got["b"]["last_error"])) == (NOW, "failed", 1000)
+    assert (got["b"]["last_success"], got["b"]["last_status"], len(got["b"]["last_error"])) == (NOW, "failed", 2000)
     assert got["b"]["run_count"] == 1
     assert got["c"]["last_success"] == delta.EPOCH
     usable = {r["table_name"]: r["last_success"] for r in delta.usable_watermark(delta.apply_watermark_updates(state, updates)).collect()}
@@ -322,6 +322,7 @@ def test_privacy(frame, rows):
     assert left["a"].count() == 1 and left["b"].count() == 2
     grants = frame([("ann", 1)], "username string, id int")
     assert rows(privacy.secure_view(df, grants, "ann", "id", {"viewer": ["nir"]}, "viewer")) == [(1, "x")]
+    assert privacy.secure_view(df, grants, "ann", "id", {"viewer": ["nir"]}, "intern").columns == ["id"]
 
 
 def test_pii_profile(frame, rows):
