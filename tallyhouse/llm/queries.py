@@ -104,6 +104,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_embedding_near_duplicates": """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, list_cosine_similarity(a.v, b.v) AS c
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95 AND isfinite(list_cosine_similarity(a.v, b.v))),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+FROM vectors v JOIN least l ON l.a = v.vec_id LEFT JOIN counted c ON c.a = v.vec_id
+""",
     "op4_mix_sources": r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
