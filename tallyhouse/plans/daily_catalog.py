@@ -81,6 +81,12 @@ class Daily(Silver):
         self.deliver(day2, wtmiss=self.wtmiss.filter(own), wtcnti=self.wtcnti.filter(amended), wtcmd=self.wtcmd)
         return self.load(day2, names)
 
+    def daily_assignments(self, table: str) -> DataFrame:
+        """A table of `assignment_days`; the days are run once for both."""
+        for name in ("assignments", "assignment_ends"):
+            self.shared(f"daily-{name}", lambda name=name: _plain(self.assignment_days.silver(name)))
+        return self.shared(f"daily-{table}", lambda: _plain(self.assignment_days.silver(table)))
+
     @cached_property
     def client_days(self) -> Load:
         """Day 2 lacks the attributes of the clients; on day 3 every third client has moved."""
@@ -135,8 +141,8 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 DAILY: dict[str, Callable[[Daily], DataFrame]] = {
-    "daily_assignments": lambda d: _plain(d.assignment_days.silver("assignments")),
-    "daily_assignment_ends": lambda d: _plain(d.assignment_days.silver("assignment_ends")),
+    "daily_assignments": lambda d: d.daily_assignments("assignments"),
+    "daily_assignment_ends": lambda d: d.daily_assignments("assignment_ends"),
     "daily_clients": lambda d: d.client_days.silver("client_versions").select(
         "client_id", "city", "is_current", F.to_date("valid_from").alias("valid_from")
     ),

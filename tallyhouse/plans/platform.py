@@ -28,6 +28,7 @@ from tallyhouse.plans.gold import workforce as wrk
 from tallyhouse.plans.silver import billing, branches, clients, loyalty, missions, skills, workers
 from tallyhouse.sources.readers import InputMissing, is_missing, read_raw, read_required, read_snapshot
 from tallyhouse.sources.schemas import raw_schema
+from tallyhouse.sources.scratch import stored
 from tallyhouse.sources.writers import overwrite_table
 
 CALENDAR = (date(2020, 1, 1), date(2035, 12, 31))
@@ -47,6 +48,8 @@ class Load:
     day: date | None = None
     #: Tables that were left as they were, and why.
     skipped: dict[str, str] = field(default_factory=dict)
+    #: What several tables of this load read, written once.
+    stored_once: dict[str, DataFrame] = field(default_factory=dict)
 
     def required(self, table: str) -> DataFrame:
         """An input without which a table can't be built; raises `InputMissing`."""
@@ -119,12 +122,18 @@ def _skills(load: Load) -> DataFrame:
 
 
 def _contract_spans(load: Load) -> DataFrame:
-    fresh, stored = missions.contract_spans(load.required("wtcnti")), load.stored_silver("contract_spans")
-    return fresh if stored is None else missions.merged_spans(stored.unionByName(fresh))
+    fresh, known = missions.contract_spans(load.required("wtcnti")), load.stored_silver("contract_spans")
+    return fresh if known is None else missions.merged_spans(known.unionByName(fresh))
 
 
 def _touched_assignments(load: Load) -> DataFrame:
     """Keys of assignments whose own row, contract amendments or order came with this load."""
+    if "touched" not in load.stored_once:
+        load.stored_once["touched"] = stored(_find_touched(load), "touched")
+    return load.stored_once["touched"]
+
+
+def _find_touched(load: Load) -> DataFrame:
     heads = load.silver("assignment_heads")
     ordered = heads.join(missions.order_times(load.raw("wtcmd")).select("order_id"), "order_id", "left_semi")
     frames = (missions.assignment_heads(load.raw("wtmiss")), missions.contract_spans(load.raw("wtcnti")), ordered)
@@ -202,17 +211,17 @@ def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
         except InputMissing as error:
             load.skipped[name] = str(error)
             continue
-        stored = load.stored_silver(name)
-        if stored is not None and fresh.isEmpty():
+        known = load.stored_silver(name)
+        if known is not None and fresh.isEmpty():
             load.skipped[name] = "the load brought no rows"
             continue
-        if stored is None or not table.keys:
+        if known is None or not table.keys:
             merged = fresh
         elif table.touched is not None:
-            merged = stored.join(table.touched(load), list(table.keys), "left_anti").unionByName(fresh)
+            merged = known.join(table.touched(load), list(table.keys), "left_anti").unionByName(fresh)
         else:
-            merged = merge_latest(stored, fresh, table.keys)
-        overwrite_table(merged, f"{load.silver_root}/{name}", reads_target=stored is not None)
+            merged = merge_latest(known, fresh, table.keys)
+        overwrite_table(merged, f"{load.silver_root}/{name}", reads_target=known is not None)
         written.append(name)
     return written
 
