@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import embedding_dups, html_text, licenses, mixing, packing, quality, secrets, simhash, toxicity
+from tallyhouse.llm import embedding_dups, html_text, id_files, licenses, mixing, packing, quality, secrets, simhash, toxicity
 from tallyhouse.llm.texts import word_count
 from tallyhouse.llm.token_counts import count_tokens
 from tallyhouse.sources.scratch import stored
@@ -90,6 +90,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return id_files.round_trip(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_embedding_near_duplicates": op2_embedding_near_duplicates,
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
+    "op13_token_id_files": op13_token_id_files,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -7,7 +7,7 @@ from tallyhouse.llm.queries import QUERIES, table
 
 PER_ROW = {"op1_token_counts": "documents", "op2_embedding_near_duplicates": "embeddings", "op3_quality_rules": "documents",
            "op4_mix_sources": "documents", "op5_html_main_text": "pages", "op8_simhash_near_duplicates": "documents",
-           "op9_toxicity": "documents"}
+           "op9_toxicity": "documents", "op13_token_id_files": "documents"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
