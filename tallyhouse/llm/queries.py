@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import embedding_dups, html_text, id_files, licenses, mixing, packing, quality, secrets, simhash, toxicity
+from tallyhouse.llm import (
+    embedding_dups,
+    hard_negatives,
+    html_text,
+    id_files,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    toxicity,
+)
 from tallyhouse.llm.texts import word_count
 from tallyhouse.llm.token_counts import count_tokens
 from tallyhouse.sources.scratch import stored
@@ -90,6 +102,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (own + 1) % 10).otherwise(own)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), is_anchor=F.col("id") % 50 == 0, label=label)
+
+
 def op13_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.round_trip(table(spark, sf_dir, "documents"))
 
@@ -105,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_token_id_files": op13_token_id_files,
 }
 
@@ -151,5 +170,26 @@ drawn AS (
 SELECT doc_id, source, size, source_size, target,
        (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM drawn
+""",
+    "op12_hard_negatives": """
+WITH taken AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         coalesce(list_inner_product(a.v, b.v), 0)::BIGINT AS score
+  FROM taken a JOIN taken b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id, s.other_id AS negative_id, p.positive_score, s.score AS negative_score,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INT AS rank
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
 """,
 }
