@@ -174,10 +174,10 @@ FROM drawn
     "op12_hard_negatives": """
 WITH taken AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
          coalesce(list_inner_product(a.v, b.v), 0)::BIGINT AS score
