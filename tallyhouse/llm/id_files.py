@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tallyhouse.llm.texts import whole
 from tallyhouse.sources.scratch import fresh_path, stored
@@ -296,7 +297,7 @@ def write(
             T.StructField("docs", T.ArrayType(doc)),
         ]
     )
-    keys = pa.struct([("key", _arrow(doc["key"].dataType)), ("begin", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("cut", pa.bool_())])
+    keys = pa.struct([("key", to_arrow_type(doc["key"].dataType)), ("begin", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("cut", pa.bool_())])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, sizes = book.codes()
@@ -337,12 +338,6 @@ def write(
     spark.createDataFrame(parts, "part long, n_ids long, before long").coalesce(1).write.parquet(f"{path}/parts")
 
 
-def _arrow(kind: T.DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(kind)
-
-
 def read(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = False, every: int = 64, longest: int = 18) -> DataFrame:
     """Per document of a file set: key, `start`, `n_tokens`, `ids_crc32`, on request its `ids` (array)."""
     listed = spark.read.schema("id int, length int").parquet(f"{path}/codebook").collect()  # one row per id of the vocabulary

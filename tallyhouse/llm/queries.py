@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import (
+    conversation_repair,
     embedding_dups,
     hard_negatives,
     html_text,
@@ -102,6 +103,25 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with planted faults; `times` is how often a row stands there, 0 where it was dropped."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    fault = F.crc32(name.cast("binary")) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("times"),
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(damaged(table(spark, sf_dir, "conversations")), times=F.col("times"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.col("label").cast("long")
     label = F.when(F.col("vec_id") % 7 == 0, (own + 1) % 10).otherwise(own)
@@ -123,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_toxicity": op9_toxicity,
     "op10_license_scan": op10_license_scan,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_token_id_files": op13_token_id_files,
 }
@@ -170,6 +191,77 @@ drawn AS (
 SELECT doc_id, source, size, source_size, target,
        (size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM drawn
+""",
+    "op11_conversation_repair": r"""
+WITH RECURSIVE given AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+checked AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_concat([4294967295::UBIGINT], list_transform(range(1, len(name) + 1), lambda i: ascii(name[i])::UBIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], list_transform(range(8), lambda i: 0::UBIGINT)),
+      lambda bits, i: CASE WHEN bits % 2 = 1 THEN xor(bits // 2, 3988292384::UBIGINT) ELSE bits // 2 END))) % 20 AS fault
+  FROM given),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM checked),
+named AS (SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+placed AS (
+  SELECT conv, turn, role, text, substr(role, 1, 1) AS initial, rtrim(text, E' 	
+') AS bare,
+         row_number() OVER in_order AS place, lag(substr(role, 1, 1)) OVER in_order || substr(role, 1, 1) AS pair,
+         row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) AS said
+  FROM damaged JOIN named ON damaged.conv_id IS NOT DISTINCT FROM named.conv_id
+  WINDOW in_order AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy)),
+judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN said > 1 THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+counted AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv),
+cheapest AS (  -- cost, edits and repaired rows of all from `place` on, by state: nothing, after s, after u, after a
+  SELECT conv, n + 1 AS place,
+         {'c': 0::BIGINT, 's': '', 'r': []::VARCHAR[]} AS f0, {'c': 6::BIGINT, 's': 'II', 'r': ['user:', 'assistant:']} AS f1,
+         {'c': 3::BIGINT, 's': 'I', 'r': ['assistant:']} AS f2, {'c': 0::BIGINT, 's': '', 'r': []::VARCHAR[]} AS f3
+  FROM counted
+  UNION ALL
+  SELECT conv, place,
+         least(p0, {'c': 3 + g2.c, 's': 'I' || g2.s, 'r': list_concat(['user:'], g2.r)}),
+         least(p1, {'c': 3 + g2.c, 's': 'I' || g2.s, 'r': list_concat(['user:'], g2.r)}), g2,
+         least(p3, {'c': 3 + p2.c, 's': 'I' || p2.s, 'r': list_concat(['user:'], p2.r)})
+  FROM (
+    SELECT *, least(p2, {'c': 3 + p3.c, 's': 'I' || p3.s, 'r': list_concat(['assistant:'], p3.r)}) AS g2
+    FROM (
+      SELECT j.conv, j.place,
+        CASE WHEN j.fault IN ('blank', 'duplicate') THEN d0
+             ELSE least(d0, to_user, CASE initial WHEN 'u' THEN keep_u WHEN 's' THEN keep_s ELSE d0 END) END AS p0,
+        CASE WHEN j.fault IN ('blank', 'duplicate') THEN d1
+             ELSE least(d1, to_user, CASE initial WHEN 'u' THEN keep_u ELSE d1 END) END AS p1,
+        CASE WHEN j.fault IN ('blank', 'duplicate') THEN d2
+             ELSE least(d2, to_assistant, CASE initial WHEN 'a' THEN keep_a ELSE d2 END) END AS p2,
+        CASE WHEN j.fault IN ('blank', 'duplicate') THEN d3
+             ELSE least(d3, to_user, CASE initial WHEN 'u' THEN keep_u ELSE d3 END) END AS p3
+      FROM (
+        SELECT c.f0, j.*,
+          {'c': 4 + f0.c, 's': 'D' || f0.s, 'r': f0.r} AS d0, {'c': 4 + f1.c, 's': 'D' || f1.s, 'r': f1.r} AS d1,
+          {'c': 4 + f2.c, 's': 'D' || f2.s, 'r': f2.r} AS d2, {'c': 4 + f3.c, 's': 'D' || f3.s, 'r': f3.r} AS d3,
+          {'c': more + 3 + f2.c, 's': 'R' || f2.s, 'r': list_concat(['user:' || text], f2.r)} AS to_user,
+          {'c': more + 3 + f3.c, 's': 'R' || f3.s, 'r': list_concat(['assistant:' || text], f3.r)} AS to_assistant,
+          {'c': more + f1.c, 's': 'K' || f1.s, 'r': list_concat([role || ':' || text], f1.r)} AS keep_s,
+          {'c': more + f2.c, 's': 'K' || f2.s, 'r': list_concat([role || ':' || text], f2.r)} AS keep_u,
+          {'c': more + f3.c, 's': 'K' || f3.s, 'r': list_concat([role || ':' || text], f3.r)} AS keep_a
+        FROM cheapest c
+        JOIN (SELECT *, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more FROM judged) j
+          ON j.conv = c.conv AND j.place = c.place - 1) j)))
+SELECT n.conv_id, coalesce(k.gaps, 0)::BIGINT AS gaps, coalesce(k.blank, 0)::BIGINT AS blank,
+       coalesce(k.duplicate, 0)::BIGINT AS duplicate, coalesce(k.truncated, 0)::BIGINT AS truncated,
+       coalesce(k.illegal, 0)::BIGINT AS illegal, coalesce(c.f0.c, 0)::BIGINT AS cost, coalesce(c.f0.s, '') AS audit,
+       sha256(coalesce(array_to_string(c.f0.r, chr(10)), '')) AS repaired_sha256
+FROM named n LEFT JOIN counted k ON k.conv = n.conv LEFT JOIN cheapest c ON c.conv = n.conv AND c.place = 1
 """,
     "op12_hard_negatives": """
 WITH taken AS (
