@@ -5,7 +5,10 @@ from oracle import silver
 DAY = "DATE '2002-01-0{}'"
 
 QUERIES = {
-    "daily_assignments": silver.QUERIES["silver_assignments"],
+    # Orders that are gone on the second day are unknown to their assignments.
+    "daily_assignments": silver.QUERIES["silver_assignments"].replace(
+        "LEFT JOIN orders o", "LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 40 <> 7) o"
+    ),
     "daily_assignment_ends": silver.QUERIES["silver_assignment_ends"],
     "daily_clients": f"""
 SELECT client_id, city, client_id % 3 <> 0 AS is_current, {DAY.format(1)} AS valid_from FROM s_clients
@@ -14,4 +17,12 @@ UNION ALL SELECT client_id, 'Elsewhere', TRUE, {DAY.format(3)} FROM s_clients WH
     "ingest_marks": """
 SELECT o_custkey AS worker_id, o_orderkey AS contract_id, o_orderdate::DATE AS start_date,
   CASE WHEN o_orderkey % 50 = 1 THEN DATE '2050-12-31' ELSE (o_orderdate::DATE + 30)::DATE END AS end_date FROM orders""",
+    "merge_touched_partitions": """
+SELECT order_id, client_id, order_date, status, STRFTIME(order_date, 'm%Y-%m') AS part FROM (
+  SELECT o_orderkey AS order_id, o_custkey AS client_id,
+    (o_orderdate::DATE + CASE WHEN o_orderkey % 50 = 1 THEN 40 ELSE 0 END)::DATE AS order_date,
+    CASE WHEN o_orderkey % 50 = 1 THEN 'M' ELSE o_orderstatus END AS status FROM orders WHERE o_orderkey % 100 <> 7)""",
+    "raw_rejects": """
+SELECT 'delivered' AS outcome, COUNT(*) AS count FROM lineitem
+UNION ALL SELECT CASE WHEN l_linenumber = 3 THEN 'rejected' ELSE 'good' END, COUNT(*) FROM lineitem GROUP BY 1""",
 }

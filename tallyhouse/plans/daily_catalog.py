@@ -15,6 +15,7 @@ from tallyhouse.plans.platform import Load, load_silver
 from tallyhouse.plans.silver import missions
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
 from tallyhouse.plans.staffing import AS_OF
+from tallyhouse.sources.partitioned import by_month, merge_partitions, read_partitioned
 from tallyhouse.sources.readers import read_raw, read_tolerant
 from tallyhouse.sources.schemas import raw_schema
 from tallyhouse.sources.scratch import fresh_path
@@ -62,23 +63,26 @@ class Daily(Silver):
     def assignment_days(self) -> Load:
         """Each line's assignment, contract and order come on days of their own.
 
-        So day 2 brings amendments without their assignment, assignments without their contract, and new orders.
+        Day 2 brings amendments without their assignment, assignments without their contract, and all orders: most as they
+        were, some new, some with another time, and some are gone.
         """
         names = ["assignment_heads", "assignment_end_heads", "contract_spans", "order_times", "assignments", "assignment_ends"]
         own = part("PER_ID", "CNT_ID", "TIE_ID", "TIES_SERV", of=3) == 0
         amended = part("CNT_ID", "PER_ID", "CNTI_ORDRE", of=3) == 0
         known = part("CMD_ID", of=2) == 0
+        moved = F.when(F.col("CMD_ID") % 20 == 3, F.lit("1991-01-01")).otherwise(F.col("CMD_DTE"))
         day1, day2 = DAYS[:2]
         self.deliver(
             day1,
             wtmiss=self.wtmiss.filter(~own),
             wtcnti=self.wtcnti.filter(~amended),
-            wtcmd=self.wtcmd.filter(known),
+            wtcmd=self.wtcmd.filter(known).withColumn("CMD_DTE", moved),
             wtfinmiss=self.wtfinmiss,
             pymtfcnt=self.pymtfcnt,
         )
         self.load(day1, names)
-        self.deliver(day2, wtmiss=self.wtmiss.filter(own), wtcnti=self.wtcnti.filter(amended), wtcmd=self.wtcmd)
+        left = self.wtcmd.filter(F.col("CMD_ID") % 40 != 7)
+        self.deliver(day2, wtmiss=self.wtmiss.filter(own), wtcnti=self.wtcnti.filter(amended), wtcmd=left)
         return self.load(day2, names)
 
     def daily_assignments(self, table: str) -> DataFrame:
@@ -109,6 +113,34 @@ class Daily(Silver):
         self.load(day2, ["portfolio"])
         return self.load(day3, ["portfolio"])
 
+    @cached_property
+    def placement_days(self) -> DataFrame:
+        """Orders in a table cut by month, over three loads.
+
+        Day 2 brings new orders, orders that moved to another month and stale copies; day 3 takes orders away and repeats
+        a part of day 2.
+        """
+        orders = self.table("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("client_id"),
+            F.to_date("o_orderdate").alias("order_date"),
+            F.col("o_orderstatus").alias("status"),
+        )
+
+        def of(day: int, rows: DataFrame) -> DataFrame:
+            return rows.withColumn("_loaded_at", F.lit(datetime(2002, 1, day)))
+
+        key, path = F.col("order_id"), f"{self.root}/placements"
+        late, moved, stale = key % 10 == 3, key % 50 == 1, key % 50 == 2
+        layout = by_month("order_date")
+        merge_partitions(of(1, orders.filter(~late)), path, ["order_id"], layout)
+        again = orders.filter(moved).withColumns({"order_date": F.date_add("order_date", 40), "status": F.lit("M")})
+        old = orders.filter(stale).withColumn("status", F.lit("S"))
+        second = of(2, orders.filter(late).union(again)).union(of(1, old).withColumn("_loaded_at", F.lit(datetime(2001, 1, 1))))
+        merge_partitions(second, path, ["order_id"], layout)
+        merge_partitions(of(2, again), path, ["order_id"], layout, gone=orders.filter(key % 100 == 7))
+        return read_partitioned(self.spark, path)
+
     @cached_property
     def ingested_contracts(self) -> DataFrame:
         """Payroll contracts over two ingestions; some of the first end decades later."""
@@ -148,5 +180,6 @@ DAILY: dict[str, Callable[[Daily], DataFrame]] = {
     ),
     "daily_portfolio": lambda d: _plain(d.portfolio_days.silver("portfolio")),
     "ingest_marks": lambda d: d.ingested_contracts.select("worker_id", "contract_id", "start_date", "end_date"),
+    "merge_touched_partitions": lambda d: d.placement_days.drop("_loaded_at"),
     "raw_rejects": lambda d: d.counted_lines,
 }

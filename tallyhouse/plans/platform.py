@@ -9,13 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.dedup import current_versions, merge_latest
+from tallyhouse.operators.dedup import current_versions
 from tallyhouse.plans.gold import assignments as asg
 from tallyhouse.plans.gold import branches as brn
 from tallyhouse.plans.gold import clients as cli
@@ -26,7 +25,8 @@ from tallyhouse.plans.gold import reference as ref
 from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.gold import workforce as wrk
 from tallyhouse.plans.silver import billing, branches, clients, loyalty, missions, skills, workers
-from tallyhouse.sources.readers import InputMissing, is_missing, read_raw, read_required, read_snapshot
+from tallyhouse.sources.partitioned import PART, Layout, Merged, by_key, by_month, merge_partitions
+from tallyhouse.sources.readers import InputMissing, read_or_none, read_raw, read_required, read_snapshot
 from tallyhouse.sources.schemas import raw_schema
 from tallyhouse.sources.scratch import stored
 from tallyhouse.sources.writers import overwrite_table
@@ -50,6 +50,8 @@ class Load:
     skipped: dict[str, str] = field(default_factory=dict)
     #: What several tables of this load read, written once.
     stored_once: dict[str, DataFrame] = field(default_factory=dict)
+    #: Which partitions of which tables were rewritten.
+    merges: dict[str, Merged] = field(default_factory=dict)
 
     def required(self, table: str) -> DataFrame:
         """An input without which a table can't be built; raises `InputMissing`."""
@@ -70,28 +72,35 @@ class Load:
         return None if found.isEmpty() else found
 
     def stored_silver(self, table: str) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.silver_root}/{table}")
-        except AnalysisException as error:
-            if not is_missing(error):
-                raise
-            return None
+        return read_or_none(lambda: self.silver(table))
 
     def silver(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.silver_root}/{table}")
+        return self.spark.read.parquet(f"{self.silver_root}/{table}").drop(PART)
 
 
 @dataclass(frozen=True)
 class SilverTable:
-    """``keys``: merge the load into the stored table by key; without keys the result replaces it.
+    """``keys`` and ``layout``: merge the load into the touched partitions of the stored table; without keys the result
+    replaces it.
 
-    With ``touched`` (the keys that a load may have changed) the stored rows of these keys are replaced: for tables
-    that are derived from others, whose newest load time says nothing.
+    ``resolve`` makes one row of a key from its stored and fresh rows (by default the newest load wins).  With ``touched``
+    (the keys that a load may have changed) the stored rows of these keys are replaced: for tables that are derived from
+    others, whose newest load time says nothing.
     """
 
     build: Callable[[Load], DataFrame]
     keys: Sequence[str] = ()
+    layout: Layout | None = None
+    resolve: Callable[[DataFrame], DataFrame] | None = None
     touched: Callable[[Load], DataFrame] | None = None
+    #: The result reads the stored table that it replaces.
+    reads_itself: bool = False
+
+
+def _keyed(build: Callable[[Load], DataFrame], *keys: str, month: str | None = None, **options) -> SilverTable:
+    """A table merged by key, cut by the month of a date or by the first of its keys."""
+    layout = by_month(month) if month else by_key(keys[:1])
+    return SilverTable(build, keys, layout, **options)
 
 
 def _client_versions(load: Load) -> DataFrame:
@@ -121,9 +130,16 @@ def _skills(load: Load) -> DataFrame:
     )
 
 
-def _contract_spans(load: Load) -> DataFrame:
-    fresh, known = missions.contract_spans(load.required("wtcnti")), load.stored_silver("contract_spans")
-    return fresh if known is None else missions.merged_spans(known.unionByName(fresh))
+def _order_times(load: Load) -> DataFrame:
+    """Order times of this load; notes which orders are new, changed or gone since the stored ones."""
+    fresh, known = missions.order_times(load.snapshot("wtcmd")), load.stored_silver("order_times")
+    changed = fresh.select("order_id")
+    if known is not None:
+        old = known.select("order_id", F.struct("ordered_at").alias("old"))
+        both = old.join(fresh.select("order_id", F.struct("ordered_at").alias("new")), "order_id", "full_outer")
+        changed = both.filter(~F.col("old").eqNullSafe(F.col("new"))).select("order_id")
+    load.stored_once["changed_orders"] = stored(changed, "changed-orders")
+    return fresh
 
 
 def _touched_assignments(load: Load) -> DataFrame:
@@ -134,11 +150,10 @@ def _touched_assignments(load: Load) -> DataFrame:
 
 
 def _find_touched(load: Load) -> DataFrame:
-    heads = load.silver("assignment_heads")
-    ordered = heads.join(missions.order_times(load.raw("wtcmd")).select("order_id"), "order_id", "left_semi")
-    frames = (missions.assignment_heads(load.raw("wtmiss")), missions.contract_spans(load.raw("wtcnti")), ordered)
-    own, amended, by_order = (f.select(*missions.KEY) for f in frames)
-    return own.union(amended).union(by_order).distinct()
+    frames = [missions.assignment_heads(load.raw("wtmiss")), missions.contract_spans(load.raw("wtcnti"))]
+    if "changed_orders" in load.stored_once:
+        frames.append(load.silver("assignment_heads").join(load.stored_once["changed_orders"], "order_id", "left_semi"))
+    return reduce(DataFrame.union, [f.select(*missions.KEY) for f in frames]).distinct()
 
 
 def _assignments(load: Load) -> DataFrame:
@@ -157,34 +172,34 @@ def _assignment_ends(load: Load) -> DataFrame:
 # In dependency order: assignments read their heads, contract spans and order times, payments invoices, loyalty assignments.
 # Tables of raw tables that every load extracts whole have no keys: the newest extract replaces them.
 SILVER_TABLES: dict[str, SilverTable] = {
-    "assignment_heads": SilverTable(lambda x: missions.assignment_heads(x.raw("wtmiss")), ("worker_id", "contract_id")),
-    "assignment_end_heads": SilverTable(
-        lambda x: missions.assignment_end_heads(x.raw("wtmiss")), ("worker_id", "contract_id")
+    "assignment_heads": _keyed(lambda x: missions.assignment_heads(x.raw("wtmiss")), *missions.KEY),
+    "assignment_end_heads": _keyed(lambda x: missions.assignment_end_heads(x.raw("wtmiss")), *missions.KEY),
+    "contract_spans": _keyed(
+        lambda x: missions.contract_spans(x.required("wtcnti")), *missions.KEY, resolve=missions.merged_spans
     ),
-    "contract_spans": SilverTable(_contract_spans),
-    "order_times": SilverTable(lambda x: missions.order_times(x.snapshot("wtcmd"))),
-    "assignments": SilverTable(_assignments, ("worker_id", "contract_id"), _touched_assignments),
-    "contracts": SilverTable(
-        lambda x: missions.contracts(x.raw("wtcnti")), ("worker_id", "contract_id", "amendment")
+    "order_times": SilverTable(_order_times),
+    "assignments": _keyed(_assignments, *missions.KEY, month="start_date", touched=_touched_assignments),
+    "contracts": _keyed(
+        lambda x: missions.contracts(x.raw("wtcnti")), *missions.KEY, "amendment", month="start_date"
     ),
     "orders": SilverTable(lambda x: missions.orders(x.snapshot("wtcmd"))),
     "placements": SilverTable(lambda x: missions.placements(x.snapshot("wtplac"))),
-    "assignment_ends": SilverTable(_assignment_ends, ("worker_id", "contract_id"), _touched_assignments),
-    "payroll_contracts": SilverTable(
-        lambda x: missions.payroll_contracts(x.raw("pycontrat")), ("worker_id", "contract_id")
+    "assignment_ends": _keyed(_assignment_ends, *missions.KEY, month="actual_end", touched=_touched_assignments),
+    "payroll_contracts": _keyed(
+        lambda x: missions.payroll_contracts(x.raw("pycontrat")), *missions.KEY, month="start_date"
     ),
     "invoice_links": SilverTable(lambda x: missions.invoice_links(x.snapshot("wtfacinfo"))),
-    "timesheets": SilverTable(lambda x: billing.timesheets(x.raw("wtprh")), ("sheet_id",)),
-    "timesheet_lines": SilverTable(lambda x: billing.timesheet_lines(x.raw("wtrhdon")), ("sheet_id", "line_no")),
-    "invoices": SilverTable(lambda x: billing.invoices(x.raw("wtefac")), ("invoice_id",)),
-    "invoice_lines": SilverTable(lambda x: billing.invoice_lines(x.raw("wtlfac")), ("invoice_id", "line_no")),
-    "payments": SilverTable(lambda x: billing.payments(x.raw("wtefac"), x.silver("invoices")), ("invoice_id",)),
-    "client_versions": SilverTable(_client_versions),
+    "timesheets": _keyed(lambda x: billing.timesheets(x.raw("wtprh")), "sheet_id", month="modified_at"),
+    "timesheet_lines": _keyed(lambda x: billing.timesheet_lines(x.raw("wtrhdon")), "sheet_id", "line_no"),
+    "invoices": _keyed(lambda x: billing.invoices(x.raw("wtefac")), "invoice_id", month="invoice_date"),
+    "invoice_lines": _keyed(lambda x: billing.invoice_lines(x.raw("wtlfac")), "invoice_id", "line_no"),
+    "payments": _keyed(lambda x: billing.payments(x.raw("wtefac"), x.silver("invoices")), "invoice_id"),
+    "client_versions": SilverTable(_client_versions, reads_itself=True),
     "sites": SilverTable(lambda x: clients.sites(x.snapshot("wttieserv"))),
     "contacts": SilverTable(lambda x: clients.contacts(x.snapshot("wttieint"))),
     "credit_exposures": SilverTable(lambda x: clients.credit_exposures(x.snapshot("wtencoursg"))),
-    "worker_versions": SilverTable(_worker_versions),
-    "evaluations": SilverTable(lambda x: workers.evaluations(x.raw("wtpeval")), ("worker_id", "eval_id")),
+    "worker_versions": SilverTable(_worker_versions, reads_itself=True),
+    "evaluations": _keyed(lambda x: workers.evaluations(x.raw("wtpeval")), "worker_id", "eval_id"),
     "contact_points": SilverTable(lambda x: workers.contact_points(x.snapshot("pycoordonnee"))),
     "portfolio": SilverTable(lambda x: workers.portfolio(x.snapshot("wtugpint"))),
     "loyalty": SilverTable(lambda x: loyalty.loyalty(x.snapshot("wtpint"), x.silver("assignments"), x.as_of)),
@@ -212,16 +227,15 @@ def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
             load.skipped[name] = str(error)
             continue
         known = load.stored_silver(name)
-        if known is not None and fresh.isEmpty():
+        gone = None if known is None or table.touched is None else table.touched(load)
+        if known is not None and fresh.isEmpty() and (gone is None or gone.isEmpty()):
             load.skipped[name] = "the load brought no rows"
             continue
-        if known is None or not table.keys:
-            merged = fresh
-        elif table.touched is not None:
-            merged = known.join(table.touched(load), list(table.keys), "left_anti").unionByName(fresh)
+        path = f"{load.silver_root}/{name}"
+        if table.layout is None:
+            overwrite_table(fresh, path, reads_target=table.reads_itself and known is not None)
         else:
-            merged = merge_latest(known, fresh, table.keys)
-        overwrite_table(merged, f"{load.silver_root}/{name}", reads_target=known is not None)
+            load.merges[name] = merge_partitions(fresh, path, table.keys, table.layout, table.resolve, gone)
         written.append(name)
     return written
 

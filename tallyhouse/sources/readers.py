@@ -41,6 +41,16 @@ def read_or_empty(read, spark: SparkSession, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def read_or_none(read) -> DataFrame | None:
+    """A table, or None where its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+        return None
+
+
 def read_raw(
     spark: SparkSession, root: str, table: str, schema: StructType, day: date | None = None, days_back: int = 0
 ) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -51,6 +52,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder under the shared folder that nothing reads any more."""
+    if not path.startswith(shared_folder(spark)):
+        raise ValueError(f"{path} is not in the shared folder")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """`stored` for the steps of one eager operation, whose tables are deleted when it ends."""
+    paths: list[str] = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(spark, name)
+        paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            discard(spark, path)
+
+
 #: Tables written once per application and load, and where they are.
 _shared: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
