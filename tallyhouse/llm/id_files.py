@@ -5,10 +5,10 @@ executors are lost:
 
 * `codebook` (id, length): the code lengths.  Codes are canonical, so lengths are all a reader needs: ids sorted by
   (length, id) get rising codes, most significant bit first.
-* `blocks` (part, block, first, n_ids, payload, checkpoints, docs): independent blocks of at most `block_ids` ids.
+* `blocks` (part, first, n_ids, is_whole, payload, checkpoints, docs): independent blocks of at most `block_ids` ids.
   `payload` holds the codes, `checkpoints` the bit offset of every `every`-th id (little-endian unsigned 32-bit), `docs`
-  what the block holds of which document: its key, where it begins in the part and in the block, how many ids, whether
-  it is cut.
+  what the block holds of which document: its key, where it begins in the part and in the block, how many ids.  A block
+  holds whole documents or a piece of one that is longer than a block.
 * `parts` (part, n_ids, before): the ids before each part.
 
 Documents lie in ascending order of their key, nulls first; rows of one key in order of the input.  The stream of ids is cut
@@ -22,6 +22,7 @@ gives an empty file set; other input columns are ignored whatever their names.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -31,6 +32,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,46 +46,93 @@ VOCABULARY = "word_bpe_49k.json"
 
 #: The vocabulary drops white space and splits words there, so words between spaces and line feeds are encoded alone.
 _GAP = re.compile(r"[ \n]")
-_KNOWN_WORDS, _KNOWN_CHARS = 1 << 18, 48
+#: Letters that stay single letters in lower case and composed form, and marks after them: one run of ids for each.
+_PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+([!#$%&()*+,./:;=?@^_~-]*)")
+_KNOWN_WORDS, _KNOWN_CHARS = 400_000, 48
 
 
 # --- ids of texts -----------------------------------------------------------------------------------------------
 
 
 class WordEncoder:
-    """Ids of texts through the library, each frequent word encoded once per Python process."""
+    """Ids of texts through the library, each different word of a batch once and frequent words once per process."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark already runs one process per core; the library's own threads would compete with them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
-
-    def ids(self, text: str, piece_chars: int = 1 << 20) -> bytes:
-        """All ids of the whole text, in `type`."""
-        if len(text) <= piece_chars:
-            return self._piece(text)
-        parts, start = [], 0
-        while start < len(text):
-            gap = _GAP.search(text, start + piece_chars)
-            stop = gap.start() if gap else len(text)
-            parts.append(self._piece(text[start:stop]))
-            start = stop
-        return b"".join(parts)
-
-    def _piece(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        unseen = [word for word in set(words) if word not in self.known]
-        if not unseen:
-            return b"".join(map(self.known.__getitem__, words))
-        encoded = self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False)
-        fresh = {word: np.asarray(e.ids, self.type).tobytes() for word, e in zip(unseen, encoded, strict=True)}
-        joined = b"".join([fresh[word] if word in fresh else self.known[word] for word in words])
-        if len(self.known) > _KNOWN_WORDS:
-            self.known.clear()
-        self.known.update((word, ids) for word, ids in fresh.items() if len(word) <= _KNOWN_CHARS)
-        return joined
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends_word[number] = bool(suffix) and token.endswith(suffix)
+
+    def ids(self, texts: list[str], end: int | None = None, piece_chars: int = 1 << 20) -> list[bytes]:
+        """All ids of each whole text in `type`, with the end id if there is one."""
+        pieces, owners = [], []
+        for owner, text in enumerate(texts):
+            start = 0
+            while len(text) - start > piece_chars and (gap := _GAP.search(text, start + piece_chars)):
+                pieces.append(text[start : gap.start()])
+                owners.append(owner)
+                start = gap.start()
+            pieces.append(text[start:] if start else text)
+            owners.append(owner)
+        split = pc.split_pattern(pc.replace_substring(pa.array(pieces, pa.large_string()), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        parts = self._words(words.dictionary.to_pylist())
+        # Every word's ids, laid end to end by its number among the different words.
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.type.itemsize
+        each = np.frombuffer(b"".join(parts), self.type)
+        numbers = words.indices.to_numpy()
+        taken = sizes[numbers]
+        ends = np.cumsum(taken)
+        found = each[np.repeat((np.cumsum(sizes) - sizes)[numbers] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
+        borders = np.append(0, ends)[split.offsets.to_numpy()]
+        last = np.asarray([] if end is None else [end], self.type).tobytes()
+        results, pieces_of = [], np.searchsorted(owners, np.arange(len(texts) + 1))
+        for owner in range(len(texts)):
+            results.append(found[borders[pieces_of[owner]] : borders[pieces_of[owner + 1]]].tobytes() + last)
+        return results
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        unseen = [word for word in words if word not in known]
+        fresh = self._plain(unseen) if self.ends_word.any() else {}
+        other = [word for word in unseen if word not in fresh]
+        for few in range(0, len(other), 1 << 14):
+            some = other[few : few + (1 << 14)]
+            for word, encoded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                fresh[word] = np.asarray(encoded.ids, self.type).tobytes()
+        results = [known[word] if word in known else fresh[word] for word in words]
+        if len(known) > _KNOWN_WORDS:  # keep what this batch holds
+            known.clear()
+            fresh = dict(zip(words, results, strict=True))
+        known.update((word, ids) for word, ids in fresh.items() if len(word) <= _KNOWN_CHARS)
+        return results
+
+    def _plain(self, words: list[str], together: int = 64) -> dict[str, bytes]:
+        """Ids of words of plain letters and marks, many in one call: letters and marks each end with an id that ends a word."""
+        found: dict[str, bytes] = {}
+        width = self.type.itemsize
+        plain = [(word, 2 if match[1] else 1) for word in words if (match := _PLAIN.fullmatch(word))]
+        groups = [plain[start : start + together] for start in range(0, len(plain), together)]
+        for few in range(0, len(groups), 256):
+            some = groups[few : few + 256]
+            encoded = self.tokenizer.encode_batch_fast([" ".join(w for w, _ in group) for group in some], add_special_tokens=False)
+            for group, one in zip(some, encoded, strict=True):
+                ids = np.asarray(one.ids, self.type)
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                runs = np.cumsum([n for _, n in group])
+                if len(ends) == runs[-1] and ends[-1] == len(ids):  # else the words are encoded one by one
+                    held, start = ids.tobytes(), 0
+                    for (word, _), stop in zip(group, (ends[runs - 1] * width).tolist(), strict=True):
+                        found[word] = held[start:stop]
+                        start = stop
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -99,16 +148,18 @@ def id_type(vocabulary: str | None = None) -> np.dtype:
     return word_encoder(vocabulary).type
 
 
-def token_rows(docs: DataFrame, key: str, text: str, vocabulary: str | None, end: int) -> DataFrame:
+def token_rows(docs: DataFrame, key: str, text: str, vocabulary: str | None, end: int, batch_bytes: int = 1 << 22) -> DataFrame:
     """`key` and the `ids` of every whole text with the end id, as little-endian integers of the vocabulary's width."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)
-        last = np.asarray([end], encoder.type).tobytes()
         for batch in batches:
-            for few in range(0, batch.num_rows, 256):
-                rows = batch.slice(few, 256)
-                ids = [encoder.ids(value.as_py()) + last for value in rows.column(1)]
+            sizes = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+            turns = np.cumsum(sizes) // batch_bytes
+            starts = np.flatnonzero(np.r_[True, turns[1:] != turns[:-1]]) if len(turns) else []
+            for start, stop in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                rows = batch.slice(start, stop - start)
+                ids = encoder.ids(rows.column(1).to_pylist(), end)
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
 
     texts = docs.select(F.col(key).alias("key"), whole(text).alias("text"))
@@ -283,47 +334,50 @@ def write(
             T.StructField("begin", T.LongType()),
             T.StructField("at", T.LongType()),
             T.StructField("n", T.LongType()),
-            T.StructField("cut", T.BooleanType()),
         ]
     )
     schema = T.StructType(
         [
             T.StructField("part", T.LongType()),
-            T.StructField("block", T.LongType()),
             T.StructField("first", T.LongType()),
             T.StructField("n_ids", T.LongType()),
+            T.StructField("is_whole", T.BooleanType()),
             T.StructField("payload", T.BinaryType()),
             T.StructField("checkpoints", T.BinaryType()),
             T.StructField("docs", T.ArrayType(doc)),
         ]
     )
-    keys = pa.struct([("key", to_arrow_type(doc["key"].dataType)), ("begin", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("cut", pa.bool_())])
+    keys = pa.struct([("key", to_arrow_type(doc["key"].dataType)), ("begin", pa.int64()), ("at", pa.int64()), ("n", pa.int64())])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, sizes = book.codes()
-        part = TaskContext.get().partitionId()
-        waiting, docs_here, n, first, number = [], [], 0, 0, 0
+        part, first = TaskContext.get().partitionId(), 0
+        waiting, held, n = [], [], 0
 
-        def block() -> pa.RecordBatch:
-            payload, checkpoints = encode_block(np.concatenate(waiting).astype(np.int64), codes, sizes, every)
-            columns = [pa.array([x], pa.int64()) for x in (part, number, first, n)]
-            columns += [pa.array([x], pa.binary()) for x in (payload, checkpoints)]
+        def block(ids: np.ndarray, docs_here: list[dict], is_whole: bool) -> pa.RecordBatch:
+            payload, checkpoints = encode_block(ids.astype(np.int64), codes, sizes, every)
+            columns = [pa.array([x], pa.int64()) for x in (part, first, len(ids))]
+            columns += [pa.array([is_whole]), pa.array([payload], pa.binary()), pa.array([checkpoints], pa.binary())]
             return pa.RecordBatch.from_arrays([*columns, pa.array([docs_here], pa.list_(keys))], names=schema.names)
 
         for batch in batches:
             for name, value in zip(batch.column(0), batch.column(1), strict=True):
-                ids, begin, done = np.frombuffer(value.as_py(), dtype), first + n, 0
-                while done < len(ids):
-                    some = ids[done : done + block_ids - n]
-                    docs_here.append({"key": name.as_py(), "begin": begin, "at": n, "n": len(some), "cut": len(some) < len(ids)})
-                    waiting.append(some)
-                    n += len(some)
-                    done += len(some)
-                    if n == block_ids:
-                        yield block()
-                        waiting, docs_here, first, n, number = [], [], first + n, 0, number + 1
+                ids = np.frombuffer(value.as_py(), dtype)
+                if n and n + len(ids) > block_ids:
+                    yield block(np.concatenate(waiting), held, True)
+                    first, waiting, held, n = first + n, [], [], 0
+                if len(ids) <= block_ids:
+                    held.append({"key": name.as_py(), "begin": first + n, "at": n, "n": len(ids)})
+                    waiting.append(ids)
+                    n += len(ids)
+                    continue
+                begin = first
+                for start in range(0, len(ids), block_ids):
+                    some = ids[start : start + block_ids]
+                    yield block(some, [{"key": name.as_py(), "begin": begin, "at": 0, "n": len(some)}], False)
+                    first += len(some)
         if n:
-            yield block()
+            yield block(np.concatenate(waiting), held, True)
 
     # Rows of one key are told apart by their place in the stored table, so a hot key is cut into ranges as well.
     placed = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange("key", "place")
@@ -347,8 +401,7 @@ def read(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = F
     book = Codebook(lengths.tobytes(), longest)
     blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["docs"].dataType.elementType["key"]
-    names = ["part", "begin", "at", "n", "crc"]
-    fields = [kind, *[T.StructField(name, T.LongType()) for name in names], T.StructField("cut", T.BooleanType())]
+    fields = [kind, *[T.StructField(name, T.LongType()) for name in ("part", "begin", "at", "n", "crc")]]
     if with_ids:
         fields.append(T.StructField("ids", T.BinaryType()))
 
@@ -362,7 +415,7 @@ def read(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = F
                 at, sizes = held.field("at").to_numpy(), held.field("n").to_numpy()
                 pieces = [ids[a : a + m].tobytes() for a, m in zip(at.tolist(), sizes.tolist(), strict=True)]
                 columns = [held.field("key"), pa.array(np.full(len(at), part)), held.field("begin"), pa.array(first + at)]
-                columns += [held.field("n"), pa.array([zlib.crc32(piece) for piece in pieces], pa.int64()), held.field("cut")]
+                columns += [held.field("n"), pa.array([zlib.crc32(piece) for piece in pieces], pa.int64())]
                 if with_ids:
                     columns.append(pa.array(pieces, pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=[field.name for field in fields])
@@ -371,12 +424,14 @@ def read(spark: SparkSession, path: str, key: str = "doc_id", with_ids: bool = F
     def joined(pieces: pd.Series) -> pd.Series:
         return pieces.map(lambda some: joined_crc32((p["crc"], 4 * p["n"]) for p in some))
 
-    columns = ["part", "first", "n_ids", "payload", "checkpoints", "docs"]
-    found = blocks.select(columns).mapInArrow(decode, T.StructType(fields))
-    whole_docs = found.where("not cut").withColumnRenamed("n", "n_tokens").withColumnRenamed("crc", "ids_crc32")
+    schema = T.StructType(fields)
+    blocks = blocks.select("is_whole", "part", "first", "n_ids", "payload", "checkpoints", "docs")
+    whole_docs = blocks.where("is_whole").drop("is_whole").mapInArrow(decode, schema)
+    whole_docs = whole_docs.withColumnsRenamed({"n": "n_tokens", "crc": "ids_crc32"})
     # A document over a block's size comes in as many pieces as blocks that hold it.
+    pieces = blocks.where("not is_whole").drop("is_whole").mapInArrow(decode, schema)
     held = F.sort_array(F.collect_list(F.struct("at", "n", "crc", *(["ids"] if with_ids else []))))
-    cut = found.where("cut").groupBy("part", "begin").agg(F.first("key").alias("key"), F.sum("n").alias("n_tokens"), held.alias("pieces"))
+    cut = pieces.groupBy("part", "begin").agg(F.first("key").alias("key"), F.sum("n").alias("n_tokens"), held.alias("pieces"))
     cut = cut.withColumn("ids_crc32", joined(F.transform("pieces", lambda p: F.struct(p["n"].alias("n"), p["crc"].alias("crc")))))
     if with_ids:
         cut = cut.withColumn("ids", F.aggregate("pieces", F.lit(b""), lambda done, p: F.concat(done, p["ids"])))

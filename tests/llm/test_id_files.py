@@ -77,10 +77,15 @@ def test_words_alone_equal_whole_texts(spark, odd_documents):
     texts += ["a<|endoftext|> b<|startoftext|>c", "<|endoftext|>", " <|end oftext|>", "I'S it'LL 'm", "x" * 5000]
     texts += [row[1] or "" for row in odd_documents]
     texts += [row["text"] or "" for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    texts.append(" ".join(a + chr(i) + b for i in range(0x41, 0x250) for a in ("", "a", "e") for b in ("", "n", "Z")))
+    texts.append(" ".join(w + t for w in ("ab", "É", "x'") for a in "!#$%&()*+,./:;=?@^_~-'<|" for b in "!.-'a9<" for t in (a, a + b, a + a + b)))
     encoder = id_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    for text, whole in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert np.frombuffer(encoder.ids(text, piece_chars=50), encoder.type).tolist() == whole.ids
+    for _ in range(2):  # the second time words are known
+        found = encoder.ids(texts, piece_chars=50)
+        for ids, whole in zip(found, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+            assert np.frombuffer(ids, encoder.type).tolist() == whole.ids
+    assert encoder.ids([]) == [] and encoder.ids([""], end=2) == [b"\x02\x00"]
 
 
 def expected(rows):
