@@ -227,3 +227,7 @@ SELECT s.user_id AS worker_id, s.ts AS started_at, s.event_id FROM events s WHER
 SELECT user_id, DATE_TRUNC('week', ts)::DATE AS week, SUM(value::DECIMAL(10,2))::DECIMAL(18,2) AS hours, COUNT(*) AS sheets
 FROM events GROUP BY 1, 2""",
 }
+QUERIES |= {
+    "cdc_merge_on_read": QUERIES["cdc_upsert"],
+    "weekly_hours_compacted": QUERIES["weekly_hours_stream"],
+}

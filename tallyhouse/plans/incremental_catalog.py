@@ -19,7 +19,7 @@ from tallyhouse.plans.silver.skills import CERTIFICATION, DEGREE, EXPERIENCE, TR
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
 from tallyhouse.sources.readers import load_partitions, read_optional_table, read_tolerant
 from tallyhouse.sources.scratch import fresh_path, stored
-from tallyhouse.streaming import alerts, changes, ingest, weekly
+from tallyhouse.streaming import alerts, change_log, changes, ingest, weekly
 
 # Instants of the three sample loads of the client state.
 LOADS = (datetime(1996, 7, 1), datetime(1998, 7, 1), datetime(2001, 8, 2))
@@ -265,14 +265,37 @@ class Incremental(Silver):
         starts, declared = self._starts_and_declarations(self.ingested)
         return alerts.missing_declarations(starts, declared, "worker_id")
 
+    def _weekly(self, sheets: DataFrame, fan: int) -> DataFrame:
+        target, mark = fresh_path(self.spark, "weekly"), fresh_path(self.spark, "weekly-mark")
+        sheets = sheets.withColumn("hours", F.col("value").cast("decimal(10,2)"))
+        ingest.run_to_end(weekly.run_weekly_hours(sheets, target, mark, ["user_id"], "ts", "hours", fan))
+        schema = weekly.weekly_sums(sheets, ["user_id"], "ts", "hours").schema
+        return weekly.weekly_totals(weekly.stored_sums(self.spark, target, schema), ["user_id"])
+
     @cached_property
     def weekly_stream(self) -> DataFrame:
         """All events, through the stored sums of the micro-batches."""
-        target, mark = fresh_path(self.spark, "weekly"), fresh_path(self.spark, "weekly-mark")
-        sheets = self._event_stream().withColumn("hours", F.col("value").cast("decimal(10,2)"))
-        ingest.run_to_end(weekly.run_weekly_hours(sheets, target, mark, ["user_id"], "ts", "hours"))
-        schema = weekly.weekly_sums(sheets, ["user_id"], "ts", "hours").schema.add(weekly.BATCH, "long")
-        return weekly.weekly_totals(read_optional_table(self.spark, target, schema), ["user_id"])
+        return self._weekly(self._event_stream(), fan=8)
+
+    @cached_property
+    def weekly_compacted(self) -> DataFrame:
+        """All events in many micro-batches, whose sums are folded by level."""
+        return self._weekly(self._event_batches(), fan=3)
+
+    def _event_batches(self, batches: int = 14) -> DataFrame:
+        """The events as a stream of so many micro-batches, in no order of time."""
+        folder = fresh_path(self.spark, "event-files")
+        events = self.table("events").withColumn("ts", F.col("ts").cast("timestamp"))
+        events.repartition(batches, F.xxhash64("event_id")).write.parquet(folder)
+        return ingest.file_stream(self.spark, folder, events.schema, files_per_batch=1)
+
+    @cached_property
+    def merged_on_read(self) -> DataFrame:
+        """Row changes as a base and appended changes, some of them folded into the base."""
+        path, mark = fresh_path(self.spark, "change-log"), fresh_path(self.spark, "change-mark")
+        stream, keys = self.as_changes(self._event_batches()), ["worker_id", "contract_id"]
+        ingest.run_to_end(change_log.cdc_merge_on_read(stream, path, mark, keys, buckets=8, fold_every=5))
+        return change_log.current_rows(self.spark, path, stream.schema, keys)
 
     @cached_property
     def rejects(self) -> DataFrame:
@@ -371,6 +394,8 @@ INCREMENTAL: dict[str, Callable[[Incremental], DataFrame]] = {
     "stream_ingest": lambda m: m.ingested,
     "load_partitions": lambda m: load_partitions(m.ingested, r"load_date=(\d{4}-\d{2}-\d{2})/").drop("files"),
     "cdc_upsert": lambda m: m.upserted,
+    "cdc_merge_on_read": lambda m: m.merged_on_read,
     "missing_declaration_alert": lambda m: m.alerts_stream,
     "weekly_hours_stream": lambda m: m.weekly_stream,
+    "weekly_hours_compacted": lambda m: m.weekly_compacted,
 }

@@ -22,7 +22,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tallyhouse.operators.dedup import latest_loaded
 from tallyhouse.sources.readers import read_or_none
-from tallyhouse.sources.scratch import staging
+from tallyhouse.sources.scratch import delete_folder, staging
 from tallyhouse.sources.writers import overwrite_partitions, overwrite_table
 
 PART, INDEX_BUCKET = "part", "key_bucket"
@@ -150,7 +150,7 @@ def merge_partitions(
         # The new files are staged while the old ones are read, and swapped in when the job commits.
         overwrite_partitions(merged, path, [PART], spread=layout.spread)
         for part in emptied:  # a partition without rows is not overwritten by itself
-            overwrite_table(spark.createDataFrame([], delta.schema), f"{path}/{PART}={part}")
+            delete_folder(spark, f"{path}/{PART}={part}")
         if not layout.of_key and losing:
             _drop_places(spark, path, left, keys, delta.schema, stage)
         return Merged(rewritten=[p for p in touched if p not in emptied], emptied=emptied)
@@ -176,5 +176,4 @@ def _drop_places(
     kept = stage(index.join(left, [*keys, PART], "left_anti").distinct(), "kept")
     overwrite_partitions(kept, index_path(path), [INDEX_BUCKET])
     for bucket in sorted({*buckets} - {*_values(kept, INDEX_BUCKET)}):
-        empty = spark.createDataFrame([], kept.drop(INDEX_BUCKET).schema)
-        overwrite_table(empty, f"{index_path(path)}/{INDEX_BUCKET}={bucket}")
+        delete_folder(spark, f"{index_path(path)}/{INDEX_BUCKET}={bucket}")

@@ -52,14 +52,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a folder under the shared folder that nothing reads any more."""
-    if not path.startswith(shared_folder(spark)):
-        raise ValueError(f"{path} is not in the shared folder")
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in any storage that Spark writes; nothing happens if it isn't there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    delete_folder(spark, path)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """`stored` for the steps of one eager operation, whose tables are deleted when it ends."""

@@ -34,22 +34,21 @@ def latest_images(changes: DataFrame, keys: Sequence[str], op: str = "op", ts: s
     return latest_by(known.dropna(subset=list(keys)), keys, order)
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
 
 def merge_changes(batch: DataFrame, path: str, keys: Sequence[str], buckets: int, spread: int = 1) -> None:
     """Merge one batch of changes into the table at ``path``."""
     spark = batch.sparkSession
-    images = settle(_bucketed(latest_images(batch, keys), keys, buckets))
+    images = settle(bucketed(latest_images(batch, keys), keys, buckets))
     touched = [row[0] for row in images.select(BUCKET).distinct().collect()]  # at most ``buckets`` numbers
     if not touched:
         return
     try:
         stored = spark.read.schema(images.schema).parquet(path).filter(F.col(BUCKET).isin(touched))
-        merged = latest_images(stored.unionByName(images), keys)
-        # The stored buckets are read and replaced: settle the result in shared storage first.
-        merged = settle(merged.select(images.columns))
+        # Spark stages the new buckets while the old ones are read, and swaps them in when the job commits.
+        merged = latest_images(stored.unionByName(images), keys).select(images.columns)
     except AnalysisException as error:
         if not is_missing(error):
             raise
@@ -63,12 +62,12 @@ def live_rows(table: DataFrame) -> DataFrame:
 
 
 def cdc_upsert(
-    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], buckets: int = 256
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], buckets: int = 256, spread: int = 4
 ) -> StreamingQuery:
     """Run a change stream into the table at ``path``."""
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: merge_changes(batch, path, keys, buckets))
+        .foreachBatch(lambda batch, _: merge_changes(batch, path, keys, buckets, spread))
         .trigger(availableNow=True)
         .start()
     )
