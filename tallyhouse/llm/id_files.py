@@ -47,8 +47,9 @@ VOCABULARY = "word_bpe_49k.json"
 #: The vocabulary drops white space and splits words there, so words between spaces and line feeds are encoded alone.
 _GAP = re.compile(r"[ \n]")
 #: Letters that stay single letters in lower case and composed form, and marks after them: one run of ids for each.
-_PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+([!#$%&()*+,./:;=?@^_~-]*)")
-_KNOWN_WORDS, _KNOWN_CHARS = 400_000, 48
+_MARKS = r"[!#$%&()*+,./:;=?@^_~-]"
+_PLAIN = r"^[A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{17F}]+" + _MARKS + "*$"
+_KNOWN_WORDS, _KNOWN_BYTES = 400_000, 96
 
 
 # --- ids of texts -----------------------------------------------------------------------------------------------
@@ -64,75 +65,92 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.known, self.known_ids = pa.array([], pa.string()), pa.array([], pa.binary())
         suffix = self.tokenizer.model.end_of_word_suffix
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.ends_word[number] = bool(suffix) and token.endswith(suffix)
 
-    def ids(self, texts: list[str], end: int | None = None, piece_chars: int = 1 << 20) -> list[bytes]:
-        """All ids of each whole text in `type`, with the end id if there is one."""
-        pieces, owners = [], []
-        for owner, text in enumerate(texts):
-            start = 0
-            while len(text) - start > piece_chars and (gap := _GAP.search(text, start + piece_chars)):
-                pieces.append(text[start : gap.start()])
+    def ids(self, texts: pa.Array, piece_chars: int = 1 << 20) -> pa.BinaryArray:
+        """All ids of each whole text (strings without nulls), in `type`."""
+        owners = None
+        if pc.max(pc.binary_length(texts)).as_py() > piece_chars:  # cut long texts at white space
+            pieces, owners = [], []
+            for owner, text in enumerate(texts.to_pylist()):
+                start = 0
+                while len(text) - start > piece_chars and (gap := _GAP.search(text, start + piece_chars)):
+                    pieces.append(text[start : gap.start()])
+                    owners.append(owner)
+                    start = gap.start()
+                pieces.append(text[start:])
                 owners.append(owner)
-                start = gap.start()
-            pieces.append(text[start:] if start else text)
-            owners.append(owner)
-        split = pc.split_pattern(pc.replace_substring(pa.array(pieces, pa.large_string()), "\n", " "), " ")
+            texts = pa.array(pieces, pa.string())
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         words = split.flatten().dictionary_encode()
-        parts = self._words(words.dictionary.to_pylist())
-        # Every word's ids, laid end to end by its number among the different words.
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // self.type.itemsize
-        each = np.frombuffer(b"".join(parts), self.type)
-        numbers = words.indices.to_numpy()
-        taken = sizes[numbers]
-        ends = np.cumsum(taken)
-        found = each[np.repeat((np.cumsum(sizes) - sizes)[numbers] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)]
-        borders = np.append(0, ends)[split.offsets.to_numpy()]
-        last = np.asarray([] if end is None else [end], self.type).tobytes()
-        results, pieces_of = [], np.searchsorted(owners, np.arange(len(texts) + 1))
-        for owner in range(len(texts)):
-            results.append(found[borders[pieces_of[owner]] : borders[pieces_of[owner + 1]]].tobytes() + last)
-        return results
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        unseen = [word for word in words if word not in known]
-        fresh = self._plain(unseen) if self.ends_word.any() else {}
-        other = [word for word in unseen if word not in fresh]
+        # Taking every word's ids by its number among the different words lays them end to end.
+        taken = self._words(words.dictionary).take(words.indices)
+        ends = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset : taken.offset + len(taken) + 1]
+        ends = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        if owners is not None:
+            ends = ends[np.searchsorted(owners, np.arange(owners[-1] + 2))]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), taken.buffers()[2]])
+
+    def _words(self, words: pa.StringArray) -> pa.BinaryArray:
+        """Ids of different words: those known, and those that this batch is the first to bring."""
+        place = pc.index_in(words, self.known).to_numpy(zero_copy_only=False)
+        is_new = np.isnan(place) if place.dtype.kind == "f" else np.zeros(len(words), bool)
+        places = np.where(is_new, 0, place).astype(np.int64)
+        unseen = words.filter(pa.array(is_new))
+        is_plain = pc.match_substring_regex(unseen, _PLAIN).to_numpy(zero_copy_only=False)
+        if not self.ends_word.any():
+            is_plain[:] = False
+        fresh, done = self._plain(unseen.filter(pa.array(is_plain)))
+        is_plain[np.flatnonzero(is_plain)[~done]] = False
+        other = unseen.filter(pa.array(~is_plain)).to_pylist()
+        single = []
         for few in range(0, len(other), 1 << 14):
-            some = other[few : few + (1 << 14)]
-            for word, encoded in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                fresh[word] = np.asarray(encoded.ids, self.type).tobytes()
-        results = [known[word] if word in known else fresh[word] for word in words]
-        if len(known) > _KNOWN_WORDS:  # keep what this batch holds
-            known.clear()
-            fresh = dict(zip(words, results, strict=True))
-        known.update((word, ids) for word, ids in fresh.items() if len(word) <= _KNOWN_CHARS)
-        return results
-
-    def _plain(self, words: list[str], together: int = 64) -> dict[str, bytes]:
-        """Ids of words of plain letters and marks, many in one call: letters and marks each end with an id that ends a word."""
-        found: dict[str, bytes] = {}
-        width = self.type.itemsize
-        plain = [(word, 2 if match[1] else 1) for word in words if (match := _PLAIN.fullmatch(word))]
-        groups = [plain[start : start + together] for start in range(0, len(plain), together)]
-        for few in range(0, len(groups), 256):
-            some = groups[few : few + 256]
-            encoded = self.tokenizer.encode_batch_fast([" ".join(w for w, _ in group) for group in some], add_special_tokens=False)
-            for group, one in zip(some, encoded, strict=True):
-                ids = np.asarray(one.ids, self.type)
-                ends = np.flatnonzero(self.ends_word[ids]) + 1
-                runs = np.cumsum([n for _, n in group])
-                if len(ends) == runs[-1] and ends[-1] == len(ids):  # else the words are encoded one by one
-                    held, start = ids.tobytes(), 0
-                    for (word, _), stop in zip(group, (ends[runs - 1] * width).tolist(), strict=True):
-                        found[word] = held[start:stop]
-                        start = stop
-        return found
+            encoded = self.tokenizer.encode_batch_fast(other[few : few + (1 << 14)], add_special_tokens=False)
+            single += [np.asarray(one.ids, self.type).tobytes() for one in encoded]
+        found = np.empty(len(unseen), np.int64)
+        found[is_plain] = np.flatnonzero(done)
+        found[~is_plain] = len(fresh) + np.arange(len(single))
+        places[is_new] = len(self.known) + found
+        ids = pa.concat_arrays([self.known_ids, fresh, pa.array(single, pa.binary())]).take(pa.array(places))
+        short = pc.less_equal(pc.binary_length(words), _KNOWN_BYTES)
+        if len(self.known) + len(unseen) > _KNOWN_WORDS:  # keep what this batch holds
+            self.known, self.known_ids = words.filter(short), ids.filter(short)
+        else:
+            keep = pc.and_(short, pa.array(is_new))
+            self.known = pa.concat_arrays([self.known, words.filter(keep)])
+            self.known_ids = pa.concat_arrays([self.known_ids, ids.filter(keep)])
+        return ids
+
+    def _plain(self, words: pa.StringArray, together: int = 256) -> tuple[pa.BinaryArray, np.ndarray]:
+        """Ids of words of plain letters and marks, many in one call, and which of them are right.
+
+        Letters and marks each end with an id that ends a word; where their number is not as expected, the words of that
+        call are to be encoded one by one.
+        """
+        n = len(words)
+        runs = 1 + pc.match_substring_regex(words, _MARKS + "$").to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.append(np.arange(0, n, together), n)
+        lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), words)
+        done, sizes, ids = np.ones(n, bool), np.zeros(n, np.int64), []
+        joined = pc.binary_join(lists, " ").to_pylist()
+        for few in range(0, len(joined), 64):
+            encoded = self.tokenizer.encode_batch_fast(joined[few : few + 64], add_special_tokens=False)
+            for group, one in enumerate(encoded, few):
+                mine = slice(starts[group], starts[group + 1])
+                got = np.asarray(one.ids, self.type)
+                ends, last = np.flatnonzero(self.ends_word[got]) + 1, np.cumsum(runs[mine])
+                if len(ends) == last[-1] and ends[-1] == len(got):
+                    sizes[mine] = np.diff(ends[last - 1], prepend=0)
+                    ids.append(got)
+                else:
+                    done[mine] = False
+        data = np.concatenate(ids) if ids else np.zeros(0, self.type)
+        ends = np.append(0, np.cumsum(sizes * self.type.itemsize)).astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]), done
 
 
 @lru_cache(maxsize=2)
@@ -148,8 +166,8 @@ def id_type(vocabulary: str | None = None) -> np.dtype:
     return word_encoder(vocabulary).type
 
 
-def token_rows(docs: DataFrame, key: str, text: str, vocabulary: str | None, end: int, batch_bytes: int = 1 << 22) -> DataFrame:
-    """`key` and the `ids` of every whole text with the end id, as little-endian integers of the vocabulary's width."""
+def token_rows(docs: DataFrame, key: str, text: str, vocabulary: str | None, batch_bytes: int = 1 << 23) -> DataFrame:
+    """`key` and the `ids` of every whole text, as little-endian integers of the vocabulary's width."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(vocabulary)
@@ -159,8 +177,7 @@ def token_rows(docs: DataFrame, key: str, text: str, vocabulary: str | None, end
             starts = np.flatnonzero(np.r_[True, turns[1:] != turns[:-1]]) if len(turns) else []
             for start, stop in zip(starts, [*starts[1:], batch.num_rows], strict=True):
                 rows = batch.slice(start, stop - start)
-                ids = encoder.ids(rows.column(1).to_pylist(), end)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), encoder.ids(rows.column(1))], names=["key", "ids"])
 
     texts = docs.select(F.col(key).alias("key"), whole(text).alias("text"))
     return texts.mapInArrow(encode, T.StructType([texts.schema["key"], T.StructField("ids", T.BinaryType())]))
@@ -203,42 +220,47 @@ class Codebook:
     lengths: bytes
     longest: int
 
-    def codes(self) -> tuple[np.ndarray, np.ndarray]:
-        """Canonical codes and lengths by id."""
+    def _in_order(self) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in order of (length, id), and their lengths."""
         lengths = np.frombuffer(self.lengths, np.uint8)
         ids = np.flatnonzero(lengths)
         ids = ids[np.lexsort((ids, lengths[ids]))]
-        codes = np.zeros(len(lengths), np.uint64)
+        return ids, lengths[ids].astype(np.int64)
+
+    def codes(self) -> np.ndarray:
+        """By id its canonical code times 32 plus the code's length."""
+        ids, lengths = self._in_order()
+        codes = np.zeros(len(self.lengths), np.int64)
         # A code's place among all bit strings of the longest length is the sum of the room of those before it.
-        room = np.uint64(1) << (np.uint64(self.longest) - lengths[ids].astype(np.uint64))
-        before = np.cumsum(room) - room
-        codes[ids] = before >> (np.uint64(self.longest) - lengths[ids].astype(np.uint64))
-        return codes, lengths
+        room = 1 << (self.longest - lengths)
+        codes[ids] = (np.cumsum(room) - room >> (self.longest - lengths) << 5) | lengths
+        return codes
 
     def table(self) -> np.ndarray:
         """For every bit string of the longest length the id it begins with (times 32) and that id's length."""
-        codes, lengths = self.codes()
-        ids = np.flatnonzero(lengths)
-        ids = ids[np.lexsort((ids, lengths[ids]))]
-        entries = (ids.astype(np.uint32) << 5) | lengths[ids]
-        found = np.repeat(entries, 1 << (self.longest - lengths[ids].astype(np.int64)))
+        ids, lengths = self._in_order()
+        found = np.repeat((ids << 5 | lengths).astype(np.uint32), 1 << (self.longest - lengths))
         return np.concatenate([found, np.zeros((1 << self.longest) - len(found), np.uint32)])
 
 
-def encode_block(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray, every: int) -> tuple[bytes, bytes]:
-    """Payload and checkpoints of a block."""
-    sizes = lengths[ids].astype(np.int64)
-    ends = np.cumsum(sizes)
+def encode_block(ids: np.ndarray, codes: np.ndarray, every: int) -> tuple[bytes, bytes]:
+    """Payload and checkpoints of a block; `codes` holds each id's code times 32 plus its length."""
+    if not len(ids):
+        return b"", b""
+    found = codes[ids]
+    sizes = found & 31
+    ends = np.cumsum(sizes, dtype=np.int64)
     starts = ends - sizes
-    words, shift = starts >> 5, (64 - (starts & 31) - sizes).astype(np.uint64)
-    placed = codes[ids] << shift  # in the 64 bits that begin with word number `words`
-    first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]]) if len(ids) else np.zeros(0, np.int64)
-    packed = np.zeros((int(ends[-1]) + 31 >> 5) + 1 if len(ids) else 0, np.uint64)
-    if len(ids):
-        # Codes share no bit, so sums are unions.
-        packed[words[first]] += np.add.reduceat(placed >> np.uint64(32), first)
-        packed[words[first] + 1] += np.add.reduceat(placed & np.uint64(0xFFFFFFFF), first)
-    size = int(ends[-1]) + 7 >> 3 if len(ids) else 0
+    words = (starts >> 5).astype(np.int32)
+    # Each code in the 64 bits that begin with word number `words`.
+    placed = (found >> 5).astype(np.uint64) << (64 - (starts & 31) - sizes).astype(np.uint64)
+    first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
+    packed = np.zeros((int(ends[-1]) + 31 >> 5) + 1, np.uint64)
+    # Codes share no bit, so sums are unions; a sum of the lower halves never carries.
+    upper = np.add.reduceat(placed >> np.uint64(32), first)
+    packed[words[first]] += upper
+    packed[words[first] + 1] += np.add.reduceat(placed & np.uint64(0xFFFFFFFF), first)
+    size = int(ends[-1]) + 7 >> 3
     return packed.astype(">u4").tobytes()[:size], starts[::every].astype("<u4").tobytes()
 
 
@@ -287,17 +309,16 @@ def joined_crc32(pieces: Iterable[tuple[int, int]]) -> int:
 # --- file sets --------------------------------------------------------------------------------------------------
 
 
-def _counts(rows: DataFrame, dtype: np.dtype) -> dict[int, int]:
-    """How often each id occurs; at most one row per id of the vocabulary comes to the driver."""
+def _counts(rows: DataFrame, dtype: np.dtype, end: int) -> dict[int, int]:
+    """How often each id occurs, an end id after every row included; at most one row per id of the vocabulary comes to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total = np.zeros(end + 1, np.int64)
         for batch in batches:
-            for few in range(0, batch.num_rows, 1024):
-                ids = np.frombuffer(b"".join(v.as_py() for v in batch.column(0).slice(few, 1024)), dtype)
-                found = np.bincount(ids, minlength=len(total))
-                found[: len(total)] += total
-                total = found
+            found = np.bincount(_values(batch.column(0), dtype), minlength=len(total))
+            found[: len(total)] += total
+            total = found
+            total[end] += batch.num_rows
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
@@ -305,6 +326,12 @@ def _counts(rows: DataFrame, dtype: np.dtype) -> dict[int, int]:
     return {row["id"]: row["n"] for row in found.collect()}
 
 
+def _values(ids: pa.Array, dtype: np.dtype) -> np.ndarray:
+    """All values of an array of binary rows without nulls, laid end to end."""
+    ends = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    return np.frombuffer(ids.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]].view(dtype) if len(ids) else np.zeros(0, dtype)
+
+
 def write(
     docs: DataFrame,
     path: str,
@@ -319,8 +346,8 @@ def write(
     """Write the ids of all texts as a file set under `path`."""
     spark = docs.sparkSession
     dtype = id_type(vocabulary)
-    rows = stored(token_rows(docs, key, text, vocabulary, end), "ids")
-    counts = _counts(rows, dtype)
+    rows = stored(token_rows(docs, key, text, vocabulary), "ids")
+    counts = _counts(rows, dtype, end)
     ids = np.asarray(sorted(counts), np.int64)
     lengths = np.zeros(int(ids.max()) + 1 if len(ids) else 0, np.uint8)
     lengths[ids] = limited_lengths(np.asarray([counts[int(i)] for i in ids], np.int64), longest)
@@ -350,19 +377,19 @@ def write(
     keys = pa.struct([("key", to_arrow_type(doc["key"].dataType)), ("begin", pa.int64()), ("at", pa.int64()), ("n", pa.int64())])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, sizes = book.codes()
+        codes, last = book.codes(), np.asarray([end], dtype)
         part, first = TaskContext.get().partitionId(), 0
         waiting, held, n = [], [], 0
 
         def block(ids: np.ndarray, docs_here: list[dict], is_whole: bool) -> pa.RecordBatch:
-            payload, checkpoints = encode_block(ids.astype(np.int64), codes, sizes, every)
+            payload, checkpoints = encode_block(ids, codes, every)
             columns = [pa.array([x], pa.int64()) for x in (part, first, len(ids))]
             columns += [pa.array([is_whole]), pa.array([payload], pa.binary()), pa.array([checkpoints], pa.binary())]
             return pa.RecordBatch.from_arrays([*columns, pa.array([docs_here], pa.list_(keys))], names=schema.names)
 
         for batch in batches:
             for name, value in zip(batch.column(0), batch.column(1), strict=True):
-                ids = np.frombuffer(value.as_py(), dtype)
+                ids = np.append(np.frombuffer(value.as_py(), dtype), last)
                 if n and n + len(ids) > block_ids:
                     yield block(np.concatenate(waiting), held, True)
                     first, waiting, held, n = first + n, [], [], 0
