@@ -17,6 +17,16 @@ UNION ALL SELECT client_id, 'Elsewhere', TRUE, {DAY.format(3)} FROM s_clients WH
     "ingest_marks": """
 SELECT o_custkey AS worker_id, o_orderkey AS contract_id, o_orderdate::DATE AS start_date,
   CASE WHEN o_orderkey % 50 = 1 THEN DATE '2050-12-31' ELSE (o_orderdate::DATE + 30)::DATE END AS end_date FROM orders""",
+    "mart_refresh_monthly_revenue": "SELECT * FROM m_monthly_revenue",
+    "distinct_rollup": " UNION ALL ".join(
+        f"SELECT branch_id, '{grain}' AS grain, DATE_TRUNC('{grain}', start_date)::DATE AS period, "
+        "COUNT(DISTINCT worker_id) AS workers FROM v_assignments WHERE start_date IS NOT NULL GROUP BY 1, 3"
+        for grain in ("day", "week", "month", "quarter", "year")
+    ),
+    "erase_subjects": """
+SELECT o_custkey AS client_id, o_orderkey AS order_id, o_orderstatus, n.lines FROM orders
+LEFT JOIN (SELECT l_orderkey, COUNT(DISTINCT l_linenumber) AS lines FROM lineitem GROUP BY 1) n ON n.l_orderkey = o_orderkey
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)""",
     "merge_touched_partitions": """
 SELECT order_id, client_id, order_date, status, STRFTIME(order_date, 'm%Y-%m') AS part FROM (
   SELECT o_orderkey AS order_id, o_custkey AS client_id,

@@ -228,6 +228,14 @@ SELECT user_id, DATE_TRUNC('week', ts)::DATE AS week, SUM(value::DECIMAL(10,2)):
 FROM events GROUP BY 1, 2""",
 }
 QUERIES |= {
+    "scd2_out_of_order": """
+SELECT client_id, last_priority, last_status, change_hash, valid_from,
+  LEAD(valid_from) OVER (PARTITION BY client_id ORDER BY valid_from) AS valid_to
+FROM (SELECT *, LAG(change_hash) OVER (PARTITION BY client_id ORDER BY valid_from) AS before FROM (
+  SELECT o_custkey AS client_id, o_orderdate::TIMESTAMP AS valid_from, o_orderpriority AS last_priority, o_orderstatus AS last_status,
+    MD5(LENGTH(o_orderpriority) || ':' || o_orderpriority || LENGTH(o_orderstatus) || ':' || o_orderstatus) AS change_hash
+  FROM orders QUALIFY ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) = 1))
+WHERE before IS DISTINCT FROM change_hash""",
     "cdc_merge_on_read": QUERIES["cdc_upsert"],
     "weekly_hours_compacted": QUERIES["weekly_hours_stream"],
 }

@@ -10,15 +10,19 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import bitmaps
+from tallyhouse.plans.gold import refresh
+from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.ingestion import RAW_TABLES, ingest
 from tallyhouse.plans.platform import Load, load_silver
 from tallyhouse.plans.silver import missions
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
 from tallyhouse.plans.staffing import AS_OF
-from tallyhouse.sources.partitioned import by_month, merge_partitions, read_partitioned
+from tallyhouse.sources import erasure
+from tallyhouse.sources.partitioned import by_key, by_month, merge_partitions, read_partitioned
 from tallyhouse.sources.readers import read_raw, read_tolerant
 from tallyhouse.sources.schemas import raw_schema
-from tallyhouse.sources.scratch import fresh_path
+from tallyhouse.sources.scratch import fresh_path, stored
 from tallyhouse.sources.writers import write_raw
 
 DAYS = (date(2002, 1, 1), date(2002, 1, 2), date(2002, 1, 3))
@@ -141,6 +145,94 @@ class Daily(Silver):
         merge_partitions(of(2, again), path, ["order_id"], layout, gone=orders.filter(key % 100 == 7))
         return read_partitioned(self.spark, path)
 
+    @cached_property
+    def refreshed_revenue(self) -> DataFrame:
+        """The monthly revenue from states that three loads have changed.
+
+        Day 1 lacks some invoices and lines, has wrong months and amounts, and invoices that never were; day 2 brings heads,
+        day 3 lines, takes the false invoices away and repeats heads of day 2.
+        """
+        root, key = f"{self.root}/refresh", F.col("invoice_id")
+        heads = self.invoices.select(*self.invoices.columns)
+        lines = self.invoice_lines.select(*self.invoice_lines.columns)
+        late, moved, wrong, false = key % 10 == 3, key % 50 == 1, key % 7 == 0, key % 100 == 7
+
+        def of(day: int, rows: DataFrame) -> DataFrame:
+            return rows.withColumn("_loaded_at", F.lit(datetime(2002, 1, day)))
+
+        def but(rows: DataFrame, **columns: Column) -> DataFrame:
+            return rows.withColumns({name: c.cast(rows.schema[name].dataType) for name, c in columns.items()})
+
+        bad = but(heads, invoice_date=F.when(moved, F.date_add("invoice_date", 40)).otherwise(F.col("invoice_date")),
+                  branch_id=F.when(moved, F.col("branch_id") + 1).otherwise(F.col("branch_id")))
+        bad_lines = but(lines, amount=F.when(wrong, F.col("amount") * 2).otherwise(F.col("amount")))
+        never, never_lines = (but(rows.filter(false), invoice_id=-key) for rows in (heads, lines))
+        days = [
+            (bad.filter(~late).union(never), bad_lines.filter("line_no < 3").union(never_lines), None),
+            (heads.filter(late | moved), lines.filter(late), None),
+            (heads.filter(moved), lines.filter(wrong | (F.col("line_no") >= 3)), never.select("invoice_id")),
+        ]
+        starts = self.assignments
+        states = refresh.revenue_state(root), refresh.started_state(root)
+        billed = refresh.Billed(
+            self.spark, f"{root}/invoices", f"{root}/lines", of(1, heads).schema, of(1, lines).schema
+        )
+        for number, (some_heads, some_lines, gone) in enumerate(days, 1):
+            ids = some_heads.select("invoice_id").union(some_lines.select("invoice_id"))
+            ids = stored((ids if gone is None else ids.union(gone)).distinct(), "ids")
+            before = stored(billed.contributions(ids), "before")
+            gone_lines = None if gone is None else never_lines
+            merge_partitions(of(number, some_heads), billed.invoices_path, ["invoice_id"], billed.heads_layout, gone=gone)
+            merge_partitions(
+                of(number, some_lines), billed.lines_path, ["invoice_id", "line_no"], billed.lines_layout, gone=gone_lines
+            )
+            after = stored(billed.contributions(ids), "after")
+            for _ in range(2):  # a load that is run again changes nothing more
+                refresh.refresh(states[0], before, after, number)
+            part = rev.started_by_month(starts.filter(F.col("contract_id") % len(days) == number - 1))
+            refresh.refresh(states[1], part.limit(0), part, number)
+        by_branch, started = rev.revenue_by_branch(heads, lines), rev.started_by_month(starts)
+        return refresh.monthly_revenue(self.spark, root, by_branch.schema, started.schema, self.clients)
+
+    @cached_property
+    def erased_orders(self) -> DataFrame:
+        """Stored orders and their lines after clients who asked for it were erased: first some of them, then the others."""
+        orders = self.table("orders").select(
+            F.col("o_custkey").alias("client_id"), F.col("o_orderkey").alias("order_id"), "o_orderstatus",
+            F.to_date("o_orderdate").alias("order_date"),
+        )
+        lines = self.table("lineitem").select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"))
+        lines = lines.join(orders.select("order_id", "client_id"), "order_id")
+        root = f"{self.root}/erasure"
+        tables = [
+            erasure.SubjectTable(f"{root}/orders", ["order_id"], by_month("order_date", bloom=["client_id"]), "client_id"),
+            erasure.SubjectTable(f"{root}/lines", ["order_id", "line_no"], by_key(["order_id"], 8, bloom=["client_id"]), "client_id"),
+        ]
+        for table, rows in zip(tables, (orders, lines), strict=True):
+            merge_partitions(rows.withColumn("_loaded_at", F.lit(datetime(2002, 1, 1))), table.path, table.keys, table.layout)
+        asked = self.table("customer").filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("client_id"))
+        first = F.col("client_id") % 20 == 3
+        for some in (asked.filter(first), asked.filter(~first)):
+            erasure.erase_subjects(self.spark, tables, some)
+        counted = read_partitioned(self.spark, tables[1].path).groupBy("order_id").agg(F.count("*").alias("lines"))
+        left = read_partitioned(self.spark, tables[0].path).drop("_loaded_at", "part", "order_date")
+        return left.join(counted, "order_id", "left")
+
+    @cached_property
+    def started_workers(self) -> DataFrame:
+        """Workers that start per branch, counted by day, week, month, quarter and year from bitmaps of two loads."""
+        rows, keys = self.assignments.select("branch_id", "start_date", "worker_id"), ["branch_id"]
+        early = part("worker_id", "start_date", of=3) > 0
+        known, daily = None, None
+        for some in (rows.filter(early), rows.filter(~early)):
+            if known is None:
+                known = stored(bitmaps.numbered(some, "worker_id"), "numbers")
+            else:
+                known = stored(known.unionByName(bitmaps.new_numbers(known, some, "worker_id")), "numbers")
+            fresh = bitmaps.daily_bitmaps(some, known, keys, "start_date", "worker_id")
+            daily = stored(fresh if daily is None else bitmaps.merge_days(daily, fresh, keys), "bitmaps")
+        return bitmaps.rolled_up(daily, keys, "workers")
+
     @cached_property
     def ingested_contracts(self) -> DataFrame:
         """Payroll contracts over two ingestions; some of the first end decades later."""
@@ -180,6 +272,9 @@ DAILY: dict[str, Callable[[Daily], DataFrame]] = {
     ),
     "daily_portfolio": lambda d: _plain(d.portfolio_days.silver("portfolio")),
     "ingest_marks": lambda d: d.ingested_contracts.select("worker_id", "contract_id", "start_date", "end_date"),
+    "mart_refresh_monthly_revenue": lambda d: d.refreshed_revenue,
+    "distinct_rollup": lambda d: d.started_workers,
+    "erase_subjects": lambda d: d.erased_orders,
     "merge_touched_partitions": lambda d: d.placement_days.drop("_loaded_at"),
     "raw_rejects": lambda d: d.counted_lines,
 }

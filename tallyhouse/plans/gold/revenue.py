@@ -46,22 +46,45 @@ def assignment_count() -> Column:
     return F.count(F.lit(1))
 
 
-def monthly_revenue_client(
-    invoices: DataFrame, invoice_lines: DataFrame, assignments: DataFrame, clients: DataFrame
-) -> DataFrame:
-    """(client, month): invoiced, credited, net, documents, hours, mean rate, main branch."""
-    is_invoice, keys = F.col("doc_type") == "F", ["client_id", "month"]
-    by_branch = (
+#: Keys and sums of the state that the monthly revenue is built from; all sums are additive over invoices.
+REVENUE_KEYS = ("client_id", "month", "branch_id")
+REVENUE_SUMS = ("revenue", "credited", "invoices", "billed_hours", "documents")
+
+
+def revenue_by_branch(invoices: DataFrame, invoice_lines: DataFrame) -> DataFrame:
+    """(client, month, branch): the additive state of the monthly revenue, and the documents counted for its mode."""
+    return (
         invoices_with_amounts(invoices, invoice_lines)
         .groupBy("client_id", grain("invoice_date", "month").alias("month"), "branch_id")
         .agg(
             invoiced("amount").alias("revenue"),
             credit("amount").alias("credited"),
-            count_if(is_invoice).alias("invoices"),
+            count_if(F.col("doc_type") == "F").alias("invoices"),
             invoiced("hours").alias("billed_hours"),
             F.count(F.lit(1)).alias("documents"),
         )
     )
+
+
+def started_by_month(assignments: DataFrame) -> DataFrame:
+    """(client, month): assignments that start."""
+    return (
+        assignments.filter(F.col("start_date").isNotNull())
+        .groupBy("client_id", grain("start_date", "month").alias("month"))
+        .agg(assignment_count().alias("assignments"))
+    )
+
+
+def monthly_revenue_client(
+    invoices: DataFrame, invoice_lines: DataFrame, assignments: DataFrame, clients: DataFrame
+) -> DataFrame:
+    """(client, month): invoiced, credited, net, documents, hours, mean rate, main branch."""
+    return monthly_revenue_from(revenue_by_branch(invoices, invoice_lines), started_by_month(assignments), clients)
+
+
+def monthly_revenue_from(by_branch: DataFrame, started: DataFrame, clients: DataFrame) -> DataFrame:
+    """The monthly revenue from its additive states."""
+    keys = ["client_id", "month"]
     monthly = (
         with_mode(by_branch, keys, "branch_id", "documents", "main_branch")
         .groupBy(*keys)
@@ -73,11 +96,6 @@ def monthly_revenue_client(
             F.max("main_branch").alias("main_branch"),
         )
     )
-    started = (
-        assignments.filter(F.col("start_date").isNotNull())
-        .groupBy("client_id", grain("start_date", "month").alias("month"))
-        .agg(assignment_count().alias("assignments"))
-    )
     joined = spine_join(monthly, started, on=["client_id", "month"]).join(
         clients.select("client_id", "client_sk"), "client_id", "left"
     )

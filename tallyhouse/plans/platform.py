@@ -21,6 +21,7 @@ from tallyhouse.plans.gold import clients as cli
 from tallyhouse.plans.gold import dimensions as dim
 from tallyhouse.plans.gold import operations as ops
 from tallyhouse.plans.gold import receivables as rec
+from tallyhouse.plans.gold import refresh as upkeep
 from tallyhouse.plans.gold import reference as ref
 from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.gold import workforce as wrk
@@ -28,7 +29,7 @@ from tallyhouse.plans.silver import billing, branches, clients, loyalty, mission
 from tallyhouse.sources.partitioned import PART, Layout, Merged, by_key, by_month, merge_partitions
 from tallyhouse.sources.readers import InputMissing, read_or_none, read_raw, read_required, read_snapshot
 from tallyhouse.sources.schemas import raw_schema
-from tallyhouse.sources.scratch import stored
+from tallyhouse.sources.scratch import delete_folder, stored
 from tallyhouse.sources.writers import overwrite_table
 
 CALENDAR = (date(2020, 1, 1), date(2035, 12, 31))
@@ -191,8 +192,10 @@ SILVER_TABLES: dict[str, SilverTable] = {
     "invoice_links": SilverTable(lambda x: missions.invoice_links(x.snapshot("wtfacinfo"))),
     "timesheets": _keyed(lambda x: billing.timesheets(x.raw("wtprh")), "sheet_id", month="modified_at"),
     "timesheet_lines": _keyed(lambda x: billing.timesheet_lines(x.raw("wtrhdon")), "sheet_id", "line_no"),
-    "invoices": _keyed(lambda x: billing.invoices(x.raw("wtefac")), "invoice_id", month="invoice_date"),
-    "invoice_lines": _keyed(lambda x: billing.invoice_lines(x.raw("wtlfac")), "invoice_id", "line_no"),
+    "invoices": SilverTable(lambda x: billing.invoices(x.raw("wtefac")), ("invoice_id",), upkeep.INVOICES),
+    "invoice_lines": SilverTable(
+        lambda x: billing.invoice_lines(x.raw("wtlfac")), ("invoice_id", "line_no"), upkeep.INVOICE_LINES
+    ),
     "payments": _keyed(lambda x: billing.payments(x.raw("wtefac"), x.silver("invoices")), "invoice_id"),
     "client_versions": SilverTable(_client_versions, reads_itself=True),
     "sites": SilverTable(lambda x: clients.sites(x.snapshot("wttieserv"))),
@@ -211,6 +214,52 @@ SILVER_TABLES: dict[str, SilverTable] = {
 }
 
 
+PENDING = "states_pending"
+
+
+def _note_contributions(load: Load) -> None:
+    """Before a load: what the invoices that it touches add to the stored revenue state.
+
+    The mark says that the states are behind the silver tables until `load_gold` has caught up.  If an earlier load left it,
+    the states can't be brought up to date by changes, and are computed anew.
+    """
+    spark, mark = load.spark, f"{load.gold_root}/{PENDING}"
+    behind = read_or_none(lambda: spark.read.parquet(mark)) is not None
+    overwrite_table(spark.createDataFrame([(load.now,)], "since timestamp"), mark)
+    if behind or any(load.stored_silver(t) is None for t in ("invoices", "invoice_lines", "assignments")):
+        return
+    heads, lines = billing.invoices(load.raw("wtefac")), billing.invoice_lines(load.raw("wtlfac"))
+    load.stored_once["billed_ids"] = stored(heads.select("invoice_id").union(lines.select("invoice_id")).distinct(), "billed-ids")
+    load.stored_once["billed_before"] = stored(_billed(load).contributions(load.stored_once["billed_ids"]), "billed-before")
+
+
+def _billed(load: Load) -> upkeep.Billed:
+    heads, lines = load.silver("invoices").schema, load.silver("invoice_lines").schema
+    return upkeep.Billed(load.spark, f"{load.silver_root}/invoices", f"{load.silver_root}/invoice_lines", heads, lines)
+
+
+def _started(load: Load, keys: DataFrame) -> DataFrame:
+    return rev.started_by_month(load.silver("assignments").join(keys, missions.KEY, "left_semi"))
+
+
+def refresh_states(load: Load) -> dict[str, list[str]]:
+    """Bring the states of the monthly revenue up to date; returns the months rewritten, nothing where all was rebuilt."""
+    number, root, kept = int(load.now.timestamp()), load.gold_root, load.stored_once
+    revenue, started = upkeep.revenue_state(root), upkeep.started_state(root)
+    done: dict[str, list[str]] = {}
+    if "billed_before" in kept and "started_before" in kept:
+        after = _billed(load).contributions(kept["billed_ids"])
+        done["revenue"] = upkeep.refresh(revenue, kept["billed_before"], after, number)
+        done["started"] = upkeep.refresh(started, kept["started_before"], _started(load, kept["touched"]), number)
+    elif read_or_none(lambda: load.spark.read.parquet(f"{root}/{PENDING}")) is not None:
+        revenue.rebuild(rev.revenue_by_branch(load.silver("invoices"), load.silver("invoice_lines")), number)
+        started.rebuild(rev.started_by_month(load.silver("assignments")), number)
+    delete_folder(load.spark, f"{root}/{PENDING}")
+    for name in ("billed_before", "started_before"):
+        kept.pop(name, None)
+    return done
+
+
 def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
     """Build and store the silver tables.
 
@@ -218,6 +267,8 @@ def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
     says why.
     """
     written = []
+    if only is None:
+        _note_contributions(load)
     for name, table in SILVER_TABLES.items():
         if only is not None and name not in only:
             continue
@@ -228,6 +279,8 @@ def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
             continue
         known = load.stored_silver(name)
         gone = None if known is None or table.touched is None else table.touched(load)
+        if name == "assignments" and "billed_before" in load.stored_once:
+            load.stored_once["started_before"] = stored(_started(load, gone), "started-before")
         if known is not None and fresh.isEmpty() and (gone is None or gone.isEmpty()):
             load.skipped[name] = "the load brought no rows"
             continue
@@ -276,7 +329,8 @@ class Gold:
         invoices, lines = s("invoices"), s("invoice_lines")
         assignments, orders, payments = s("assignments"), s("orders"), s("payments")
         hours, contracts, people = self.contract_hours, self.contracts, self.workers
-        monthly = rev.monthly_revenue_client(invoices, lines, assignments, self.clients)
+        by_branch, started = rev.revenue_by_branch(invoices, lines), rev.started_by_month(assignments)
+        monthly = upkeep.monthly_revenue(self.load.spark, self.load.gold_root, by_branch.schema, started.schema, self.clients)
         detail = asg.assignment_detail(assignments, contracts, hours)
         scorecard = brn.branch_scorecard(invoices, lines, assignments, contracts, hours, orders)
         facts = rec.settlement_facts(invoices, payments, as_of)
@@ -334,7 +388,8 @@ class Gold:
 
 
 def load_gold(load: Load, only: Sequence[str] | None = None) -> list[str]:
-    """Store the gold marts, each a full replacement."""
+    """Store the gold marts, each a full replacement; the monthly revenue is read from its refreshed states."""
+    refresh_states(load)
     marts = Gold(load).marts()
     names = [n for n in marts if only is None or n in only]
     for name in names:

@@ -31,21 +31,25 @@ INDEX_BUCKETS = 64
 
 @dataclass(frozen=True)
 class Layout:
-    """The partition of a row, and whether its key alone decides it; ``spread`` writer tasks share one partition."""
+    """The partition of a row, and whether its key alone decides it; ``spread`` writer tasks share one partition.
+
+    Files carry bloom filters on the ``bloom`` columns.
+    """
 
     part: Callable[[], Column]
     of_key: bool
     spread: int = 4
+    bloom: Sequence[str] = ()
 
 
-def by_month(column: str, spread: int = 4) -> Layout:
+def by_month(column: str, spread: int = 4, bloom: Sequence[str] = ()) -> Layout:
     """A partition per month; rows without a date have one of their own."""
-    return Layout(lambda: F.coalesce(F.date_format(column, "'m'yyyy-MM"), F.lit("m-none")), of_key=False, spread=spread)
+    return Layout(lambda: F.coalesce(F.date_format(column, "'m'yyyy-MM"), F.lit("m-none")), False, spread, bloom)
 
 
-def by_key(keys: Sequence[str], buckets: int = 32, spread: int = 4) -> Layout:
+def by_key(keys: Sequence[str], buckets: int = 32, spread: int = 4, bloom: Sequence[str] = ()) -> Layout:
     """A partition per hash of the key."""
-    return Layout(lambda: F.format_string("k%04d", F.pmod(F.xxhash64(*keys), F.lit(buckets))), of_key=True, spread=spread)
+    return Layout(lambda: F.format_string("k%04d", F.pmod(F.xxhash64(*keys), F.lit(buckets))), True, spread, bloom)
 
 
 @dataclass
@@ -119,7 +123,7 @@ def merge_partitions(
         known = read_partitioned(spark, path, delta.schema)
         if known is None:
             first = stage(newest(delta).withColumns(placed), "first")
-            overwrite_partitions(first, path, [PART], spread=layout.spread)
+            overwrite_partitions(first, path, [PART], spread=layout.spread, bloom=layout.bloom)
             if not layout.of_key:
                 write_index(first, path, keys)
             return Merged(rewritten=_values(first, PART))
@@ -148,7 +152,7 @@ def merge_partitions(
         merged = staying.unionByName(result)
         emptied = sorted({*losing} - {*_values(merged.filter(_one_of(PART, losing)), PART)}) if losing else []
         # The new files are staged while the old ones are read, and swapped in when the job commits.
-        overwrite_partitions(merged, path, [PART], spread=layout.spread)
+        overwrite_partitions(merged, path, [PART], spread=layout.spread, bloom=layout.bloom)
         for part in emptied:  # a partition without rows is not overwritten by itself
             delete_folder(spark, f"{path}/{PART}={part}")
         if not layout.of_key and losing:
@@ -177,3 +181,14 @@ def _drop_places(
     overwrite_partitions(kept, index_path(path), [INDEX_BUCKET])
     for bucket in sorted({*buckets} - {*_values(kept, INDEX_BUCKET)}):
         delete_folder(spark, f"{index_path(path)}/{INDEX_BUCKET}={bucket}")
+
+
+def rows_of(
+    spark: SparkSession, path: str, wanted: DataFrame, keys: Sequence[str], layout: Layout, schema: StructType
+) -> DataFrame:
+    """Stored rows of some keys, read from the partitions that hold them; `schema` is the table's, without the partition."""
+    known = read_partitioned(spark, path, schema)
+    if known is None:
+        return spark.createDataFrame([], schema)
+    places = _places(spark, path, wanted.select(*keys).dropna().distinct(), list(keys), layout, schema)
+    return known.filter(_one_of(PART, _values(places, PART))).join(wanted.select(*keys), list(keys), "left_semi").drop(PART)

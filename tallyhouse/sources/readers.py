@@ -42,11 +42,11 @@ def read_or_empty(read, spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 def read_or_none(read) -> DataFrame | None:
-    """A table, or None where its path does not exist."""
+    """A table, or None where its path does not exist or holds no file."""
     try:
         return read()
     except AnalysisException as error:
-        if not is_missing(error):
+        if not is_missing(error) and error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return None
 

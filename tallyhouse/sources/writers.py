@@ -42,11 +42,17 @@ def overwrite_unless_empty(df: DataFrame, path: str) -> bool:
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, partitions: Sequence[str], rows_per_file: int | None = None, spread: int = 1
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    rows_per_file: int | None = None,
+    spread: int = 1,
+    bloom: Sequence[str] = (),
 ) -> None:
     """Replace only the partitions present in ``df``, so that a re-run gives the same table.
 
-    Rows gather by partition value; ``spread`` writer tasks share one large partition.
+    Rows gather by partition value; ``spread`` writer tasks share one large partition.  Files get bloom filters on the
+    ``bloom`` columns.
     """
     if spread > 1:
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread))
@@ -56,6 +62,8 @@ def overwrite_partitions(
     writer = _table_writer(gathered, "overwrite", partitions).option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
+    for column in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", True)
     writer.parquet(path)
 
 

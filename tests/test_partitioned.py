@@ -5,6 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tallyhouse.sources import erasure
 from tallyhouse.sources import partitioned as tables
 from tallyhouse.sources.scratch import discard, fresh_path, shared_folder, staging
 
@@ -133,3 +134,37 @@ def test_staged_tables_are_deleted(spark, frame):
     with pytest.raises(ValueError):
         discard(spark, "/elsewhere")
     assert shared_folder(spark)
+
+
+def test_erasure_touches_only_partitions_that_hold_a_subject(spark, frame):
+    path = fresh_path(spark, "subjects")
+    layout = tables.by_month("day", bloom=["value"])
+    rows = [(i, f"2026-{i % 6 + 1:02d}-05", f"v{i % 30}") for i in range(600)] + [(1000, "2026-02-01", None)]
+    tables.merge_partitions(load(frame, *rows), path, ["id"], layout)
+    table = erasure.SubjectTable(path, ["id"], layout, "value")
+    asked = frame([("v7",), ("v13",), (None,), ("nobody",)], "value string")  # v7 and v13 are in months 2 only
+    before = files(spark, path)
+    done = erasure.erase_subjects(spark, [table], asked)
+    after = files(spark, path)
+    assert done[path].rewritten == ["m2026-02"] and {p for p in after if after[p] != before[p]} == {"m2026-02"}
+    left = content(spark, path)
+    assert len(left) == 601 - 40 and not {v for _, v, _ in left} & {"v7", "v13"}
+    assert {i for i, _ in index(spark, path)} == {i for i, _, _ in left}
+    assert erasure.erase_subjects(spark, [table], asked)[path].rewritten == []
+
+
+def test_erasure_of_many_subjects_and_of_a_whole_partition(spark, frame, monkeypatch):
+    monkeypatch.setattr(erasure, "LISTED_SUBJECTS", 2)
+    path, layout = fresh_path(spark, "subjects"), tables.by_key(["id"], 4)
+    tables.merge_partitions(load(frame, *[(i, None, f"v{i % 5}") for i in range(100)]), path, ["id"], layout)
+    table = erasure.SubjectTable(path, ["id"], layout, "value")
+    erasure.erase_subjects(spark, [table], frame([(f"v{i}",) for i in range(4)], "value string"))
+    assert {v for _, v, _ in content(spark, path)} == {"v4"}
+    done = erasure.erase_subjects(spark, [table], frame([("v4",)], "value string"))
+    assert len(done[path].emptied) == 4 and tables.read_partitioned(spark, path) is None
+    assert erasure.erase_subjects(spark, [table], frame([("v4",)], "value string"))[path].rewritten == []
+    # rows without a key can't be erased by it
+    bad = fresh_path(spark, "subjects")
+    load(frame, (None, None, "v1"), (2, None, "v2")).withColumn("part", F.lit("k0001")).write.partitionBy("part").parquet(bad)
+    with pytest.raises(erasure.ErasureIncomplete):
+        erasure.erase_subjects(spark, [erasure.SubjectTable(bad, ["id"], layout, "value")], frame([("v1",)], "value string"))

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from tallyhouse.plans.platform import SILVER_TABLES, Gold, Load, load_gold, load_silver
+from tallyhouse.plans.platform import SILVER_TABLES, Gold, Load, load_gold, load_silver, refresh_states
 from tallyhouse.sources.schemas import RAW_COLUMNS, raw_schema
 from tallyhouse.sources.writers import write_bucketed, write_raw
 
@@ -78,12 +78,22 @@ def platform(spark, tmp_path_factory):
     def load(day, now):
         return Load(spark, f"{root}/raw", f"{root}/silver", f"{root}/gold", date(2026, 3, 15), now, "a-salt-for-the-tests", day)
 
-    assert set(load_silver(load(DAY1, datetime(2026, 3, 2)))) == set(SILVER_TABLES)
+    first = load(DAY1, datetime(2026, 3, 2))
+    assert set(load_silver(first)) == set(SILVER_TABLES)
+    assert load_gold(first, ["monthly_revenue_client"]) == ["monthly_revenue_client"]
     second = load(DAY2, datetime(2026, 3, 3))
     written = load_silver(second)
     return second, written
 
 
+def test_second_day_rewrites_its_months_only(platform):
+    load, _ = platform
+    assert load.merges["invoices"].rewritten == ["m2026-03"] and len(load.merges["invoice_lines"].rewritten) == 1
+    assert "assignments" in load.skipped and "timesheets" in load.skipped
+    assert refresh_states(load) == {"revenue": ["m2026-03"], "started": []}
+    assert refresh_states(load) == {}
+
+
 def test_raw_schemas_are_all_fed():
     assert set(RAW_COLUMNS) - set(BATCHES[DAY1]) == {"sf_accounts"}
 
