@@ -12,9 +12,9 @@ After each step a row leaves the block's bitmap
 Rows still in the bitmap when all dimensions are read have exact scores.  Bounds are compared strictly, so ties stay.
 
 The anchors are a stated query set and meet every block: packs of anchors are joined with blocks, broadcast while all packs
-together are below `broadcast_bytes`, else both sides are dealt by (pack, block).  A task holds one pack and one block.  Each
-pair of pack and block gives back at most k rows an anchor (and window); the best k of all blocks are found by rank, which Spark
-reduces before its shuffle.  Blocks are dealt by a hash of the row, so a hot label fills no task.
+together are below `broadcast_bytes`, else both sides are dealt by (pack, block).  A task reads one block after another and keeps the best k rows of each
+anchor (and window) of its packs, which bound the next block's scan from below; it gives back those, and the best k of all
+tasks are found by rank.  Blocks are dealt by a hash of the row, so a hot label fills no task.
 
 Scores are exact integers: doubles while every sum of products stays below 2^53, Python integers beyond, cut to the range of
 a long at the end.
@@ -160,40 +160,64 @@ def kth_largest(values: np.ndarray, k: int):
     return np.sort(values)[-k] if values.dtype == object else np.partition(values, -k)[-k]
 
 
-def nearest(block: Block, anchor: np.ndarray, label: int, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of the k best rows of the anchor's label in a block."""
+Found = tuple[np.ndarray, np.ndarray]  # ids and scores, the best first
+
+
+def better(known: Found | None, ids: np.ndarray, scores: np.ndarray, k: int) -> Found:
+    """The k best of those known and new ones."""
+    if known is not None:
+        ids, scores = np.concatenate([known[0], ids]), np.concatenate([known[1], scores])
+    first = best(scores, ids, k)
+    return ids[first], scores[first]
+
+
+def bar_of(known: Found | None, k: int):
+    """What a score must reach to be among the k best, so far."""
+    return known[1][-1] if known is not None and len(known[1]) == k else None
+
+
+def nearest(block: Block, anchor: np.ndarray, label: int, own: int, k: int, known: Found | None = None) -> Found:
+    """The k best rows of the anchor's label in a block and among those known from other blocks."""
     start, stop = block.rows_of(label)
+    bar = bar_of(known, k)
 
     def keep(lower: np.ndarray, upper: np.ndarray) -> np.ndarray:
-        return upper >= kth_largest(lower, k) if len(lower) > k else np.ones(len(lower), bool)
+        stays = upper >= kth_largest(lower, k) if len(lower) > k else np.ones(len(lower), bool)
+        return stays if bar is None else stays & (upper >= bar)
 
     rows, scores = scan(block, anchor, start, stop, block.ids[start:stop] != own, keep)
-    found = best(scores, block.ids[rows], k)
-    return block.ids[rows[found]], scores[found]
+    return better(known, block.ids[rows], scores, k)
 
 
 def inside(
-    block: Block, anchor: np.ndarray, label: int, own: int, windows: list[tuple[int, int]], k: int
-) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each window (least, most score) ids and scores of the k best rows of other labels in a block."""
+    block: Block,
+    anchor: np.ndarray,
+    label: int,
+    own: int,
+    windows: list[tuple[int, int]],
+    k: int,
+    known: list[Found | None] | None = None,
+) -> list[Found]:
+    """For each window (least, most score) the k best rows of other labels in a block and among those known."""
     start, stop = block.rows_of(label)
     alive = block.ids != own
     alive[start:stop] = False
+    known = known or [None] * len(windows)
+    bars = [least if (bar := bar_of(found, k)) is None else max(least, bar) for (least, _), found in zip(windows, known, strict=True)]
 
     def keep(lower: np.ndarray, upper: np.ndarray) -> np.ndarray:
         stays = np.zeros(len(lower), bool)
-        for least, most in windows:
+        for (least, most), bar in zip(windows, bars, strict=True):
             sure = lower[(lower >= least) & (upper <= most)]
-            bar = max(least, kth_largest(sure, k)) if len(sure) >= k else least
-            stays |= (upper >= bar) & (lower <= most)
+            reach = max(bar, kth_largest(sure, k)) if len(sure) >= k else bar
+            stays |= (upper >= reach) & (lower <= most)
         return stays
 
     rows, scores = scan(block, anchor, 0, len(block.ids), alive, keep)
-    results = []
-    for least, most in windows:
-        held = np.flatnonzero((scores >= least) & (scores <= most))
-        held = held[best(scores[held], block.ids[rows[held]], k)]
-        results.append((block.ids[rows[held]], scores[held]))
+    ids, results = block.ids[rows], []
+    for (least, most), found in zip(windows, known, strict=True):
+        held = (scores >= least) & (scores <= most)
+        results.append(better(found, ids[held], scores[held], k))
     return results
 
 
@@ -268,50 +292,35 @@ def mine(
             )
             yield Block(dims, n, ids, labels, columns), pack, Block(dims, pack_n, pack_ids, pack_labels, pack_columns), i
 
+    # A task keeps the best rows of its packs over all blocks it reads: each block is held against what others gave.
+
     def search_positives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, dict[tuple[int, ...], Found]] = {}
         for batch in batches:
             for block, pack, anchors, _ in held(batch):
-                places, found, scores = [], [np.zeros(0, np.int64)], []
+                mine = kept.setdefault(pack, {})
                 for place, own in enumerate(anchors.ids.tolist()):
-                    ids, got = nearest(block, anchors.columns[:, place].copy(), int(anchors.labels[place]), own, positives)
-                    places += [place] * len(ids)
-                    found.append(ids)
-                    scores.append(_longs(got))
-                ids = np.concatenate(found)
-                arrays = [pa.array([pack] * len(places), pa.int64()), pa.array(places, pa.int32()), _ids(ids)]
-                score = pa.concat_arrays(scores) if scores else pa.array([], pa.int64())
-                yield pa.RecordBatch.from_arrays([*arrays, score], names=["pack", "place", "found", "score"])
+                    vector, label = anchors.columns[:, place].copy(), int(anchors.labels[place])
+                    mine[place,] = nearest(block, vector, label, own, positives, mine.get((place,)))
+        yield from _rows(kept, ["place"])
 
     def search_negatives(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["pack", "place", "positive", "found", "score"]
+        kept: dict[int, dict[tuple[int, ...], Found]] = {}
         for batch in batches:
             for block, pack, anchors, row in held(batch):
+                mine = kept.setdefault(pack, {})
                 windows: dict[int, list[tuple[int, int, int]]] = {}
                 for place, number, score in (tuple(w.values()) for w in batch.column(10)[row].as_py()):
                     # low% <= score <= high% in whole numbers
                     least, most = -(-low_percent * score // 100), high_percent * score // 100
                     if least <= most:
                         windows.setdefault(place, []).append((number, least, most))
-                out = {name: [] for name in names[1:3]}
-                found, scores = [np.zeros(0, np.int64)], []
                 for place, asked in windows.items():
-                    got = inside(
-                        block,
-                        anchors.columns[:, place].copy(),
-                        int(anchors.labels[place]),
-                        int(anchors.ids[place]),
-                        [(least, most) for _, least, most in asked],
-                        negatives,
-                    )
-                    for (number, _, _), (ids, score) in zip(asked, got, strict=True):
-                        out["place"] += [place] * len(ids)
-                        out["positive"] += [number] * len(ids)
-                        found.append(ids)
-                        scores.append(_longs(score))
-                arrays = [pa.array([pack] * len(out["place"]), pa.int64())]
-                arrays += [pa.array(out[name], pa.int32()) for name in names[1:3]]
-                score = pa.concat_arrays(scores) if scores else pa.array([], pa.int64())
-                yield pa.RecordBatch.from_arrays([*arrays, _ids(np.concatenate(found)), score], names=names)
+                    vector, label, own = anchors.columns[:, place].copy(), int(anchors.labels[place]), int(anchors.ids[place])
+                    known = [mine.get((place, number)) for number, _, _ in asked]
+                    found = inside(block, vector, label, own, [w[1:] for w in asked], negatives, known)
+                    mine |= {(place, number): some for (number, _, _), some in zip(asked, found, strict=True)}
+        yield from _rows(kept, ["place", "positive"])
 
     both = pairs(packs, blocks, broadcast_bytes).select(cells)
     near = both.mapInArrow(search_positives, "pack long, place int, found long, score long")
@@ -333,6 +342,17 @@ def mine(
     )
 
 
+def _rows(kept: dict[int, dict[tuple[int, ...], Found]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """A batch per pack: pack, the parts of the key, id found, score."""
+    for pack, found in kept.items():
+        sizes = [len(ids) for ids, _ in found.values()]
+        keys = np.repeat(np.asarray(list(found), np.int64).reshape(len(found), len(names)), sizes, axis=0)
+        arrays = [pa.array(np.full(len(keys), pack), pa.int64()), *(pa.array(keys[:, i], pa.int32()) for i in range(len(names)))]
+        arrays.append(_ids(np.concatenate([np.zeros(0, np.int64), *(ids for ids, _ in found.values())])))
+        arrays.append(pa.concat_arrays([pa.array([], pa.int64()), *(_longs(scores) for _, scores in found.values())]))
+        yield pa.RecordBatch.from_arrays(arrays, names=["pack", *names, "found", "score"])
+
+
 def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The id of each anchor by pack and place."""
     for batch in batches:
