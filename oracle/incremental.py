@@ -228,6 +228,21 @@ SELECT user_id, DATE_TRUNC('week', ts)::DATE AS week, SUM(value::DECIMAL(10,2)):
 FROM events GROUP BY 1, 2""",
 }
 QUERIES |= {
+    "expectations_incremental": QUERIES["expectations_report"],
+    "reconcile_file": QUERIES["reconcile_revenue"],
+    "append_checked": """
+SELECT YEAR(o_orderdate)::INT AS order_year, COUNT(*) AS source_rows, COUNT(*) AS added_rows, COUNT(*) AS stored_rows FROM orders GROUP BY 1""",
+    "empty_source_guard": """
+SELECT step, step IN (0, 2) AS replaced, rows_left, key_sum FROM (SELECT UNNEST([0, 1, 2, 3])::INT AS step),
+  (SELECT COUNT(*) AS rows_left, SUM(c_custkey)::BIGINT AS key_sum FROM customer WHERE c_custkey % 2 = 0)""",
+    "run_counters": """
+SELECT event_type, COUNT(*) AS processed, COUNT(*) FILTER (WHERE value < 10 OR value IS NULL) AS rejected,
+  NULLIF(COUNT(*) FILTER (WHERE value >= 10), 0) AS written FROM events GROUP BY 1""",
+    "hours_per_contract_bucketed": """
+SELECT a.worker_id, a.contract_id, a.client_id, a.branch_id, a.start_date, c.pay_rate, c.bill_rate, c.trade_id,
+  h.hours_paid, h.hours_billed, h.line_bill_rate
+FROM v_assignments a LEFT JOIN v_contracts c ON c.worker_id = a.worker_id AND c.contract_id = a.contract_id
+LEFT JOIN v_hours h ON h.worker_id = a.worker_id AND h.contract_id = a.contract_id""",
     "scd2_out_of_order": """
 SELECT client_id, last_priority, last_status, change_hash, valid_from,
   LEAD(valid_from) OVER (PARTITION BY client_id ORDER BY valid_from) AS valid_to

@@ -103,6 +103,65 @@ def run_expectations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def expectation_states(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(rule, good, base): additive counts of one batch for every rule but uniqueness, from one aggregate."""
+    rows, cells = F.count(F.lit(1)), []
+    for rule in rules:
+        missing = rule.column is not None and rule.column not in df.columns
+        if rule.kind == "unique" and not missing:
+            continue
+        if rule.kind == "exists" or missing:
+            good, base = F.lit(0 if missing else 1), F.lit(1)
+        elif rule.kind == "row_count":
+            good = base = rows
+        else:
+            good = F.count_if(_compliant(rule))
+            base = rows if rule.kind == "not_null" else F.count(F.col(rule.column))
+        counts = [F.coalesce(c, F.lit(0)).cast("long").alias(name) for name, c in (("good", good), ("base", base))]
+        cells.append(F.struct(F.lit(rule.name).alias("rule"), *counts))
+    return df.agg(F.array(*cells).alias("r")).select(F.inline("r"))
+
+
+def value_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """(rule, value, n): additive counted values of one batch for its uniqueness rules."""
+    parts = [
+        df.filter(F.col(rule.column).isNotNull())
+        .groupBy(F.lit(rule.name).alias("rule"), F.col(rule.column).cast("string").alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        for rule in rules
+        if rule.kind == "unique" and rule.column in df.columns
+    ]
+    empty = df.limit(0).select(F.lit("").alias("rule"), F.lit("").alias("value"), F.lit(0).cast("long").alias("n"))
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
+def report_from_states(states: DataFrame, values: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The report of `run_expectations` on all batches whose states and counted values are given."""
+    spark = states.sparkSession
+    limits = [(r.args.get("min"), r.args.get("max")) if r.kind == "row_count" else (None, None) for r in rules]
+    asked = [
+        (r.name, r.kind, float(r.mostly), *(None if x is None else float(x) for x in limit))
+        for r, limit in zip(rules, limits, strict=True)
+    ]
+    declared = spark.createDataFrame(asked, "rule string, kind string, mostly double, low double, high double")
+    summed = states.groupBy("rule").agg(F.sum("good").alias("good"), F.sum("base").alias("base"))
+    merged = values.groupBy("rule", "value").agg(F.sum("n").alias("n"))
+    counted = merged.groupBy("rule").agg(F.coalesce(F.sum(F.when(F.col("n") == 1, 1)), F.lit(0)).alias("good"), F.sum("n").alias("base"))
+    known = declared.join(summed.unionByName(counted), "rule", "left").fillna(0, ["good", "base"])
+    share = F.coalesce(F.try_divide(F.col("good").cast("double"), F.col("base").cast("double")), F.lit(1.0))
+    rows, whole = F.col("base").cast("double"), F.col("kind") == "exists"
+    observed = F.when(F.col("kind") == "row_count", rows).when(whole, F.floor(share).cast("double")).otherwise(share)
+    low = F.coalesce("low", F.lit(0.0))
+    threshold = F.when(F.col("kind") == "row_count", low).when(whole, 1.0).otherwise(F.col("mostly"))
+    enough = (rows >= low) & (rows <= F.coalesce("high", rows))
+    return known.withColumns({"exact": observed, "threshold": threshold}).select(
+        "rule",
+        round_to("exact", 6).alias("observed"),
+        "threshold",
+        F.when(F.col("kind") == "row_count", enough).otherwise(F.col("exact") >= F.col("threshold")).alias("passed"),
+    )
+
+
 def reconcile(
     actual: DataFrame, expected: DataFrame, key: str, measure: str, tolerance_pct: float = 0.5
 ) -> DataFrame:

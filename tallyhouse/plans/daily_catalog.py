@@ -56,7 +56,7 @@ class Daily(Silver):
             batch = conform(rows, table)
             write_raw(batch, self.root + "/raw", table, day, f"b{day.day}", F.col("_loaded_at"))
 
-    def load(self, day: date, only: list[str]) -> Load:
+    def load_day(self, day: date, only: list[str]) -> Load:
         """One day's load; returns it for a look at its tables."""
         now = datetime(day.year, day.month, day.day, 5)
         load = Load(self.spark, f"{self.root}/raw", f"{self.root}/silver", f"{self.root}/gold", AS_OF, now, SAMPLE_SALT, day)
@@ -84,10 +84,10 @@ class Daily(Silver):
             wtfinmiss=self.wtfinmiss,
             pymtfcnt=self.pymtfcnt,
         )
-        self.load(day1, names)
+        self.load_day(day1, names)
         left = self.wtcmd.filter(F.col("CMD_ID") % 40 != 7)
         self.deliver(day2, wtmiss=self.wtmiss.filter(own), wtcnti=self.wtcnti.filter(amended), wtcmd=left)
-        return self.load(day2, names)
+        return self.load_day(day2, names)
 
     def daily_assignments(self, table: str) -> DataFrame:
         """A table of `assignment_days`; the days are run once for both."""
@@ -100,22 +100,22 @@ class Daily(Silver):
         """Day 2 lacks the attributes of the clients; on day 3 every third client has moved."""
         day1, day2, day3 = DAYS
         self.deliver(day1, wttieserv=self.wttieserv, wtclpt=self.wtclpt)
-        self.load(day1, ["client_versions"])
+        self.load_day(day1, ["client_versions"])
         self.deliver(day2, wttieserv=self.wttieserv)
-        self.load(day2, ["client_versions"])
+        self.load_day(day2, ["client_versions"])
         moved = F.when(F.col("TIE_ID") % 3 == 0, F.lit("Elsewhere")).otherwise(F.col("TIES_VILLE"))
         self.deliver(day3, wttieserv=self.wttieserv.withColumn("TIES_VILLE", moved), wtclpt=self.wtclpt)
-        return self.load(day3, ["client_versions"])
+        return self.load_day(day3, ["client_versions"])
 
     @cached_property
     def portfolio_days(self) -> Load:
         """On day 2 the links to every fourth branch are gone, on day 3 nothing comes."""
         day1, day2, day3 = DAYS
         self.deliver(day1, wtugpint=self.wtugpint)
-        self.load(day1, ["portfolio"])
+        self.load_day(day1, ["portfolio"])
         self.deliver(day2, wtugpint=self.wtugpint.filter(F.col("RGPCNT_ID") % 4 != 0))
-        self.load(day2, ["portfolio"])
-        return self.load(day3, ["portfolio"])
+        self.load_day(day2, ["portfolio"])
+        return self.load_day(day3, ["portfolio"])
 
     @cached_property
     def placement_days(self) -> DataFrame:

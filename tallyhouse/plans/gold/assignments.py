@@ -44,6 +44,32 @@ def hours_per_contract(timesheets: DataFrame, timesheet_lines: DataFrame) -> Dat
     )
 
 
+def sheet_hours(timesheets: DataFrame, timesheet_lines: DataFrame) -> DataFrame:
+    """(sheet): worker, contract and the sums of its lines; the fact that is stored by (worker, contract)."""
+    sheets = timesheets.dropna(subset=KEY).select("sheet_id", *KEY)
+    sums = [
+        F.sum("hours_paid").alias("paid"),
+        F.sum("hours_billed").alias("billed"),
+        F.max("bill_rate").alias("rate"),
+    ]
+    return join_preaggregated(sheets, timesheet_lines, ["sheet_id"], sums)
+
+
+def contract_facts(assignments: DataFrame, contracts: DataFrame, sheets: DataFrame) -> DataFrame:
+    """(worker, contract): assignment, newest contract and hours.
+
+    Tables stored in the same buckets of (worker, contract) are aggregated and joined where they lie, without a shuffle.
+    """
+    hours = sheets.groupBy(*KEY).agg(
+        F.sum("paid").cast("decimal(12,2)").alias("hours_paid"),
+        F.sum("billed").cast("decimal(12,2)").alias("hours_billed"),
+        F.max("rate").alias("line_bill_rate"),
+    )
+    heads = contracts.select(*KEY, "pay_rate", "bill_rate", "trade_id")
+    placed = assignments.select(*KEY, "client_id", "branch_id", "start_date")
+    return placed.join(heads, KEY, "left").join(hours, KEY, "left")
+
+
 def assignments_distinct(assignments: DataFrame) -> DataFrame:
     """Distinct (worker, contract, client, branch)."""
     return assignments.dropna(subset=KEY).select(*KEY, "client_id", "branch_id").distinct()

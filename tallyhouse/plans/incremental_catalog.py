@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import cached_property, reduce
@@ -15,17 +16,20 @@ from tallyhouse.operators import versions as ver
 from tallyhouse.operators.dedup import current_versions, latest_by
 from tallyhouse.operators.joins import horizon_join
 from tallyhouse.operators.quality import Rule
+from tallyhouse.plans.gold import assignments as asg
 from tallyhouse.plans.silver.skills import CERTIFICATION, DEGREE, EXPERIENCE, TRADE
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
-from tallyhouse.sources.readers import load_partitions, read_optional_table, read_tolerant
+from tallyhouse.sources.readers import load_partitions, read_delimited, read_optional_table, read_tolerant
 from tallyhouse.sources.scratch import fresh_path, stored
-from tallyhouse.streaming import alerts, change_log, changes, ingest, weekly
+from tallyhouse.sources.writers import append_checked, overwrite_unless_empty, write_bucketed
+from tallyhouse.streaming import alerts, change_log, changes, ingest, spans, weekly
 
 # Instants of the three sample loads of the client state.
 LOADS = (datetime(1996, 7, 1), datetime(1998, 7, 1), datetime(2001, 8, 2))
 STATE_TRACKED = ("last_priority", "last_status")
 EVENTS_SINCE = datetime(2024, 1, 15)
 MIN_SCORE = 0.5
+BUCKETS = 16
 HORIZON = date(1998, 1, 1)
 
 # The expectation suites.
@@ -182,22 +186,56 @@ class Incremental(Silver):
 
     # -- quality -----------------------------------------------------------
 
-    @cached_property
-    def expectations(self) -> DataFrame:
-        tables = {
+    def _expected_tables(self) -> dict[str, DataFrame]:
+        return {
             "workers": self.worker_staging.withColumn("worker_sk", key_hash("worker_id")),
             "skills": self.skill_table,
             "worker_activity": self.worker_activity,
             "assignment_detail": self.assignment_detail,
         }
+
+    @cached_property
+    def expectations(self) -> DataFrame:
         reports = [
-            quality.run_expectations(tables[suite], rules).withColumn("suite", F.lit(suite))
-            for suite, rules in SUITES.items()
+            quality.run_expectations(table, SUITES[suite]).withColumn("suite", F.lit(suite))
+            for suite, table in self._expected_tables().items()
         ]
         return reduce(DataFrame.unionByName, reports)
 
+    @cached_property
+    def expectations_by_day(self) -> DataFrame:
+        """The expectations from the stored states of three days, each of which was read once; the second one twice."""
+        reports = []
+        for suite, table in self._expected_tables().items():
+            root, rules = fresh_path(self.spark, f"states-{suite}"), SUITES[suite]
+            key = next(rule.column for rule in rules if rule.column)
+            for day in (0, 1, 2, 1):
+                rows = table.filter(F.pmod(F.xxhash64(key), F.lit(3)) == day)
+                states, values = quality.expectation_states(rows, rules), quality.value_counts(rows, rules)
+                spans.write_batch(states, f"{root}/states", day)
+                spans.write_batch(values, f"{root}/values", day)
+            states = spans.read_batches(self.spark, f"{root}/states", states.schema)
+            values = spans.read_batches(self.spark, f"{root}/values", values.schema)
+            reports.append(quality.report_from_states(states, values, rules).withColumn("suite", F.lit(suite)))
+        return reduce(DataFrame.unionByName, reports)
+
     @cached_property
     def reconciliation(self) -> DataFrame:
+        return self._reconciled(lambda expected: expected)
+
+    @cached_property
+    def reconciliation_with_file(self) -> DataFrame:
+        """The same with the reference in a delimited file, whose headers are written in another case and padded."""
+
+        def through_file(expected: DataFrame) -> DataFrame:
+            path = fresh_path(self.spark, "reference")
+            named = expected.select(F.col("net").alias(" Net "), F.col("period").alias("PERIOD"), F.lit("x").alias("note"))
+            named.write.option("sep", ";").option("header", True).csv(path)
+            return read_delimited(self.spark, path, expected.select("period", "net").schema)
+
+        return self._reconciled(through_file)
+
+    def _reconciled(self, reference: Callable[[DataFrame], DataFrame]) -> DataFrame:
         """Monthly revenue against a reference that drifts per year (0.4 %, 1 %, none)."""
         actual = self.monthly_revenue_client.groupBy(F.date_format("month", "yyyy-MM").alias("period")).agg(
             F.sum("net_revenue").cast("decimal(18,2)").alias("net")
@@ -205,7 +243,7 @@ class Incremental(Silver):
         year = F.left("period", F.lit(4))
         factor = F.when(year == "1996", 1.004).when(year == "1997", 1.01).when(year == "2001", 0.0).otherwise(1.0)
         expected = actual.withColumn("net", F.col("net").cast("double") * factor)
-        return quality.reconcile(actual, expected, "period", "net")
+        return quality.reconcile(actual, reference(expected), "period", "net")
 
     @cached_property
     def drift(self) -> DataFrame:
@@ -227,6 +265,64 @@ class Incremental(Silver):
         )
         return {n: self.table(n) for n in names}
 
+    @cached_property
+    def bucketed_facts(self) -> DataFrame:
+        """Assignments, contracts and hours from tables in the same buckets of (worker, contract)."""
+        keys, names = list(asg.KEY), {}
+        facts = {
+            "assignments": self.assignments.dropna(subset=keys),
+            "contracts": asg.contract_heads(self.contracts.withColumn("_loaded_at", F.col("start_date").cast("timestamp"))),
+            "sheet_hours": asg.sheet_hours(self.timesheets, self.timesheet_lines),
+        }
+        for name, rows in facts.items():
+            names[name] = f"{name}_{uuid.uuid4().hex}"
+            write_bucketed(rows, names[name], keys, BUCKETS)
+        return asg.contract_facts(*[self.spark.table(names[name]) for name in facts])
+
+    # -- writers -----------------------------------------------------------
+
+    @cached_property
+    def appended(self) -> DataFrame:
+        """Orders appended year by year through the integrity gate: what it counted, and what the table holds."""
+        path, orders = fresh_path(self.spark, "appended"), self.table("orders")
+        year = F.year("o_orderdate")
+        years = [row[0] for row in orders.select(year.alias("y")).distinct().orderBy("y").collect()]  # one for each year
+        counts = []
+        for y in years:
+            rows = orders.filter(year == y)
+            counted = append_checked(rows, path, dry_run=y % 2 == 0)
+            if y % 2 == 0:
+                counted["added_rows"] = append_checked(rows, path)["added_rows"]
+            counts.append((y, counted["source_rows"], counted["added_rows"]))
+        report = self.spark.createDataFrame(counts, "order_year int, source_rows long, added_rows long")
+        stored_rows = self.spark.read.parquet(path).groupBy(year.alias("order_year")).agg(F.count("*").alias("stored_rows"))
+        return report.join(stored_rows, "order_year", "left")
+
+    @cached_property
+    def guarded(self) -> DataFrame:
+        """Clients per segment: the target keeps its rows when a source delivers nothing, and is replaced when it does."""
+        path = fresh_path(self.spark, "guarded")
+        customers = self.table("customer").select("c_custkey", "c_mktsegment")
+        wanted = [F.lit(True), F.col("c_custkey") < 0, F.col("c_custkey") % 2 == 0, F.col("c_custkey").isNull()]
+        outcomes = [(i, overwrite_unless_empty(customers.filter(some), path)) for i, some in enumerate(wanted)]
+        steps = self.spark.createDataFrame(outcomes, "step int, replaced boolean")
+        left = self.spark.read.parquet(path).agg(F.count("*").alias("rows_left"), F.sum("c_custkey").alias("key_sum")).first()
+        return steps.withColumns({name: F.lit(value).cast("long") for name, value in left.asDict().items()})
+
+    @cached_property
+    def counted_run(self) -> DataFrame:
+        """Processed and rejected rows of each event type, counted by the pass that writes them."""
+        path = fresh_path(self.spark, "counted")
+        valid = F.col("value") >= 10
+        counts = []
+        for kind in [row[0] for row in self.table("events").select("event_type").distinct().collect()]:  # a handful
+            rows, seen = quality.observe_rows(self.table("events").filter(F.col("event_type") == kind), valid, f"rows-{kind}")
+            rows.filter(valid).write.mode("append").parquet(path)
+            counts.append((kind, seen.get["processed"], seen.get["rejected"]))
+        report = self.spark.createDataFrame(counts, "event_type string, processed long, rejected long")
+        written = self.spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("written"))
+        return report.join(written, "event_type", "left")
+
     # -- streams -----------------------------------------------------------
 
     def _event_stream(self) -> DataFrame:
@@ -400,7 +496,13 @@ INCREMENTAL: dict[str, Callable[[Incremental], DataFrame]] = {
         m.table("lineitem"), m.table("orders"), {"l_orderkey": "o_orderkey"}, "o_orderdate", HORIZON
     ),
     "expectations_report": lambda m: m.expectations,
+    "expectations_incremental": lambda m: m.expectations_by_day,
     "reconcile_revenue": lambda m: m.reconciliation,
+    "reconcile_file": lambda m: m.reconciliation_with_file,
+    "append_checked": lambda m: m.appended,
+    "empty_source_guard": lambda m: m.guarded,
+    "run_counters": lambda m: m.counted_run,
+    "hours_per_contract_bucketed": lambda m: m.bucketed_facts,
     "schema_drift": lambda m: m.drift,
     "schema_drift_by_domain": lambda m: quality.drift_by_domain(m.drift),
     "table_probe": lambda m: quality.table_probe(m.all_tables()),

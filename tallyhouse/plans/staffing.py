@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import key_hash, round_to
 from tallyhouse.operators.dedup import latest_by, top_per_group
-from tallyhouse.sources.scratch import shared
+from tallyhouse.sources.scratch import fingerprint, shared
 
 # Reference day of the recency marts on these tables.
 AS_OF = date(2001, 8, 1)
@@ -66,7 +66,12 @@ class StaffingViews:
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return shared(self.spark, self.folder, name, build)
+        return shared(self.spark, self.load, name, build)
+
+    @cached_property
+    def load(self) -> str:
+        """The input folder and the state of its files."""
+        return f"{self.folder} {fingerprint(self.spark, self.folder)}"
 
     # -- line versions -----------------------------------------------------
 

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 SETTING = "spark.checkpoint.dir"
@@ -87,10 +88,25 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
 _shared: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """The state of a folder's Parquet files: how many, how large, how old.  Tables written anew have another one."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    listed = files.load(folder).select("length", F.unix_micros("modificationTime").alias("at"))
+    found = listed.agg(F.count("*"), F.sum("length"), F.max("at"), F.sum(F.col("at").cast("decimal(20,0)"))).first()
+    return "-".join(str(value) for value in found)
+
+
+def forget_shared(spark: SparkSession) -> None:
+    """Delete the tables that `shared` has written in this application."""
+    own = [key for key in _shared if key[0] == spark.sparkContext.applicationId]
+    for key in own:
+        discard(spark, _shared.pop(key)[0])
+
+
 def shared(spark: SparkSession, load: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
     """A table that several results of one load read: written by the first of them, read by all.
 
-    ``load`` names the input, which must not change while the application runs.
+    ``load`` names the input and its state, see `fingerprint`.
     """
     key = (spark.sparkContext.applicationId, load, name)
     if key not in _shared:
