@@ -35,6 +35,7 @@ from tallyhouse.plans.gold import (
 )
 from tallyhouse.plans.silver.loyalty import loyalty
 from tallyhouse.plans.staffing import AS_OF, StaffingViews
+from tallyhouse.sources.scratch import known_shared
 
 
 class Marts(StaffingViews):
@@ -44,6 +45,14 @@ class Marts(StaffingViews):
         """A mart as a stored table of this load."""
         return self.shared(f"mart-{name}", lambda: getattr(self, name))
 
+    def at_hand(self, name: str) -> DataFrame:
+        """For a report that reads a mart once: the stored mart if the load has written it, else the lazy one.
+
+        The report's filter then reaches the mart's files or, without them, the tables that the mart is built from.
+        """
+        known = known_shared(self.spark, self.load, f"mart-{name}")
+        return getattr(self, name) if known is None else known
+
     @cached_property
     def contract_hours(self) -> DataFrame:
         return self.stored("hours_per_contract")

@@ -71,8 +71,17 @@ SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
         closed(m.stored("termination_rate")),
         closed(m.stored("billing_coefficient")),
     ),
-    "load_weekly_revenue": lambda m: sem.load_weekly_revenue(m.stored("weekly_revenue_branch"), AS_OF),
-    "load_scorecard": lambda m: sem.load_scorecard(m.stored("branch_ranking"), AS_OF),
-    "load_client_360": lambda m: sem.load_client_360(m.stored("client_360")),
+    "load_weekly_revenue": lambda m: sem.load_weekly_revenue(m.at_hand("weekly_revenue_branch"), AS_OF),
+    "load_scorecard": lambda m: sem.load_scorecard(m.at_hand("branch_ranking"), AS_OF),
+    "load_client_360": lambda m: sem.load_client_360(m.at_hand("client_360")),
     "status_by_month": lambda m: status_by_month(m.end_status, m.assignments, STATUS_SINCE),
 }
+
+#: Marts that the load stores for the reports which must answer at once.
+LOADED_MARTS = ("weekly_revenue_branch", "branch_ranking", "client_360")
+
+
+def load_marts(marts: Marts) -> None:
+    """The load's part of those reports."""
+    for name in LOADED_MARTS:
+        marts.stored(name)

@@ -113,5 +113,10 @@ def shared(spark: SparkSession, load: str, name: str, build: Callable[[], DataFr
         df, path = build(), fresh_path(spark, name)
         df.write.option("compression", "zstd").parquet(path)
         _shared[key] = (path, df.schema)
-    path, schema = _shared[key]
-    return spark.read.schema(schema).parquet(path)
+    return known_shared(spark, load, name)
+
+
+def known_shared(spark: SparkSession, load: str, name: str) -> DataFrame | None:
+    """A shared table if it has been written."""
+    found = _shared.get((spark.sparkContext.applicationId, load, name))
+    return None if found is None else spark.read.schema(found[1]).parquet(found[0])
