@@ -2,9 +2,14 @@
 
 Iterative quantisation learns, on a bounded sample, rotations of the centred vectors that make balanced binary codes
 with little loss; several starts give codes of any length.  A code is cut into tables of `s` bits; two vectors are
-retrieved if a table has them in one bucket and their whole codes are within a Hamming radius.  The number of
-tables follows from the rate at which a bit differs for two vectors just at the threshold (the larger of the angle's and the
-one measured on the sample), so that such a pair shares no table with probability `miss` at most; closer pairs meet more surely.
+retrieved if a table has them in one bucket and their whole codes are within a Hamming radius.
+
+Bits differ at unlike rates for unlike pairs (a dense cluster far from the centre, a strong common mean), so nothing is
+derived from a mean rate.  Pairs just at the threshold are made from the sample in three ways: along random directions, along
+differences of vectors of the sample, and those that the sample holds itself.  Tables are added until the pairs of each
+kind that share none are at most a share `miss` of it, and the radius holds all but as many of them.  The bits of a table are
+those that cost least, by the rows sent and the pairs met in buckets of the sample.  Only where no number of tables up to
+`MOST_TABLES` keeps the promise are all vectors compared in blocks.
 
 1. Equal vectors become one node with a count, so a very common vector costs one row.
 2. Codes only, 30 to 60 bytes a row, go to the buckets; a vector leaves a bucket only if it has a partner there.
@@ -45,6 +50,8 @@ class Codes:
 
     def keys(self, vectors: np.ndarray) -> np.ndarray:
         """Bucket of each vector in each table."""
+        if not self.table_bits:  # one bucket for all
+            return np.zeros((len(vectors), 1), np.int64)
         ones = (unit(vectors) - self.centre) @ self.projections > 0
         grouped = ones.reshape(len(vectors), self.tables, self.table_bits)
         return grouped @ (1 << np.arange(self.table_bits, dtype=np.int64))
@@ -66,6 +73,37 @@ def rotation(data: np.ndarray, rng: np.random.Generator, rounds: int) -> np.ndar
     return turn
 
 
+def pairs_at(threshold: float, data: np.ndarray, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors with a cosine at the threshold (the last kind: a little above), made from a sample."""
+
+    def turned(away: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        away = away - (away * data).sum(1, keepdims=True) * data
+        norms = np.linalg.norm(away, axis=1)
+        some = norms > 1e-9
+        away = away[some] / norms[some, None]
+        return data[some], threshold * data[some] + math.sqrt(max(0.0, 1 - threshold**2)) * away
+
+    other, third = (data[rng.permutation(len(data))] for _ in range(2))
+    kinds = [turned(rng.normal(size=data.shape)), turned(other - third)]
+    left, right = [], []
+    for at in range(0, len(data), 512):  # pairs that the sample holds
+        cosines = data[at : at + 512] @ data.T
+        i, j = np.nonzero((cosines >= threshold) & (cosines < threshold + (1 - threshold) / 4))
+        left.append((i + at)[i + at < j])
+        right.append(j[i + at < j])
+    i, j = np.concatenate(left), np.concatenate(right)
+    if len(i) > len(data):
+        some = rng.permutation(len(i))[: len(data)]
+        i, j = i[some], j[some]
+    kinds.append((data[i], data[j]))
+    return [kind for kind in kinds if len(kind[0])]
+
+
+#: Seconds that a row in a bucket costs (coded, sent, sorted, sent again with its vector) and that a pair of rows in one costs.
+ROW_COST, PAIR_COST = 1e-5, 1e-8
+MOST_TABLES = 512
+
+
 def learn(sample: np.ndarray, n: int, threshold: float, miss: float, rounds: int = 20, seed: int = 11) -> Codes:
     """Codes for `n` vectors like those of the sample."""
     rng = np.random.default_rng(seed)
@@ -73,25 +111,53 @@ def learn(sample: np.ndarray, n: int, threshold: float, miss: float, rounds: int
     centre = data.mean(0)
     d = data.shape[1]
     _, axes = np.linalg.eigh((data - centre).T @ (data - centre))
-    axes = axes.T
-    projected = (data - centre) @ axes.T
-    angle = math.acos(threshold)
-    # The rate at which bits differ for pairs at the threshold, along random directions.
-    away = rng.normal(size=data.shape)
-    away -= (away * data).sum(1, keepdims=True) * data
-    norms = np.linalg.norm(away, axis=1, keepdims=True)
-    near = threshold * data + math.sin(angle) * away / np.where(norms > 0, norms, 1)
-    turns = [rotation(projected, rng, rounds)]
-    differ = ((near - centre) @ (axes.T @ turns[0]) > 0) != (projected @ turns[0] > 0)
-    rate = min(0.4, max(angle / math.pi, float(differ.mean())))
-    bits = int(np.clip(round(math.log2(max(n, 2))) - 3, 6, 30))
-    tables = math.ceil(math.log(miss) / math.log(1 - (1 - rate) ** bits))
-    while len(turns) * d < bits * tables:
-        turns.append(rotation(projected, rng, rounds))
-    projections = np.concatenate([axes.T @ turn for turn in turns], axis=1)[:, : bits * tables]
-    expected = rate * bits * tables
-    radius = math.ceil(expected + 5 * math.sqrt(expected * (1 - rate)))
-    return Codes(centre, projections, bits, tables, radius)
+    tested = data[rng.permutation(len(data))[:4000]]
+    kinds = pairs_at(threshold, tested, rng)
+    projected = (tested - centre) @ axes
+    turns: list[np.ndarray] = []
+
+    def projections(bits: int) -> np.ndarray:
+        while len(turns) * d < bits:
+            turns.append(axes @ rotation(projected, rng, rounds))
+        return np.concatenate(turns, axis=1)[:, :bits]
+
+    def differ(bits: int) -> list[np.ndarray]:
+        directions = projections(bits)
+        return [((a - centre) @ directions > 0) != ((b - centre) @ directions > 0) for a, b in kinds]
+
+    def tables_for(bits: int, rates: list[np.ndarray]) -> int:
+        """Tables with which the mean chance of sharing none is small enough for every kind of pairs."""
+        count = 1
+        for rate in rates:
+            apart = 1 - (1 - rate) ** bits
+            while count <= MOST_TABLES and (apart**count).mean() > miss:
+                count = count + 1 + count // 8
+        return count
+
+    rates = [found.mean(1) for found in differ(max(256, 4 * d))]
+    mine, others = tested[: len(tested) // 2], tested[len(tested) // 2 :][: len(tested) // 2]
+    signs = [(x - centre) @ projections(60) > 0 for x in (mine, others[: len(mine)])]
+    choices = []
+    for bits in range(4, 31):
+        tables = tables_for(bits, rates)
+        if tables > MOST_TABLES:
+            break
+        # How often two vectors of the sample share a bucket; a count of none stands for less than one.
+        shared = [(signs[0][:, at : at + bits] == signs[1][:, at : at + bits]).all(1).mean() for at in range(0, 60 - bits + 1, bits)]
+        alike = max(float(np.mean(shared)), 2.0**-bits) if len(mine) else 1.0
+        choices.append((tables * (n * ROW_COST + n * n / 2 * alike * PAIR_COST), bits, tables))
+    if not choices:  # one bucket for all, in blocks
+        return Codes(centre, np.zeros((d, 0)), 0, 1, 0)
+    _, bits, tables = min(choices)
+    while True:  # the tables as they are, on the pairs
+        found = differ(bits * tables)
+        tables_met = [(~x.reshape(len(x), tables, bits).any(2)).any(1) for x in found]
+        if tables >= MOST_TABLES or all(1 - met.mean() <= miss for met in tables_met):
+            break
+        tables = tables + 1 + tables // 6
+    apart = [x[met].sum(1) for x, met in zip(found, tables_met, strict=True) if met.any()]
+    radius = max((math.ceil(np.quantile(counts, 1 - miss / 2)) for counts in apart), default=0)
+    return Codes(centre, projections(bits * tables), bits, tables, radius + math.ceil(0.02 * bits * tables))
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -191,13 +257,13 @@ def _tables(codes: Codes):
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = codes.table_bits * codes.tables
-        padding = -width % 64
+        padding = -width % 64 if width else 64
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 values = part.column(1).flatten().to_numpy().astype(float).reshape(part.num_rows, -1)
                 keys = codes.keys(values)
-                bits = (keys[:, :, None] >> np.arange(codes.table_bits) & 1).astype(np.uint8).reshape(len(keys), -1)
+                bits = (keys[:, :, None] >> np.arange(codes.table_bits) & 1).astype(np.uint8).reshape(len(keys), width)
                 bits = np.pad(bits, ((0, 0), (0, padding)))
                 code = [row.tobytes() for row in np.packbits(bits, axis=1, bitorder="little")]
                 n = part.num_rows

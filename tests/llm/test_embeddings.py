@@ -43,6 +43,58 @@ def test_recall_and_exactness(spark, vectors, chunk_rows):
     assert np.mean([r["component"] == want for r, want in zip(found, least, strict=True)]) >= 0.99
 
 
+def partners(base, cosine, rng):
+    """A vector at a cosine from each given one."""
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    away = rng.normal(size=unit.shape) * base.std(0)
+    away -= (away * unit).sum(1, keepdims=True) * unit
+    return cosine * unit + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away, axis=1, keepdims=True)
+
+
+def shapes():
+    """Vectors as embeddings may lie, each with a partner just above the threshold."""
+    rng = np.random.default_rng(9)
+    n, d = 1200, 64
+    mean = rng.normal(size=d)
+    mean *= 3 * np.sqrt(d) / np.linalg.norm(mean)
+    wide = rng.normal(size=(n, d))
+    yield "isotropic", wide
+    yield "shifted", wide + mean
+    yield "mixed", np.concatenate([wide[: n // 2], 4 * mean + 0.9 * np.linalg.norm(mean) / 3 * wide[n // 2 :] / 4])
+    yield "decaying", wide * (0.9 ** np.arange(d))
+    yield "cone", 0.7 * wide + mean / 3
+
+
+@pytest.mark.parametrize("name, base", list(shapes()), ids=lambda x: x if isinstance(x, str) else "")
+def test_recall_on_shapes(spark, name, base):
+    rng = np.random.default_rng(4)
+    vectors = np.concatenate([base, partners(base, 0.951, rng)])
+    table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = embedding_dups.near_duplicates(table).orderBy("vec_id").collect()
+    links, _ = brute_force(vectors)
+    got = np.array([r["n_links"] for r in found])
+    recall = got.sum() / links.sum()
+    codes = embedding_dups.learn(vectors, len(vectors), 0.95, 0.002)
+    print(f"{name}: {links.sum()} links, recall {recall:.4f}, {codes.tables} tables of {codes.table_bits} bits")
+    assert codes.table_bits  # by codes, not in blocks
+    assert (got <= links).all() and recall >= 0.99
+
+
+def test_query_with_planted_partners(spark, tmp_path):
+    """The sample vectors hold no link of their own, so every tenth gets a partner."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
+    base = np.array([r["embedding"] for r in given.orderBy("vec_id").collect()], np.float64)
+    planted = partners(base[::10], 0.951, np.random.default_rng(6))
+    rows = [(10**6 + i, row.tolist()) for i, row in enumerate(planted)]
+    both = given.union(spark.createDataFrame(rows, given.schema)).selectExpr("*", "0 AS label")
+    both.write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = op2_embedding_near_duplicates(spark, str(tmp_path)).where("n_links > 0").collect()
+    vectors = np.array([r["embedding"] for r in both.orderBy("vec_id").collect()], np.float64)
+    links, _ = brute_force(vectors)
+    assert links.sum() >= 2 * len(planted)
+    assert sum(r["n_links"] for r in found) >= 0.99 * links.sum()
+
+
 def test_codes_are_balanced(vectors):
     codes = embedding_dups.learn(vectors, len(vectors), 0.95, 0.002)
     keys = codes.keys(vectors)
