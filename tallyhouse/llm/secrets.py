@@ -1,13 +1,19 @@
 """Secret scans: candidate strings in texts, judged by a random forest.
 
-A candidate is a run of at least 12 characters of keys and tokens in a word that holds a digit or assigns to a name such as
-`password`.  Its features are its length and alphabet, transitions between classes of characters, how much of it words
-from a dictionary of placeholders and identifiers cover, the path, and the neighbouring words (credential and digest
-names, assignments, quotes).  The forest is trained on labelled findings and turned into SQL conditions, so that a scan is SQL
+A candidate is
+
+* a run of at least 12 characters of keys and tokens that holds a digit or stands in a word that assigns to a name such as
+  `password`; a signed token of several parts is one run;
+* a value of at least 6 characters of any kind that is assigned to such a name, in the same word, after spaces, in quotes;
+* the password in a URL's user info.
+
+Its features are its length and alphabet, transitions between classes of characters, how much of it words from a dictionary of
+placeholders and identifiers cover, the path, and the neighbouring words before and after it (credential and digest names,
+assignments, quotes, prose).  The forest is trained on labelled findings and turned into SQL conditions, so that a scan is SQL
 functions in one pass over the texts: no shuffle, no Python.
 
 `planted_findings` makes labelled findings from a table of documents: values from hashes of the documents, set
-between their words in the ways of `KINDS`, labelled by construction.  At most `sample_rows` documents (those with the
+between their words in the ways of `KINDS`, labelled by construction: the labels are synthetic, so accuracy is measured on kinds left out of the training.  At most `sample_rows` documents (those with the
 smallest hash of their key) give one finding of each kind.  Findings labelled by hand have the same columns.
 
 Edge cases: a null or empty text has no candidates; a null path is an empty path; a candidate that occurs several times
@@ -28,20 +34,28 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.texts import let, whole, words
 from tallyhouse.sources.scratch import stored
 
-RUN = r"[A-Za-z0-9+/_\-]{12,}={0,2}"
-#: An assignment to a name that begins so and goes on for at most 64 characters.
-ASSIGNING = r"(?i)(?:pass|pwd|token|secret|key|auth|cred)\w{0,64}[\"']?[=:]"
-#: Texts that can hold a candidate: a run with a digit, or a name that is assigned to.  Runs are tried from their beginning only,
-#: so a very long run costs no more than its length.
-HINT = rf"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]{{12}})[A-Za-z+/_\-]*+[0-9]|{ASSIGNING}"
-CREDENTIAL = r"pass(?:word|wd|phrase)?|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer"
+RUN = r"eyJ[A-Za-z0-9_\-]{5,}+(?:\.[A-Za-z0-9_\-]{5,}+){1,2}|[A-Za-z0-9+/_\-]{12,}={0,2}"
+CREDENTIAL = (
+    r"pass(?:word|wd|phrase|code)?(?![a-z])|pwd|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|account[_-]?key|cred|"
+    r"auth(?!or)|bearer"
+)
+ASSIGNING = r"(?i)(?:pass|pwd|token|secret|key|auth|cred)"
+#: A name, an assignment and what is assigned in one word; a name begins where none goes on, so a long word is read once.
+NAME = r"[^=:&?;,{(\s\"'`]"
+PAIR = rf"(?<!{NAME}){NAME}++[\"'`]?[=:]++[\"'`]?[^\s\"'`,;&]{{6,}}"
+OPEN_PAIR = rf"(?<!{NAME}){NAME}++[\"'`]?[=:]++[\"'`]?$"
+ASSIGNED = r"^[^=:]*+[=:]++[\"'`]?(.*)$"
+USER_INFO = r"://[^/\s:@]*+:([^/\s@]{3,})@"
+#: Texts that can hold a candidate: a run with a digit, or an assignment.  Runs are tried from their beginning only, so a very
+#: long run costs no more than its length.
+HINT = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z0-9+/_\-]{12})[A-Za-z+/_\-]*+[0-9]|" + rf"(?i)(?:{CREDENTIAL})|://[^/\s:@]*+:[^/\s@]"
 DIGEST = r"\b(?:sha-?[0-9]*|md5|commit|checksum|digest|hash|etag|uuid|guid|revision|rev|integrity|blob|tree|version|build|order|card|id)\b"
-ISSUED = r"^(?:AKIA|ASIA|ghp_|gho_|github_pat_|glpat-|sk_live_|rk_live_|xox[abp]-|AIza|SG)"
+ISSUED = r"^(?:AKIA|ASIA|ghp_|gho_|github_pat_|glpat-|sk_live_|rk_live_|xox[abprs]-|AIza|SG\.|eyJ)"
 #: Parts of placeholders and identifiers.
 DICTIONARY = (
     "example|sample|test|dummy|fake|your|here|change|placeholder|insert|redacted|default|demo|foo|bar|xxxx|1234|abcd|token|"
     "secret|password|key|name|file|page|user|admin|data|index|list|table|image|photo|report|guide|chapter|section|version|"
-    "release|http|www|com|org|net|mail|the|and|tion|ing"
+    "release|http|www|com|org|net|mail|the|and|tion|ing|none|null|true|false|undefined|required|enabled|disabled|optional|string"
 )
 TEST_PATH = r"(?i)test|spec|example|sample|fixture|mock|docs?/"
 
@@ -66,11 +80,17 @@ FEATURES = {
     "digest_near": lambda c: F.lower(c["before"]).rlike(DIGEST).cast("int"),
     "assigned": lambda c: c["before"].rlike(r"[=:]\s*[\"']?$").cast("int"),
     "quoted": lambda c: c["before"].rlike(r"[\"']$").cast("int"),
+    "symbols": lambda c: F.regexp_count(c["value"], F.lit(r"[^A-Za-z0-9+/_\-=.]")) / F.length(c["value"]),
+    "code": lambda c: c["value"].rlike(r"[(){}\[\]<>]|\*\*|\.\.|^\$").cast("int"),
+    "user_info": lambda c: c["before"].rlike(r"://[^/\s:@]*+:$").cast("int"),
+    "closed": lambda c: c["after"].rlike(r"^[\"'`@]").cast("int"),
+    "prose_after": lambda c: c["after"].rlike(r"^[.,]? \p{Ll}+[.,]? \p{Ll}+").cast("int"),
+    "credential_after": lambda c: F.lower(c["after"]).rlike(CREDENTIAL).cast("int"),
     "test_path": lambda c: c["path"].rlike(TEST_PATH).cast("int"),
 }
 
 #: How a finding is set between words: name, before, value, after, path, label.  {h} is a hash in hex, {H} in capitals and digits,
-#: {d} in digits, {b} in letters of both cases and digits, {w} a word of the document.
+#: {X} in capital hex, {d} in digits, {l} in letters, {b} in letters of both cases and digits, {s} in these and symbols, {w} a word of the document.
 KINDS = [
     ("token", '{w} token = "', "{h40}", '" {w}', "src/{w}.py", 1),
     ("password", "{w} {w} password=", "{h18}", " {w}", "conf/{w}.env", 1),
@@ -79,8 +99,31 @@ KINDS = [
     ("bearer", "{w} Authorization: Bearer ", "{b36}", " {w}", "", 1),
     ("issued access key", "{w} {w} {w} ", "AKIA{H16}", " {w}", "", 1),
     ("issued token", "{w} {w} ", "ghp_{b36}", " {w}", "{w}.txt", 1),
+    ("word password", "{w} {w} password=", "{w}{d2}", " {w}", "conf/{w}.env", 1),
+    ("symbol password", '{w} pwd="', "{s12}", '" {w}', "src/{w}.py", 1),
+    ("short symbol password", "{w} passwd: ", "{s8}", " {w}", "", 1),
+    ("passphrase", "{w} password = ", "{w}{w}{w}{w}", " {w}", "", 1),
+    ("settings password", 'DB_PASS: "', "{s11}", '" {w}', "conf/{w}.yml", 1),
+    ("url password", "{w} {w} https://{w}:", "{b10}", "@{w}.example/x {w}", "", 1),
+    ("url word password", "{w} postgres://{w}:", "{w}{d1}", "@db/{w} {w}", "", 1),
+    ("chat token", "{w} {w} ", "xoxb-{d12}-{b24}", " {w}", "", 1),
+    ("chat token with words", "{w} {w} ", "xoxp-1234{d8}-abcd{l16}", " {w}", "", 1),
+    ("issued key with words", "{w} {w} ", "sk_live_{w}{b20}", " {w}", "src/{w}.py", 1),
+    ("cloud key", "{w} key ", "AIza{b35}", " {w}", "", 1),
+    ("signed token", "{w} {w} ", "eyJ{b20}.eyJ{b40}.{b43}", " {w}", "", 1),
+    ("assigned word", "{w} password: ", "{w}", " {w} {w}", "", 0),
+    ("spoken of", "{w} the token: ", "{w}", ", {w} {w}", "", 0),
+    ("keyword", "{w} token = ", "undefined", " {w}", "src/{w}.js", 0),
+    ("setting", "{w} auth: ", "required", " {w}", "conf/{w}.yml", 0),
+    ("variable", "{w} password=", "${PASSWORD}", " {w}", "conf/{w}.env", 0),
+    ("call", "{w} secret = ", "read_secret({w})", " {w}", "src/{w}.py", 0),
+    ("mask", "{w} password: ", "**********", " {w}", "", 0),
+    ("url", "{w} {w} https://{w}.example:8080/", "{w}/{w}-2024/{w}", " {w}", "", 0),
+    ("type", "{w} password: ", "string;", " {w}", "src/{w}.ts", 0),
     ("commit", "{w} fixed in commit ", "{h40}", " {w}", "CHANGES.md", 0),
     ("digest", "{w} sha256: ", "{h64}", " {w}", "", 0),
+    ("fingerprint", "{w} {w} ", "{X40}", " {w}", "", 0),
+    ("key fingerprint", "{w} key ", "{X40}", ", {w}", "", 0),
     ("hash in prose", "{w} {w} {w} ", "{h32}", " {w}", "", 0),
     ("uuid", "{w} id=", "{h8}-{h4}-{h4}-{h4}-{h12}", " {w}", "src/{w}.py", 0),
     ("card number", "{w} {w} {w} ", "{d16}", " {w}", "", 0),
@@ -98,24 +141,47 @@ KINDS = [
 
 
 def candidates(text: Column, path: Column) -> Column:
-    """Candidates of a text: array of structs of place (word number), value, before and path; null if there are none."""
+    """Candidates of a text: array of structs of place (word number), value, before, after and path; null if there are none."""
+
+    def names_credential(pair: Column) -> Column:
+        return F.lower(F.regexp_extract(pair, r"^[^=:]*+", 0)).rlike(CREDENTIAL)
 
     def in_word(found: Column, i: Column) -> Column:
         word = F.get(found, i)
+        one, two = (F.coalesce(F.get(found, i - back), F.lit("")) for back in (1, 2))
 
         def described(value: Column) -> Column:
             left = [F.coalesce(F.get(found, i - back), F.lit("")) for back in (3, 2, 1)]
-            before = F.concat_ws(" ", *left, F.call_function("substring_index", word, value, F.lit(1)))
-            return F.struct(i.cast("long").alias("place"), value.alias("value"), before.alias("before"), path.alias("path"))
-
-        runs = F.regexp_extract_all(word, F.lit(RUN), F.lit(0))
-        fits = F.filter(runs, lambda run: run.rlike("[0-9]") | word.rlike(ASSIGNING))
-        return F.transform(fits, described)
+            start = F.call_function("substring_index", word, value, F.lit(1))
+            before = F.concat_ws(" ", *left, start)
+            rest = F.substring(word, F.length(start) + F.length(value) + 1, F.length(word))
+            after = F.concat_ws(" ", rest, *[F.coalesce(F.get(found, i + on), F.lit("")) for on in (1, 2)])
+            return F.struct(
+                i.cast("long").alias("place"), value.alias("value"), before.alias("before"), after.alias("after"), path.alias("path")
+            )
+
+        assigns = word.rlike(ASSIGNING)
+        runs = F.filter(F.regexp_extract_all(word, F.lit(RUN), F.lit(0)), lambda run: run.rlike("[0-9]") | assigns)
+        pairs = F.filter(F.regexp_extract_all(word, F.lit(PAIR), F.lit(0)), names_credential)
+        assigned = F.transform(pairs, lambda pair: F.regexp_extract(pair, ASSIGNED, 1))
+        # The name stands in the word before, or before a word that is the assignment.
+        opened = names_credential(F.regexp_extract(one, OPEN_PAIR, 0)) | (
+            one.rlike(r"^(?:=|:|:=|=>)$") & F.lower(two).rlike(CREDENTIAL)
+        )
+        bare = F.regexp_extract(word, r"^[\"'`]?([^\s\"'`,;]{6,})", 1)
+        spaced = F.when(opened & (bare != ""), F.array(bare)).otherwise(F.array().cast("array<string>"))
+        info = F.when(word.contains("://"), F.regexp_extract_all(word, F.lit(USER_INFO), F.lit(1)))
+        values = F.concat(runs, assigned, spaced, F.coalesce(info, F.array().cast("array<string>")))
+        # A part of another candidate of the word goes with it.
+        apart = F.filter(
+            F.array_distinct(values), lambda v: ~F.exists(values, lambda other: (other != v) & other.contains(v))
+        )
+        return F.transform(apart, described)
 
     def of(found: Column) -> Column:
         places = F.when(F.size(found) > 0, F.sequence(F.lit(0), F.size(found) - 1))
-        held = F.filter(places, lambda i: F.get(found, i).rlike(RUN))
-        return F.flatten(F.transform(held, lambda i: in_word(found, i)))
+        long = F.filter(places, lambda i: F.length(F.get(found, i)) >= 6)
+        return F.flatten(F.transform(long, lambda i: in_word(found, i)))
 
     return F.when(text.rlike(HINT), let(words(text), of))
 
@@ -138,20 +204,24 @@ def planted_findings(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     def filled(pattern: str, salt: str) -> Column:
         """The pattern with its marks replaced."""
         parts = []
-        for number, part in enumerate(re.split(r"(\{\w+\})", pattern)):
+        for number, part in enumerate(re.split(r"(\{[a-zA-Z]\d*\})", pattern)):
             mark, own = part.strip("{}"), hexed(f"{salt}/{number}")
-            if not part.startswith("{"):
+            if not re.fullmatch(r"\{[a-zA-Z]\d*\}", part):
                 parts.append(F.lit(part))
             elif mark == "w":
+                bare = F.transform("w", lambda word: F.regexp_replace(word, "[.,]", ""))
                 picked_word = F.pmod(F.xxhash64("key", F.lit(f"{salt}/{number}")), F.greatest(F.size("w"), F.lit(1)))
-                parts.append(F.coalesce(F.get("w", picked_word.cast("int")), F.lit("word")))
+                parts.append(F.coalesce(F.get(bare, picked_word.cast("int")), F.lit("word")))
             else:
                 kind, size = mark[0], int(mark[1:])
                 made = {
                     "h": own,
                     "H": F.translate(F.upper(own), "01", "XQ"),
+                    "X": F.upper(own),
+                    "l": F.translate(own, "0123456789", "ghjkmnpqrs"),
                     "d": F.translate(own, "abcdef", "123456"),
                     "b": F.regexp_replace(F.base64(F.unhex(own)), "[^A-Za-z0-9]", ""),
+                    "s": F.translate(F.regexp_replace(F.base64(F.unhex(own)), "[^A-Za-z0-9]", ""), "ABCDEFGHabcd", "!@#$%^*!@#$%"),
                 }[kind]
                 parts.append(F.substring(made, 1, size))
         return F.concat(*parts)
