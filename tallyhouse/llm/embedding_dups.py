@@ -100,7 +100,7 @@ def pairs_at(threshold: float, data: np.ndarray, rng: np.random.Generator) -> li
 
 
 #: Seconds that a row in a bucket costs (coded, sent, sorted, sent again with its vector) and that a pair of rows in one costs.
-ROW_COST, PAIR_COST = 1e-5, 1e-8
+ROW_COST, PAIR_COST = 1e-5, 1.5e-7
 MOST_TABLES = 512
 
 
