@@ -230,6 +230,7 @@ FROM events GROUP BY 1, 2""",
 QUERIES |= {
     "expectations_incremental": QUERIES["expectations_report"],
     "reconcile_file": QUERIES["reconcile_revenue"],
+    "declaration_alert_live": QUERIES["missing_declaration_alert"],
     "append_checked": """
 SELECT YEAR(o_orderdate)::INT AS order_year, COUNT(*) AS source_rows, COUNT(*) AS added_rows, COUNT(*) AS stored_rows FROM orders GROUP BY 1""",
     "empty_source_guard": """

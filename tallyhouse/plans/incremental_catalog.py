@@ -22,7 +22,7 @@ from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
 from tallyhouse.sources.readers import load_partitions, read_delimited, read_optional_table, read_tolerant
 from tallyhouse.sources.scratch import fresh_path, stored
 from tallyhouse.sources.writers import append_checked, overwrite_unless_empty, write_bucketed
-from tallyhouse.streaming import alerts, change_log, changes, ingest, spans, weekly
+from tallyhouse.streaming import alerts, change_log, changes, ingest, live_alerts, spans, weekly
 
 # Instants of the three sample loads of the client state.
 LOADS = (datetime(1996, 7, 1), datetime(1998, 7, 1), datetime(2001, 8, 2))
@@ -388,6 +388,16 @@ class Incremental(Silver):
         schema = weekly.weekly_sums(sheets, ["user_id"], "ts", "hours").schema
         return weekly.weekly_totals(weekly.stored_sums(self.spark, target, schema), ["user_id"])
 
+    @cached_property
+    def live_alerts(self) -> DataFrame:
+        """The alerts that stand after the events came in files of no order of time."""
+        target, mark = (fresh_path(self.spark, name) for name in ("live-log", "live-mark"))
+        starts, declared = self._starts_and_declarations(self._event_batches(5))
+        log = live_alerts.watch(live_alerts.events(starts, declared, "worker_id"), hold_ms=1)
+        live_alerts.run_until_quiet(live_alerts.start_watch(log, target, mark), hold_ms=1)
+        found = live_alerts.standing(read_optional_table(self.spark, target, log.schema))
+        return found.withColumnRenamed("key", "worker_id")
+
     @cached_property
     def weekly_stream(self) -> DataFrame:
         """All events, through the stored sums of the micro-batches."""
@@ -519,6 +529,7 @@ INCREMENTAL: dict[str, Callable[[Incremental], DataFrame]] = {
     "cdc_upsert": lambda m: m.upserted,
     "cdc_merge_on_read": lambda m: m.merged_on_read,
     "missing_declaration_alert": lambda m: m.alerts_stream,
+    "declaration_alert_live": lambda m: m.live_alerts,
     "weekly_hours_stream": lambda m: m.weekly_stream,
     "weekly_hours_compacted": lambda m: m.weekly_compacted,
 }
