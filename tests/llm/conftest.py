@@ -18,6 +18,7 @@ TABLES = {
     "documents": DOCUMENTS,
     "embeddings": "vec_id long, embedding array<float>, label int, node long, copies string",
     "pages": "page_id long, url string, html string, key string, text string",
+    "conversations": "conv_id long, turn long, role string, text string, conv string, times string",
     "labels": "doc_id long, quality int, toxic int, text string",
 }
 
@@ -65,7 +66,12 @@ def folders(spark, tmp_path_factory, odd_documents):
         (0, None, None), (1, "", ""), (2, "http://[", "<p>a"), (3, "http://h.example/", "<article><p>x &amp; y</article>"),
         (3, "http://h.example/", "<article><p>x &amp; y</article>"), (None, "http://h.example/", "<"),
     ]
+    conversations = [
+        (0, None, None, None), (1, 0, "user", "Hi."), (1, 1, "assistant", "Hello."), (1, 1, "assistant", "Hello."), (2, 3, "", ""),
+        (None, None, "system", " \n"), (None, 2, "tool", "x" * 300_000), (3, 2**40, "user", "\x00 é\U0001f600?"), (3, 7, "bot", "a\nb"),
+    ]
     odd = {
+        "conversations": [(*row, "x", "y") for row in conversations],
         "documents": odd_documents,
         "embeddings": [(i, v, 0, 1, "x") for i, v in embeddings],
         "pages": [(*row, "x", "y") for row in pages],

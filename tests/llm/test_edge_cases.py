@@ -21,6 +21,17 @@ def test_one_row_for_each_row(spark, folders, name):
     assert len(rows) == table(spark, folders["odd"], PER_ROW[name]).count()
 
 
+def test_one_row_for_each_conversation(spark, folders):
+    found = [r["conv_id"] for r in QUERIES["op11_conversation_repair"](spark, folders["odd"]).collect()]
+    assert sorted(found, key=str) == sorted([0, 1, 2, 3, None], key=str)
+
+
+def test_anchors_with_odd_vectors(spark, folders):
+    found = QUERIES["op12_hard_negatives"](spark, folders["odd"])
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert found.count() == 0  # the only row divisible by 50 has no vector
+
+
 def test_empty_pipeline(spark, folders):
     assert corpus_pipeline.run(spark, folders["empty"]).count() == 0
 
