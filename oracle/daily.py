@@ -1,6 +1,6 @@
 """SQL of the loads over several days: always over the whole history at once."""
 
-from oracle import silver
+from oracle import gold, silver
 
 DAY = "DATE '2002-01-0{}'"
 
@@ -17,6 +17,7 @@ UNION ALL SELECT client_id, 'Elsewhere', TRUE, {DAY.format(3)} FROM s_clients WH
     "ingest_marks": """
 SELECT o_custkey AS worker_id, o_orderkey AS contract_id, o_orderdate::DATE AS start_date,
   CASE WHEN o_orderkey % 50 = 1 THEN DATE '2050-12-31' ELSE (o_orderdate::DATE + 30)::DATE END AS end_date FROM orders""",
+    "mart_refresh_placement_delay": gold.QUERIES["placement_delay"],
     "mart_refresh_monthly_revenue": "SELECT * FROM m_monthly_revenue",
     "distinct_rollup": " UNION ALL ".join(
         f"SELECT branch_id, '{grain}' AS grain, DATE_TRUNC('{grain}', start_date)::DATE AS period, "

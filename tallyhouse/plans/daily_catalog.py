@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import bitmaps
+from tallyhouse.plans.gold import operations as ops
 from tallyhouse.plans.gold import refresh
 from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.ingestion import RAW_TABLES, ingest
@@ -194,6 +195,26 @@ class Daily(Silver):
         by_branch, started = rev.revenue_by_branch(heads, lines), rev.started_by_month(starts)
         return refresh.monthly_revenue(self.spark, root, by_branch.schema, started.schema, self.clients)
 
+    @cached_property
+    def refreshed_delays(self) -> DataFrame:
+        """The placement delays from counted values that two loads have changed; the first had wrong delays and branches."""
+        root, rows = f"{self.root}/delays", self.assignments
+        state = refresh.delay_state(root)
+        slow, astray, late = F.col("worker_id") % 7 == 0, F.col("worker_id") % 11 == 0, F.col("contract_id") % 3 == 2
+        wrong = rows.filter(~late).withColumns(
+            {
+                "placement_delay_hours": F.when(slow, F.col("placement_delay_hours") + 100)
+                .otherwise(F.col("placement_delay_hours"))
+                .cast(rows.schema["placement_delay_hours"].dataType),
+                "branch_id": F.when(astray, F.col("branch_id") + 1).otherwise(F.col("branch_id")),
+            }
+        )
+        loads = [(wrong.limit(0), wrong), (wrong.filter(slow | astray), rows.filter(late | slow | astray))]
+        for number, (before, after) in enumerate(loads, 1):
+            for _ in range(2):  # a load that is run again changes nothing more
+                refresh.refresh(state, ops.delay_counts(before), ops.delay_counts(after), number)
+        return refresh.placement_delays(self.spark, root, ops.delay_counts(rows).schema)
+
     @cached_property
     def erased_orders(self) -> DataFrame:
         """Stored orders and their lines after clients who asked for it were erased: first some of them, then the others."""
@@ -272,6 +293,7 @@ DAILY: dict[str, Callable[[Daily], DataFrame]] = {
     ),
     "daily_portfolio": lambda d: _plain(d.portfolio_days.silver("portfolio")),
     "ingest_marks": lambda d: d.ingested_contracts.select("worker_id", "contract_id", "start_date", "end_date"),
+    "mart_refresh_placement_delay": lambda d: d.refreshed_delays,
     "mart_refresh_monthly_revenue": lambda d: d.refreshed_revenue,
     "distinct_rollup": lambda d: d.started_workers,
     "erase_subjects": lambda d: d.erased_orders,

@@ -126,14 +126,27 @@ def order_pipeline_detail(orders: DataFrame, assignments: DataFrame) -> DataFram
     )
 
 
-def placement_delay(assignments: DataFrame) -> DataFrame:
-    """(branch, week of end): mean and median hours from order to start, shares within 4 h, 24 h, over 72 h."""
-    delay, keys = F.col("placement_delay_hours"), ["branch_id", "week"]
-    counted = (
+#: Keys and sums of the counted delays that the mart is built from; counts are additive over assignments.
+DELAY_KEYS, DELAY_SUMS = ("branch_id", "week", "placement_delay_hours"), ("n",)
+
+
+def delay_counts(assignments: DataFrame) -> DataFrame:
+    """(branch, week of end, hours from order to start): assignments."""
+    return (
         assignments.dropna(subset=["branch_id", "end_date", "placement_delay_hours"])
         .groupBy("branch_id", grain("end_date", "week").alias("week"), "placement_delay_hours")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+def placement_delay(assignments: DataFrame) -> DataFrame:
+    """(branch, week of end): mean and median hours from order to start, shares within 4 h, 24 h, over 72 h."""
+    return placement_delay_from(delay_counts(assignments))
+
+
+def placement_delay_from(counted: DataFrame) -> DataFrame:
+    """The placement delays from counted values."""
+    delay, keys = F.col("placement_delay_hours"), ["branch_id", "week"]
     total = F.sum("n")
 
     def percent(condition: Column) -> Column:

@@ -238,24 +238,27 @@ def _billed(load: Load) -> upkeep.Billed:
     return upkeep.Billed(load.spark, f"{load.silver_root}/invoices", f"{load.silver_root}/invoice_lines", heads, lines)
 
 
-def _started(load: Load, keys: DataFrame) -> DataFrame:
-    return rev.started_by_month(load.silver("assignments").join(keys, missions.KEY, "left_semi"))
+def _assignments_of(load: Load, keys: DataFrame) -> DataFrame:
+    return load.silver("assignments").join(keys, missions.KEY, "left_semi")
 
 
 def refresh_states(load: Load) -> dict[str, list[str]]:
-    """Bring the states of the monthly revenue up to date; returns the months rewritten, nothing where all was rebuilt."""
+    """Bring the additive states of marts up to date; returns the months rewritten, nothing where all was rebuilt."""
     number, root, kept = int(load.now.timestamp()), load.gold_root, load.stored_once
-    revenue, started = upkeep.revenue_state(root), upkeep.started_state(root)
+    revenue, started, delays = upkeep.revenue_state(root), upkeep.started_state(root), upkeep.delay_state(root)
     done: dict[str, list[str]] = {}
     if "billed_before" in kept and "started_before" in kept:
         after = _billed(load).contributions(kept["billed_ids"])
         done["revenue"] = upkeep.refresh(revenue, kept["billed_before"], after, number)
-        done["started"] = upkeep.refresh(started, kept["started_before"], _started(load, kept["touched"]), number)
+        now = _assignments_of(load, kept["touched"])
+        done["started"] = upkeep.refresh(started, kept["started_before"], rev.started_by_month(now), number)
+        done["delays"] = upkeep.refresh(delays, kept["delays_before"], ops.delay_counts(now), number)
     elif read_or_none(lambda: load.spark.read.parquet(f"{root}/{PENDING}")) is not None:
         revenue.rebuild(rev.revenue_by_branch(load.silver("invoices"), load.silver("invoice_lines")), number)
         started.rebuild(rev.started_by_month(load.silver("assignments")), number)
+        delays.rebuild(ops.delay_counts(load.silver("assignments")), number)
     delete_folder(load.spark, f"{root}/{PENDING}")
-    for name in ("billed_before", "started_before"):
+    for name in ("billed_before", "started_before", "delays_before"):
         kept.pop(name, None)
     return done
 
@@ -280,7 +283,9 @@ def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
         known = load.stored_silver(name)
         gone = None if known is None or table.touched is None else table.touched(load)
         if name == "assignments" and "billed_before" in load.stored_once:
-            load.stored_once["started_before"] = stored(_started(load, gone), "started-before")
+            before = _assignments_of(load, gone)
+            load.stored_once["started_before"] = stored(rev.started_by_month(before), "started-before")
+            load.stored_once["delays_before"] = stored(ops.delay_counts(before), "delays-before")
         if known is not None and fresh.isEmpty() and (gone is None or gone.isEmpty()):
             load.skipped[name] = "the load brought no rows"
             continue
@@ -364,7 +369,9 @@ class Gold:
             "weekly_hours": ops.weekly_hours(s("timesheets"), s("timesheet_lines"), assignments),
             "order_pipeline": ops.order_pipeline(orders),
             "order_pipeline_detail": ops.order_pipeline_detail(orders, assignments),
-            "placement_delay": ops.placement_delay(assignments),
+            "placement_delay": upkeep.placement_delays(
+                self.load.spark, self.load.gold_root, ops.delay_counts(assignments).schema
+            ),
             "declaration_compliance": ops.declaration_compliance(assignments),
             "due_weekly": rec.due_weekly(invoices, lines),
             "dso_client": rec.dso_client(invoices, lines, payments, as_of),
@@ -388,7 +395,7 @@ class Gold:
 
 
 def load_gold(load: Load, only: Sequence[str] | None = None) -> list[str]:
-    """Store the gold marts, each a full replacement; the monthly revenue is read from its refreshed states."""
+    """Store the gold marts, each a full replacement; those with additive states are read from them."""
     refresh_states(load)
     marts = Gold(load).marts()
     names = [n for n in marts if only is None or n in only]

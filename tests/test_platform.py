@@ -90,7 +90,7 @@ def test_second_day_rewrites_its_months_only(platform):
     load, _ = platform
     assert load.merges["invoices"].rewritten == ["m2026-03"] and len(load.merges["invoice_lines"].rewritten) == 1
     assert "assignments" in load.skipped and "timesheets" in load.skipped
-    assert refresh_states(load) == {"revenue": ["m2026-03"], "started": []}
+    assert refresh_states(load) == {"revenue": ["m2026-03"], "started": [], "delays": []}
     assert refresh_states(load) == {}
 
 
