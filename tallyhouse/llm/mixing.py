@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
 One aggregate counts the words of each source.  Targets are found by filling all sources to a common level per
-unit of weight, each up to its limit, in closed form over one row per source.  A source's rate is target / size; each of its
+unit of weight, each up to its limit, in closed form over one row per source; sums in order of source and level are made by ranges,
+so any number of sources will do.  A source's rate is target / size; each of its
 documents is taken floor(rate) times, and once more if a hash of its key, read as a uniform number, is below the rate's fraction.
 That draw needs no state and no order, so reruns and repeated tasks agree.
 
@@ -15,6 +16,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyhouse.sources.scratch import stored
+
+
+def sums_before(rows: DataFrame, order: list[Column], sums: dict[str, str]) -> DataFrame:
+    """Adds to every row the sums of columns over the rows before it in an order (`sums`: new name → column).
+
+    Rows are dealt into ranges of the order; a range adds up its own rows and gets the total of those before it, so no task sees
+    more than a range and one row a range.  `order` must tell rows apart.
+    """
+    part, first = "__part", "__first"
+    ranged = rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
+    ranged = stored(ranged, "ranges")  # ranges are chosen anew by every job
+    within = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(part).agg(*[F.sum(column).alias(f"__{name}") for name, column in sums.items()])
+    # One row a range, as many as shuffle partitions.
+    ranges = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col(part).alias(first), *[F.sum(f"__{name}").over(ranges).alias(f"__{name}") for name in sums])
+    joined = ranged.withColumns({name: F.sum(column).over(within) for name, column in sums.items()})
+    joined = joined.join(F.broadcast(offsets), F.col(part) == F.col(first))
+    zero = F.lit(0)
+    added = {name: F.coalesce(F.col(name), zero) + F.coalesce(F.col(f"__{name}"), zero) for name in sums}
+    return joined.withColumns(added).drop(part, first, *[f"__{name}" for name in sums])
+
 
 def source_rates(
     sizes: DataFrame, weights: list[int], share_percent: int, limit: int
@@ -24,27 +48,29 @@ def source_rates(
     Sources by code point, null last, get the weights in turn.  Together they get `share_percent` of all sizes;
     a target above `limit` times its source's size is cut there and the excess goes to the others by weight.
     """
+    exact, zero = "decimal(38,0)", F.lit(0).cast("decimal(38,0)")
     totals = sizes.groupBy("source").agg(F.sum("size").cast("long").alias("source_size"))
-    # The windows below see one row per source.
-    place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    exact = "decimal(38,0)"
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (place % len(weights) + 1).cast("int"))
-    ranked = totals.select("*", weight.cast(exact).alias("weight"), (F.col("source_size") * limit).cast(exact).alias("most"))
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    by_level = Window.orderBy(F.col("most") / F.col("weight"), F.col("source").asc_nulls_last())
-    earlier = by_level.rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast(exact)
+    placed = sums_before(totals.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], {"place": "one"})
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    ranked = placed.select(
+        "source", "source_size", weight.cast(exact).alias("weight"), (F.col("source_size") * limit).cast(exact).alias("most")
+    )
+    by_level = [F.col("most") / F.col("weight"), F.col("source").asc_nulls_last()]
+    ranked = stored(sums_before(ranked, by_level, {"most_before": "most", "weight_before": "weight"}), "levels")
     # All amounts in hundredths, so that they stay whole numbers.
-    amount = (F.sum("source_size").over(everything) * share_percent).cast(exact)
-    spent = (F.coalesce(F.sum("most").over(earlier), zero) * 100).cast(exact)
-    shared = (F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(earlier), zero)).cast(exact)
-    ranked = ranked.select("*", amount.alias("amount"), spent.alias("spent"), shared.alias("shared"))
+    whole = ranked.agg((F.sum("source_size") * share_percent).cast(exact).alias("amount"), F.sum("weight").cast(exact).alias("all"))
+    amount, all_weights = (F.lit(x).cast(exact) for x in whole.first())
+    spent = (F.col("most_before") * 100).cast(exact)
+    shared = (all_weights - F.col("weight_before")).cast(exact)
     # A source is full if the level that is left for it and those after it reaches its limit.
-    full = F.col("most") * 100 * F.col("shared") <= F.col("weight") * (F.col("amount") - F.col("spent"))
+    full = F.col("most") * 100 * shared <= F.col("weight") * (amount - spent)
     ranked = ranked.withColumn("full", full)
-    given = F.coalesce(F.sum(F.when(F.col("full"), F.col("most"))).over(everything), zero) * 100
-    open_weight = F.sum(F.when(~F.col("full"), F.col("weight"))).over(everything)
-    level = (F.col("weight") * (F.col("amount") - given)).cast("double") / (open_weight * 100).cast("double")
+    closed = ranked.agg(
+        (F.coalesce(F.sum(F.when(F.col("full"), F.col("most"))), zero) * 100).cast(exact),
+        F.coalesce(F.sum(F.when(~F.col("full"), F.col("weight"))), zero).cast(exact),
+    )
+    given, open_weight = (F.lit(x).cast(exact) for x in closed.first())
+    level = (F.col("weight") * (amount - given)).cast("double") / (open_weight * 100).cast("double")
     target = F.when(F.col("full"), F.col("most").cast("double")).otherwise(level)
     return ranked.select("source", "source_size", target.alias("target")).select(
         "*",

@@ -6,8 +6,9 @@ bound of `capacity` rows), fixes dominating sets (Martello and Toth's reduction)
 decreasing lengths, and sends back runs: "documents number a to b of length l go into sequences s, s+1, ...".
 Spark numbers the documents of each length and looks the runs up.  No document and no sequence passes the driver.
 
-Numbering is by a hash bucket and then by key, never by arrival, so a repeated task numbers alike; a hot length (many
-copies of a document) is spread over the buckets.
+Numbering is by a hash bucket and then by key, never by arrival, so a repeated task numbers alike.  A length has as many buckets
+as the root of its count, so neither a bucket nor the list of a length's buckets holds more rows than that root, however many
+pieces have the length (all full ones of long documents, or copies of one document).
 
 Edge cases: a null or empty text is its end id alone (length 1); repeated rows are packed as documents of their own;
 an empty table gives an empty table; other input columns are ignored whatever their names.
@@ -15,6 +16,7 @@ an empty table gives an empty table; other input columns are ignored whatever th
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -216,7 +218,7 @@ def solve(histogram: dict[int, int], capacity: int) -> Plan:
     return plan
 
 
-def pack(items: DataFrame, capacity: int, order: list[str], buckets: int = 64) -> DataFrame:
+def pack(items: DataFrame, capacity: int, order: list[str]) -> DataFrame:
     """Adds `sequence_id` and `offset` to a table with a `length` column.
 
     `order` names columns that tell rows apart; rows equal in all of them must be equal in the rest.  `items` is read
@@ -229,8 +231,11 @@ def pack(items: DataFrame, capacity: int, order: list[str], buckets: int = 64) -
         plan.runs,
         "run_length long, first long, last long, first_sequence long, per_sequence long, first_offset long",
     )
-    bucket = F.pmod(F.xxhash64(*order), F.lit(buckets))
-    dealt = items.select(F.struct("*").alias("item"), F.col("length").alias("run_length"), bucket.alias("bucket"))
+    roots = [(row["length"], math.isqrt(row["count"])) for row in counts]
+    buckets = F.broadcast(spark.createDataFrame(roots, "run_length long, buckets long"))  # at most `capacity` rows
+    dealt = items.select(F.struct("*").alias("item"), F.col("length").alias("run_length"), F.xxhash64(*order).alias("hash"))
+    dealt = dealt.join(buckets, "run_length")
+    dealt = dealt.select("item", "run_length", F.pmod("hash", "buckets").alias("bucket"))
     sizes = dealt.groupBy("run_length", "bucket").count()
     before = Window.partitionBy("run_length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("skip", F.coalesce(F.sum("count").over(before), F.lit(0))).drop("count")
