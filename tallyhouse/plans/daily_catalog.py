@@ -69,25 +69,25 @@ class Daily(Silver):
         """Each line's assignment, contract and order come on days of their own.
 
         Day 2 brings amendments without their assignment, assignments without their contract, and all orders: most as they
-        were, some new, some with another time, and some are gone.
+        were, some new, some with another time.  Orders of day 1 that never were are gone.
         """
         names = ["assignment_heads", "assignment_end_heads", "contract_spans", "order_times", "assignments", "assignment_ends"]
         own = part("PER_ID", "CNT_ID", "TIE_ID", "TIES_SERV", of=3) == 0
         amended = part("CNT_ID", "PER_ID", "CNTI_ORDRE", of=3) == 0
         known = part("CMD_ID", of=2) == 0
         moved = F.when(F.col("CMD_ID") % 20 == 3, F.lit("1991-01-01")).otherwise(F.col("CMD_DTE"))
+        never = self.wtcmd.filter(F.col("CMD_ID") % 40 == 7).withColumn("CMD_ID", -F.col("CMD_ID"))
         day1, day2 = DAYS[:2]
         self.deliver(
             day1,
             wtmiss=self.wtmiss.filter(~own),
             wtcnti=self.wtcnti.filter(~amended),
-            wtcmd=self.wtcmd.filter(known).withColumn("CMD_DTE", moved),
+            wtcmd=self.wtcmd.filter(known).withColumn("CMD_DTE", moved).unionByName(never),
             wtfinmiss=self.wtfinmiss,
             pymtfcnt=self.pymtfcnt,
         )
         self.load_day(day1, names)
-        left = self.wtcmd.filter(F.col("CMD_ID") % 40 != 7)
-        self.deliver(day2, wtmiss=self.wtmiss.filter(own), wtcnti=self.wtcnti.filter(amended), wtcmd=left)
+        self.deliver(day2, wtmiss=self.wtmiss.filter(own), wtcnti=self.wtcnti.filter(amended), wtcmd=self.wtcmd)
         return self.load_day(day2, names)
 
     def daily_assignments(self, table: str) -> DataFrame:
