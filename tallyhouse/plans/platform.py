@@ -151,7 +151,7 @@ def _touched_assignments(load: Load) -> DataFrame:
 
 
 def _find_touched(load: Load) -> DataFrame:
-    frames = [missions.assignment_heads(load.raw("wtmiss")), missions.contract_spans(load.raw("wtcnti"))]
+    frames = [missions.delivered_keys(load.raw("wtmiss")).dropna(), missions.delivered_keys(load.raw("wtcnti"))]
     if "changed_orders" in load.stored_once:
         frames.append(load.silver("assignment_heads").join(load.stored_once["changed_orders"], "order_id", "left_semi"))
     return reduce(DataFrame.union, [f.select(*missions.KEY) for f in frames]).distinct()
@@ -286,7 +286,7 @@ def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
             before = _assignments_of(load, gone)
             load.stored_once["started_before"] = stored(rev.started_by_month(before), "started-before")
             load.stored_once["delays_before"] = stored(ops.delay_counts(before), "delays-before")
-        if known is not None and fresh.isEmpty() and (gone is None or gone.isEmpty()):
+        if known is not None and (gone is None or gone.isEmpty()) and fresh.isEmpty():
             load.skipped[name] = "the load brought no rows"
             continue
         path = f"{load.silver_root}/{name}"

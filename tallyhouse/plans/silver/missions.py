@@ -40,6 +40,11 @@ def _keys():
     return [as_long("PER_ID").alias("worker_id"), as_long("CNT_ID").alias("contract_id")]
 
 
+def delivered_keys(raw: DataFrame) -> DataFrame:
+    """The (worker, contract) of every row delivered, with repeats."""
+    return raw.select(*_keys())
+
+
 def assignment_heads(raw: DataFrame) -> DataFrame:
     """The newest row of every assignment, as `assignments_from` needs it."""
     return newest(
@@ -203,10 +208,11 @@ def assignment_ends_from(
             as_int("MTFCNT_FINCNT").alias("reason_closes"),
         ],
     ).select("reason_id", "reason_code", "reason_label", "reason_closes")
+    # A few codes name the end of all assignments: they go to the rows, not the rows of one code to one task.
+    explained = codes.join(reasons, "reason_id", "left")
     joined = (
         heads.join(spans, KEY, "left")
-        .join(codes, "end_code", "left")
-        .join(reasons, "reason_id", "left")
+        .join(F.broadcast(explained), "end_code", "left")
         .withColumns({"start_date": F.to_date("starts_at"), "actual_end": F.to_date("ends_at")})
     )
     return joined.select(
@@ -266,5 +272,5 @@ def invoice_links(raw: DataFrame) -> DataFrame:
 
 __all__ = [
     "assignment_end_heads", "assignment_ends", "assignment_ends_from", "assignment_heads", "assignments", "assignments_from", "contract_spans",
-    "contracts", "end_status_label", "invoice_links", "merged_spans", "order_times", "orders", "payroll_contracts", "placements",
+    "contracts", "delivered_keys", "end_status_label", "invoice_links", "merged_spans", "order_times", "orders", "payroll_contracts", "placements",
 ]

@@ -119,15 +119,16 @@ def merge_partitions(
     newest = resolve or (lambda rows: latest_loaded(rows, keys))
     placed = {PART: layout.part()}
     with staging(spark) as stage:
-        delta = stage(fresh.dropna(subset=keys), "delta")
-        known = read_partitioned(spark, path, delta.schema)
+        complete = fresh.dropna(subset=keys)
+        known = read_partitioned(spark, path, complete.schema)
         if known is None:
-            first = stage(newest(delta).withColumns(placed), "first")
+            first = stage(newest(complete).withColumns(placed), "first")
             overwrite_partitions(first, path, [PART], spread=layout.spread, bloom=layout.bloom)
             if not layout.of_key:
                 write_index(first, path, keys)
             return Merged(rewritten=_values(first, PART))
 
+        delta = stage(complete, "delta")
         removed = None if gone is None else stage(gone.select(*keys).dropna().distinct(), "gone")
         changed = [delta.select(*keys)] + ([] if removed is None else [removed])
         changed = reduce(DataFrame.union, changed).distinct()

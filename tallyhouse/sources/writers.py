@@ -119,10 +119,11 @@ def with_lineage(df: DataFrame, source_table: str, batch_id: str, loaded_at: str
 def write_raw(
     df: DataFrame, root: str, table: str, day: date, batch_id: str, loaded_at: str, replace_day: bool = True
 ) -> None:
-    """One batch of a raw table as JSON lines with load lineage; a full load replaces its day."""
+    """One batch of a raw table as compressed JSON lines with load lineage; a full load replaces its day."""
     stamped = with_lineage(df, table, batch_id, loaded_at)
     mode = "overwrite" if replace_day else "append"
-    stamped.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).json(raw_path(root, table, day))
+    writer = stamped.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "gzip")
+    writer.json(raw_path(root, table, day))
 
 
 def extract_children(
