@@ -187,12 +187,15 @@ class Incremental(Silver):
     # -- quality -----------------------------------------------------------
 
     def _expected_tables(self) -> dict[str, DataFrame]:
-        return {
+        """What the suites read of their tables, stored once per load: every rule and day reads it again."""
+        tables = {
             "workers": self.worker_staging.withColumn("worker_sk", key_hash("worker_id")),
             "skills": self.skill_table,
             "worker_activity": self.worker_activity,
             "assignment_detail": self.assignment_detail,
         }
+        asked = {s: dict.fromkeys(rule.column for rule in SUITES[s] if rule.column in t.columns) for s, t in tables.items()}
+        return {s: self.shared(f"expected-{s}", lambda t=t, s=s: t.select(*asked[s])) for s, t in tables.items()}
 
     @cached_property
     def expectations(self) -> DataFrame:
