@@ -29,7 +29,8 @@ LOADS = (datetime(1996, 7, 1), datetime(1998, 7, 1), datetime(2001, 8, 2))
 STATE_TRACKED = ("last_priority", "last_status")
 EVENTS_SINCE = datetime(2024, 1, 15)
 MIN_SCORE = 0.5
-BUCKETS = 16
+# Lines of one bucket of the bucketed facts, and the least number of buckets.
+LINES_PER_BUCKET, BUCKETS = 250_000, 16
 HORIZON = date(1998, 1, 1)
 
 # The expectation suites.
@@ -272,6 +273,7 @@ class Incremental(Silver):
     def bucketed_facts(self) -> DataFrame:
         """Assignments, contracts and hours from tables in the same buckets of (worker, contract)."""
         keys, names = list(asg.KEY), {}
+        buckets = max(BUCKETS, -(-self.table("lineitem").count() // LINES_PER_BUCKET))
         facts = {
             "assignments": self.assignments.dropna(subset=keys),
             "contracts": asg.contract_heads(self.contracts.withColumn("_loaded_at", F.col("start_date").cast("timestamp"))),
@@ -279,7 +281,7 @@ class Incremental(Silver):
         }
         for name, rows in facts.items():
             names[name] = f"{name}_{uuid.uuid4().hex}"
-            write_bucketed(rows, names[name], keys, BUCKETS)
+            write_bucketed(rows, names[name], keys, buckets)
         return asg.contract_facts(*[self.spark.table(names[name]) for name in facts])
 
     # -- writers -----------------------------------------------------------

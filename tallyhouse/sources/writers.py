@@ -75,9 +75,10 @@ def write_by_month(df: DataFrame, path: str, date_column: str, spread: int = 1)
 def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int) -> None:
     """A catalogue table bucketed and sorted by its join key.
 
-    Tables written with the same keys and bucket count join and aggregate on them without a shuffle.
+    Tables written with the same keys and bucket count join and aggregate on them without a shuffle.  Rows gather by bucket
+    first, so a bucket is one file and a task sorts one bucket.
     """
-    writer = df.write.mode("overwrite").option("compression", COMPRESSION).format("parquet")
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").option("compression", COMPRESSION).format("parquet")
     writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
