@@ -202,15 +202,15 @@ def worker_turnover(assignments: DataFrame, as_of: date) -> DataFrame:
     present = (F.col("start_date") <= F.lit(as_of)) & (
         F.col("end_date").isNull() | (F.col("end_date") >= F.col("start_date"))
     )
-    entries = dated.groupBy("branch_id", grain("start_date", "month").alias("month")).agg(
-        F.count_distinct("worker_id").alias("entries"),
-        F.count_distinct(F.when(present, F.col("worker_id"))).alias("headcount"),
-    )
-    exits = (
-        dated.filter(F.col("end_date").isNotNull())
-        .groupBy("branch_id", grain("end_date", "month").alias("month"))
-        .agg(F.count_distinct("worker_id").alias("exits"))
-    )
+    # Per worker first, so that the distinct counts side by side need no row copies (Expand).
+    entries = (
+        dated.groupBy("branch_id", grain("start_date", "month").alias("month"), "worker_id")
+        .agg(F.max(present).alias("present"))
+        .groupBy(*keys)
+        .agg(F.count("worker_id").alias("entries"), F.count(F.when(F.col("present"), F.col("worker_id"))).alias("headcount"))
+    )
+    ended = dated.filter(F.col("end_date").isNotNull()).withColumn("month", grain("end_date", "month"))
+    exits = distinct_count(ended, keys, "worker_id", "exits")
     joined = entries.join(exits, keys, "full_outer")
     headcount = F.nullif(F.coalesce("headcount", F.lit(0)), F.lit(0))
     return joined.select(
