@@ -88,10 +88,16 @@ class Marts(StaffingViews):
     def assignment_detail(self) -> DataFrame:
         return asg.assignment_detail(self.assignments, self.contracts, self.contract_hours)
 
+    @cached_property
+    def profiled_detail(self) -> DataFrame:
+        """What the client profiles read of the assignment detail, several times: stored once per load."""
+        columns = ["client_id", "worker_id", "branch_id", "trade_id", "start_date", "end_date", "margin_rate"]
+        return self.shared("profiled-detail", lambda: self.assignment_detail.select(*columns))
+
     @cached_property
     def client_360(self) -> DataFrame:
         return cli.client_360(
-            self.clients, self.monthly_revenue_client, self.assignment_detail, self.credit_exposures, self.invoices, AS_OF
+            self.clients, self.monthly_revenue_client, self.profiled_detail, self.credit_exposures, self.invoices, AS_OF
         )
 
     @cached_property
@@ -202,7 +208,7 @@ GOLD: dict[str, Query] = {
     "client_360": lambda m: m.client_360,
     "client_360_light": lambda m: cli.client_360_light(m.monthly_revenue_client, m.clients, m.credit_exposures, AS_OF),
     "client_360_fallback": lambda m: cli.client_360_fallback(
-        m.clients, m.monthly_revenue_client, m.assignment_detail, AS_OF
+        m.clients, m.monthly_revenue_client, m.profiled_detail, AS_OF
     ),
     "client_retention_light": lambda m: cli.client_retention_light(m.monthly_revenue_client),
     "client_retention": lambda m: cli.client_retention(m.invoices, m.invoice_lines, m.assignments, m.clients, AS_OF),

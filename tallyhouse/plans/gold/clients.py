@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import clamp01, count_if, days_between, grain, money, ratio, round_to
 from tallyhouse.operators.dedup import latest_loaded, top_per_group
+from tallyhouse.operators.distribution import distinct_count
 from tallyhouse.operators.joins import spine_join
 from tallyhouse.operators.windows import active_periods, with_previous
 from tallyhouse.plans.gold.revenue import assignment_count, invoices_with_amounts, net
@@ -62,17 +63,24 @@ def assignment_profile(detail: DataFrame, as_of: date, open_end_is_active: bool
     active = F.col("end_date") >= F.lit(as_of)
     if open_end_is_active:
         active = active | F.col("end_date").isNull()
-    return detail.groupBy("client_id").agg(
-        count_if(active).alias("active_assignments"),
-        F.count(F.lit(1)).alias("assignments"),
-        F.count_distinct(F.when(active, F.col("worker_id"))).alias("active_workers"),
-        F.count_distinct("worker_id").alias("workers"),
-        F.count_distinct("branch_id").alias("branches"),
+    # Per worker first, so that distinct workers need no row copies (Expand).
+    per_worker = detail.groupBy("client_id", "worker_id").agg(
+        count_if(active).alias("active"),
+        F.count(F.lit(1)).alias("rows"),
         F.min("start_date").alias("first_start"),
-        round_to(F.sum(F.col("margin_rate").cast("decimal(18,4)")).cast("double") / F.count("margin_rate"), 4).alias(
-            "mean_margin_rate"
-        ),
+        F.sum(F.col("margin_rate").cast("decimal(18,4)")).alias("margin_rates"),
+        F.count("margin_rate").alias("margins"),
+    )
+    profile = per_worker.groupBy("client_id").agg(
+        F.sum("active").alias("active_assignments"),
+        F.sum("rows").alias("assignments"),
+        F.count(F.when(F.col("active") > 0, F.col("worker_id"))).alias("active_workers"),
+        F.count("worker_id").alias("workers"),
+        F.min("first_start").alias("first_start"),
+        round_to(F.sum("margin_rates").cast("double") / F.nullif(F.sum("margins"), F.lit(0)), 4).alias("mean_margin_rate"),
     )
+    # A client without an id joins nothing below.
+    return profile.join(distinct_count(detail, ["client_id"], "branch_id", "branches"), "client_id", "left")
 
 
 def top_trades(detail: DataFrame, k: int = 3) -> DataFrame:
