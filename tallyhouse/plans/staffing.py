@@ -78,17 +78,21 @@ class StaffingViews:
     @cached_property
     def lines(self) -> DataFrame:
         """Newest version of every (order, line number), stored once per load."""
-        return self.shared("lines", lambda: self._newest(["l_orderkey", "l_linenumber"], newest_line()))
+        keys = ["l_orderkey", "l_linenumber"]
+        return self.shared("lines", lambda: self._newest(keys, newest_line(), gather=keys))
 
     @cached_property
     def assigned_lines(self) -> DataFrame:
-        """Newest line of every (worker, contract)."""
-        return self._newest(["l_orderkey", "l_suppkey"], newest_line("l_linenumber"))
+        """Newest line of every (worker, contract), gathered by order for the join with the orders."""
+        return self._newest(["l_orderkey", "l_suppkey"], newest_line("l_linenumber"), gather=["l_orderkey"])
 
-    def _newest(self, keys: list[str], order: list[Column]) -> DataFrame:
-        """Rows without a complete key are dropped."""
+    def _newest(self, keys: list[str], order: list[Column], gather: list[str]) -> DataFrame:
+        """Rows without a complete key are dropped.
+
+        Most keys have one line, so the rows are gathered before they are sorted: a sort of whole input splits would only spill.
+        """
         present = [F.col(k).isNotNull() for k in keys]
-        return latest_by(self.table("lineitem").filter(present[0] & present[1]), keys, order)
+        return latest_by(self.table("lineitem").filter(present[0] & present[1]).repartition(*gather), keys, order)
 
     @cached_property
     def order_heads(self) -> DataFrame:
@@ -157,7 +161,9 @@ class StaffingViews:
         )
         return self.shared(
             "assigned",
-            lambda: self.assigned_lines.join(heads, "l_orderkey").withColumn("l_shipdate", F.to_date("l_shipdate")),
+            lambda: self.assigned_lines.drop("l_discount", "l_tax")
+            .join(heads, "l_orderkey")
+            .withColumn("l_shipdate", F.to_date("l_shipdate")),
         )
 
     @cached_property
