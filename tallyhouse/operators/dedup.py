@@ -33,10 +33,15 @@ def latest_by(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colum
     return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def newest_load(df: DataFrame, keys: Sequence[str], loaded_at: str = "_loaded_at") -> list[Column]:
+    """The newest load first, remaining columns break ties."""
+    ties = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys and c != loaded_at]
+    return [F.col(loaded_at).desc_nulls_last(), *ties]
+
+
 def latest_loaded(df: DataFrame, keys: Sequence[str], loaded_at: str = "_loaded_at") -> DataFrame:
     """One row per mandatory key: newest load, remaining columns break ties."""
-    ties = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys and c != loaded_at]
-    return latest_by(df.dropna(subset=list(keys)), keys, [F.col(loaded_at).desc_nulls_last(), *ties])
+    return latest_by(df.dropna(subset=list(keys)), keys, newest_load(df, keys, loaded_at))
 
 
 def current_versions(df: DataFrame, key: str, valid_from: str = "valid_from") -> DataFrame:

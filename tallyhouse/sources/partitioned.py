@@ -6,27 +6,32 @@ key, so that a load reads the index of its own keys only.
 
 A merge reads the touched partitions, replaces the rows of its keys and writes these partitions by dynamic partition overwrite:
 Spark stages the new files and swaps them in when the job commits, so an executor that is lost finds the old files in place.
+Where the key decides the partition, stored rows and load meet in one shuffle by partition and key, and the same tasks write them.
 The index gets the new places of the keys before the data is written and loses the old ones after it.  It may name a partition
 too many, never one too few, so a merge that broke off can be run again and gives the same table.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from tallyhouse.operators.dedup import latest_loaded
+from tallyhouse.operators.dedup import latest_by, latest_loaded, newest_load
 from tallyhouse.sources.readers import read_or_none
 from tallyhouse.sources.scratch import delete_folder, staging
 from tallyhouse.sources.writers import overwrite_partitions, overwrite_table
 
 PART, INDEX_BUCKET = "part", "key_bucket"
 INDEX_BUCKETS = 64
+# The writer task of a row in its partition, and where a row of a merge comes from.
+_TASK, _FROM = "__task", "__from"
+_STORED, _FRESH, _GONE = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -118,47 +123,114 @@ def merge_partitions(
     spark, keys = fresh.sparkSession, list(keys)
     newest = resolve or (lambda rows: latest_loaded(rows, keys))
     placed = {PART: layout.part()}
+    by_task = layout.of_key and resolve is None
     with staging(spark) as stage:
         complete = fresh.dropna(subset=keys)
         known = read_partitioned(spark, path, complete.schema)
         if known is None:
-            first = stage(newest(complete).withColumns(placed), "first")
-            overwrite_partitions(first, path, [PART], spread=layout.spread, bloom=layout.bloom)
-            if not layout.of_key:
-                write_index(first, path, keys)
-            return Merged(rewritten=_values(first, PART))
+            if by_task:
+                first = _gathered(complete.withColumns(placed), keys, layout)
+                first = latest_by(first, [PART, _TASK, *keys], newest_load(complete, keys)).drop(_TASK)
+            else:
+                first = newest(complete).withColumns(placed)
+            overwrite_partitions(first, path, [PART], spread=layout.spread, bloom=layout.bloom, gathered=by_task)
+            written = read_partitioned(spark, path, complete.schema)
+            if written is not None and not layout.of_key:
+                write_index(written, path, keys)
+            return Merged(rewritten=[] if written is None else sorted(_files(written)))
 
         delta = stage(complete, "delta")
         removed = None if gone is None else stage(gone.select(*keys).dropna().distinct(), "gone")
         changed = [delta.select(*keys)] + ([] if removed is None else [removed])
+        if by_task:
+            places = [some.select(layout.part().alias(PART)).distinct() for some in changed]
+            touched = _values(reduce(DataFrame.union, places), PART)
+            if not touched:
+                return Merged()
+            merged = _merged_by_task(known.filter(_one_of(PART, touched)), delta, removed, keys, layout)
+            return _rewrite(spark, known, merged, path, touched, layout, gathered=True)
+
         changed = reduce(DataFrame.union, changed).distinct()
         held = stage(_places(spark, path, changed, keys, layout, delta.schema), "held")
-        before = known.filter(_one_of(PART, _values(held, PART))).join(changed, keys, "left_semi").drop(PART)
-        if removed is not None:
-            before = before.join(removed, keys, "left_anti")
-        result = stage(newest(before.unionByName(delta)).withColumns(placed), "result")
-
-        pairs = result.select(*keys, PART).distinct()
-        left = held.join(pairs, [*keys, PART], "left_anti")
-        losing = _values(left, PART)
-        touched = sorted({*_values(held, PART), *_values(result, PART)})
+        if removed is not None and delta.isEmpty():  # keys only go: their stored rows are not looked at
+            result, left, touched = None, held, _values(held, PART)
+        else:
+            before = known.filter(_one_of(PART, _values(held, PART))).join(changed, keys, "left_semi").drop(PART)
+            if removed is not None:
+                before = before.join(removed, keys, "left_anti")
+            result = stage(newest(before.unionByName(delta)).withColumns(placed), "result")
+            pairs = result.select(*keys, PART).distinct()
+            left = stage(held.join(pairs, [*keys, PART], "left_anti"), "left")
+            touched = sorted({*_values(held, PART), *_values(result, PART)})
         if not touched:
             return Merged()
-        if not layout.of_key:
+        if result is not None and not layout.of_key:
             added = pairs.join(held, [*keys, PART], "left_anti")
             rows = _by_bucket(_bucketed(added, keys))
             rows.write.mode("append").option("compression", "zstd").partitionBy(INDEX_BUCKET).parquet(index_path(path))
 
-        staying = known.filter(_one_of(PART, touched)).join(changed, keys, "left_anti")
-        merged = staying.unionByName(result)
-        emptied = sorted({*losing} - {*_values(merged.filter(_one_of(PART, losing)), PART)}) if losing else []
-        # The new files are staged while the old ones are read, and swapped in when the job commits.
-        overwrite_partitions(merged, path, [PART], spread=layout.spread, bloom=layout.bloom)
-        for part in emptied:  # a partition without rows is not overwritten by itself
-            delete_folder(spark, f"{path}/{PART}={part}")
-        if not layout.of_key and losing:
+        merged = known.filter(_one_of(PART, touched)).join(changed, keys, "left_anti")
+        if result is not None:
+            merged = merged.unionByName(result)
+        done = _rewrite(spark, known, merged, path, touched, layout)
+        if not layout.of_key and not left.isEmpty():
             _drop_places(spark, path, left, keys, delta.schema, stage)
-        return Merged(rewritten=[p for p in touched if p not in emptied], emptied=emptied)
+        return done
+
+
+def _gathered(rows: DataFrame, keys: Sequence[str], layout: Layout) -> DataFrame:
+    """Rows of one partition and key in one task; `layout.spread` tasks share a partition."""
+    return rows.withColumn(_TASK, F.pmod(F.hash(*keys), F.lit(layout.spread))).repartition(PART, _TASK)
+
+
+def _merged_by_task(known: DataFrame, delta: DataFrame, removed: DataFrame | None, keys: list[str], layout: Layout) -> DataFrame:
+    """The touched partitions after a load, in one shuffle; the newest load of a key wins, other keys' rows stay."""
+    rows = known.withColumn(_FROM, F.lit(_STORED)).unionByName(
+        delta.withColumns({PART: layout.part(), _FROM: F.lit(_FRESH)})
+    )
+    if removed is not None:
+        marks = removed.withColumns({PART: layout.part(), _FROM: F.lit(_GONE)})
+        rows = rows.unionByName(marks, allowMissingColumns=True)
+    rows = _gathered(rows, keys, layout)
+    group, origin, position = Window.partitionBy(PART, _TASK, *keys), F.col(_FROM), "__position"
+    order = [origin == _GONE, *newest_load(delta, keys)]
+    ranked = rows.withColumn(position, F.row_number().over(group.orderBy(*order)))
+    kinds = ranked.withColumns(
+        {
+            "__last": F.max(origin).over(group),
+            "__first_fresh": F.min(F.when(origin == _FRESH, F.col(position))).over(group),
+        }
+    )
+    best = F.when(F.col("__last") == _GONE, F.col("__first_fresh")).otherwise(F.lit(1))
+    kept = (F.col("__last") == _STORED) | (F.col(position) == best)
+    return kinds.filter(kept).select(*delta.columns, PART)
+
+
+def _files(table: DataFrame) -> dict[str, set[str]]:
+    """The files of a table by partition, as they are listed."""
+    found: dict[str, set[str]] = {}
+    for file in table.inputFiles():
+        part = re.search(f"/{PART}=([^/]+)/", file)
+        if part:
+            found.setdefault(part[1], set()).add(file)
+    return found
+
+
+def _rewrite(
+    spark: SparkSession, known: DataFrame, merged: DataFrame, path: str, touched: list[str], layout: Layout, gathered: bool = False
+) -> Merged:
+    """Overwrite the touched partitions; those that got no row are deleted.
+
+    The new files are staged while the old ones are read, and swapped in when the job commits.
+    """
+    before = _files(known)
+    overwrite_partitions(merged, path, [PART], spread=layout.spread, bloom=layout.bloom, gathered=gathered)
+    after = _files(read_partitioned(spark, path, known.drop(PART).schema))
+    # A partition without rows is not overwritten by itself: it still has its old files.
+    emptied = [part for part in touched if part in before and before[part] == after.get(part)]
+    for part in emptied:
+        delete_folder(spark, f"{path}/{PART}={part}")
+    return Merged(rewritten=[part for part in touched if part not in emptied and part in after], emptied=emptied)
 
 
 def _places(
@@ -191,5 +263,6 @@ def rows_of(
     known = read_partitioned(spark, path, schema)
     if known is None:
         return spark.createDataFrame([], schema)
-    places = _places(spark, path, wanted.select(*keys).dropna().distinct(), list(keys), layout, schema)
+    asked = wanted.select(*keys).dropna()
+    places = _places(spark, path, asked if layout.of_key else asked.distinct(), list(keys), layout, schema)
     return known.filter(_one_of(PART, _values(places, PART))).join(wanted.select(*keys), list(keys), "left_semi").drop(PART)

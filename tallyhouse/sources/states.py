@@ -56,14 +56,13 @@ class MonthlyState:
         """Add a load's change; returns the months rewritten."""
         spark = change.sparkSession
         with staging(spark) as stage:
-            fresh = stage(change.select(*self.keys, *self.sums).withColumn(PART, self._part()), "change")
-            months = {row[0] for row in fresh.select(PART).distinct().collect()}  # at most one for each month
+            fresh = change.select(*self.keys, *self.sums).withColumn(PART, self._part())
             known = self._stored(spark, fresh.schema)
-            if known is not None and months:
-                known = known.filter(F.col(PART).isin(sorted(months)))
-                done = known.filter(F.col(LOAD) == load).select(PART).distinct()
-                months -= {row[0] for row in done.collect()}
-                fresh = fresh.filter(F.col(PART).isin(sorted(months)))
+            if known is not None:  # months that have the change already are left out before it is computed
+                done = sorted(row[0] for row in known.filter(F.col(LOAD) == load).select(PART).distinct().collect())
+                fresh = fresh.filter(~F.col(PART).isin(done)) if done else fresh
+            fresh = stage(fresh, "change")
+            months = {row[0] for row in fresh.select(PART).distinct().collect()}  # at most one for each month
             if not months:
                 return []
             old = fresh.limit(0) if known is None else known.filter(F.col(PART).isin(sorted(months)))

@@ -48,18 +48,21 @@ def overwrite_partitions(
     rows_per_file: int | None = None,
     spread: int = 1,
     bloom: Sequence[str] = (),
+    gathered: bool = False,
 ) -> None:
     """Replace only the partitions present in ``df``, so that a re-run gives the same table.
 
-    Rows gather by partition value; ``spread`` writer tasks share one large partition.  Files get bloom filters on the
-    ``bloom`` columns.
+    Rows gather by partition value unless they come ``gathered``; ``spread`` writer tasks share one large partition.  Files get
+    bloom filters on the ``bloom`` columns.
     """
-    if spread > 1:
+    if gathered:
+        ready = df
+    elif spread > 1:
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(spread))
-        gathered = df.repartition(*[F.col(p) for p in partitions], salt)
+        ready = df.repartition(*[F.col(p) for p in partitions], salt)
     else:
-        gathered = df.repartition(*[F.col(p) for p in partitions])
-    writer = _table_writer(gathered, "overwrite", partitions).option("partitionOverwriteMode", "dynamic")
+        ready = df.repartition(*[F.col(p) for p in partitions])
+    writer = _table_writer(ready, "overwrite", partitions).option("partitionOverwriteMode", "dynamic")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     for column in bloom:

@@ -168,3 +168,33 @@ def test_erasure_of_many_subjects_and_of_a_whole_partition(spark, frame, monkeyp
     load(frame, (None, None, "v1"), (2, None, "v2")).withColumn("part", F.lit("k0001")).write.partitionBy("part").parquet(bad)
     with pytest.raises(erasure.ErasureIncomplete):
         erasure.erase_subjects(spark, [erasure.SubjectTable(bad, ["id"], layout, "value")], frame([("v1",)], "value string"))
+
+
+def written_plans(monkeypatch):
+    """Optimized plans of what a merge writes to its table."""
+    plans, write = [], tables.overwrite_partitions
+
+    def noted(df, *args, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        write(df, *args, **options)
+
+    monkeypatch.setattr(tables, "overwrite_partitions", noted)
+    return plans
+
+
+def test_merge_by_key_gathers_once(spark, frame, monkeypatch):
+    path, layout = fresh_path(spark, "cut"), tables.by_key(["id"], 4)
+    old = [(1, "a", 2), (2, "b", 2), (3, "c", 2), (4, "d", 2), (5, None, 2), (5, None, 2), (6, "f", 1), (6, "g", 1)]
+    new = [(1, "stale", 1), (2, "new", 3), (3, "old again", 1), (7, "x", 1), (7, "y", 2), (7, "y", 2), (8, None, 1), (None, "no key", 9)]
+    first, second = ([(i, None, v, datetime(2026, 1, 1, h)) for i, v, h in some] for some in (old, new))
+    plans = written_plans(monkeypatch)
+    tables.merge_partitions(frame(first, SCHEMA), path, ["id"], layout)
+    gone = frame([(3,), (4,), (4,), (99,), (None,)], "id long")
+    tables.merge_partitions(frame(second, SCHEMA), path, ["id"], layout, gone=gone)
+    assert [(i, v) for i, v, _ in sorted(content(spark, path), key=lambda r: r[0])] == [
+        (1, "a"), (2, "new"), (3, "old again"), (5, None), (6, "f"), (7, "y"), (8, None)
+    ]
+    # stored rows and load meet in one shuffle, and no join follows
+    assert len(plans) == 2 and all(plan.count("RepartitionByExpression") == 1 and "Join" not in plan for plan in plans)
+    places = tables.read_partitioned(spark, path)
+    assert places.filter(F.col(tables.PART) != layout.part()).isEmpty()

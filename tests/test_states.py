@@ -1,5 +1,6 @@
 """Additive states stored by month."""
 
+from contextlib import contextmanager
 from datetime import date
 from decimal import Decimal
 
@@ -72,6 +73,22 @@ def test_plan_reads_only_touched_months(spark, frame, state, monkeypatch):
     assert "PartitionFilters: [" in plans[0] and "m2026-01" in plans[0] and "m2026-02" not in plans[0]
 
 
+def test_a_repeated_load_leaves_its_months_out_before_they_are_summed(spark, frame, state, monkeypatch):
+    before, after = (frame(rows_of((1, "2026-01", n, 10), (2, "2026-02", n, 5)), SCHEMA) for n in (1, 2))
+    assert state.apply(signed_change(before, after, KEYS, SUMS), 2) == ["m2026-01", "m2026-02"]
+    staged, staging = [], states.staging
+
+    @contextmanager
+    def noted(spark):
+        with staging(spark) as stage:
+            yield lambda df, name: (staged.append(df._jdf.queryExecution().optimizedPlan().toString()), stage(df, name))[1]
+
+    monkeypatch.setattr(states, "staging", noted)
+    assert state.apply(signed_change(before, after, KEYS, SUMS), 2) == []
+    # the months are named in a filter below the sum
+    assert "m2026-01" in staged[0].split("Aggregate", 1)[1] if "Aggregate" in staged[0] else "LocalRelation <empty>" in staged[0]
+
+
 def test_distinct_counts_roll_up(frame, rows):
     from tallyhouse.operators import bitmaps
 
