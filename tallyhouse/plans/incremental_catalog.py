@@ -117,7 +117,8 @@ class Incremental(Silver):
             known = history.merge_observations(known, fresh, "client_id", "seen_at", [F.col("order_id").desc()])
             known = stored(known, "observations")
             concerned = known.join(fresh.select("client_id").distinct(), "client_id", "left_semi")
-            believed = history.versions(concerned, "client_id", "seen_at", STATE_TRACKED)
+            # Recording compares these versions with the known ones several times.
+            believed = stored(history.versions(concerned, "client_id", "seen_at", STATE_TRACKED), "believed")
             recorded = stored(history.record(recorded, believed, "client_id", LOADS[number]), "recorded")
         return recorded.filter(F.col("recorded_to").isNull()).drop("recorded_from", "recorded_to")
 

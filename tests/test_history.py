@@ -1,11 +1,12 @@
 """Histories from observations in any order."""
 
 import itertools
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 
 from tallyhouse.operators import history
+from tallyhouse.plans import incremental_catalog as catalog
 
 SCHEMA = "k long, at timestamp, a string, b int, seq long"
 OBSERVED = [
@@ -71,3 +72,22 @@ def test_confirmed_versions_are_not_rewritten(frame):
     kept = {(r["k"], r["valid_from"]): r["recorded_from"] for r in dim.filter("recorded_to IS NULL").collect()}
     assert kept[1, datetime(2026, 1, 5)] == kept[3, datetime(2026, 1, 1)] == datetime(2027, 1, 1)
     assert kept[2, datetime(2026, 3, 2)] == datetime(2027, 1, 3)
+
+
+def test_versions_are_computed_once_per_load(spark, frame, tmp_path, monkeypatch):
+    day = datetime(1996, 1, 1)
+    orders = [(i, i % 5, "OFP"[i % 3], 1.0, day + timedelta(days=i * 7 % 60), f"{i % 2}-X") for i in range(60)]
+    orders = frame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+                           "o_orderdate timestamp_ntz, o_orderpriority string")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    plans, stored = [], catalog.stored
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(catalog, "stored", noted)
+    found = catalog.Incremental(spark, str(tmp_path)).late_history
+    assert found.select("client_id").distinct().count() == 5
+    recorded = [plan for name, plan in plans if name == "recorded"]
+    assert len(recorded) == 3 and not any("Window" in plan for plan in recorded)
