@@ -153,7 +153,7 @@ def merge_partitions(
         changed = reduce(DataFrame.union, changed).distinct()
         held = stage(_places(spark, path, changed, keys, layout, delta.schema), "held")
         if removed is not None and delta.isEmpty():  # keys only go: their stored rows are not looked at
-            result, left, touched = None, held, _values(held, PART)
+            result, changed, left, touched = None, removed, held, _values(held, PART)
         else:
             before = known.filter(_one_of(PART, _values(held, PART))).join(changed, keys, "left_semi").drop(PART)
             if removed is not None:

@@ -198,3 +198,14 @@ def test_merge_by_key_gathers_once(spark, frame, monkeypatch):
     assert len(plans) == 2 and all(plan.count("RepartitionByExpression") == 1 and "Join" not in plan for plan in plans)
     places = tables.read_partitioned(spark, path)
     assert places.filter(F.col(tables.PART) != layout.part()).isEmpty()
+
+
+def test_rows_of_keys_that_only_go_are_not_compared(spark, frame, stored, monkeypatch):
+    plans = written_plans(monkeypatch)
+    gone = frame([(i,) for i in range(0, 60, 6)] + [(7,)], "id long")  # all of January and one of February
+    done = tables.merge_partitions(load(frame), stored, ["id"], tables.by_month("day"), lambda rows: rows, gone=gone)
+    assert done.rewritten == ["m2026-02"] and done.emptied == ["m2026-01"]
+    kept = {i for i, _, _ in content(spark, stored)}
+    assert kept == {i for i in range(60) if i % 6 and i != 7} == {i for i, _ in index(spark, stored)}
+    # the kept rows come from one join, and none from the keys that go
+    assert plans[0].count("Join LeftAnti") == 1 and "Union" not in plans[0] and "LeftSemi" not in plans[0]
