@@ -33,6 +33,11 @@ def latest_by(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Colum
     return df.withColumn(_RN, F.row_number().over(window)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def is_newest(keys: Sequence[str | Column], order: Sequence[Column]) -> Column:
+    """Whether a row is the one that `latest_by` keeps; for rows of which several keys each keep one."""
+    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1
+
+
 def newest_load(df: DataFrame, keys: Sequence[str], loaded_at: str = "_loaded_at") -> list[Column]:
     """The newest load first, remaining columns break ties."""
     ties = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys and c != loaded_at]

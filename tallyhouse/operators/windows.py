@@ -135,3 +135,11 @@ def previous_in_chain(
 def latest_period(df: DataFrame, period: str) -> DataFrame:
     """Rows of the newest period (scalar subquery on max)."""
     return df.filter(F.col(period) == df.agg(F.max(period).alias(period)).scalar())
+
+
+def latest_value(df: DataFrame, period: str, value: Column, name: str) -> DataFrame:
+    """An aggregate over the rows of the newest period, as one row, in one pass: a lazy table is computed once.
+
+    NULL if there are no rows with a period.
+    """
+    return df.groupBy(period).agg(value.alias(name)).agg(F.max_by(name, period).alias(name))

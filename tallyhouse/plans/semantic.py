@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import round_to
 from tallyhouse.operators.joins import keep_top
-from tallyhouse.operators.windows import latest_period
+from tallyhouse.operators.windows import latest_period, latest_value
 
 ALERT_DSO_DAYS, ALERT_OLD_AMOUNT, ALERT_TERMINATION_PCT, ALERT_COEFFICIENT = 45, 50_000, 10, 1.25
 BUCKETS = {"0-30j": "overdue_0_30", "31-60j": "overdue_31_60", "61-90j": "overdue_61_90", ">90j": "overdue_over_90"}
@@ -387,23 +387,22 @@ def anonymous(view: DataFrame, hidden: Sequence[str] = ("worker_name",)) -> Data
 
 
 def threshold_alerts(dso: DataFrame, aged: DataFrame, termination: DataFrame, coefficient: DataFrame) -> DataFrame:
-    """One row per alert rule with the observed value of the latest month and whether it fires."""
+    """One row per alert rule with the observed value of the latest month and whether it fires.  Each mart is read once."""
 
     def alert(name: str, df: DataFrame, value: Column, threshold: float, above: bool) -> DataFrame:
-        observed = df.agg(value.cast("double").alias("observed"))
+        observed = latest_value(df, "month", value.cast("double"), "observed")
         fired = F.col("observed") > threshold if above else F.col("observed") < threshold
         return observed.select(
             F.lit(name).alias("alert"), "observed", F.lit(float(threshold)).alias("threshold"),
             F.coalesce(fired, F.lit(False)).alias("fired"),
         )
 
-    old = latest_period(aged, "month").filter(F.col("bucket") == ">90j")
-    ended, billed = latest_period(termination, "month"), latest_period(coefficient, "month")
+    old = F.sum(F.when(F.col("bucket") == ">90j", F.col("overdue")))
     return (
-        alert("dso", latest_period(dso, "month"), mean("dso_days", 4), ALERT_DSO_DAYS, True)
-        .unionByName(alert("overdue_over_90", old, F.sum("overdue"), ALERT_OLD_AMOUNT, True))
-        .unionByName(alert("termination", ended, mean("termination_pct", 4), ALERT_TERMINATION_PCT, True))
-        .unionByName(alert("coefficient", billed, mean("weighted_coefficient", 4), ALERT_COEFFICIENT, False))
+        alert("dso", dso, mean("dso_days", 4), ALERT_DSO_DAYS, True)
+        .unionByName(alert("overdue_over_90", aged, old, ALERT_OLD_AMOUNT, True))
+        .unionByName(alert("termination", termination, mean("termination_pct", 4), ALERT_TERMINATION_PCT, True))
+        .unionByName(alert("coefficient", coefficient, mean("weighted_coefficient", 4), ALERT_COEFFICIENT, False))
     )
 
 

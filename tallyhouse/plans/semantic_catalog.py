@@ -66,10 +66,10 @@ SEMANTIC: dict[str, Callable[[Marts], DataFrame]] = {
         sem.worker_activity_view(m.workers, m.stored("worker_activity"), m.branches)
     ),
     "threshold_alerts": lambda m: sem.threshold_alerts(
-        closed(m.stored("dso_client")),
-        closed(m.stored("aged_balance")),
-        closed(m.stored("termination_rate")),
-        closed(m.stored("billing_coefficient")),
+        closed(m.at_hand("dso_client")),
+        closed(m.at_hand("aged_balance")),
+        closed(m.at_hand("termination_rate")),
+        closed(m.at_hand("billing_coefficient")),
     ),
     "load_weekly_revenue": lambda m: sem.load_weekly_revenue(m.at_hand("weekly_revenue_branch"), AS_OF),
     "load_scorecard": lambda m: sem.load_scorecard(m.at_hand("branch_ranking"), AS_OF),

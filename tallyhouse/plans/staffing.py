@@ -15,12 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import key_hash, round_to
-from tallyhouse.operators.dedup import latest_by, top_per_group
-from tallyhouse.sources.scratch import fingerprint, shared
+from tallyhouse.operators.dedup import is_newest, latest_by, top_per_group
+from tallyhouse.sources.scratch import fingerprint, known_shared, shared
 
 # Reference day of the recency marts on these tables.
 AS_OF = date(2001, 8, 1)
 PAYMENT_TERM_DAYS = 30
+# Lines in a bucket of orders; small tables are cut into up to MIN_BUCKETS of MIN_LINES.
+LINES_PER_BUCKET, MIN_BUCKETS, MIN_LINES = 200_000, 8, 50_000
+KEPT_LINES = "kept-lines"
 # Schemas of the sample tables, so that reading one starts no inference job.
 TABLE_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -65,8 +68,14 @@ class StaffingViews:
         """A sample table."""
         return self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        return shared(self.spark, self.load, name, build)
+    def shared(self, name: str, build: Callable[[], DataFrame], by: str | None = None) -> DataFrame:
+        return shared(self.spark, self.load, name, build, self.buckets if by else 0, by)
+
+    @cached_property
+    def buckets(self) -> int:
+        """Buckets of the tables stored by order: as many as the lines need, whatever the session's settings."""
+        lines = self.table("lineitem").count()
+        return max(1, min(MIN_BUCKETS, -(-lines // MIN_LINES)), -(-lines // LINES_PER_BUCKET))
 
     @cached_property
     def load(self) -> str:
@@ -77,22 +86,39 @@ class StaffingViews:
 
     @cached_property
     def lines(self) -> DataFrame:
-        """Newest version of every (order, line number), stored once per load."""
-        keys = ["l_orderkey", "l_linenumber"]
-        return self.shared("lines", lambda: self._newest(keys, newest_line(), gather=keys))
+        """Newest version of every (order, line number)."""
+        return self._kept_lines.filter("of_line").drop("of_line", "of_worker")
 
     @cached_property
     def assigned_lines(self) -> DataFrame:
-        """Newest line of every (worker, contract), gathered by order for the join with the orders."""
-        return self._newest(["l_orderkey", "l_suppkey"], newest_line("l_linenumber"), gather=["l_orderkey"])
+        """Newest line of every (worker, contract), gathered by order for the join with the orders.
+
+        From the stored lines if the load has written them.
+        """
+        known = known_shared(self.spark, self.load, KEPT_LINES)
+        if known is not None:
+            return known.filter("of_worker").drop("of_line", "of_worker")
+        present = self._gathered.filter(F.col("l_suppkey").isNotNull())
+        return latest_by(present, ["l_orderkey", "l_suppkey"], newest_line("l_linenumber"))
 
-    def _newest(self, keys: list[str], order: list[Column], gather: list[str]) -> DataFrame:
-        """Rows without a complete key are dropped.
+    @cached_property
+    def _gathered(self) -> DataFrame:
+        """Lines of orders, gathered by order in the buckets that they are stored in.
 
         Most keys have one line, so the rows are gathered before they are sorted: a sort of whole input splits would only spill.
         """
-        present = [F.col(k).isNotNull() for k in keys]
-        return latest_by(self.table("lineitem").filter(present[0] & present[1]).repartition(*gather), keys, order)
+        return self.table("lineitem").filter(F.col("l_orderkey").isNotNull()).repartition(self.buckets, "l_orderkey")
+
+    @cached_property
+    def _kept_lines(self) -> DataFrame:
+        """Lines that are the newest of their (order, line number) or (order, worker), and of which; others are dropped.
+
+        One shuffle of the raw lines serves both.  Stored once per load in buckets of orders; keys must be complete.
+        """
+        of_line = F.col("l_linenumber").isNotNull() & is_newest(["l_orderkey", "l_linenumber"], newest_line())
+        of_worker = F.col("l_suppkey").isNotNull() & is_newest(["l_orderkey", "l_suppkey"], newest_line("l_linenumber"))
+        marked = self._gathered.withColumns({"of_line": of_line, "of_worker": of_worker})
+        return self.shared(KEPT_LINES, lambda: marked.filter("of_line OR of_worker").drop("l_discount", "l_tax"), by="l_orderkey")
 
     @cached_property
     def order_heads(self) -> DataFrame:
@@ -156,14 +182,13 @@ class StaffingViews:
 
     @cached_property
     def _assigned(self) -> DataFrame:
+        """Assigned lines with their order, stored once per load."""
         heads = self.order_heads.select(
             F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "c_nationkey", "o_orderdate"
         )
+        self._kept_lines  # noqa: B018  written before they are read
         return self.shared(
-            "assigned",
-            lambda: self.assigned_lines.drop("l_discount", "l_tax")
-            .join(heads, "l_orderkey")
-            .withColumn("l_shipdate", F.to_date("l_shipdate")),
+            "assigned", lambda: self.assigned_lines.join(heads, "l_orderkey").withColumn("l_shipdate", F.to_date("l_shipdate"))
         )
 
     @cached_property
@@ -185,17 +210,21 @@ class StaffingViews:
 
     @cached_property
     def contracts(self) -> DataFrame:
-        part = self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
+        part = self.table("part").select(
+            F.col("p_partkey").alias("trade_id"), F.col("p_retailprice").cast("decimal(10,4)").alias("pay_rate")
+        )
         rate = round_to(F.col("l_extendedprice") / F.col("l_quantity"), 4)
-        return self._assigned.join(part, "l_partkey").select(
+        billed = self._assigned.select(
             F.col("l_suppkey").alias("worker_id"),
             F.col("l_orderkey").alias("contract_id"),
             F.col("l_partkey").alias("trade_id"),
             F.col("o_orderdate").alias("start_date"),
             F.col("l_shipdate").alias("end_date"),
-            F.col("p_retailprice").cast("decimal(10,4)").alias("pay_rate"),
             rate.cast("decimal(10,4)").alias("bill_rate"),
         )
+        return billed.join(part, "trade_id").select(
+            "worker_id", "contract_id", "trade_id", "start_date", "end_date", "pay_rate", "bill_rate"
+        )
 
     @cached_property
     def end_status(self) -> DataFrame:

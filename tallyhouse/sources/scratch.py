@@ -84,8 +84,8 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
             discard(spark, path)
 
 
-#: Tables written once per application and load, and where they are.
-_shared: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+#: Tables written once per application and load: where they are, and the catalogue's name of those in buckets.
+_shared: dict[tuple[str, str, str], tuple[str, StructType, str | None]] = {}
 
 
 def fingerprint(spark: SparkSession, folder: str) -> str:
@@ -100,23 +100,38 @@ def forget_shared(spark: SparkSession) -> None:
     """Delete the tables that `shared` has written in this application."""
     own = [key for key in _shared if key[0] == spark.sparkContext.applicationId]
     for key in own:
-        discard(spark, _shared.pop(key)[0])
+        path, _, table = _shared.pop(key)
+        if table is not None:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        discard(spark, path)
 
 
-def shared(spark: SparkSession, load: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def shared(
+    spark: SparkSession, load: str, name: str, build: Callable[[], DataFrame], buckets: int = 0, by: str | None = None
+) -> DataFrame:
     """A table that several results of one load read: written by the first of them, read by all.
 
-    ``load`` names the input and its state, see `fingerprint`.
+    ``load`` names the input and its state, see `fingerprint`.  With ``by`` the table lies in buckets of that column, so what
+    groups or joins by it (and maybe further columns) needs no shuffle; rows that come in as many hash partitions of the
+    column make one file a bucket.
     """
     key = (spark.sparkContext.applicationId, load, name)
     if key not in _shared:
         df, path = build(), fresh_path(spark, name)
-        df.write.option("compression", "zstd").parquet(path)
-        _shared[key] = (path, df.schema)
+        writer, table = df.write.option("compression", "zstd"), None
+        if by is None:
+            writer.parquet(path)
+        else:
+            table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+            writer.format("parquet").option("path", path).bucketBy(buckets, by).saveAsTable(table)
+        _shared[key] = (path, df.schema, table)
     return known_shared(spark, load, name)
 
 
 def known_shared(spark: SparkSession, load: str, name: str) -> DataFrame | None:
     """A shared table if it has been written."""
     found = _shared.get((spark.sparkContext.applicationId, load, name))
-    return None if found is None else spark.read.schema(found[1]).parquet(found[0])
+    if found is None:
+        return None
+    path, schema, table = found
+    return spark.read.schema(schema).parquet(path) if table is None else spark.table(table)

@@ -5,12 +5,15 @@ from datetime import date, datetime
 
 import pytest
 
+from tallyhouse.plans import semantic as sem
 from tallyhouse.plans.daily_catalog import DAILY, Daily
 from tallyhouse.plans.gold import clients as cli
+from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.gold import workforce as wrk
 from tallyhouse.plans.incremental_catalog import SUITES, Incremental
 from tallyhouse.plans.silver import missions
 from tallyhouse.plans.staffing import TABLE_SCHEMAS, StaffingViews
+from tallyhouse.sources import scratch
 from tallyhouse.sources.writers import write_bucketed, write_raw
 
 DAY = datetime(1996, 3, 5)
@@ -109,3 +112,66 @@ def test_a_bucket_is_one_file(spark):
     name = f"b_{uuid.uuid4().hex}"
     write_bucketed(spark.range(200).repartition(5), name, ["id"], 4)
     assert len(spark.table(name).inputFiles()) == 4
+
+
+def test_raw_lines_are_shuffled_once_for_lines_and_assignments(spark, frame, tmp_path):
+    lineitem = [  # order, worker, line, amount: a line in two versions, a worker with two lines, incomplete keys
+        (7, 4, 1, 10.0), (7, 5, 1, 20.0), (7, 5, 2, 30.0), (7, None, 3, 40.0), (7, 6, None, 50.0), (None, 6, 1, 60.0), (8, 4, 1, 70.0), (8, 4, 1, 70.0),
+    ]
+    tables = {
+        "customer": [(1, "A", 3, 5.0, "BUILDING")],
+        "orders": [(k, 1, "F", 9.0, DAY, "1-URGENT") for k in (7, 8)],
+        "lineitem": [(k, 2, w, n, 5.0, amount, 0.0, 0.1, "A", "F", DAY) for k, w, n, amount in lineitem],
+    }
+    for name, data in tables.items():
+        frame(data, TABLE_SCHEMAS[name]).write.parquet(f"{tmp_path}/{name}.parquet")
+    views = StaffingViews(spark, str(tmp_path))
+    amounts = rev.invoice_amounts(views.invoice_lines)
+    assert "Exchange" not in plan(amounts)  # the stored lines lie in buckets of orders
+    assert "hashpartitioning(l_orderkey" not in plan(views.assigned_lines)  # read from the stored lines
+    assert sorted((r["line_no"], float(r["amount"])) for r in views.invoice_lines.filter("invoice_id = 7").collect()) == [(1, 20), (2, 30), (3, 40)]
+    assert {r["invoice_id"]: float(r["amount"]) for r in amounts.collect()} == {7: 90, 8: 70}
+    assigned = [(r["l_orderkey"], r["l_suppkey"], r["l_extendedprice"]) for r in views.assigned_lines.collect()]
+    assert sorted(assigned) == [(7, 4, 10.0), (7, 5, 30.0), (7, 6, 50.0), (8, 4, 70.0)]
+    assert sorted((r["contract_id"], r["worker_id"]) for r in views.assignments.collect()) == [(7, 4), (7, 5), (7, 6), (8, 4)]
+
+
+def test_buckets_follow_the_lines(spark, folder):
+    class Sized(StaffingViews):
+        rows = 0
+
+        def table(self, name):
+            return spark.range(self.rows)
+
+    views = [Sized(spark, folder) for _ in range(4)]
+    for view, rows in zip(views, (0, 60_000, 600_000, 3_000_001), strict=True):
+        view.rows = rows
+    assert [v.buckets for v in views] == [1, 2, 8, 16]
+
+
+def test_shared_buckets_are_forgotten(spark, tmp_path):
+    rows = scratch.shared(spark, str(tmp_path), "in-buckets", lambda: spark.range(20).repartition(3, "id"), 3, "id")
+    path, _, table = scratch._shared[(spark.sparkContext.applicationId, str(tmp_path), "in-buckets")]
+    assert len(rows.inputFiles()) == 3 and spark.catalog.tableExists(table) and rows.count() == 20
+    others = {k: scratch._shared.pop(k) for k in list(scratch._shared) if k[2] != "in-buckets"}
+    try:
+        scratch.forget_shared(spark)
+    finally:
+        scratch._shared.update(others)
+    assert not spark.catalog.tableExists(table)
+    assert scratch.known_shared(spark, str(tmp_path), "in-buckets") is None
+
+
+def test_alerts_read_each_mart_once(frame):
+    def mart(rows, columns):
+        return frame([(m and date(2026, m, 1), *rest) for m, *rest in rows], f"month date, {columns}")
+
+    alerts = sem.threshold_alerts(
+        mart([(1, 10.0), (2, 40.0), (2, 60.0), (2, None), (None, 99.0)], "dso_days double"),
+        mart([(1, ">90j", 90000), (2, ">90j", 60000), (2, "0-30j", 5)], "bucket string, overdue int"),
+        mart([], "termination_pct double"),
+        mart([(1, 1.0), (3, None)], "weighted_coefficient double"),
+    )
+    assert "ubquery" not in plan(alerts)
+    got = {r["alert"]: (r["observed"], r["fired"]) for r in alerts.collect()}
+    assert got == {"dso": (50.0, True), "overdue_over_90": (60000.0, True), "termination": (None, False), "coefficient": (None, False)}
