@@ -42,6 +42,15 @@ def with_mode(counted: DataFrame, keys: Sequence[str], value: str, count: str, n
     return counted.withColumn(name, F.when(first, F.col(value)))
 
 
+def first_of_value(keys: Sequence[str], value: str) -> Column:
+    """The value on one row of each distinct value of a group, else NULL: the count of it is the distinct count.
+
+    For rows that lie gathered by ``keys`` and are summed there anyway, as it needs neither a shuffle nor row copies.
+    """
+    window = Window.partitionBy(*keys, value).orderBy(value)
+    return F.when(F.row_number().over(window) == 1, F.col(value))
+
+
 def distinct_count(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Distinct values per group from narrow rows; several of them side by side need no row copies (Expand)."""
     return df.select(*keys, value).distinct().groupBy(*keys).agg(F.count(value).alias(name))

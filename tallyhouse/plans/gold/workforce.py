@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import count_if, grain, key_hash, money, ratio, round_to
-from tallyhouse.operators.distribution import distinct_count
+from tallyhouse.operators.distribution import distinct_count, first_of_value
 from tallyhouse.operators.joins import periods_per_member, resolve_key, spine_join
 from tallyhouse.plans.silver.loyalty import ACTIVE_RECENT, INACTIVE_LABELS
 
@@ -22,22 +22,28 @@ def worker_activity(
 ) -> DataFrame:
     """(worker, month): assignments, branches, clients, hours, occupancy, revenue.
 
-    The billed rate comes from the timesheet lines, else from the contract.
+    The billed rate comes from the timesheet lines, else from the contract.  What a worker does in a month is little, so its
+    rows are gathered once and summed and counted where they lie.
     """
     started = assignments.filter(F.col("worker_id").isNotNull() & F.col("start_date").isNotNull())
     rates = contracts.select(*KEY, F.col("bill_rate").alias("contract_rate"))
     started = started.withColumn("month", grain("start_date", "month"))
     joined = spine_join(started, contract_hours, rates, on=KEY)
-    rate = F.coalesce("line_bill_rate", "contract_rate")
+    revenue = F.col("hours_billed") * F.coalesce("line_bill_rate", "contract_rate")
     keys = ["worker_id", "month"]
-    sums = joined.groupBy(*keys).agg(
-        F.count("contract_id").alias("assignments"),
-        money(F.coalesce(F.sum("hours_paid"), F.lit(0)), 12).alias("hours"),
-        money(F.coalesce(F.sum(F.col("hours_billed") * rate), F.lit(0)), 24, 6).alias("revenue"),
-    )
-    branches = distinct_count(started, keys, "branch_id", "branches")
-    clients = distinct_count(started, keys, "client_id", "clients")
-    monthly = spine_join(sums, branches, clients, on=keys)
+    columns = ["contract_id", "branch_id", "client_id", "hours_paid", revenue.alias("revenue")]
+    gathered = joined.select(*keys, *columns).repartition(*keys)
+    monthly = (
+        gathered.withColumns({"branch": first_of_value(keys, "branch_id"), "client": first_of_value(keys, "client_id")})
+        .groupBy(*keys)
+        .agg(
+            F.count("contract_id").alias("assignments"),
+            money(F.coalesce(F.sum("hours_paid"), F.lit(0)), 12).alias("hours"),
+            money(F.coalesce(F.sum("revenue"), F.lit(0)), 24, 6).alias("revenue"),
+            F.count("branch").alias("branches"),
+            F.count("client").alias("clients"),
+        )
+    )
     return monthly.join(workers.select("worker_id", "worker_sk"), "worker_id", "left").withColumns(
         {
             "available_hours": F.lit(MONTHLY_HOURS),

@@ -7,6 +7,7 @@ import pytest
 
 from tallyhouse.plans import semantic as sem
 from tallyhouse.plans.daily_catalog import DAILY, Daily
+from tallyhouse.plans.gold import assignments as asg
 from tallyhouse.plans.gold import clients as cli
 from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.gold import workforce as wrk
@@ -162,6 +163,28 @@ def test_shared_buckets_are_forgotten(spark, tmp_path):
     assert scratch.known_shared(spark, str(tmp_path), "in-buckets") is None
 
 
+def test_a_worker_and_month_is_gathered_once(frame):
+    placed = [(1, 1, 5, 8, 3), (1, 2, 5, 9, 4), (1, 3, 6, None, 5), (1, 4, 5, 8, None), (2, 5, None, None, 6), (None, 6, 5, 5, 7)]
+    assignments = frame(
+        [(w, c, b, k, day and date(2026, 1, day)) for w, c, b, k, day in placed],
+        "worker_id long, contract_id long, branch_id long, client_id long, start_date date",
+    )
+    contracts = frame([(1, 1, 2), (1, 1, 2), (1, 2, 3)], "worker_id long, contract_id long, rate int")  # one comes twice
+    contracts = contracts.selectExpr("worker_id", "contract_id", "cast(rate as decimal(10,4)) bill_rate")
+    sheets = frame([(1, 1, 1), (2, 1, 2)], "sheet_id long, worker_id long, contract_id long")
+    lines = frame([(1, 7), (2, 5)], "sheet_id long, h int")
+    lines = lines.selectExpr("sheet_id", "cast(h as decimal(10,2)) hours_paid", "cast(h as decimal(10,2)) hours_billed",
+                             "cast(null as decimal(10,4)) bill_rate")
+    workers = frame([(1, "x")], "worker_id long, worker_sk string")
+    activity = wrk.worker_activity(assignments, contracts, asg.hours_per_contract(sheets, lines), workers)
+    shuffles = [line for line in plan(activity).splitlines() if "hashpartitioning(worker_id" in line and ", month#" in line]
+    assert len(shuffles) == 1
+    got = {r["worker_id"]: r for r in activity.collect()}
+    assert [(w, got[w]["assignments"], got[w]["branches"], got[w]["clients"], got[w]["hours"], got[w]["revenue"]) for w in sorted(got)] == [
+        (1, 4, 2, 2, 19, 43), (2, 1, 0, 0, 0, 0),
+    ]
+
+
 def test_alerts_read_each_mart_once(frame):
     def mart(rows, columns):
         return frame([(m and date(2026, m, 1), *rest) for m, *rest in rows], f"month date, {columns}")
