@@ -23,7 +23,7 @@ from tallyhouse.sources import erasure
 from tallyhouse.sources.partitioned import by_key, by_month, merge_partitions, read_partitioned
 from tallyhouse.sources.readers import read_raw, read_tolerant
 from tallyhouse.sources.schemas import raw_schema
-from tallyhouse.sources.scratch import fresh_path, stored
+from tallyhouse.sources.scratch import fresh_path, known_shared, share, stored
 from tallyhouse.sources.writers import write_raw
 
 DAYS = (date(2002, 1, 1), date(2002, 1, 2), date(2002, 1, 3))
@@ -91,10 +91,13 @@ class Daily(Silver):
         return self.load_day(day2, names)
 
     def daily_assignments(self, table: str) -> DataFrame:
-        """A table of `assignment_days`; the days are run once for both."""
-        for name in ("assignments", "assignment_ends"):
-            self.shared(f"daily-{name}", lambda name=name: _plain(self.assignment_days.silver(name)))
-        return self.shared(f"daily-{table}", lambda: _plain(self.assignment_days.silver(table)))
+        """A table of `assignment_days`; the days are run once for both, and their tables are read where they lie."""
+        if known_shared(self.spark, self.load, f"daily-{table}") is None:
+            load = self.assignment_days
+            for name in ("assignments", "assignment_ends"):
+                schema = _plain(load.silver(name)).schema
+                share(self.spark, self.load, f"daily-{name}", f"{load.silver_root}/{name}", schema)
+        return known_shared(self.spark, self.load, f"daily-{table}")
 
     @cached_property
     def client_days(self) -> Load:

@@ -29,7 +29,7 @@ from tallyhouse.plans.silver import billing, branches, clients, loyalty, mission
 from tallyhouse.sources.partitioned import PART, Layout, Merged, by_key, by_month, merge_partitions
 from tallyhouse.sources.readers import InputMissing, read_or_none, read_raw, read_required, read_snapshot
 from tallyhouse.sources.schemas import raw_schema
-from tallyhouse.sources.scratch import delete_folder, stored
+from tallyhouse.sources.scratch import delete_folder, staging, stored
 from tallyhouse.sources.writers import overwrite_table
 
 CALENDAR = (date(2020, 1, 1), date(2035, 12, 31))
@@ -53,6 +53,10 @@ class Load:
     stored_once: dict[str, DataFrame] = field(default_factory=dict)
     #: Which partitions of which tables were rewritten.
     merges: dict[str, Merged] = field(default_factory=dict)
+    #: Tables that this load has stored for the first time: all their keys came with it.
+    created: set[str] = field(default_factory=set)
+    #: What this load brought to tables with keys, while it runs.
+    brought: dict[str, DataFrame] = field(default_factory=dict)
 
     def required(self, table: str) -> DataFrame:
         """An input without which a table can't be built; raises `InputMissing`."""
@@ -82,11 +86,11 @@ class Load:
 @dataclass(frozen=True)
 class SilverTable:
     """``keys`` and ``layout``: merge the load into the touched partitions of the stored table; without keys the result
-    replaces it.
+    replaces it.  With keys ``build`` gives one row of a key.
 
     ``resolve`` makes one row of a key from its stored and fresh rows (by default the newest load wins).  With ``touched``
     (the keys that a load may have changed) the stored rows of these keys are replaced: for tables that are derived from
-    others, whose newest load time says nothing.
+    others, whose newest load time says nothing.  What ``build`` gives has no other keys then.
     """
 
     build: Callable[[Load], DataFrame]
@@ -150,23 +154,36 @@ def _touched_assignments(load: Load) -> DataFrame:
     return load.stored_once["touched"]
 
 
+def _brought_keys(load: Load, table: str, raw: str) -> DataFrame:
+    """Keys that came with this load: those of the rows that it brought to a table, or of the raw batch itself."""
+    if table in load.created:
+        return load.silver(table).select(*missions.KEY)
+    if table in load.brought:
+        return load.brought[table].select(*missions.KEY)
+    return missions.delivered_keys(load.raw(raw))
+
+
 def _find_touched(load: Load) -> DataFrame:
-    frames = [missions.delivered_keys(load.raw("wtmiss")).dropna(), missions.delivered_keys(load.raw("wtcnti"))]
+    frames = [_brought_keys(load, "assignment_heads", "wtmiss").dropna(), _brought_keys(load, "contract_spans", "wtcnti")]
     if "changed_orders" in load.stored_once:
         frames.append(load.silver("assignment_heads").join(load.stored_once["changed_orders"], "order_id", "left_semi"))
     return reduce(DataFrame.union, [f.select(*missions.KEY) for f in frames]).distinct()
 
 
+def _touched_rows(load: Load, table: str) -> DataFrame:
+    """The rows of a table whose keys this load has touched."""
+    if table in load.created:
+        return load.silver(table)
+    return load.silver(table).join(_touched_assignments(load), missions.KEY, "left_semi")
+
+
 def _assignments(load: Load) -> DataFrame:
-    keys = _touched_assignments(load)
-    heads, spans = (load.silver(t).join(keys, missions.KEY, "left_semi") for t in ("assignment_heads", "contract_spans"))
+    heads, spans = (_touched_rows(load, t) for t in ("assignment_heads", "contract_spans"))
     return missions.assignments_from(heads, spans, load.silver("order_times"))
 
 
 def _assignment_ends(load: Load) -> DataFrame:
-    keys = _touched_assignments(load)
-    tables = ("assignment_end_heads", "contract_spans")
-    heads, spans = (load.silver(t).join(keys, missions.KEY, "left_semi") for t in tables)
+    heads, spans = (_touched_rows(load, t) for t in ("assignment_end_heads", "contract_spans"))
     return missions.assignment_ends_from(heads, spans, load.history("wtfinmiss"), load.history("pymtfcnt"))
 
 
@@ -272,29 +289,38 @@ def load_silver(load: Load, only: Sequence[str] | None = None) -> list[str]:
     written = []
     if only is None:
         _note_contributions(load)
-    for name, table in SILVER_TABLES.items():
-        if only is not None and name not in only:
-            continue
-        try:
-            fresh = table.build(load)
-        except InputMissing as error:
-            load.skipped[name] = str(error)
-            continue
-        known = load.stored_silver(name)
-        gone = None if known is None or table.touched is None else table.touched(load)
-        if name == "assignments" and "billed_before" in load.stored_once:
-            before = _assignments_of(load, gone)
-            load.stored_once["started_before"] = stored(rev.started_by_month(before), "started-before")
-            load.stored_once["delays_before"] = stored(ops.delay_counts(before), "delays-before")
-        if known is not None and (gone is None or gone.isEmpty()) and fresh.isEmpty():
-            load.skipped[name] = "the load brought no rows"
-            continue
-        path = f"{load.silver_root}/{name}"
-        if table.layout is None:
-            overwrite_table(fresh, path, reads_target=table.reads_itself and known is not None)
-        else:
-            load.merges[name] = merge_partitions(fresh, path, table.keys, table.layout, table.resolve, gone)
-        written.append(name)
+    with staging(load.spark) as stage:
+        for name, table in SILVER_TABLES.items():
+            if only is not None and name not in only:
+                continue
+            try:
+                fresh = table.build(load)
+            except InputMissing as error:
+                load.skipped[name] = str(error)
+                continue
+            known = load.stored_silver(name)
+            gone = None if known is None or table.touched is None else table.touched(load)
+            staged = known is not None and table.layout is not None
+            if staged:
+                fresh = load.brought[name] = stage(fresh, name)
+            if name == "assignments" and "billed_before" in load.stored_once:
+                before = _assignments_of(load, gone)
+                load.stored_once["started_before"] = stored(rev.started_by_month(before), "started-before")
+                load.stored_once["delays_before"] = stored(ops.delay_counts(before), "delays-before")
+            if known is not None and (gone is None or gone.isEmpty()) and fresh.isEmpty():
+                load.skipped[name] = "the load brought no rows"
+                continue
+            path = f"{load.silver_root}/{name}"
+            if table.layout is None:
+                overwrite_table(fresh, path, reads_target=table.reads_itself and known is not None)
+            else:
+                load.merges[name] = merge_partitions(
+                    fresh, path, table.keys, table.layout, table.resolve, gone, unique=True, staged=staged
+                )
+            if known is None:
+                load.created.add(name)
+            written.append(name)
+        load.brought.clear()
     return written
 
 

@@ -6,7 +6,8 @@ key, so that a load reads the index of its own keys only.
 
 A merge reads the touched partitions, replaces the rows of its keys and writes these partitions by dynamic partition overwrite:
 Spark stages the new files and swaps them in when the job commits, so an executor that is lost finds the old files in place.
-Where the key decides the partition, stored rows and load meet in one shuffle by partition and key, and the same tasks write them.
+Stored rows and load meet in one shuffle by partition and key, and the same tasks write them; in tables with an index the places
+that keys held mark the stored rows that go.
 The index gets the new places of the keys before the data is written and loses the old ones after it.  It may name a partition
 too many, never one too few, so a merge that broke off can be run again and gives the same table.
 """
@@ -29,8 +30,8 @@ from tallyhouse.sources.writers import overwrite_partitions, overwrite_table
 
 PART, INDEX_BUCKET = "part", "key_bucket"
 INDEX_BUCKETS = 64
-# The writer task of a row in its partition, and where a row of a merge comes from.
-_TASK, _FROM = "__task", "__from"
+# The writer task of a row in its partition, where a row of a merge comes from, and whether a key gets or leaves a place.
+_TASK, _FROM, _ADDED = "__task", "__from", "__added"
 _STORED, _FRESH, _GONE = 0, 1, 2
 
 
@@ -93,9 +94,10 @@ def _values(rows: DataFrame, column: str) -> list:
     return sorted(row[0] for row in rows.select(column).distinct().collect())
 
 
-def write_index(table: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """The index of a whole table."""
-    overwrite_table(_by_bucket(_bucketed(table.select(*keys, PART).distinct(), keys)), index_path(path), partitions=[INDEX_BUCKET])
+def write_index(table: DataFrame, path: str, keys: Sequence[str], unique: bool = False) -> None:
+    """The index of a whole table; one of `unique` keys has no places to merge."""
+    places = _by_bucket(_bucketed(table.select(*keys, PART), keys))
+    overwrite_table(places if unique else places.distinct(), index_path(path), partitions=[INDEX_BUCKET])
 
 
 def _by_bucket(rows: DataFrame) -> DataFrame:
@@ -114,11 +116,15 @@ def merge_partitions(
     layout: Layout,
     resolve: Callable[[DataFrame], DataFrame] | None = None,
     gone: DataFrame | None = None,
+    unique: bool = False,
+    staged: bool = False,
 ) -> Merged:
     """Merge a load into the table at ``path`` and rewrite only the partitions that hold, held or get its keys.
 
     ``resolve`` makes the rows to keep from the stored and the fresh rows of the load's keys (by default the newest load of
-    a key wins).  ``gone`` names keys whose stored rows go; a key that is also in ``fresh`` is replaced by its fresh rows.
+    a key wins); a row that is alone with its key it leaves as it is.  ``gone`` names keys whose stored rows go; a key that is also in ``fresh`` is replaced by its fresh rows.
+    ``unique`` says that ``fresh`` holds one resolved row of a key; ``staged`` that ``fresh`` and ``gone`` are stored
+    already, so reading them again computes nothing.
     """
     spark, keys = fresh.sparkSession, list(keys)
     newest = resolve or (lambda rows: latest_loaded(rows, keys))
@@ -128,19 +134,24 @@ def merge_partitions(
         complete = fresh.dropna(subset=keys)
         known = read_partitioned(spark, path, complete.schema)
         if known is None:
+            first = complete.withColumns(placed)
             if by_task:
-                first = _gathered(complete.withColumns(placed), keys, layout)
-                first = latest_by(first, [PART, _TASK, *keys], newest_load(complete, keys)).drop(_TASK)
-            else:
+                first = _gathered(first, keys, layout)
+                first = first if unique else latest_by(first, [PART, _TASK, *keys], newest_load(complete, keys))
+                first = first.drop(_TASK)
+            elif not unique:
                 first = newest(complete).withColumns(placed)
             overwrite_partitions(first, path, [PART], spread=layout.spread, bloom=layout.bloom, gathered=by_task)
             written = read_partitioned(spark, path, complete.schema)
             if written is not None and not layout.of_key:
-                write_index(written, path, keys)
+                write_index(written, path, keys, unique or resolve is None)
             return Merged(rewritten=[] if written is None else sorted(_files(written)))
 
-        delta = stage(complete, "delta")
-        removed = None if gone is None else stage(gone.select(*keys).dropna().distinct(), "gone")
+        delta = complete if staged else stage(complete, "delta")
+        if gone is None:
+            removed = None
+        else:
+            removed = gone.select(*keys).dropna() if staged else stage(gone.select(*keys).dropna().distinct(), "gone")
         changed = [delta.select(*keys)] + ([] if removed is None else [removed])
         if by_task:
             places = [some.select(layout.part().alias(PART)).distinct() for some in changed]
@@ -149,32 +160,46 @@ def merge_partitions(
                 return Merged()
             merged = _merged_by_task(known.filter(_one_of(PART, touched)), delta, removed, keys, layout)
             return _rewrite(spark, known, merged, path, touched, layout, gathered=True)
+        if layout.of_key and removed is None:  # stored rows of other keys are alone with theirs
+            touched = _values(delta.select(layout.part().alias(PART)), PART)
+            if not touched:
+                return Merged()
+            rows = known.filter(_one_of(PART, touched)).drop(PART).unionByName(delta)
+            return _rewrite(spark, known, newest(rows).withColumns(placed), path, touched, layout)
 
-        changed = reduce(DataFrame.union, changed).distinct()
+        replaced = removed is not None and delta.select(*keys).join(removed, keys, "left_anti").isEmpty()
+        changed = removed if replaced else reduce(DataFrame.union, changed).distinct()
         held = stage(_places(spark, path, changed, keys, layout, delta.schema), "held")
         if removed is not None and delta.isEmpty():  # keys only go: their stored rows are not looked at
-            result, changed, left, touched = None, removed, held, _values(held, PART)
+            touched = _values(held, PART)
+            if not touched:
+                return Merged()
+            merged = known.filter(_one_of(PART, touched)).join(removed, keys, "left_anti")
+            done = _rewrite(spark, known, merged, path, touched, layout)
+            if not layout.of_key:
+                _drop_places(spark, path, held, keys, delta.schema)
+            return done
+        if replaced and unique:
+            result = delta.withColumns(placed)
+        elif replaced:
+            result = stage(newest(delta).withColumns(placed), "result")
         else:
             before = known.filter(_one_of(PART, _values(held, PART))).join(changed, keys, "left_semi").drop(PART)
             if removed is not None:
                 before = before.join(removed, keys, "left_anti")
             result = stage(newest(before.unionByName(delta)).withColumns(placed), "result")
-            pairs = result.select(*keys, PART).distinct()
-            left = stage(held.join(pairs, [*keys, PART], "left_anti"), "left")
-            touched = sorted({*_values(held, PART), *_values(result, PART)})
+        touched = sorted({*_values(held, PART), *_values(result, PART)})
         if not touched:
             return Merged()
-        if result is not None and not layout.of_key:
-            added = pairs.join(held, [*keys, PART], "left_anti")
-            rows = _by_bucket(_bucketed(added, keys))
+        if not layout.of_key:
+            moves = stage(_moves(held, result, keys), "moves")
+            rows = _by_bucket(_bucketed(moves.filter(_ADDED).drop(_ADDED), keys))
             rows.write.mode("append").option("compression", "zstd").partitionBy(INDEX_BUCKET).parquet(index_path(path))
-
-        merged = known.filter(_one_of(PART, touched)).join(changed, keys, "left_anti")
-        if result is not None:
-            merged = merged.unionByName(result)
-        done = _rewrite(spark, known, merged, path, touched, layout)
-        if not layout.of_key and not left.isEmpty():
-            _drop_places(spark, path, left, keys, delta.schema, stage)
+        merged = _replaced_by_task(known.filter(_one_of(PART, touched)), held, result, keys, layout)
+        done = _rewrite(spark, known, merged, path, touched, layout, gathered=True)
+        left = None if layout.of_key else moves.filter(~F.col(_ADDED)).drop(_ADDED)
+        if left is not None and not left.isEmpty():
+            _drop_places(spark, path, left, keys, delta.schema)
         return done
 
 
@@ -193,24 +218,42 @@ def _merged_by_task(known: DataFrame, delta: DataFrame, removed: DataFrame | Non
         rows = rows.unionByName(marks, allowMissingColumns=True)
     rows = _gathered(rows, keys, layout)
     group, origin, position = Window.partitionBy(PART, _TASK, *keys), F.col(_FROM), "__position"
-    order = [origin == _GONE, *newest_load(delta, keys)]
-    ranked = rows.withColumn(position, F.row_number().over(group.orderBy(*order)))
-    kinds = ranked.withColumns(
-        {
-            "__last": F.max(origin).over(group),
-            "__first_fresh": F.min(F.when(origin == _FRESH, F.col(position))).over(group),
-        }
-    )
-    best = F.when(F.col("__last") == _GONE, F.col("__first_fresh")).otherwise(F.lit(1))
+    ordered = group.orderBy(origin == _GONE, *newest_load(delta, keys))
+    # One pass over the sorted rows of a key: all windows have the same order.
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kinds = rows.withColumns({position: F.row_number().over(ordered), "__last": F.max(origin).over(whole)})
+    best = F.lit(1)
+    if removed is not None:
+        kinds = kinds.withColumn("__first_fresh", F.min(F.when(origin == _FRESH, F.col(position))).over(whole))
+        best = F.when(F.col("__last") == _GONE, F.col("__first_fresh")).otherwise(best)
     kept = (F.col("__last") == _STORED) | (F.col(position) == best)
     return kinds.filter(kept).select(*delta.columns, PART)
 
 
-def _files(table: DataFrame) -> dict[str, set[str]]:
+def _moves(held: DataFrame, result: DataFrame, keys: list[str]) -> DataFrame:
+    """Places of keys that change with a load: those that they get (`_ADDED`) and those that they leave."""
+    was, now = (rows.select(*keys, PART, F.lit(fresh).alias(_ADDED)) for rows, fresh in ((held, False), (result, True)))
+    added = F.col(_ADDED)
+    found = was.unionByName(now).groupBy(*keys, PART).agg(F.min(added).alias("__was"), F.max(added).alias(_ADDED))
+    return found.filter(F.col("__was") == added).drop("__was")
+
+
+def _replaced_by_task(known: DataFrame, held: DataFrame, result: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
+    """The touched partitions with `result` in place of the stored rows of the keys that `held` names, in one shuffle."""
+    rows = known.withColumn(_FROM, F.lit(_STORED)).unionByName(result.withColumn(_FROM, F.lit(_FRESH)))
+    marks = held.select(*keys, PART, F.lit(_GONE).alias(_FROM))
+    rows = _gathered(rows.unionByName(marks, allowMissingColumns=True), keys, layout)
+    group, origin = Window.partitionBy(PART, _TASK, *keys), F.col(_FROM)
+    marked = rows.withColumn("__last", F.max(origin).over(group))
+    stays = (origin == _FRESH) | ((origin == _STORED) & (F.col("__last") != _GONE))
+    return marked.filter(stays).select(*result.columns)
+
+
+def _files(table: DataFrame, column: str = PART) -> dict[str, set[str]]:
     """The files of a table by partition, as they are listed."""
     found: dict[str, set[str]] = {}
     for file in table.inputFiles():
-        part = re.search(f"/{PART}=([^/]+)/", file)
+        part = re.search(f"/{column}=([^/]+)/", file)
         if part:
             found.setdefault(part[1], set()).add(file)
     return found
@@ -226,11 +269,18 @@ def _rewrite(
     before = _files(known)
     overwrite_partitions(merged, path, [PART], spread=layout.spread, bloom=layout.bloom, gathered=gathered)
     after = _files(read_partitioned(spark, path, known.drop(PART).schema))
-    # A partition without rows is not overwritten by itself: it still has its old files.
+    emptied = _drop_unwritten(spark, path, touched, before, after)
+    return Merged(rewritten=[part for part in touched if part not in emptied and part in after], emptied=emptied)
+
+
+def _drop_unwritten(
+    spark: SparkSession, path: str, touched: list[str], before: dict[str, set[str]], after: dict[str, set[str]], column: str = PART
+) -> list[str]:
+    """Delete the touched partitions that got no row: one without rows is not overwritten by itself and has its old files."""
     emptied = [part for part in touched if part in before and before[part] == after.get(part)]
     for part in emptied:
-        delete_folder(spark, f"{path}/{PART}={part}")
-    return Merged(rewritten=[part for part in touched if part not in emptied and part in after], emptied=emptied)
+        delete_folder(spark, f"{path}/{column}={part}")
+    return emptied
 
 
 def _places(
@@ -241,19 +291,19 @@ def _places(
         return changed.withColumn(PART, layout.part())
     wanted = _bucketed(changed, keys)
     index = _index(spark, path, like, keys).filter(_one_of(INDEX_BUCKET, _values(wanted, INDEX_BUCKET)))
-    return index.join(wanted, [*keys, INDEX_BUCKET], "left_semi").select(*keys, PART).distinct()
+    # Distinct by bucket too, where the join has left the rows.
+    return index.join(wanted, [*keys, INDEX_BUCKET], "left_semi").distinct().select(*keys, PART)
 
 
-def _drop_places(
-    spark: SparkSession, path: str, left: DataFrame, keys: list[str], like: StructType, stage: Callable[[DataFrame, str], DataFrame]
-) -> None:
+def _drop_places(spark: SparkSession, path: str, left: DataFrame, keys: list[str], like: StructType) -> None:
     """Rewrite the parts of the index that still name partitions which keys have left."""
     buckets = _values(_bucketed(left, keys), INDEX_BUCKET)
-    index = _index(spark, path, like, keys).filter(_one_of(INDEX_BUCKET, buckets))
-    kept = stage(index.join(left, [*keys, PART], "left_anti").distinct(), "kept")
+    known = _index(spark, path, like, keys)
+    before = _files(known, INDEX_BUCKET)
+    kept = known.filter(_one_of(INDEX_BUCKET, buckets)).join(left, [*keys, PART], "left_anti").distinct()
     overwrite_partitions(kept, index_path(path), [INDEX_BUCKET])
-    for bucket in sorted({*buckets} - {*_values(kept, INDEX_BUCKET)}):
-        delete_folder(spark, f"{index_path(path)}/{INDEX_BUCKET}={bucket}")
+    after = _files(_index(spark, path, like, keys), INDEX_BUCKET)
+    _drop_unwritten(spark, index_path(path), [str(bucket) for bucket in buckets], before, after, INDEX_BUCKET)
 
 
 def rows_of(

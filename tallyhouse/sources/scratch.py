@@ -128,10 +128,22 @@ def shared(
     return known_shared(spark, load, name)
 
 
+def share(spark: SparkSession, load: str, name: str, path: str, schema: StructType) -> DataFrame:
+    """A table that lies in the shared folder already becomes a shared one; ``schema`` names the columns that are read."""
+    if not path.startswith(shared_folder(spark) + "/"):
+        raise ValueError(f"{path} is not in the shared folder")
+    _shared[(spark.sparkContext.applicationId, load, name)] = (path, schema, None)
+    return known_shared(spark, load, name)
+
+
 def known_shared(spark: SparkSession, load: str, name: str) -> DataFrame | None:
     """A shared table if it has been written."""
     found = _shared.get((spark.sparkContext.applicationId, load, name))
     if found is None:
         return None
     path, schema, table = found
-    return spark.read.schema(schema).parquet(path) if table is None else spark.table(table)
+    if table is not None:
+        return spark.table(table)
+    rows = spark.read.schema(schema).parquet(path)
+    # The folder of a table that was cut into partitions names one column more.
+    return rows if rows.columns == schema.names else rows.select(*[F.col(f"`{c}`") for c in schema.names])

@@ -44,6 +44,20 @@ def test_assignments_of_every_order_know_its_time(spark, folder):
     assert set(got) == {7, 8, 9} and None not in got.values()
 
 
+def test_touched_keys_are_not_parsed_again(spark, folder, monkeypatch):
+    def parsed(raw):
+        raise AssertionError("a raw batch is read for its keys")
+
+    monkeypatch.setattr(missions, "delivered_keys", parsed)
+    days = Daily(spark, folder)
+    load = days.assignment_days
+    assert {tuple(r) for r in load.stored_once["touched"].collect()} == {(4, 7), (4, 8), (4, 9)}
+    assert {r["contract_id"] for r in load.silver("assignments").collect()} == {7, 8, 9} and not load.brought
+    # the query reads the tables of the load where they lie
+    found = Daily(spark, folder).daily_assignments("assignment_ends")
+    assert all("/silver/assignment_ends/" in file for file in found.inputFiles()) and not {"part", "_loaded_at"} & {*found.columns}
+
+
 def test_raw_batches_are_compressed(frame, tmp_path):
     write_raw(frame([(1, "x")], "id int, v string"), str(tmp_path), "wtx", date(2026, 3, 1), "b1", "2026-03-01 05:00:00")
     assert [p.name for p in tmp_path.rglob("part-*")][0].endswith(".json.gz")

@@ -209,3 +209,46 @@ def test_rows_of_keys_that_only_go_are_not_compared(spark, frame, stored, monkey
     assert kept == {i for i in range(60) if i % 6 and i != 7} == {i for i, _ in index(spark, stored)}
     # the kept rows come from one join, and none from the keys that go
     assert plans[0].count("Join LeftAnti") == 1 and "Union" not in plans[0] and "LeftSemi" not in plans[0]
+
+
+def test_replaced_rows_are_gathered_once(spark, frame, stored, monkeypatch):
+    plans = written_plans(monkeypatch)
+    # 7 moves, 13 stays in its month, 19 only goes, 500 is new; 20 stands beside them
+    fresh = load(frame, (7, "2026-09-09", "moved"), (13, "2026-02-11", "again"), (500, None, "new"), (None, None, "no key"), hour=0)
+    gone = frame([(7,), (13,), (19,), (19,), (500,), (None,)], "id long")
+    done = tables.merge_partitions(fresh, stored, ["id"], tables.by_month("day"), gone=gone, unique=True, staged=True)
+    assert done.rewritten == ["m-none", "m2026-02", "m2026-09"]
+    kept = {i: (value, part) for i, value, part in content(spark, stored)}
+    assert len(content(spark, stored)) == len(kept) == 60 and 19 not in kept and kept[20] == ("v20", "m2026-03")
+    assert [kept[i] for i in (7, 13, 500)] == [("moved", "m2026-09"), ("again", "m2026-02"), ("new", "m-none")]
+    assert index(spark, stored) == sorted((i, part) for i, (_, part) in kept.items())
+    assert plans[0].count("RepartitionByExpression") == 1 and "Join" not in plans[0]
+
+
+def test_fresh_keys_beside_the_gone_ones_are_compared(spark, frame, stored):
+    fresh = load(frame, (7, "2026-09-09", "stale"), (8, "2026-09-09", "replaced"), hour=0)
+    tables.merge_partitions(fresh, stored, ["id"], tables.by_month("day"), gone=frame([(8,)], "id long"), unique=True)
+    kept = {i: value for i, value, _ in content(spark, stored)}
+    assert kept[7] == "v7" and kept[8] == "replaced" and len(kept) == 60
+
+
+def test_resolved_rows_of_a_key_layout_are_gathered_without_a_join(spark, frame, monkeypatch):
+    path, layout = fresh_path(spark, "cut"), tables.by_key(["id"], 4)
+
+    def longest(rows):
+        return rows.groupBy("id").agg(F.max("day").alias("day"), F.max("value").alias("value"), F.max("_loaded_at").alias("_loaded_at"))
+
+    tables.merge_partitions(load(frame, *[(i, None, "m") for i in range(20)]), path, ["id"], layout, longest)
+    plans = written_plans(monkeypatch)
+    tables.merge_partitions(load(frame, (3, None, "a"), (3, None, "z"), (4, None, "a"), (None, None, "no key")), path, ["id"], layout, longest)
+    kept = {i: value for i, value, _ in content(spark, path)}
+    assert len(content(spark, path)) == len(kept) == 20 and kept[3] == "z" and kept[4] == "m" and "Join" not in plans[0]
+
+
+def test_a_first_load_of_unique_keys_is_not_ranked(spark, frame, monkeypatch):
+    plans = written_plans(monkeypatch)
+    for layout in (tables.by_month("day"), tables.by_key(["id"], 4)):
+        path = fresh_path(spark, "cut")
+        tables.merge_partitions(load(frame, (1, "2026-01-05", "a"), (2, None, "b"), (None, None, "c")), path, ["id"], layout, unique=True)
+        assert [(i, v) for i, v, _ in content(spark, path)] == [(1, "a"), (2, "b")]
+    assert len(plans) == 2 and not any("Window" in plan for plan in plans)
