@@ -20,7 +20,7 @@ from tallyhouse.plans.gold import assignments as asg
 from tallyhouse.plans.silver.skills import CERTIFICATION, DEGREE, EXPERIENCE, TRADE
 from tallyhouse.plans.silver_catalog import SAMPLE_SALT, Silver
 from tallyhouse.sources.readers import load_partitions, read_delimited, read_optional_table, read_tolerant
-from tallyhouse.sources.scratch import fresh_path, stored
+from tallyhouse.sources.scratch import fresh_path, release, stored
 from tallyhouse.sources.writers import append_checked, overwrite_unless_empty, write_bucketed
 from tallyhouse.streaming import alerts, change_log, changes, ingest, live_alerts, spans, weekly
 
@@ -190,14 +190,19 @@ class Incremental(Silver):
 
     def _expected_tables(self) -> dict[str, DataFrame]:
         """What the suites read of their tables, stored once per load: every rule and day reads it again."""
-        tables = {
-            "workers": self.worker_staging.withColumn("worker_sk", key_hash("worker_id")),
-            "skills": self.skill_table,
-            "worker_activity": self.worker_activity,
-            "assignment_detail": self.assignment_detail,
+        # Each is built when its turn comes, so what the later ones store doesn't lie beside the skills' shuffles.
+        tables: dict[str, Callable[[], DataFrame]] = {
+            "workers": lambda: self.worker_staging.withColumn("worker_sk", key_hash("worker_id")),
+            "skills": lambda: self.skill_table,
+            "worker_activity": lambda: self.worker_activity,
+            "assignment_detail": lambda: self.assignment_detail,
         }
-        asked = {s: dict.fromkeys(rule.column for rule in SUITES[s] if rule.column in t.columns) for s, t in tables.items()}
-        return {s: self.shared(f"expected-{s}", lambda t=t, s=s: t.select(*asked[s])) for s, t in tables.items()}
+
+        def asked(suite: str) -> DataFrame:
+            table = tables[suite]()
+            return table.select(*dict.fromkeys(rule.column for rule in SUITES[suite] if rule.column in table.columns))
+
+        return {suite: self.shared(f"expected-{suite}", lambda suite=suite: asked(suite)) for suite in tables}
 
     @cached_property
     def expectations(self) -> DataFrame:
@@ -218,7 +223,8 @@ class Incremental(Silver):
                 rows = table.filter(F.pmod(F.xxhash64(key), F.lit(3)) == day)
                 states, values = quality.expectation_states(rows, rules), quality.value_counts(rows, rules)
                 spans.write_batch(states, f"{root}/states", day)
-                spans.write_batch(values, f"{root}/values", day)
+                spans.write_batch(values, f"{root}/values", day, gathered=True)  # many values, counted in many tasks
+                release(self.spark)
             states = spans.read_batches(self.spark, f"{root}/states", states.schema)
             values = spans.read_batches(self.spark, f"{root}/values", values.schema)
             reports.append(quality.report_from_states(states, values, rules).withColumn("suite", F.lit(suite)))

@@ -63,7 +63,8 @@ def trades(raw: DataFrame, raw_reference: DataFrame) -> DataFrame:
 
 def certifications(raw: DataFrame, raw_reference: DataFrame, as_of: date) -> DataFrame:
     """Expiry is the explicit date, else the issue date plus the validity in months."""
-    ref = _reference(raw_reference, "THAB_ID", ["THAB_LIBELLE", "THAB_NBMOIS"])
+    # A few codes name all certificates: they go to the rows, not the rows of one code to one task.
+    ref = F.broadcast(_reference(raw_reference, "THAB_ID", ["THAB_LIBELLE", "THAB_NBMOIS"]))
     issued = as_date("PHAB_DELIVR")
     expires = F.coalesce(as_date("PHAB_EXPIR"), F.add_months(issued, as_int("THAB_NBMOIS")))
     return raw.join(ref, "THAB_ID", "left").select(
@@ -82,7 +83,7 @@ def certifications(raw: DataFrame, raw_reference: DataFrame, as_of: date) -> Dat
 
 
 def degrees(raw: DataFrame, raw_reference: DataFrame) -> DataFrame:
-    ref = _reference(raw_reference, "TDIP_ID", ["TDIP_LIB", "TDIP_REF"])
+    ref = F.broadcast(_reference(raw_reference, "TDIP_ID", ["TDIP_LIB", "TDIP_REF"]))  # a few codes, as above
     return raw.join(ref, "TDIP_ID", "left").select(
         *_skill(
             DEGREE,
@@ -111,5 +112,9 @@ def experiences(raw: DataFrame) -> DataFrame:
 
 
 def skills(*parts: DataFrame) -> DataFrame:
-    """Union of the skill kinds, one row per skill id."""
-    return union_latest([p.filter(F.col("worker_id").isNotNull()) for p in parts], ["skill_id"])
+    """Union of the skill kinds, one row per skill id.
+
+    The ids are MD5 in hex digits (`_skill`); they are sorted and shuffled as the 16 bytes that the digits stand for.
+    """
+    packed = [p.filter(F.col("worker_id").isNotNull()).withColumn("skill_id", F.unhex("skill_id")) for p in parts]
+    return union_latest(packed, ["skill_id"]).withColumn("skill_id", F.lower(F.hex("skill_id")))

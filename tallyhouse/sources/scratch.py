@@ -59,6 +59,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files that finished jobs have left on disk.
+
+    Spark deletes them when the driver's JVM collects the plans that wrote them, which by itself may be long after.  Those of the
+    last job may still be held and go with the next call.
+    """
+    spark._jvm.java.lang.System.gc()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     if not path.startswith(shared_folder(spark) + "/"):
@@ -118,6 +127,7 @@ def shared(
     key = (spark.sparkContext.applicationId, load, name)
     if key not in _shared:
         df, path = build(), fresh_path(spark, name)
+        release(spark)  # what the tables before it have shuffled doesn't lie beside its own shuffles
         writer, table = df.write.option("compression", "zstd"), None
         if by is None:
             writer.parquet(path)
@@ -125,6 +135,7 @@ def shared(
             table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
             writer.format("parquet").option("path", path).bucketBy(buckets, by).saveAsTable(table)
         _shared[key] = (path, df.schema, table)
+        release(spark)
     return known_shared(spark, load, name)
 
 

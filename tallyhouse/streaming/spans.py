@@ -39,9 +39,13 @@ def uncovered(names: Iterable[str]) -> list[str]:
     return found
 
 
-def write_batch(rows: DataFrame, path: str, number: int, spread: int = 1) -> None:
-    """Store one micro-batch; repeating it gives the same table."""
-    overwrite_partitions(rows.withColumn(SPAN, F.lit(span_name(number, number))), path, [SPAN], spread=spread)
+def write_batch(rows: DataFrame, path: str, number: int, spread: int = 1, gathered: bool = False) -> None:
+    """Store one micro-batch; repeating it gives the same table.
+
+    `spread` tasks write it, or those that hold its rows if they are `gathered` already.
+    """
+    named = rows.withColumn(SPAN, F.lit(span_name(number, number)))
+    overwrite_partitions(named, path, [SPAN], spread=spread, gathered=gathered)
 
 
 def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

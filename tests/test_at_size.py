@@ -1,9 +1,11 @@
 """What keeps the plans small on large tables: nothing is computed twice, multiplied or gathered in one task without need."""
 
+import time
 import uuid
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyhouse.plans import semantic as sem
 from tallyhouse.plans.daily_catalog import DAILY, Daily
@@ -12,10 +14,11 @@ from tallyhouse.plans.gold import clients as cli
 from tallyhouse.plans.gold import revenue as rev
 from tallyhouse.plans.gold import workforce as wrk
 from tallyhouse.plans.incremental_catalog import SUITES, Incremental
-from tallyhouse.plans.silver import missions
+from tallyhouse.plans.silver import missions, skills
 from tallyhouse.plans.staffing import TABLE_SCHEMAS, StaffingViews
 from tallyhouse.sources import scratch
 from tallyhouse.sources.writers import write_bucketed, write_raw
+from tallyhouse.streaming import spans
 
 DAY = datetime(1996, 3, 5)
 
@@ -212,3 +215,66 @@ def test_alerts_read_each_mart_once(frame):
     assert "ubquery" not in plan(alerts)
     got = {r["alert"]: (r["observed"], r["fired"]) for r in alerts.collect()}
     assert got == {"dso": (50.0, True), "overdue_over_90": (60000.0, True), "termination": (None, False), "coefficient": (None, False)}
+
+
+def shuffle_files(spark):
+    """Shuffle files on disk."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+
+def test_shuffles_of_a_shared_table_leave_the_disk(spark, tmp_path):
+    def counted(name):
+        build = lambda: spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+        return scratch.shared(spark, str(tmp_path), name, build)
+
+    before = shuffle_files(spark)
+    counted("first")
+    first = shuffle_files(spark) - before
+    rows, until = counted("second"), time.time() + 20  # files are deleted beside the running jobs
+    while first & shuffle_files(spark) and time.time() < until:
+        time.sleep(0.2)
+    assert first and not first & shuffle_files(spark) and rows.count() == 7
+
+
+def test_suites_are_stored_in_turn(spark, folder):
+    class Sample(Incremental):
+        worker_staging = spark.sql("SELECT 1L worker_id, 'x' nir_hash, DATE'1980-01-01' birth_date")
+        skill_table = spark.sql("SELECT 1L worker_id, 'METIER' skill_type, 'a' skill_id")
+        assignment_detail = spark.sql("SELECT 0.1D margin_rate, 4 duration_days, 'k' assignment_sk")
+
+        @property
+        def worker_activity(self):
+            assert scratch.known_shared(self.spark, self.load, "expected-skills") is not None
+            return spark.sql("SELECT 1L worker_id, 0.5D occupancy, 3.0D revenue")
+
+    sample = Sample(spark, folder)
+    sample.load = f"{folder} in turn"
+    assert list(sample._expected_tables()) == list(SUITES)
+
+
+def test_gathered_batches_are_written_where_they_lie(spark, tmp_path):
+    rows = spark.range(0, 100, 1, 3).withColumn("n", F.lit(1))
+    for _ in range(2):  # a batch that comes again replaces itself
+        spans.write_batch(rows, str(tmp_path / "batches"), 4, gathered=True)
+    found = spans.read_batches(spark, str(tmp_path / "batches"), rows.schema)
+    assert len(found.inputFiles()) == 3 and found.count() == 100
+
+
+def test_skill_codes_go_to_the_rows_and_ids_are_packed(spark, frame):
+    held = frame([(1, 2, "2026-01-01", None, "2026-01-01"), (1, 2, "2025-01-01", None, "2026-01-02"), (None, 2, None, None, "2026-01-01"),
+                  (3, None, None, None, None)], "PER_ID long, THAB_ID int, PHAB_DELIVR string, PHAB_EXPIR string, _loaded_at string")
+    kinds = frame([(2, " B", "12", "2026-01-01"), (9, "Z", None, "2026-01-01")], "THAB_ID int, THAB_LIBELLE string, THAB_NBMOIS string, _loaded_at string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = skills.certifications(held, kinds, date(2026, 6, 1))
+        text = plan(parts)
+        table = skills.skills(parts)
+        shuffled = plan(table)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "unhex(" in shuffled
+    want = spark.sql("SELECT md5('1|HABILITATION|2') a, md5('3|HABILITATION|') b").first()
+    got = {r["skill_id"]: (r["worker_id"], r["label"], r["obtained_on"], r["is_active"]) for r in table.collect()}
+    assert got == {want[0]: (1, "B", date(2025, 1, 1), False), want[1]: (3, "Habilitation inconnue", None, True)}
